@@ -54,34 +54,26 @@ def _parents(env: Env, specs: Mapping[str, TableSpec], links: Sequence[tuple[str
 
 
 def walk_down(env: Env, specs: Sequence[TableSpec], selected: Selection) -> Selection:
-    """Add the rows below the selected ones, through every reference.
+    """Add the rows below the selected ones, through every reference to a selected table.
 
-    Parents are finished before their children, so each table is searched once. Tables on a
-    reference cycle are searched again until they stop growing.
+    Parents are finished before their children, and each table is entered once. Within a cycle of
+    tables the walk repeats until no further table is entered.
     """
-    tiers = table_tiers(specs)
-    out, rows = dict(selected), {}
-    edges = _edges(specs)
-    roots = set(selected)
-    again = True
-    while again:
-        again = False
-        for spec in sorted(specs, key=lambda s: tiers[s.name][0]):
-            cyclic = tiers[spec.name][1]
-            if spec.name in roots and not cyclic or spec.name in rows and not cyclic:
-                continue
+    tiers, edges, out = table_tiers(specs), _edges(specs), dict(selected)
+    waiting = sorted((s for s in specs if s.name not in selected), key=lambda s: tiers[s.name][0])
+    entered = True
+    while entered and waiting:
+        entered = False
+        for spec in list(waiting):
             links = [(fk, out[p]) for child, fk, p in edges if child == spec.name and p in out]
             if not links:
                 continue
-            ids = _children(env, spec, links)
-            if spec.name in out and cyclic:
-                ids = ids.union(out[spec.name]).distinct()
-            ids, seen = materialise_counted(ids, f"down-{spec.name}")
-            grew = seen["rows"] > rows.get(spec.name, 0)
-            rows[spec.name] = seen["rows"]
+            ids, seen = materialise_counted(_children(env, spec, links), f"down-{spec.name}")
             if seen["rows"]:
                 out[spec.name] = ids
-            again = again or (grew and cyclic)
+                entered = True
+            if seen["rows"] or not tiers[spec.name][1]:
+                waiting.remove(spec)
     return out
 
 
