@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabsync.functions import change_list, comparable, differs, display_name, fingerprint_label, has_key
 from tabsync.operators.clean import last_per_key
-from tabsync.sources.scan import scan
+from tabsync.sources.tables import scan
 from tabsync.spec import Env, FieldMeta, TableSpec
 from tabsync.storage import materialise
 

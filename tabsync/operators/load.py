@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tabsync.functions import has_key, not_blank
 from tabsync.operators.clean import (RETRYABLE_PATTERNS, classify_rejects, last_per_key,
-                                     route_by_membership, union_results)
+                                     route_by_membership, split_by_key, union_results)
 from tabsync.spec import Env, TableSpec
 from tabsync.storage import materialise_counted, number_rows
 
@@ -98,14 +98,17 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, id_col: str,
            order_cols: Sequence[str] | None = None) -> DataFrame:
     """Update by key, insert the rest; the target's columns plus the trace columns.
 
-    The batch has at most one row per key. Which rows are new is found from the key columns alone.
+    The batch has at most one row per key; rows with a blank key are all inserted. Which rows are
+    new is found from the key columns alone.
     """
     batch = batch.withColumn("_source_key", F.col(key).cast("string")) if "_source_key" not in batch.columns else batch
-    known = target.select(F.col(key).alias("_known")).where(F.col("_known").isNotNull())
-    hits = (known.join(batch.select(F.col(key).alias("_k")), F.col("_known") == F.col("_k"), "left_semi").distinct())
-    new = batch.join(hits, F.col(key) == F.col("_known"), "left_anti")
-    updated = update(target, batch.drop(id_col), key)
-    return updated.unionByName(insert(target, new, id_col, order_cols or (key,)))
+    named, unnamed = split_by_key(batch, key)
+    known = target.select(F.col(key).alias("_known")).where(has_key("_known"))
+    hits = known.join(named.select(F.col(key).alias("_k")), F.col("_known") == F.col("_k"), "left_semi").distinct()
+    new = named.join(hits, F.col(key) == F.col("_known"), "left_anti")
+    added = new.unionByName(unnamed, allowMissingColumns=True)
+    updated = update(target, named.drop(id_col), key)
+    return updated.unionByName(insert(target, added, id_col, order_cols or (key,)))
 
 
 def upsert_by_id(target: DataFrame, batch: DataFrame, id_col: str, order_cols: Sequence[str],

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsync.functions import has_key
-from tabsync.sources.scan import in_list
+from tabsync.sources.tables import in_list
 from tabsync.spec import Env, TableSpec, by_name, table_tiers
 from tabsync.storage import materialise_counted
 

@@ -10,7 +10,7 @@ from tabsync.operators.diff import Diff, diff_all, extract_delta
 from tabsync.operators.resolve import id_maps, order_columns, resolve_references, self_ref_pass2
 from tabsync.operators.subset import subset_portable
 from tabsync.plans.export import Bundle, BundleWriter
-from tabsync.sources.scan import scan
+from tabsync.sources.tables import scan
 from tabsync.spec import Env, FieldMeta, TableSpec, by_name, load_order, table_tiers
 
 

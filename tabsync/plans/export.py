@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabsync.operators.resolve import id_maps, order_columns, resolve_references, self_ref_pass2
 from tabsync.operators.subset import subset
 from tabsync.sinks.bundle import build_manifest, manifest_entry, read_table, table_path, write_table
-from tabsync.sources.scan import scan
+from tabsync.sources.tables import scan
 from tabsync.spec import Env, FieldMeta, TableSpec, by_name, load_order, table_tiers
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,9 +79,15 @@ class _Run:
             if spec.active_col and name in self.env:
                 self.env[name], ids = write.deactivate(self.env[name], spec.active_col, spec.id_col)
                 active[name] = materialise(ids, f"active-{name}") if ids is not None else None
-        for entry, _ in self.bundle.entries:
+        for entry, rows in self.bundle.entries:
             _, _, order, path, name, _, _, pass2, _ = entry
-            failed = self.table(self.specs[name], order, path, pass2)
+            try:
+                failed = self.table(self.specs[name], order, path, pass2)
+            except PySparkException:
+                if on_error == "stop":
+                    raise
+                failed = True
+                self.lines.append((order, name, self.specs[name].key, rows, 0, rows, "failed"))
             if failed and on_error == "stop":
                 break
         for name, held in self.deferred.items():
@@ -108,13 +115,13 @@ class _Run:
             rows, held = clean.defer_values(rows, spec.name, spec.key, spec.deferred[0], spec.deferred[1])
             self.deferred[spec.name] = materialise(held, f"deferred-{spec.name}")
         rows = self.prepare(rows, spec, target, pass2)
-        batch, given = materialise_counted(rows, f"batch-{spec.name}")
-        ok, bad = self.check(batch, spec, 0)
-        ok, counts = materialise_counted(ok, f"accepted-{spec.name}")
-        refused = given["rows"] - counts["rows"]
+        judged, seen = materialise_counted(self.judge(rows, spec, 0), f"judged-{spec.name}",
+                                           refused=F.count_if(F.size("errors") > 0))
+        submitted, refused = seen["rows"], seen["refused"]
+        ok, bad = self.split(judged, spec)
         if refused:
-            again, bad, tally = write.retry_rejects(bad, lambda df, n: self.check(df, spec, n),
-                                                    attempts=self.retries, bookkeeping=("error", "errors", "retryable"))
+            again, bad, tally = write.retry_rejects(bad, lambda df, n: self.split(self.judge(df, spec, n), spec),
+                                                    attempts=self.retries, bookkeeping=("error", "retryable"))
             if again is not None:
                 ok = clean.union_results([ok, again])
             refused = tally["failed"]
@@ -127,7 +134,6 @@ class _Run:
             self.xwalk = self.xwalk.unionByName(crosswalk.id_xwalk(done.where(F.col("source_id").isNotNull()), spec.name))
             if spec.auto_number_key:
                 self.key_xwalk = self.key_xwalk.unionByName(crosswalk.key_xwalk(done, spec.name, spec.key))
-        submitted = given["rows"]
         status = "partial" if refused else "success"
         self.lines.append((order, spec.name, spec.key, submitted, submitted - refused, refused, status))
         return bool(refused)
@@ -162,17 +168,17 @@ class _Run:
             rows, _ = clean.mask_emails(rows, metas)
         return write.conform(rows, target.schema)
 
-    def check(self, rows: DataFrame, spec: TableSpec, attempt: int) -> tuple[DataFrame, DataFrame]:
-        """(accepted rows with foreign keys filled in, rejected rows with ``error``)."""
+    def judge(self, rows: DataFrame, spec: TableSpec, attempt: int) -> DataFrame:
+        """Rows with foreign keys filled in and ``errors`` for what the target would refuse."""
         bound = write.bind_parents(rows, spec, self.env, self.specs)
         metas = [f for f in self.fields.get(spec.name, ()) if f.name in rows.columns]
         judged = clean.check_rows(bound, metas, spec.with_(refs=()))
         judged = judged.withColumn("errors", F.concat("errors", "_unbound")).drop("_unbound")
-        if self.checker is not None:
-            judged = self.checker(judged, spec, attempt)
+        return self.checker(judged, spec, attempt) if self.checker else judged
+
+    def split(self, judged: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
         good, bad = clean.split_checked(judged)
-        back = [c for c in bad.columns if c in rows.columns]
-        return good, bad.select(*back, F.array_join("errors", "; ").alias("error"))
+        return good, bad.withColumn("error", F.array_join("errors", "; ")).drop("errors")
 
     def apply(self, target: DataFrame, rows: DataFrame, spec: TableSpec, pass2: bool) -> DataFrame:
         rows = rows.drop(*[r.key_col for r in spec.refs])
@@ -188,10 +194,8 @@ class _Run:
                 return write.update(into, part, spec.key)
             if spec.key == spec.id_col:
                 return write.update(into, part, spec.key).unionByName(_new_rows(into, part, spec.key))
-            named, unnamed = clean.split_by_key(part, spec.key)
-            out = write.upsert(into, named, spec.key, spec.id_col, [spec.key])
-            extra = write.insert(write.current(out), unnamed, spec.id_col, ["_source_id"])
-            return out.unionByName(extra)
+            order = ["_source_id"] if "_source_id" in part.columns else [spec.key]
+            return write.upsert(into, part, spec.key, spec.id_col, order)
 
         if spec.load_first and not pass2:
             fk, flag = spec.load_first

@@ -2,7 +2,7 @@
 
 from tabsync.sources.catalog import (column_inventory, discover_tables, row_counts, usable_table_names)
 from tabsync.sources.csv import read_csv
-from tabsync.sources.scan import (assign_batches, in_list, merge_column_groups, path_filter, read_env,
+from tabsync.sources.tables import (assign_batches, in_list, merge_column_groups, path_filter, read_env,
                                   scan, select_columns)
 
 __all__ = ["assign_batches", "column_inventory", "discover_tables", "in_list", "merge_column_groups",

@@ -54,7 +54,7 @@ def materialise_counted(df: DataFrame, label: str = "frame",
 
 def plan_size(df: DataFrame) -> int:
     """The optimizer's size estimate in bytes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -65,28 +65,25 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def number_rows(df: DataFrame, order_cols: Sequence[str], name: str = "row_no") -> DataFrame:
-    """Add a gapless number from 0 in the order of ``order_cols``, which must be a total order.
+    """Add a gapless number from 0 in the order of ``order_cols``, which should be a total order.
 
-    The narrow order columns are range-partitioned and sorted, so a value that is frequent in the
+    Rows are range-partitioned and sorted by all order columns, so a value that is frequent in the
     leading column is still spread. A row's number is its place in its partition plus the sizes of
-    the partitions before it. The placement is written before it is read twice, because a repeated
-    range partitioning need not cut at the same rows.
+    the partitions before it. The sorted rows are written before they are read twice, because a
+    repeated range partitioning need not cut at the same rows.
     """
-    keys = list(order_cols)
-    part, place = "_part", "_place"
+    keys, columns = list(order_cols), [F.col(c) for c in df.columns]
     placed = materialise(
-        df.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
-        .withColumn("_m", F.monotonically_increasing_id())
+        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_m", F.monotonically_increasing_id())
         # The generated number holds the partition in its upper 31 bits, the place in the lower 33.
-        .select(*keys, F.shiftright("_m", 33).cast("int").alias(part),
-                F.col("_m").bitwiseAND((1 << 33) - 1).alias(place)), "numbered")
+        .select(*columns, F.shiftright("_m", 33).cast("int").alias("_part"),
+                F.col("_m").bitwiseAND((1 << 33) - 1).alias("_place")), "numbered")
     # One row per partition of the sort: the only frame here that meets in a single task.
-    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    numbers = (placed.join(F.broadcast(offsets), part)
-               .select(*keys, (F.col(place) + F.col("_before")).cast("bigint").alias(name)))
-    return null_safe_join(df, numbers, keys, "inner")
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (placed.join(F.broadcast(offsets), "_part")
+            .select(*columns, (F.col("_place") + F.col("_before")).cast("bigint").alias(name)))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
