@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tabsync.functions import is_blank, is_email, mask_email, not_blank, trimmed
 from tabsync.functions.text import needs_mask
 from tabsync.spec import FieldMeta, TableSpec
+from tabsync.storage import small_frame
 
 # Columns a load never writes, columns it always keeps, and the wording of
 # transient errors.
@@ -104,7 +105,7 @@ def email_columns(df: DataFrame, fields: Sequence[FieldMeta] = (), skip: Collect
         aggs += [F.count_if(not_blank(f"`{c}`")).alias(f"n{i}"), F.count_if(is_email(f"`{c}`")).alias(f"e{i}")]
         entries.append((c, reason, F.col(f"n{i}"), F.col(f"e{i}")))
     if not entries:
-        return df.sparkSession.createDataFrame([], "column string, reason string, non_blank bigint, "
+        return small_frame(df.sparkSession, [], "column string, reason string, non_blank bigint, "
                                                    "emails bigint, selected boolean")
     lines = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("reason"), n.alias("non_blank"),
                                e.alias("emails"), (F.lit(r != "pattern") | (e * 2 > n)).alias("selected"))
@@ -124,7 +125,7 @@ def mask_emails(df: DataFrame, fields: Sequence[FieldMeta] = (), skip: Collectio
 
 def count_masked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     if not columns:
-        return df.sparkSession.createDataFrame([], "column string, masked bigint")
+        return small_frame(df.sparkSession, [], "column string, masked bigint")
     counts = df.agg(*[F.count_if(needs_mask(c)).alias(f"m{i}") for i, c in enumerate(columns)])
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("masked")) for i, c in enumerate(columns)])))

@@ -11,7 +11,7 @@ from tabsync.functions import has_key, is_blank, looks_like_id
 from tabsync.functions.text import ID_PATTERN
 from tabsync.operators.clean import last_per_key
 from tabsync.spec import Ref, TableSpec
-from tabsync.storage import null_safe_join
+from tabsync.storage import null_safe_join, small_frame
 
 XWALK_SCHEMA = "table string, source_id string, target_id string"
 KEY_XWALK_SCHEMA = "table string, key_field string, source_key string, target_key string"
@@ -139,8 +139,8 @@ def key_xwalk(loaded: DataFrame, table: str, key_field: str) -> DataFrame:
 
 
 def empty_xwalk(spark) -> DataFrame:
-    return spark.createDataFrame([], XWALK_SCHEMA)
+    return small_frame(spark, [], XWALK_SCHEMA)
 
 
 def empty_key_xwalk(spark) -> DataFrame:
-    return spark.createDataFrame([], KEY_XWALK_SCHEMA)
+    return small_frame(spark, [], KEY_XWALK_SCHEMA)

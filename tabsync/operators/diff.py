@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from tabsync.functions import change_list, comparable, differs, display_name, fi
 from tabsync.operators.clean import last_per_key
 from tabsync.sources.tables import scan
 from tabsync.spec import Env, FieldMeta, TableSpec
-from tabsync.storage import materialise
+from tabsync.storage import materialise, side_by_side, small_frame
 
 # Columns that never take part in a comparison, and the usual name columns.
 SYSTEM_COLUMNS = frozenset({"Id", "IsDeleted", "CreatedDate", "CreatedById", "LastModifiedDate",
@@ -212,7 +212,7 @@ def diff_all(src_env: Env, tgt_env: Env, specs: Sequence[TableSpec],
     Tables with an automatically numbered key are compared by content. With ``keep`` the diff rows
     of a table are written once, so that summary and delta do not repeat the join.
     """
-    rows, changes, lines, names = [], [], [], []
+    rows, changes, lines, names, sides = [], [], [], [], []
     for spec in specs:
         if not spec.key or spec.resolve_only or spec.name not in src_env or spec.name not in tgt_env:
             continue
@@ -225,15 +225,17 @@ def diff_all(src_env: Env, tgt_env: Env, specs: Sequence[TableSpec],
             found = diff_rows(joined, spec.name)
             if compare_columns(src, tgt, spec):
                 changes.append(diff_changes(joined, spec.name))
-        found = materialise(found, f"diff-{spec.name}") if keep else found
         rows.append(found)
-        lines.append(diff_summary(found, src, tgt, spec))
+        sides.append((src, tgt, spec))
         names.append(spec.name)
     if not rows:
         raise ValueError("no table can be compared: each lacks a key or is missing on one side")
     spark = rows[0].sparkSession
+    if keep:
+        rows = side_by_side(spark, [partial(materialise, r, f"diff-{n}") for r, n in zip(rows, names)])
+    lines = [diff_summary(r, *side) for r, side in zip(rows, sides)]
     if not changes:
-        changes = [spark.createDataFrame([], "table string, key string, field string, "
+        changes = [small_frame(spark, [], "table string, key string, field string, "
                                              "source_value string, target_value string")]
     union = lambda frames: reduce(DataFrame.unionByName, frames)
     return Diff(union(rows), union(changes), union(lines), tuple(names))

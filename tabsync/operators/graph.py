@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,14 +40,18 @@ def dependency_tiers(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100_0
     that released one of its edges. What never gets free shares one final tier: ``in_cycle`` marks
     it and ``below_cycle`` tells the nodes that only depend on a cycle from those on one. Nodes
     are the first column of ``nodes``; edges to other nodes, repeated edges and loops are ignored.
-    A round writes the remaining edges once, and there are as many rounds as tiers.
+
+    Only nodes that are parents themselves take part in the rounds. The others, usually the bulk,
+    get their tier from their parents in one join at the end. A round writes the remaining edges
+    once, and there are as many rounds as tiers of parents.
     """
     nodes = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct()
-    live = edges.select("child", "parent").where(F.col("child") != F.col("parent"))
-    for end in ("child", "parent"):
-        live = live.join(nodes, F.col(end) == F.col("node"), "left_semi")
-    # A pair may come from several columns; the first round's write makes it one.
-    live, seen = materialise_counted(live.distinct(), "edges")
+    edges = (edges.select("child", "parent").where(F.col("child") != F.col("parent"))
+             .join(nodes, F.col("parent") == F.col("node"), "left_semi"))
+    parents = materialise(edges.select(F.col("parent").alias("node")).distinct(), "parents")
+    inner = edges.join(parents, F.col("child") == F.col("node"), "left_semi")
+    outer = edges.join(parents, F.col("child") == F.col("node"), "left_anti")
+    live, seen = materialise_counted(inner.distinct(), "edges")
     left, released, stuck = seen["rows"], [], None
     for level in range(max_rounds):
         if left == 0:
@@ -56,29 +61,42 @@ def dependency_tiers(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100_0
                 .withColumn("free", F.lit(True)))
         split, seen = materialise_counted(
             live.join(free, "parent", "left").select("child", "parent", F.col("free").isNotNull().alias("free")),
-            f"peel{level}", freed=F.count_if(F.col("free").isNotNull() & F.col("free")))
+            f"peel{level}", freed=F.count_if("free"))
         if seen["freed"] == 0:
             stuck = live
             break
-        released.append(split.where("free").select("child", F.lit(level).alias("level")))
+        released.append(split.where("free").select(F.col("child").alias("node"), F.lit(level + 1).alias("tier")))
         live = split.where(~F.col("free")).select("child", "parent")
         left = seen["rows"] - seen["freed"]
     else:
         raise RuntimeError(f"no end after {max_rounds} tiers")
 
+    placed = reduce(DataFrame.union, [parents.withColumn("tier", F.lit(0)), *released]).groupBy("node").agg(
+        F.max("tier").alias("tier"))
     flags = None
     if stuck is not None:
         flags = _on_cycle(stuck)
-    placed = nodes.withColumn("level", F.lit(-1))
-    for part in released:
-        placed = placed.union(part.select(F.col("child").alias("node"), "level"))
-    tiers = placed.groupBy("node").agg((F.max("level") + 1).cast("int").alias("tier"))
-    if flags is None:
-        return tiers.select("node", "tier", F.lit(False).alias("in_cycle"), F.lit(False).alias("below_cycle"))
-    free_nodes = tiers.join(flags, "node", "left_anti")
-    top = free_nodes.agg(F.coalesce(F.max("tier") + 1, F.lit(0))).first()[0]
-    return (free_nodes.select("node", "tier", F.lit(False).alias("in_cycle"), F.lit(False).alias("below_cycle"))
-            .union(flags.select("node", F.lit(top).cast("int"), F.lit(True), "below_cycle")))
+        placed = placed.join(flags, "node", "left").select(
+            "node", F.when(F.col("below_cycle").isNull(), F.col("tier")).alias("tier"), "below_cycle")
+    else:
+        placed = placed.withColumn("below_cycle", F.lit(None).cast("boolean"))
+    # A node without children is stuck when one of its parents is.
+    leaves = (outer.join(placed.withColumnRenamed("node", "parent"), "parent").groupBy(F.col("child").alias("node"))
+              .agg((F.max("tier") + 1).alias("tier"), F.max(F.col("below_cycle").isNotNull()).alias("stuck"))
+              .select("node", F.when(~F.col("stuck"), F.col("tier")).alias("tier"),
+                      F.when(F.col("stuck"), F.lit(True)).alias("below_cycle")))
+    known = placed.unionByName(leaves)
+    last = 0
+    if flags is not None:
+        known = materialise(known, "tiers")
+        last = (known.agg(F.max("tier")).first()[0] or 0) + 1
+        free_nodes = known.where(F.col("tier").isNotNull()).limit(1)
+        last = last if not free_nodes.isEmpty() else last - 1
+    stuck_node = F.col("below_cycle").isNotNull()
+    tier = F.when(stuck_node, F.lit(last)).otherwise(F.coalesce(F.col("tier"), F.lit(0)))
+    return nodes.join(known, "node", "left").select(
+        "node", tier.cast("int").alias("tier"), stuck_node.alias("in_cycle"),
+        F.coalesce("below_cycle", F.lit(False)).alias("below_cycle"))
 
 
 def _on_cycle(live: DataFrame) -> DataFrame:

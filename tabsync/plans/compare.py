@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import functions as F
 
 from tabsync.operators.diff import Diff, diff_all, extract_delta
-from tabsync.operators.resolve import id_maps, order_columns, resolve_references, self_ref_pass2
+from tabsync.operators.resolve import id_maps
 from tabsync.operators.subset import subset_portable
-from tabsync.plans.export import Bundle, BundleWriter
+from tabsync.plans.export import Bundle, resolved_parts, write_bundle
 from tabsync.sources.tables import scan
 from tabsync.spec import Env, FieldMeta, TableSpec, by_name, load_order, table_tiers
 
@@ -31,16 +31,12 @@ def export_delta(src_env: Env, diff: Diff, specs: Sequence[TableSpec], path: str
                  fields: Mapping[str, Sequence[FieldMeta]] | None = None) -> Bundle:
     """Write the new and modified rows, resolved like a full export."""
     specs = [s for s in specs if s.name in src_env]
-    named, tiers, maps = by_name(specs), table_tiers(specs), id_maps(src_env, specs)
-    writer = BundleWriter(next(iter(src_env.values())).sparkSession, path, fmt, "delta")
+    tiers, maps = table_tiers(specs), id_maps(src_env, specs)
+    parts = []
     for spec in load_order(specs):
         if spec.resolve_only or not spec.key or spec.name not in diff.tables:
             continue
         found = diff.rows.where(F.col("table") == spec.name)
         rows = extract_delta(scan(src_env, spec, (fields or {}).get(spec.name, ())), found, spec.id_col)
-        resolved = order_columns(resolve_references(rows, spec, maps), spec.key)
-        tier = tiers[spec.name][0]
-        if writer.add(resolved, spec, named, tier, "_delta", notes="new and modified rows"):
-            for col, pairs in self_ref_pass2(rows, spec, maps[spec.name]).items():
-                writer.add(pairs, spec, named, tier, f"_delta_pass2_{col}", True, "load after the table itself")
-    return writer.finish()
+        parts += resolved_parts(rows, spec, tiers[spec.name][0], maps, "_delta", "new and modified rows")
+    return write_bundle(path, fmt, "delta", parts, by_name(specs))

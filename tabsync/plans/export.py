@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tabsync.operators.resolve import id_maps, order_columns, resolve_references, self_ref_pass2
 from tabsync.operators.subset import subset
-from tabsync.sinks.bundle import build_manifest, manifest_entry, read_table, table_path, write_table
+from tabsync.sinks.bundle import (MANIFEST_SCHEMA, build_manifest, manifest_entry, read_table, table_path,
+                                  write_table)
 from tabsync.sources.tables import scan
 from tabsync.spec import Env, FieldMeta, TableSpec, by_name, load_order, table_tiers
+from tabsync.storage import side_by_side, small_frame
 
 
 @dataclass
@@ -32,8 +35,7 @@ class Bundle:
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> Bundle:
         """Read a bundle's manifest: one line per written table."""
-        lines = spark.read.json(f"{path}/_manifest", schema="fmt string, mode string, tier int, order int, path string, "
-                                "table string, key_field string, rows bigint, operation string, pass2 boolean, notes string")
+        lines = spark.read.json(f"{path}/_manifest", schema=f"fmt string, {MANIFEST_SCHEMA}")
         rows = lines.orderBy("tier", "order").collect()
         entries = [((r.mode, r.tier, r.order, r.path, r.table, r.key_field, r.operation, r.pass2, r.notes), r.rows)
                    for r in rows]
@@ -49,28 +51,42 @@ def headers(spec: TableSpec, specs: Mapping[str, TableSpec]) -> dict[str, str]:
     return out
 
 
-class BundleWriter:
-    """Writes tables in load order and keeps the manifest lines; empty tables make no folder."""
+@dataclass
+class Part:
+    """One folder of a bundle before it is written."""
+
+    spec: TableSpec
+    tier: int
+    df: DataFrame
+    suffix: str = ""
+    pass2: bool = False
+    notes: str | None = None
 
-    def __init__(self, spark: SparkSession, path: str, fmt: str, mode: str):
-        self.spark, self.mode, self.bundle = spark, mode, Bundle(path, fmt)
 
-    def add(self, df: DataFrame, spec: TableSpec, specs: Mapping[str, TableSpec], tier: int, suffix: str = "",
-            pass2: bool = False, notes: str | None = None) -> int:
-        order = len(self.bundle.entries) + 1
-        path = table_path(tier, order, spec.name, suffix)
-        rows = write_table(df, f"{self.bundle.path}/{path}", self.bundle.fmt, headers(spec, specs))
-        if rows:
-            self.bundle.entries.append((manifest_entry(self.mode, tier, order, path, spec, pass2, notes), rows))
-        return rows
+def write_bundle(path: str, fmt: str, mode: str, parts: Sequence[Part], specs: Mapping[str, TableSpec]) -> Bundle:
+    """Write the parts, which are independent of each other, and the manifest.
 
-    def finish(self) -> Bundle:
-        b = self.bundle
-        lines = [(b.fmt, *e[:6], n, *e[6:]) for e, n in b.entries]
-        self.spark.createDataFrame(lines, "fmt string, mode string, tier int, order int, path string, table string, "
-                                   "key_field string, rows bigint, operation string, pass2 boolean, notes string"
-                                   ).coalesce(1).write.mode("overwrite").json(f"{b.path}/_manifest")
-        return b
+    Row counts come from the writes. Empty parts stay out of the manifest.
+    """
+    spark, bundle, work, lines = parts[0].df.sparkSession, Bundle(path, fmt), [], []
+    for order, p in enumerate(parts, 1):
+        where = table_path(p.tier, order, p.spec.name, p.suffix)
+        lines.append(manifest_entry(mode, p.tier, order, where, p.spec, p.pass2, p.notes))
+        work.append(partial(write_table, p.df, f"{path}/{where}", fmt, headers(p.spec, specs)))
+    bundle.entries = [(line, rows) for line, rows in zip(lines, side_by_side(spark, work)) if rows]
+    small_frame(spark, [(fmt, *e[:6], n, *e[6:]) for e, n in bundle.entries],
+                f"fmt string, {MANIFEST_SCHEMA}").coalesce(1).write.json(f"{path}/_manifest")
+    return bundle
+
+
+def resolved_parts(rows: DataFrame, spec: TableSpec, tier: int, maps: Mapping[str, DataFrame], suffix: str = "",
+                   notes: str | None = None) -> list[Part]:
+    """A table with references as business keys, and its self references as parts of their own."""
+    main = order_columns(resolve_references(rows, spec, maps), spec.key)
+    own = self_ref_pass2(rows, spec, maps[spec.name]) if spec.key else {}
+    return [Part(spec, tier, main, suffix, False, notes),
+            *[Part(spec, tier, pairs, f"{suffix}_pass2_{col}", True, "load after the table itself")
+              for col, pairs in own.items()]]
 
 
 def export(env: Env, specs: Sequence[TableSpec], path: str, root: str | None = None, values=None,
@@ -79,25 +95,18 @@ def export(env: Env, specs: Sequence[TableSpec], path: str, root: str | None = N
            default_exclude: Sequence[str] = ()) -> Bundle:
     """Write each table in load order with references as business keys, self references last.
 
-    With ``root`` and ``values`` only the rows related to those root rows are moved. Row counts
-    come from the writes themselves.
+    With ``root`` and ``values`` only the rows related to those root rows are moved.
     """
     if root is not None:
         env = subset(env, specs, root, values, match_by)
     specs = [s for s in specs if s.name in env]
-    named, tiers, maps = by_name(specs), table_tiers(specs), id_maps(env, specs)
-    spark = next(iter(env.values())).sparkSession
-    writer = BundleWriter(spark, path, fmt, "full")
+    tiers, maps = table_tiers(specs), id_maps(env, specs)
+    parts = []
     for spec in load_order(specs):
-        if spec.resolve_only:
-            continue
-        rows = scan(env, spec, (fields or {}).get(spec.name, ()), default_exclude)
-        resolved = order_columns(resolve_references(rows, spec, maps), spec.key)
-        tier = tiers[spec.name][0]
-        if writer.add(resolved, spec, named, tier) and spec.key:
-            for col, pairs in self_ref_pass2(rows, spec, maps[spec.name]).items():
-                writer.add(pairs, spec, named, tier, f"_pass2_{col}", True, "load after the table itself")
-    return writer.finish()
+        if not spec.resolve_only:
+            rows = scan(env, spec, (fields or {}).get(spec.name, ()), default_exclude)
+            parts += resolved_parts(rows, spec, tiers[spec.name][0], maps)
+    return write_bundle(path, fmt, "full", parts, by_name(specs))
 
 
 def read_bundle_table(spark: SparkSession, bundle: Bundle, path: str, spec: TableSpec,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from tabsync.operators import load as write
 from tabsync.operators.log import LOG_SCHEMA, load_summary
 from tabsync.plans.export import Bundle, read_bundle_table
 from tabsync.spec import Env, FieldMeta, TableSpec, by_name
-from tabsync.storage import materialise, materialise_counted
+from tabsync.storage import materialise, materialise_counted, side_by_side, small_frame
 
 #: Adds an ``errors`` array to the rows of a table that the target would refuse.
 Checker = Callable[[DataFrame, TableSpec, int], DataFrame]
@@ -49,14 +50,29 @@ def load(target: Env, bundle: Bundle, specs: Sequence[TableSpec], on_error: str
          retries: int = 2, id_pattern: str | None = None) -> LoadResult:
     """Load a bundle tier by tier.
 
-    Tables of later tiers join the crosswalks that earlier ones produced, so the tables come one
-    after the other; each is written once as a new version. ``on_error="stop"`` ends the load
-    after a table with rejected rows, ``"continue"`` goes on.
+    Tiers come one after the other, because later ones join the crosswalks that earlier ones
+    produced; the tables of a tier are loaded side by side, each into a new version. With
+    ``on_error="stop"`` nothing after a table with rejected rows takes effect, ``"continue"`` goes on.
     """
     run = _Run(target, bundle, by_name(specs), mask, fields or {}, checker, retries, id_pattern)
     return run.all(on_error)
 
 
+@dataclass
+class _Outcome:
+    """What loading one folder came to, before it is made current."""
+
+    spec: TableSpec
+    line: tuple | None = None
+    env: DataFrame | None = None
+    done: DataFrame | None = None
+    rejected: DataFrame | None = None
+    held: DataFrame | None = None
+    stripped: Sequence[str] = ()
+    first_pass: bool = True
+    matched: DataFrame | None = None
+
+
 class _Run:
     def __init__(self, target, bundle, specs, mask, fields, checker, retries, id_pattern):
         self.spark = next(iter(target.values())).sparkSession
@@ -79,15 +95,13 @@ class _Run:
             if spec.active_col and name in self.env:
                 self.env[name], ids = write.deactivate(self.env[name], spec.active_col, spec.id_col)
                 active[name] = materialise(ids, f"active-{name}") if ids is not None else None
-        for entry, rows in self.bundle.entries:
-            _, _, order, path, name, _, _, pass2, _ = entry
-            try:
-                failed = self.table(self.specs[name], order, path, pass2)
-            except PySparkException:
-                if on_error == "stop":
-                    raise
-                failed = True
-                self.lines.append((order, name, self.specs[name].key, rows, 0, rows, "failed"))
+        for step in self.steps():
+            done = side_by_side(self.spark, [partial(self.attempt, entry, rows, on_error) for entry, rows in step])
+            failed = False
+            for outcome in done:
+                failed = self.accept(outcome)
+                if failed and on_error == "stop":
+                    break
             if failed and on_error == "stop":
                 break
         for name, held in self.deferred.items():
@@ -99,25 +113,68 @@ class _Run:
             spec = self.specs[name]
             self.env[name] = write.reactivate(self.env[name], ids, spec.active_col, spec.id_col)
         return LoadResult(
-            self.env, self.spark.createDataFrame(self.lines, LOG_SCHEMA),
+            self.env, small_frame(self.spark, self.lines, LOG_SCHEMA),
             {t: clean.union_results(fs) for t, fs in self.loaded.items()},
             {t: clean.union_results(fs) for t, fs in self.rejected.items()},
             self.xwalk, self.key_xwalk, self.stripped)
 
-    def table(self, spec: TableSpec, order: int, path: str, pass2: bool) -> bool:
-        """Load one folder of the bundle; True when rows were rejected."""
+    def steps(self) -> list[list[tuple[tuple, int]]]:
+        """Entries that may be loaded at the same time: the tables of a tier, then its second passes."""
+        groups: dict[tuple, list] = {}
+        for entry, rows in self.bundle.entries:
+            _, tier, order, _, _, _, _, pass2, _ = entry
+            groups.setdefault((tier, order if pass2 else 0), []).append((entry, rows))
+        return [groups[k] for k in sorted(groups)]
+
+    def attempt(self, entry: tuple, rows: int, on_error: str) -> _Outcome:
+        _, _, order, path, name, _, _, pass2, _ = entry
+        spec = self.specs[name]
+        try:
+            return self.table(spec, order, path, pass2)
+        except PySparkException:
+            if on_error == "stop":
+                raise
+            return _Outcome(spec, (order, name, spec.key, rows, 0, rows, "failed"))
+
+    def accept(self, o: _Outcome) -> bool:
+        """Make the result of one table current; True when rows were rejected.
+
+        A table after a failed one is never accepted in stop mode, even if it was written.
+        """
+        name = o.spec.name
+        if o.matched is not None:
+            self.xwalk = self.xwalk.unionByName(o.matched)
+            return False
+        self.lines.append(o.line)
+        if o.rejected is not None:
+            self.rejected.setdefault(name, []).append(o.rejected)
+        if o.env is not None:
+            self.env[name] = o.env
+            self.loaded.setdefault(name, []).append(o.done)
+            self.stripped.setdefault(name, []).extend(o.stripped)
+            if o.held is not None:
+                self.deferred[name] = o.held
+            if o.first_pass:
+                self.xwalk = self.xwalk.unionByName(
+                    crosswalk.id_xwalk(o.done.where(F.col("source_id").isNotNull()), name))
+                if o.spec.auto_number_key:
+                    self.key_xwalk = self.key_xwalk.unionByName(crosswalk.key_xwalk(o.done, name, o.spec.key))
+        return o.line[5] > 0 or o.line[6] == "failed"
+
+    def table(self, spec: TableSpec, order: int, path: str, pass2: bool) -> _Outcome:
+        """Load one folder of the bundle into a new version of its table."""
         rows = read_bundle_table(self.spark, self.bundle, path, spec, self.specs)
         target = self.env[spec.name]
         if spec.match_on_name:
-            self.match(rows, spec)
-            return False
+            return _Outcome(spec, matched=self.match(rows, spec))
+        held = None
         if spec.deferred and not pass2:
             rows, held = clean.defer_values(rows, spec.name, spec.key, spec.deferred[0], spec.deferred[1])
-            self.deferred[spec.name] = materialise(held, f"deferred-{spec.name}")
-        rows = self.prepare(rows, spec, target, pass2)
+            held = materialise(held, f"deferred-{spec.name}")
+        rows, stripped = self.prepare(rows, spec, target, pass2)
         judged, seen = materialise_counted(self.judge(rows, spec, 0), f"judged-{spec.name}",
                                            refused=F.count_if(F.size("errors") > 0))
-        submitted, refused = seen["rows"], seen["refused"]
+        submitted, refused, rejected = seen["rows"], seen["refused"], None
         ok, bad = self.split(judged, spec)
         if refused:
             again, bad, tally = write.retry_rejects(bad, lambda df, n: self.split(self.judge(df, spec, n), spec),
@@ -125,26 +182,20 @@ class _Run:
             if again is not None:
                 ok = clean.union_results([ok, again])
             refused = tally["failed"]
-            self.rejected.setdefault(spec.name, []).append(bad.withColumn("table", F.lit(spec.name)))
+            rejected = bad.withColumn("table", F.lit(spec.name))
         written = materialise(self.apply(target, ok, spec, pass2), f"table-{spec.name}")
-        self.env[spec.name] = write.current(written)
-        done = write.loaded_rows(written, order, spec.name, spec.id_col, spec.key)
-        self.loaded.setdefault(spec.name, []).append(done)
-        if not pass2:
-            self.xwalk = self.xwalk.unionByName(crosswalk.id_xwalk(done.where(F.col("source_id").isNotNull()), spec.name))
-            if spec.auto_number_key:
-                self.key_xwalk = self.key_xwalk.unionByName(crosswalk.key_xwalk(done, spec.name, spec.key))
-        status = "partial" if refused else "success"
-        self.lines.append((order, spec.name, spec.key, submitted, submitted - refused, refused, status))
-        return bool(refused)
+        line = (order, spec.name, spec.key, submitted, submitted - refused, refused, "partial" if refused else "success")
+        return _Outcome(spec, line, write.current(written),
+                        write.loaded_rows(written, order, spec.name, spec.id_col, spec.key),
+                        rejected, held, stripped, not pass2)
 
-    def match(self, rows: DataFrame, spec: TableSpec) -> None:
+    def match(self, rows: DataFrame, spec: TableSpec) -> DataFrame:
         found = crosswalk.match_by_name(rows, self.env[spec.name], spec.name_col, "_source_id", spec.id_col)
         pairs = found.where(F.col("target_id").isNotNull()).select(
             F.lit(spec.name).alias("table"), "source_id", "target_id")
-        self.xwalk = self.xwalk.unionByName(materialise(pairs, f"matched-{spec.name}"))
+        return materialise(pairs, f"matched-{spec.name}")
 
-    def prepare(self, rows: DataFrame, spec: TableSpec, target: DataFrame, pass2: bool) -> DataFrame:
+    def prepare(self, rows: DataFrame, spec: TableSpec, target: DataFrame, pass2: bool) -> tuple[DataFrame, list[str]]:
         """Source rows in the shape the target takes; the order of the steps matters."""
         if spec.id_col != spec.key:
             rows = rows.drop(spec.id_col)
@@ -155,7 +206,6 @@ class _Run:
             FieldMeta(spec.name, f.name, "reference" if f.name in {r.col for r in spec.refs} else f.dataType.simpleString(),
                       nullable=True) for f in target.schema.fields]
         rows, gone = clean.strip_columns(rows, metas, spec, resolved)
-        self.stripped.setdefault(spec.name, []).extend(gone)
         order = [c for c in spec.order_cols if c in rows.columns] or \
             ["_source_id" if "_source_id" in rows.columns else spec.key]
         if spec.auto_number_key:
@@ -166,7 +216,7 @@ class _Run:
             rows = clean.dedupe_keep_last(rows, spec.key, order, spec.id_col)
         if self.mask and not pass2:
             rows, _ = clean.mask_emails(rows, metas)
-        return write.conform(rows, target.schema)
+        return write.conform(rows, target.schema), gone
 
     def judge(self, rows: DataFrame, spec: TableSpec, attempt: int) -> DataFrame:
         """Rows with foreign keys filled in and ``errors`` for what the target would refuse."""

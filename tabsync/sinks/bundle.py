@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tabsync.functions import csv_boolean
 from tabsync.sources.csv import read_csv
 from tabsync.spec import TableSpec
+from tabsync.storage import small_frame
 
 MANIFEST_SCHEMA = ("mode string, tier int, order int, path string, table string, key_field string, "
                    "rows bigint, operation string, pass2 boolean, notes string")
@@ -73,10 +74,10 @@ def build_manifest(spark: SparkSession, exports: Sequence[tuple[tuple, DataFrame
         if isinstance(rows, DataFrame):
             counted = rows.agg(F.count(F.lit(1)).alias("rows"))
         else:
-            counted = spark.createDataFrame([(rows,)], "rows bigint")
+            counted = small_frame(spark, [(rows,)], "rows bigint")
         parts.append(counted.select(*[F.col("rows") if n == "rows" else F.lit(values[n]).cast(kinds[n]).alias(n)
                                       for n in names]))
-    return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], MANIFEST_SCHEMA)
+    return reduce(DataFrame.union, parts) if parts else small_frame(spark, [], MANIFEST_SCHEMA)
 
 
 def write_diff(rows: DataFrame, path: str, fmt: str = "json") -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsync.spec import Env, FieldMeta, TableSpec
+from tabsync.storage import small_frame
 
 # Technical tables by the ending of their name.
 TECHNICAL_SUFFIXES = ("__History", "__Tag", "__Share", "__Feed", "__ChangeEvent")
@@ -41,7 +42,7 @@ def row_counts(env: Env, tables: Sequence[TableSpec | str]) -> DataFrame:
                       .select(F.lit(spec.name).alias("table"), "records"))
     if failed:
         spark = next(iter(env.values())).sparkSession if env else SparkSession.getActiveSession()
-        counts.append(spark.createDataFrame([(t, -1) for t in failed], "table string, records bigint"))
+        counts.append(small_frame(spark, [(t, -1) for t in failed], "table string, records bigint"))
     return reduce(DataFrame.unionByName, counts)
 
 
@@ -63,7 +64,7 @@ def column_inventory(spark: SparkSession, env: Env, specs: Sequence[TableSpec] =
             rows.append((table, meta.name, meta.type, list(meta.reference_to), meta.relationship,
                          meta.is_key, meta.nullable, meta.createable, meta.updateable, meta.calculated,
                          meta.auto_number, meta.defaulted, meta.length))
-    return spark.createDataFrame(rows, FIELDS_SCHEMA)
+    return small_frame(spark, rows, FIELDS_SCHEMA)
 
 
 def discover_tables(env: Env, prefixes: Sequence[str] = (), min_records: int = 0,

@@ -9,10 +9,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 _local_dirs: dict[str, str] = {}
 
@@ -52,6 +57,27 @@ def materialise_counted(df: DataFrame, label: str = "frame",
     return out, {n: int(v or 0) for n, v in seen.get.items()}
 
 
+def small_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
+    """Frame over a few facts known to the driver, with a known size (so that joins can tell)."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    table = pa.Table.from_arrays([pa.array([r[i] for r in rows], to_arrow_type(f.dataType))
+                                  for i, f in enumerate(kind.fields)], names=kind.names)
+    return spark.createDataFrame(table, schema=kind)
+
+
+def side_by_side(spark: SparkSession, work: Iterable[Callable[[], object]], threads: int = 4) -> list:
+    """Run independent pieces of work whose Spark jobs may share the cluster; results in order.
+
+    The first failure is raised after the others have ended.
+    """
+    jobs = [inheritable_thread_target(spark)(w) for w in work]
+    if len(jobs) < 2 or threads < 2:
+        return [j() for j in jobs]
+    with ThreadPoolExecutor(threads) as pool:
+        futures = [pool.submit(j) for j in jobs]
+    return [f.result() for f in futures]
+
+
 def plan_size(df: DataFrame) -> int:
     """The optimizer's size estimate in bytes."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
