@@ -191,8 +191,8 @@ def diff_by_fingerprint(src: DataFrame, tgt: DataFrame, spec: TableSpec, cols: S
 
 def extract_delta(src: DataFrame, rows: DataFrame, id_col: str) -> DataFrame:
     """Source rows that are new or modified, found by their own id."""
-    wanted = rows.where(F.col("status").isin("new", "modified")).select("source_id")
-    return src.join(wanted, F.col(id_col).cast("string") == F.col("source_id"), "left_semi")
+    wanted = rows.where(F.col("status").isin("new", "modified")).select(F.col("source_id").alias("_wanted"))
+    return src.join(wanted, F.col(id_col).cast("string") == F.col("_wanted"), "left_semi")
 
 
 @dataclass(frozen=True)

@@ -56,9 +56,10 @@ def dependency_tiers(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100_0
     for level in range(max_rounds):
         if left == 0:
             break
-        free = (live.select("parent").distinct()
-                .join(live.select(F.col("child").alias("parent")).distinct(), "parent", "left_anti")
-                .withColumn("free", F.lit(True)))
+        ends = live.select(F.col("parent").alias("node"), F.lit(False).alias("waits")).union(
+            live.select("child", F.lit(True)))
+        free = (ends.groupBy("node").agg(F.max("waits").alias("waits")).where(~F.col("waits"))
+                .select(F.col("node").alias("parent"), F.lit(True).alias("free")))
         split, seen = materialise_counted(
             live.join(free, "parent", "left").select("child", "parent", F.col("free").isNotNull().alias("free")),
             f"peel{level}", freed=F.count_if("free"))

@@ -67,14 +67,14 @@ def resolve_references(df: DataFrame, spec: TableSpec, maps: Mapping[str, DataFr
 
 def _joint_lookup(df: DataFrame, id_col: str, lookups: list[tuple[str, DataFrame, str]]) -> DataFrame:
     """Resolve several columns in one join on (column number, value)."""
-    values = F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).cast("string").alias("value"))
+    values = F.array(*[F.struct(F.lit(i).alias("_slot"), F.col(c).cast("string").alias("_value"))
                        for i, (c, _, _) in enumerate(lookups)])
-    narrow = (df.select(id_col, F.explode(values).alias("v")).select(id_col, "v.slot", "v.value")
-              .where(F.col("value").isNotNull()))
-    pairs = reduce(DataFrame.union, [m.select(F.lit(i).alias("slot"), F.col("id").cast("string").alias("value"),
-                                              "key") for i, (_, m, _) in enumerate(lookups)])
-    found = (narrow.join(pairs, ["slot", "value"]).groupBy(id_col)
-             .agg(*[F.max(F.when(F.col("slot") == i, F.col("key"))).alias(name)
+    narrow = (df.select(id_col, F.explode(values).alias("_v")).select(id_col, "_v._slot", "_v._value")
+              .where(F.col("_value").isNotNull()))
+    pairs = reduce(DataFrame.union, [m.select(F.lit(i).alias("_slot"), F.col("id").cast("string").alias("_value"),
+                                              F.col("key").alias("_key")) for i, (_, m, _) in enumerate(lookups)])
+    found = (narrow.join(pairs, ["_slot", "_value"]).groupBy(id_col)
+             .agg(*[F.max(F.when(F.col("_slot") == i, F.col("_key"))).alias(name)
                     for i, (_, _, name) in enumerate(lookups)]))
     return df.join(found, id_col, "left")
 

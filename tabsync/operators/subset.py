@@ -34,23 +34,25 @@ def _edges(specs: Sequence[TableSpec]) -> list[tuple[str, str, str]]:
     return [(s.name, r.col, p) for s in specs for r in s.parent_refs for p in r.to if p in scope]
 
 
+def _among(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``col`` is a selected id; tables may well have a column of the name ``id``."""
+    return df.join(ids.select(F.col("id").alias("_selected")), F.col(col) == F.col("_selected"), "left_semi")
+
+
 def _children(env: Env, spec: TableSpec, links: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """Ids of the rows that refer to a selected parent through any of ``links``."""
     df = env[spec.name]
     if spec.filter:
         df = df.where(spec.filter)
-    found = [df.join(ids, F.col(fk) == F.col("id"), "left_semi").select(F.col(spec.id_col).alias("_i"))
-             for fk, ids in links]
-    return reduce(DataFrame.union, found).select(F.col("_i").alias("id")).distinct()
+    found = [_among(df, fk, ids).select(F.col(spec.id_col).alias("id")) for fk, ids in links]
+    return reduce(DataFrame.union, found).distinct()
 
 
 def _parents(env: Env, specs: Mapping[str, TableSpec], links: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
     """Distinct values of the given foreign keys in the selected rows of the referring tables."""
-    found = [env[child].select(F.col(specs[child].id_col).alias("_i"), F.col(fk).alias("_p"))
-             .where(F.col("_p").isNotNull())
-             .join(ids, F.col("_i") == F.col("id"), "left_semi").select("_p")
+    found = [_among(env[child].where(F.col(fk).isNotNull()), specs[child].id_col, ids).select(F.col(fk).alias("id"))
              for child, fk, ids in links]
-    return reduce(DataFrame.union, found).select(F.col("_p").alias("id")).distinct()
+    return reduce(DataFrame.union, found).distinct()
 
 
 def walk_down(env: Env, specs: Sequence[TableSpec], selected: Selection) -> Selection:
@@ -131,8 +133,7 @@ def subset(env: Env, specs: Sequence[TableSpec], root: str, values: Sequence | D
         if spec.resolve_only:
             out[spec.name] = env[spec.name]
         elif spec.name in chosen:
-            out[spec.name] = env[spec.name].join(
-                chosen[spec.name], F.col(spec.id_col) == F.col("id"), "left_semi")
+            out[spec.name] = _among(env[spec.name], spec.id_col, chosen[spec.name])
     return out
 
 
@@ -151,8 +152,7 @@ def portable_keys(env: Env, specs: Sequence[TableSpec], root: str, values: Seque
         key = spec.key if spec.key and not spec.auto_number_key and spec.name != root else None
         columns = list(dict.fromkeys(c for c in (key, spec.name_col, spec.id_col) if c))
         rows, seen = materialise_counted(
-            env[spec.name].select(*dict.fromkeys([spec.id_col, *columns]))
-            .join(chosen[spec.name], F.col(spec.id_col) == F.col("id"), "left_semi"),
+            _among(env[spec.name].select(*columns), spec.id_col, chosen[spec.name]),
             f"portable-{spec.name}", **{f"n{i}": F.count_if(has_key(c)) for i, c in enumerate(columns)})
         best = next(c for i, c in enumerate(columns) if seen[f"n{i}"] or c == spec.id_col)
         out[spec.name] = (best, rows.select(best).where(has_key(best)).distinct())
