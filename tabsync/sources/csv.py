@@ -15,4 +15,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     """
     reader = (spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"')
               .option("escape", '"').option("mode", "PERMISSIVE").option("encoding", "UTF-8"))
+    if multi_line:
+        reader = reader.option("lineSep", "\r\n")  # without it, CRLF inside quotes would turn into LF
     return (reader.schema(schema) if schema is not None else reader).csv(path)
