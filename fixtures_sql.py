@@ -39,6 +39,12 @@ FIXTURES = {
         SELECT event_id, ts, user_id, event_type, value, props FROM {events} WHERE event_id % 10 <> 0
         UNION ALL
         SELECT event_id + 100000000, ts, user_id, event_type, value, props FROM {events} WHERE event_id % 25 = 0""",
+    # Edited at the very end of the text, relabelled, gone, new; an empty label equals no label.
+    "documents_tgt": """
+        SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN text || '.' ELSE text END AS text,
+               CASE WHEN doc_id % 9 = 0 THEN 'xx' ELSE lang END AS lang, source, n_chars
+        FROM {documents} WHERE doc_id % 11 <> 0
+        UNION ALL SELECT doc_id + 100000000, text, lang, source, n_chars FROM {documents} WHERE doc_id % 13 = 0""",
     # Keys that are empty, null or padded.
     "customer_keys": """
         SELECT c_custkey, CASE WHEN c_custkey % 17 = 0 THEN '' WHEN c_custkey % 19 = 0 THEN NULL

@@ -76,6 +76,12 @@ ORACLES = {
     "diff_by_key": f"""SELECT 'orders' AS "table", status, 'key' AS strategy, CAST(k AS STRING) AS key,
         CAST(sk AS STRING) AS source_id, CAST(tk AS STRING) AS target_id FROM ({_orders_diff()})""",
 
+    "diff_documents": """SELECT 'documents' AS "table", CASE WHEN t.doc_id IS NULL THEN 'new' WHEN s.doc_id IS NULL THEN 'deleted'
+            WHEN s.text IS DISTINCT FROM t.text OR coalesce(s.lang, '') <> coalesce(t.lang, '') OR s.source IS DISTINCT FROM t.source
+              OR s.n_chars IS DISTINCT FROM t.n_chars THEN 'modified' ELSE 'identical' END AS status, 'key' AS strategy,
+            CAST(coalesce(s.doc_id, t.doc_id) AS STRING) AS key, CAST(s.doc_id AS STRING) AS source_id, CAST(t.doc_id AS STRING) AS target_id
+        FROM {documents} s FULL JOIN {documents_tgt} t ON s.doc_id = t.doc_id""",
+
     "diff_changes": """WITH j AS (SELECT CAST(s.o_orderkey AS STRING) AS key, s.o_orderstatus AS s1, t.o_orderstatus AS t1,
             s.o_totalprice AS s2, t.o_totalprice AS t2 FROM {orders_money} s JOIN {orders_tgt_money} t USING (o_orderkey))
         SELECT 'orders' AS "table", key, 'o_orderstatus' AS field, s1 AS source_value, t1 AS target_value
@@ -103,9 +109,9 @@ ORACLES = {
         CAST(sum(identical) AS BIGINT) AS identical, CAST(sum(new) AS BIGINT) AS new, CAST(sum(deleted) AS BIGINT) AS deleted
         FROM ({_event_counts()})""",
     "diff_fingerprint_rows": """WITH s AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type
-            ORDER BY substr(md5(CAST(event_id AS STRING)), 1, 2), event_id) AS rn FROM {events}),
+            ORDER BY substr(md5(CAST(event_id AS STRING)), 1, 4), event_id) AS rn FROM {events}),
         t AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type
-            ORDER BY substr(md5(CAST(event_id AS STRING)), 1, 2), event_id) AS rn FROM {events_tgt})
+            ORDER BY substr(md5(CAST(event_id AS STRING)), 1, 4), event_id) AS rn FROM {events_tgt})
         SELECT CASE WHEN t.event_id IS NULL THEN 'new' WHEN s.event_id IS NULL THEN 'deleted' ELSE 'identical' END AS status,
             CAST(s.event_id AS STRING) AS source_id, CAST(t.event_id AS STRING) AS target_id
         FROM s FULL JOIN t ON s.user_id = t.user_id AND s.event_type = t.event_type AND s.rn = t.rn""",

@@ -62,6 +62,13 @@ def diff_by_key(spark, d):
     return diff.diff_by_key(table(spark, d, "orders"), table(spark, d, "orders_tgt"), ORDERS).drop("name")
 
 
+@query
+def diff_documents(spark, d):
+    """Long texts, compared whole by hash."""
+    spec = TableSpec("documents", "doc_id", "doc_id")
+    return diff.diff_by_key(table(spark, d, "documents"), table(spark, d, "documents_tgt"), spec, digest=True).drop("name")
+
+
 @query
 def diff_changes(spark, d):
     joined = diff.join_snapshots(table(spark, d, "orders_money"), table(spark, d, "orders_tgt_money"), ORDERS)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabsync.functions import has_key, is_blank, looks_like_id
 from tabsync.functions.text import ID_PATTERN
 from tabsync.operators.clean import last_per_key
+from tabsync.operators.lookup import Lookup, look_up
 from tabsync.spec import Ref, TableSpec
 from tabsync.storage import null_safe_join, small_frame
 
@@ -17,17 +18,17 @@ XWALK_SCHEMA = "table string, source_id string, target_id string"
 KEY_XWALK_SCHEMA = "table string, key_field string, source_key string, target_key string"
 
 
-def rewrite_keys(df: DataFrame, spec: TableSpec, key_xwalk: DataFrame) -> DataFrame:
+def _pairs(xwalk: DataFrame, ref: Ref, kind: str) -> DataFrame:
+    return xwalk.where(F.col("table").isin(*ref.to)).select(f"source_{kind}", f"target_{kind}")
+
+
+def rewrite_keys(df: DataFrame, spec: TableSpec, key_xwalk: DataFrame, row_id: str | None = "_source_id") -> DataFrame:
     """Translate relationship keys; a key that was not renumbered stays as it is."""
-    for ref in spec.refs:
-        if ref.key_col not in df.columns:
-            continue
-        pairs = (key_xwalk.where(F.col("table").isin(*ref.to))
-                 .select(F.col("source_key").alias("_from"), F.col("target_key").alias("_to")))
-        columns = df.columns
-        df = df.join(pairs, F.col(ref.key_col) == F.col("_from"), "left").select(*[
-            F.coalesce(F.col("_to"), F.col(c)).alias(c) if c == ref.key_col else F.col(c) for c in columns])
-    return df
+    refs = {r.key_col: r for r in spec.refs if r.key_col in df.columns}
+    if not refs:
+        return df
+    found = look_up(df, [Lookup(F.col(c), _pairs(key_xwalk, r, "key"), f"_new_{c}") for c, r in refs.items()], row_id)
+    return found.select(*[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in refs else F.col(c) for c in df.columns])
 
 
 def _raw_refs(df: DataFrame, spec: TableSpec) -> list[Ref]:
@@ -41,21 +42,19 @@ def _pending(df: DataFrame, ref: Ref, pattern: str | None):
 
 
 def resolve_raw_refs(df: DataFrame, spec: TableSpec, xwalk: DataFrame,
-                     pattern: str | None = ID_PATTERN) -> DataFrame:
+                     pattern: str | None = ID_PATTERN, row_id: str | None = "_source_id") -> DataFrame:
     """Replace source ids by target ids; an id-shaped value without a hit becomes null.
 
     ``pattern=None`` takes every value for an id, which suits numeric ids.
     """
-    for ref in _raw_refs(df, spec):
-        pairs = (xwalk.where(F.col("table").isin(*ref.to))
-                 .select(F.col("source_id").alias("_from"), F.col("target_id").alias("_to")))
-        columns, kind = df.columns, df.schema[ref.col].dataType
-        pending = _pending(df, ref, pattern)
-        looked_up = F.when(pending, F.col(ref.col).cast("string"))
-        df = df.join(pairs, looked_up == F.col("_from"), "left").select(*[
-            F.when(pending, F.col("_to").cast(kind)).otherwise(F.col(c)).alias(c) if c == ref.col
-            else F.col(c) for c in columns])
-    return df
+    pending = {r.col: _pending(df, r, pattern) for r in _raw_refs(df, spec)}
+    if not pending:
+        return df
+    found = look_up(df, [Lookup(F.when(pending[r.col], F.col(r.col)), _pairs(xwalk, r, "id"), f"_new_{r.col}")
+                         for r in _raw_refs(df, spec)], row_id)
+    return found.select(*[
+        F.when(pending[c], F.col(f"_new_{c}").cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+        if c in pending else F.col(c) for c in df.columns])
 
 
 def resolved_columns(before: DataFrame, spec: TableSpec, xwalk: DataFrame,

@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabsync.functions import change_list, comparable, differs, display_name, fingerprint_label, has_key
 from tabsync.operators.clean import last_per_key
@@ -20,6 +21,9 @@ SYSTEM_COLUMNS = frozenset({"Id", "IsDeleted", "CreatedDate", "CreatedById", "La
                             "LastModifiedById", "SystemModstamp", "OwnerId", "attributes"})
 NAME_COLUMNS = ("Name", "SBQQ__RuleName__c", "DeveloperName")
 
+#: More compared columns than this make a row wide.
+WIDE = 8
+
 COUNTERS = ("source", "target", "new", "modified", "deleted", "identical", "duplicate_keys", "blank_keys")
 
 
@@ -36,16 +40,23 @@ def _names(df: DataFrame, spec: TableSpec) -> list[str]:
     return [c for c in wanted if c in df.columns]
 
 
-def _side(df: DataFrame, spec: TableSpec, cols: Sequence[str], label: str, as_text: bool) -> DataFrame:
+def _side(df: DataFrame, spec: TableSpec, content: Column, label: str, as_text: bool) -> DataFrame:
     """One row per usable key, packed into a struct named ``label``; the last row of a key wins.
 
-    The key gets its final type first, so that the join can use the partitioning of the reduction.
+    The key gets its final type first, so that the join can use the partitioning of the reduction,
+    and only what the comparison needs is kept.
     """
     key = F.col(spec.key).cast("string") if as_text else F.col(spec.key)
-    keyed = df.where(has_key(spec.key, df)).withColumn("_key", key)
-    return last_per_key(keyed, "_key", spec.ordering()).select(F.col("_key").alias("key"), F.struct(
-        F.col(spec.id_col).cast("string").alias("id"), display_name(_names(df, spec)).alias("name"),
-        F.struct(*[F.col(c) for c in cols]).alias("v") if cols else F.lit(True).alias("v")).alias(label))
+    keyed = df.where(has_key(spec.key, df)).select(
+        key.alias("_key"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(spec.ordering())],
+        F.col(spec.id_col).cast("string").alias("_id"), display_name(_names(df, spec)).alias("_name"), content.alias("_v"))
+    return last_per_key(keyed, "_key", [f"_o{i}" for i in range(len(spec.ordering()))]).select(
+        F.col("_key").alias("key"),
+        F.struct(F.col("_id").alias("id"), F.col("_name").alias("name"), F.col("_v").alias("v")).alias(label))
+
+
+def _contents(df: DataFrame, cols: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c) for c in cols]) if cols else F.lit(True)
 
 
 def join_snapshots(src: DataFrame, tgt: DataFrame, spec: TableSpec, cols: Sequence[str] | None = None) -> DataFrame:
@@ -55,21 +66,36 @@ def join_snapshots(src: DataFrame, tgt: DataFrame, spec: TableSpec, cols: Sequen
     needs no further shuffle because the reduction is already partitioned by key.
     """
     cols = compare_columns(src, tgt, spec) if cols is None else list(cols)
-    needed = lambda df: list(dict.fromkeys(
-        [spec.id_col, spec.key, *spec.ordering(), *_names(df, spec), *cols]))
-    as_text = src.schema[spec.key].dataType != tgt.schema[spec.key].dataType
-    s = _side(src.select(*needed(src)), spec, cols, "s", as_text)
-    t = _side(tgt.select(*needed(tgt)), spec, cols, "t", as_text)
     changed = F.lit(False)
     for c in cols:
         changed = changed | differs(F.col(f"s.v.{c}"), F.col(f"t.v.{c}"),
                                     src.schema[c].dataType, tgt.schema[c].dataType)
+    return _meet(src, tgt, spec, _contents(src, cols), _contents(tgt, cols), changed)
+
+
+def _meet(src: DataFrame, tgt: DataFrame, spec: TableSpec, source: Column, target: Column, changed: Column) -> DataFrame:
+    as_text = src.schema[spec.key].dataType != tgt.schema[spec.key].dataType
+    joined = _side(src, spec, source, "s", as_text).join(_side(tgt, spec, target, "t", as_text), "key", "full")
     status = (F.when(F.col("t").isNull(), "new").when(F.col("s").isNull(), "deleted")
               .when(changed, "modified").otherwise("identical"))
-    joined = s.join(t, "key", "full")
     return joined.select(F.col("key").cast("string").alias("key"), "s", "t", status.alias("status"))
 
 
+def join_digests(src: DataFrame, tgt: DataFrame, spec: TableSpec, cols: Sequence[str]) -> DataFrame:
+    """Like :func:`join_snapshots`, but rows travel as a hash of their content.
+
+    Tells that a row changed, not how. Both sides must have the same column types.
+    """
+    changed = F.col("s.v") != F.col("t.v")
+    return _meet(src, tgt, spec, fingerprint_label(src, cols), fingerprint_label(tgt, cols), changed)
+
+
+def _digestible(src: DataFrame, tgt: DataFrame, cols: Sequence[str]) -> bool:
+    plain = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return bool(cols) and all(src.schema[c].dataType == tgt.schema[c].dataType
+                              and isinstance(src.schema[c].dataType, plain) for c in cols)
+
+
 def diff_rows(joined: DataFrame, table: str) -> DataFrame:
     """(table, status, strategy, key, source_id, target_id, name)."""
     return joined.select(F.lit(table).alias("table"), "status", F.lit("key").alias("strategy"), "key",
@@ -77,10 +103,28 @@ def diff_rows(joined: DataFrame, table: str) -> DataFrame:
                          F.coalesce("s.name", "t.name").alias("name"))
 
 
-def diff_by_key(src: DataFrame, tgt: DataFrame, spec: TableSpec, cols: Sequence[str] | None = None) -> DataFrame:
+def diff_by_key(src: DataFrame, tgt: DataFrame, spec: TableSpec, cols: Sequence[str] | None = None,
+                digest: bool | None = None) -> DataFrame:
+    """Status of every key. Wide contents (see ``WIDE``, or on request) are compared by hash, so
+    that a row costs a key and 64 characters in the shuffle however long it is."""
+    cols = compare_columns(src, tgt, spec) if cols is None else list(cols)
+    digest = len(cols) > WIDE if digest is None else digest
+    if digest and _digestible(src, tgt, cols):
+        return diff_rows(join_digests(src, tgt, spec, cols), spec.name)
     return diff_rows(join_snapshots(src, tgt, spec, cols), spec.name)
 
 
+def changes_of(rows: DataFrame, src: DataFrame, tgt: DataFrame, spec: TableSpec) -> DataFrame:
+    """Changed fields of the rows that a diff found modified; only those rows are joined again."""
+    modified = rows.where(F.col("status") == "modified")
+
+    def only(df: DataFrame, side: str) -> DataFrame:
+        ids = modified.select(F.col(side).alias("_wanted"))
+        return df.join(ids, F.col(spec.id_col).cast("string") == F.col("_wanted"), "left_semi")
+
+    return diff_changes(join_snapshots(only(src, "source_id"), only(tgt, "target_id"), spec), spec.name)
+
+
 def diff_changes(joined: DataFrame, table: str) -> DataFrame:
     """(table, key, field, source_value, target_value), one row per changed field."""
     source_kinds = {f.name: f.dataType for f in joined.schema["s"].dataType["v"].dataType.fields}
@@ -153,13 +197,13 @@ def surplus(src: DataFrame, tgt: DataFrame, cols: Sequence[str]) -> DataFrame:
                          F.abs(F.col("source") - F.col("target")).alias("copies"))
 
 
-def rank_in_group(df: DataFrame, group: str, order_col: str, name: str = "rank") -> DataFrame:
+def rank_in_group(df: DataFrame, group: str, order_col: str, name: str = "rank", digits: int = 4) -> DataFrame:
     """Number from 1 of a row among the rows of its group, for groups of any size.
 
-    Rows are ordered by (two hex digits of a hash, order column). Only rows that share group and
-    digits meet in one window, and the smaller buckets' sizes are added on top.
+    Rows are ordered by (some hex digits of a hash, order column). Only rows that share group and
+    digits meet in one window, and the sizes of the group's earlier buckets are added on top.
     """
-    df = df.withColumn("_b", F.substring(F.md5(F.col(order_col).cast("string")), 1, 2))
+    df = df.withColumn("_b", F.substring(F.md5(F.col(order_col).cast("string")), 1, digits))
     inside = Window.partitionBy(group, "_b").orderBy(order_col)
     before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (df.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -212,7 +256,7 @@ def diff_all(src_env: Env, tgt_env: Env, specs: Sequence[TableSpec],
     Tables with an automatically numbered key are compared by content. With ``keep`` the diff rows
     of a table are written once, so that summary and delta do not repeat the join.
     """
-    rows, changes, lines, names, sides = [], [], [], [], []
+    rows, names, sides = [], [], []
     for spec in specs:
         if not spec.key or spec.resolve_only or spec.name not in src_env or spec.name not in tgt_env:
             continue
@@ -221,10 +265,7 @@ def diff_all(src_env: Env, tgt_env: Env, specs: Sequence[TableSpec],
         if spec.auto_number_key:
             found = diff_by_fingerprint(src, tgt, spec)
         else:
-            joined = join_snapshots(src, tgt, spec)
-            found = diff_rows(joined, spec.name)
-            if compare_columns(src, tgt, spec):
-                changes.append(diff_changes(joined, spec.name))
+            found = diff_by_key(src, tgt, spec)
         rows.append(found)
         sides.append((src, tgt, spec))
         names.append(spec.name)
@@ -234,6 +275,8 @@ def diff_all(src_env: Env, tgt_env: Env, specs: Sequence[TableSpec],
     if keep:
         rows = side_by_side(spark, [partial(materialise, r, f"diff-{n}") for r, n in zip(rows, names)])
     lines = [diff_summary(r, *side) for r, side in zip(rows, sides)]
+    changes = [changes_of(r, src, tgt, spec) for r, (src, tgt, spec) in zip(rows, sides)
+               if not spec.auto_number_key and compare_columns(src, tgt, spec)]
     if not changes:
         changes = [small_frame(spark, [], "table string, key string, field string, "
                                              "source_value string, target_value string")]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tabsync.functions import has_key, not_blank
 from tabsync.operators.clean import (RETRYABLE_PATTERNS, classify_rejects, last_per_key,
                                      route_by_membership, split_by_key, union_results)
+from tabsync.operators.lookup import Lookup, look_up
 from tabsync.spec import Env, TableSpec
 from tabsync.storage import materialise_counted, number_rows
 
@@ -168,29 +169,28 @@ def bind_parents(df: DataFrame, spec: TableSpec, target: Env, specs: Mapping[str
     ``_unbound`` lists relationship keys that no parent has. A relationship with several parent
     tables takes the first that knows the key.
     """
-    misses = []
-    for ref in spec.refs:
-        if ref.key_col not in df.columns:
-            continue
-        found = []
-        for i, name in enumerate(ref.to):
+    refs = [r for r in spec.refs if r.key_col in df.columns]
+    lookups, hits = [], {r.col: [] for r in refs}
+    for ref in refs:
+        for name in ref.to:
             parent = specs.get(name)
             if parent is None or not parent.key or name not in target:
                 continue
-            held = last_per_key(target[name].where(has_key(parent.key, target[name]))
-                                .select(F.col(parent.key).cast("string").alias("_k"), F.col(parent.id_col).alias(f"_p{i}")),
-                                "_k", (f"_p{i}",))
-            df = df.join(held, F.col(ref.key_col) == F.col("_k"), "left").drop("_k")
-            found.append(f"_p{i}")
-        parent_id = F.coalesce(*[F.col(c) for c in found]) if found else F.lit(None).cast("string")
+            held = target[name].where(has_key(parent.key, target[name])).select(
+                F.col(parent.key).cast("string").alias("_k"), F.col(parent.id_col).alias("_p"))
+            hits[ref.col].append(f"_p{len(lookups)}")
+            lookups.append(Lookup(F.col(ref.key_col), last_per_key(held, "_k", ("_p",)), f"_p{len(lookups)}"))
+    found = look_up(df, lookups, "_source_id")
+    columns, misses = {}, []
+    for ref in refs:
+        parent_id = F.coalesce(*hits[ref.col]) if hits[ref.col] else F.lit(None).cast("string")
         kind = target[spec.name].schema[ref.col].dataType if ref.col in target[spec.name].columns else T.StringType()
         raw = F.col(ref.col).cast(kind) if ref.col in df.columns else F.lit(None).cast(kind)
         misses.append(F.when(not_blank(ref.key_col) & parent_id.isNull(), F.lit(f"UNRESOLVED_REFERENCE:{ref.col}")))
-        df = df.withColumn(ref.col, F.coalesce(parent_id.cast(kind), raw)).withColumn(
-            f"_m{len(misses) - 1}", misses[-1]).drop(*found)
-    flags = [f"_m{i}" for i in range(len(misses))]
-    unbound = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
-    return df.withColumn("_unbound", unbound).drop(*flags)
+        columns[ref.col] = F.coalesce(parent_id.cast(kind), raw)
+    unbound = F.array_compact(F.array(*misses)) if misses else F.array().cast("array<string>")
+    return found.select(*[F.col(c) for c in df.columns if c not in columns],
+                        *[v.alias(c) for c, v in columns.items()], unbound.alias("_unbound"))
 
 
 def retry_rejects(rejects: DataFrame, apply_fn: Callable[[DataFrame, int], tuple[DataFrame, DataFrame]],

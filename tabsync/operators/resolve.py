@@ -3,17 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsync.functions import has_key
+from tabsync.operators.lookup import Lookup, look_up
 from tabsync.spec import Env, Ref, TableSpec
-from tabsync.storage import broadcast_limit, plan_size
-
-#: More parents than this that must be shuffled make one joint lookup cheaper than a chain.
-MAX_WIDE_SHUFFLES = 2
 
 
 def id_map(env: Env, spec: TableSpec, filtered: bool = True) -> DataFrame:
@@ -39,44 +35,20 @@ def resolve_references(df: DataFrame, spec: TableSpec, maps: Mapping[str, DataFr
     """Add ``<relationship>__key`` for each reference and blank the ids that were resolved.
 
     A value without a hit stays in its own column. References to the table itself are dropped
-    here and come back in :func:`self_ref_pass2`. Parents small enough to be broadcast (Spark's own
-    size check) move no row of ``df``. Several large parents are looked up together on a narrow
-    (id, column, value) frame, so the wide rows move once and not once per reference.
+    here and come back in :func:`self_ref_pass2`.
     """
     df = df.drop(*[r.col for r in spec.self_references])
     refs = [r for r in spec.parent_refs if r.col in df.columns]
-    limit = broadcast_limit(df.sparkSession)
-    lookups = [(r, parent, f"_k{i}_{j}") for i, r in enumerate(refs)
-               for j, parent in enumerate(r.to) if parent in maps]
-    large = [x for x in lookups if plan_size(maps[x[1]]) > limit]
-    joint = large if len(large) > MAX_WIDE_SHUFFLES and spec.id_col in df.columns else []
-    if joint:
-        df = _joint_lookup(df, spec.id_col, [(r.col, maps[p], name) for r, p, name in joint])
-    for ref, parent, name in lookups:
-        if name not in df.columns:
-            pairs = maps[parent].select(F.col("id").alias("_id"), F.col("key").alias(name))
-            df = df.join(pairs, F.col(ref.col) == F.col("_id"), "left").drop("_id")
-    found = {r: F.coalesce(*[F.col(n) for q, _, n in lookups if q is r]) for r in refs
-             if any(q is r for q, _, _ in lookups)}
-    keyed = {r.col: F.when(found[r].isNull(), F.col(r.col)).alias(r.col) for r in found}
-    plain = [keyed.get(c, F.col(c)) for c in df.columns if c not in {n for _, _, n in lookups}]
-    keys = [(found[r] if r in found else F.lit(None).cast("string")).alias(r.key_col) for r in refs]
-    source = [F.col(spec.id_col).alias("_source_id")] if keep_source_id and spec.id_col in df.columns else []
-    return df.select(*plain, *keys, *source)
-
-
-def _joint_lookup(df: DataFrame, id_col: str, lookups: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """Resolve several columns in one join on (column number, value)."""
-    values = F.array(*[F.struct(F.lit(i).alias("_slot"), F.col(c).cast("string").alias("_value"))
-                       for i, (c, _, _) in enumerate(lookups)])
-    narrow = (df.select(id_col, F.explode(values).alias("_v")).select(id_col, "_v._slot", "_v._value")
-              .where(F.col("_value").isNotNull()))
-    pairs = reduce(DataFrame.union, [m.select(F.lit(i).alias("_slot"), F.col("id").cast("string").alias("_value"),
-                                              F.col("key").alias("_key")) for i, (_, m, _) in enumerate(lookups)])
-    found = (narrow.join(pairs, ["_slot", "_value"]).groupBy(id_col)
-             .agg(*[F.max(F.when(F.col("_slot") == i, F.col("_key"))).alias(name)
-                    for i, (_, _, name) in enumerate(lookups)]))
-    return df.join(found, id_col, "left")
+    columns = df.columns
+    hits = {(i, parent): f"_k{i}_{j}" for i, r in enumerate(refs) for j, parent in enumerate(r.to) if parent in maps}
+    df = look_up(df, [Lookup(F.col(refs[i].col), maps[parent], name) for (i, parent), name in hits.items()], spec.id_col)
+    found = {}
+    for i, r in enumerate(refs):
+        names = [name for (k, _), name in hits.items() if k == i]
+        found[r.col] = F.coalesce(*names) if names else F.lit(None).cast("string")
+    plain = [F.when(found[c].isNull(), F.col(c)).alias(c) if c in found else F.col(c) for c in columns]
+    source = [F.col(spec.id_col).alias("_source_id")] if keep_source_id and spec.id_col in columns else []
+    return df.select(*plain, *[found[r.col].alias(r.key_col) for r in refs], *source)
 
 
 def unresolved_references(resolved: DataFrame, spec: TableSpec) -> DataFrame:

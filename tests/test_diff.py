@@ -107,6 +107,22 @@ def test_total_line(frame):
     assert {r["table"]: r["identical"] for r in out.collect()} == {"t": 1, "u": 1, "TOTAL": 2}
 
 
+def test_digests_tell_the_same_as_values(frame, rows):
+    src = frame(SCHEMA, ("1", "a", "A", None), ("2", "b", "B", "x"), ("3", "c", "C", "x"), ("4", "c", "C", "y"), ("5", "", "D", "y"))
+    tgt = frame(SCHEMA, ("9", "a", "A", ""), ("8", "b", "B", "y"), ("7", "c", "C", "y"), ("6", "z", "Z", "x"))
+    by_value, by_digest = (diff.diff_by_key(src, tgt, SPEC, digest=d) for d in (False, True))
+    assert rows(by_value) == rows(by_digest) and statuses(by_value)["c"] == "identical"
+    assert [r["field"] for r in diff.changes_of(by_digest, src, tgt, SPEC).collect()] == ["v"]
+
+
+def test_wide_tables_are_compared_by_digest(frame):
+    wide = frame("id int, k string", (1, "a")).selectExpr("id", "k", *[f"{i} AS c{i}" for i in range(10)])
+    out = diff.diff_by_key(wide, wide, TableSpec("t", "id", "k"))
+    assert "sha2" in out._jdf.queryExecution().optimizedPlan().toString() and out.first()["status"] == "identical"
+    other = wide.withColumn("c3", F.lit("3"))  # another type: back to values
+    assert "sha2" not in diff.diff_by_key(wide, other, TableSpec("t", "id", "k"))._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_fields_policy_reaches_the_diff(frame):
     src = frame("id string, k string, v string, calc string", ("1", "a", "x", "p"))
     tgt = frame("id string, k string, v string, calc string", ("1", "a", "x", "q"))
