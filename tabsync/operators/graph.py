@@ -46,11 +46,13 @@ def dependency_tiers(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100_0
     once, and there are as many rounds as tiers of parents.
     """
     nodes = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct()
-    edges = (edges.select("child", "parent").where(F.col("child") != F.col("parent"))
-             .join(nodes, F.col("parent") == F.col("node"), "left_semi"))
-    parents = materialise(edges.select(F.col("parent").alias("node")).distinct(), "parents")
-    inner = edges.join(parents, F.col("child") == F.col("node"), "left_semi")
-    outer = edges.join(parents, F.col("child") == F.col("node"), "left_anti")
+    edges = edges.select("child", "parent").where(F.col("child") != F.col("parent"))
+    parents = materialise(edges.select(F.col("parent").alias("node")).distinct()
+                          .join(nodes, "node", "left_semi"), "parents")
+    # Small beside the edges in most graphs; then Spark broadcasts it and the edges stay where they are.
+    is_parent = F.col("child") == F.col("node")
+    inner = edges.join(parents, is_parent, "left_semi").join(parents, F.col("parent") == F.col("node"), "left_semi")
+    outer = edges.join(parents, is_parent, "left_anti")
     live, seen = materialise_counted(inner.distinct(), "edges")
     left, released, stuck = seen["rows"], [], None
     for level in range(max_rounds):
