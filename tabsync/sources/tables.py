@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsync.spec import Env, FieldMeta, TableSpec
-from tabsync.storage import number_rows
+from tabsync.storage import number_rows, small_frame
 
 # Columns that are never read, column types that are never read, transport members.
 AUDIT_COLUMNS = frozenset({"IsDeleted", "SystemModstamp", "CreatedDate", "CreatedById",
@@ -88,7 +88,7 @@ def in_list(df: DataFrame, col: str, values: Sequence | DataFrame) -> DataFrame:
         if len(values) <= MAX_LITERALS:
             return df.where(F.col(col).isin(list(values)))
         kind = df.schema[col].dataType.simpleString()
-        values = df.sparkSession.createDataFrame([(v,) for v in values], f"v {kind}")
+        values = small_frame(df.sparkSession, [(v,) for v in values], f"v {kind}")
     wanted = values.select(F.col(values.columns[0]).alias("_wanted"))
     return df.join(wanted, F.col(col) == F.col("_wanted"), "left_semi")
 
