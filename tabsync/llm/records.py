@@ -33,7 +33,8 @@ from tabsync.llm.common import slices
 from tabsync.storage import materialise
 
 MASK_DELTA = 0xA282EAD8
-HEAD, INDEX = struct.Struct("<QI"), struct.Struct("<QQ")
+#: Bytes before the data: the length and its checksum.
+HEAD_SIZE = 12
 FILE_BYTES = 64 << 20
 CACHED = 400_000
 MANIFEST = "part int, seq int, path string, records bigint, ids bigint, bytes bigint"
@@ -51,7 +52,7 @@ def frame(data: bytes) -> bytes:
 
 def unframe(head: bytes, read) -> bytes:
     """Data of the record whose first 12 bytes are ``head``; ``read(n)`` gives the bytes after them."""
-    size, crc = HEAD.unpack(head)
+    size, crc = struct.unpack("<QI", head)
     if masked(head[:8]) != crc:
         raise ValueError("a record's length is damaged")
     rest = read(size + 4)
@@ -73,10 +74,10 @@ def read_record(path: str, number: int) -> tuple[int | None, np.ndarray]:
     """Record ``number`` of a file, by its index."""
     fs, name = pafs.FileSystem.from_uri(path)
     with fs.open_input_file(f"{name}.idx") as f:
-        offset, _ = INDEX.unpack(f.read_at(INDEX.size, number * INDEX.size))
+        offset, _ = struct.unpack("<QQ", f.read_at(16, number * 16))
     with fs.open_input_file(name) as f:
         f.seek(offset)
-        return unpack(unframe(f.read(HEAD.size), f.read))
+        return unpack(unframe(f.read(HEAD_SIZE), f.read))
 
 
 class WordEncoder(dict):
@@ -120,7 +121,7 @@ class _Writer:
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         record = frame(pack(doc_id, ids))
-        self.index.write(INDEX.pack(self.row["bytes"], len(record)))
+        self.index.write(struct.pack("<QQ", self.row["bytes"], len(record)))
         self.data.write(record)
         for k, v in (("records", 1), ("ids", len(ids)), ("bytes", len(record))):
             self.row[k] += v
@@ -180,7 +181,7 @@ def read_records(manifest: DataFrame, schema: str, digest) -> DataFrame:
                 fs, path = pafs.FileSystem.from_uri(file["path"])
                 rows, start = [], file["start"]
                 with fs.open_input_stream(path, buffer_size=1 << 20) as f:
-                    while head := f.read(HEAD.size):
+                    while head := f.read(HEAD_SIZE):
                         doc_id, ids = unpack(unframe(head, f.read))
                         rows.append(digest(doc_id, start, ids))
                         start += len(ids)
