@@ -154,17 +154,30 @@ def clean(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.distinct()
 
 
-def _matrix(cells: pa.Array, dim: int) -> np.ndarray:
-    return cells.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
+def _merge(best: np.ndarray, who: np.ndarray, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Best of each row after adding candidates (row, id, score); an id counts once, ties go to the smaller id."""
+    n, k = best.shape
+    own = np.flatnonzero(np.isfinite(best))
+    rows, ids, scores = (np.concatenate(x) for x in ((own // k, rows), (who.ravel()[own], ids), (best.ravel()[own], scores)))
+    order = np.lexsort((ids, rows))
+    order = order[np.append(True, (np.diff(rows[order]) != 0) | (np.diff(ids[order]) != 0))[:len(order)]]
+    order = order[np.lexsort((ids[order], -scores[order], rows[order]))]
+    rows, ids, scores = rows[order], ids[order], scores[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    keep = place < k
+    best, who = np.full((n, k), -np.inf), np.zeros((n, k), np.int64)
+    best[rows[keep], place[keep]], who[rows[keep], place[keep]] = scores[keep], ids[keep]
+    return best, who
 
 
-def _score(left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFrame:
+def score_group(left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFrame:
     """Best k of each query (right: query, vector, taken) among the leaves of a group (left: leaf, id, vector)."""
+    if not len(left) or not len(right):
+        return pd.DataFrame({"query": [], "vec": [], "score": []}).astype({"query": "int64", "vec": "int64"})
     queries, ids = np.stack(right["vector"].to_numpy()), right["query"].to_numpy()
-    best = np.full((len(queries), k), -np.inf)
-    who = np.full((len(queries), k), np.iinfo(np.int64).max)
-    sizes = right["taken"].map(len).to_numpy()
-    by_leaf = pd.DataFrame({"leaf": np.concatenate(right["taken"].to_numpy()), "at": np.repeat(np.arange(len(right)), sizes)})
+    best, who = np.full((len(queries), k), -np.inf), np.zeros((len(queries), k), np.int64)
+    taken = right["taken"].to_numpy()
+    by_leaf = pd.DataFrame({"leaf": np.concatenate(taken), "at": np.repeat(np.arange(len(right)), [len(t) for t in taken])})
     asked = {leaf: g.to_numpy() for leaf, g in by_leaf.groupby("leaf")["at"]}
     for leaf, rows in left.groupby("leaf"):
         at = asked.get(leaf)
@@ -174,14 +187,75 @@ def _score(left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFrame:
         for part in range(0, len(at), 512):
             q = at[part:part + 512]
             for a in range(0, len(own), 4096):
-                cand = own[a:a + 4096]
-                scores = queries[q] @ vectors[a:a + 4096].T
-                scores[ids[q][:, None] == cand[None, :]] = -np.inf
-                scores[(who[q][:, :, None] == cand[None, None, :]).any(1)] = -np.inf if len(cand) * len(q) * k < 1 << 22 else scores[(who[q][:, :, None] == cand[None, None, :]).any(1)]
-                all_scores = np.hstack((best[q], scores))
-                all_ids = np.hstack((who[q], np.broadcast_to(cand, scores.shape)))
-                order = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
-                best[q], who[q] = np.take_along_axis(all_scores, order, 1), np.take_along_axis(all_ids, order, 1)
-    found = np.isfinite(best)
-    rows, cols = np.nonzero(found)
+                cand = vectors[a:a + 4096]
+                # Block products choose; what they choose is summed anew pair by pair, so equal vectors have equal scores.
+                r, c = np.nonzero(queries[q] @ cand.T >= best[q, -1][:, None] - 1e-9)
+                other = ids[q][r] != own[a + c]
+                r, c = r[other], c[other]
+                if len(r):
+                    exact = np.einsum("nd,nd->n", queries[q][r], cand[c])
+                    best[q], who[q] = _merge(best[q], who[q], r, own[a + c], exact)
+    rows, cols = np.nonzero(np.isfinite(best))
     return pd.DataFrame({"query": ids[rows], "vec": who[rows, cols], "score": best[rows, cols]})
+
+
+def nearest(df: DataFrame, k: int, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = SAMPLE,
+            trees: int = TREES, recall: float = RECALL) -> DataFrame:
+    """``query, rank, vec, score``: of each row that satisfies ``is_query`` (over ``id``) the k of largest inner product that the search finds.
+
+    A query id with several vectors asks with the first of them by hash.
+    """
+    rows = materialise(clean(df, id_col, vector_col).withColumn("dim", F.size("vector")), "vectors")
+    spark = df.sparkSession
+    dims = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
+    schema = "query bigint, rank int, vec bigint, score double"
+    if dims is None:
+        return spark.createDataFrame([], schema)
+    rows = rows.where(F.col("dim") == dims["dim"]).drop("dim")
+    first = Window.partitionBy("vector").orderBy("id")
+    indexed = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).drop("n")
+    chosen = indexed.orderBy(F.xxhash64("id"), "id").limit(sample).toArrow()
+    vectors = chosen.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, dims["dim"])
+    forest = fit(vectors, dims["count"], k, trees, recall)
+
+    def place(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = np.stack(batch.column(1).to_numpy(zero_copy_only=False))
+                leaves = forest.leaves_of(x)
+                at = np.repeat(np.arange(len(x)), trees)
+                yield pa.RecordBatch.from_arrays([pa.array(leaves.ravel()), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))],
+                                                 names=["leaf", "id", "vector"])
+    index = materialise(indexed.select("id", "vector").mapInArrow(place, "leaf bigint, id bigint, vector array<double>"), "index")
+    counts = np.zeros(sum(t.leaves for t in forest.trees))
+    for r in index.groupBy("leaf").count().collect():  # a row for each leaf, of which there are about sqrt(rows) / 4 a tree
+        counts[r["leaf"]] = r["count"]
+    groups = max(24, int(-(-counts.sum() // GROUP_ROWS)))
+    asking = rows.where(is_query)
+    blocks = max(1, -(-asking.count() // QUERY_BLOCK))
+
+    def ask(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                taken = forest.taken(np.stack(part.column(1).to_numpy(zero_copy_only=False)), counts)
+                who, leaves = np.nonzero(taken)
+                by_group = leaves % groups
+                order = np.lexsort((leaves, by_group, who))
+                who, leaves, by_group = who[order], leaves[order], by_group[order]
+                starts = np.flatnonzero(np.append(True, (np.diff(who) != 0) | (np.diff(by_group) != 0)))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(leaves)), pa.int32()), pa.array(leaves))
+                yield pa.RecordBatch.from_arrays([pa.array(by_group[starts]), part.column(0).take(pa.array(who[starts])),
+                                                  part.column(1).take(pa.array(who[starts])), lists], names=["grp", "query", "vector", "taken"])
+    once = asking.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("vector")))).where("n = 1")
+    asked = (once.select(F.col("id").alias("query"), "vector").mapInArrow(ask, "grp bigint, query bigint, vector array<double>, taken array<bigint>")
+             .withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks))))
+    held = index.withColumn("grp", F.col("leaf") % groups).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
+        "block", F.col("block").cast("bigint"))
+
+    def score(left, right):
+        return score_group(left, right, k)
+    found = held.groupBy("grp", "block").cogroup(asked.groupBy("grp", "block")).applyInPandas(score, "query bigint, vec bigint, score double")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec")
+    return (found.groupBy("query", "vec").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+            .select("query", "rank", "vec", "score"))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsync.llm import bpe, chunks, decontaminate, hilbert, hyperminhash, records, toxicity
+from tabsync.llm import bpe, brown, chunks, decontaminate, forest, hilbert, hyperminhash, records, style_tree, toxicity
 from tabsync.llm.common import crc_of_id, read
 from tabsync.storage import new_path
 
@@ -35,6 +35,19 @@ def op1_hilbert_shards(spark, d):
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")
 
 
+@query
+def op2_site_style_tree(spark, d):
+    found = style_tree.extract(read(spark, d, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op3_projection_forest(spark, d):
+    """20 nearest of every vector whose id is divisible by 20, among all others."""
+    found = forest.nearest(read(spark, d, "embeddings", "vec_id", "embedding"), 20, F.col("id") % 20 == 0)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("vec").alias("vec_id"), "score")
+
+
 @query
 def op4_byte_bpe(spark, d):
     docs = read(spark, d, "documents", "doc_id", "text")
@@ -54,6 +67,13 @@ def op6_decontaminate(spark, d):
                         decontaminate.items_digest().alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+@query
+def op7_brown_classes(spark, d):
+    """Learned from documents whose crc32 of the id leaves no 2 when divided by 7, scored over all."""
+    held_out = F.coalesce(crc_of_id("doc_id") % 7 == 2, F.lit(False))
+    return brown.score(read(spark, d, "documents", "doc_id", "text").withColumn("held_out", held_out), ~F.col("held_out"))
+
+
 @query
 def op8_records(spark, d):
     """Records written to the shared folder and read back, every checksum tested."""
