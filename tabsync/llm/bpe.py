@@ -22,6 +22,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tabsync.llm.common import append
 
@@ -318,5 +319,5 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", out: str = "tex
             texts = [None if ids is None else codec.decode(ids).decode("utf-8", "replace") for ids in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in fields] + [pa.array(texts, pa.string())],
                                              names=[f.name for f in fields] + [out])
-    schema = type(df.schema)(fields).add(out, "string")
+    schema = T.StructType([*fields, T.StructField(out, T.StringType())])
     return df.select(*[f"`{f.name}`" for f in fields]).mapInArrow(run, schema)
