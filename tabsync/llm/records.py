@@ -1,8 +1,8 @@
 """Token ids as length-delimited binary records, with an offset index for shuffled reads.
 
 A record is ``uint64 length | uint32 masked crc of the length | data | uint32 masked crc of the data``
-(little endian). ``data`` is a flag byte (1: the document has an id), the int64 document id and the
-token ids as uint32. A checksum is crc32, rotated right by 15 bits plus a constant, so that data which
+(little endian). ``data`` is a flag byte (1: the document has an id, 2: ids take two bytes), the int64
+document id and the token ids, as uint16 where all fit and as uint32 otherwise. A checksum is crc32, rotated right by 15 bits plus a constant, so that data which
 holds checksums does not check itself. The index file has one ``uint64 offset, uint64 length`` per
 record: any record is read with one seek.
 
@@ -36,7 +36,7 @@ MASK_DELTA = 0xA282EAD8
 #: Bytes before the data: the length and its checksum.
 HEAD_SIZE = 12
 FILE_BYTES = 64 << 20
-CACHED = 400_000
+CACHED = 800_000
 MANIFEST = "part int, seq int, path string, records bigint, ids bigint, bytes bigint"
 
 
@@ -62,12 +62,13 @@ def unframe(head: bytes, read) -> bytes:
 
 
 def pack(doc_id: int | None, ids: np.ndarray) -> bytes:
-    return struct.pack("<bq", doc_id is not None, doc_id or 0) + ids.astype("<u4").tobytes()
+    short = not len(ids) or int(ids.max()) < 1 << 16
+    return struct.pack("<bq", (doc_id is not None) | short << 1, doc_id or 0) + ids.astype("<u2" if short else "<u4").tobytes()
 
 
 def unpack(data: bytes) -> tuple[int | None, np.ndarray]:
     flag, doc_id = struct.unpack_from("<bq", data)
-    return (doc_id if flag else None), np.frombuffer(data, "<u4", offset=9)
+    return (doc_id if flag & 1 else None), np.frombuffer(data, "<u2" if flag & 2 else "<u4", offset=9).astype("<u4")
 
 
 def read_record(path: str, number: int) -> tuple[int | None, np.ndarray]:
@@ -88,6 +89,7 @@ class WordEncoder(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        self.stems: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -98,12 +100,25 @@ class WordEncoder(dict):
         new = [w for w in unique if w not in self]
         if len(self) + len(new) > CACHED:
             self.clear()
+            self.stems.clear()
             new = list(unique)
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self[w] = np.array(e.ids, "<u4").tobytes()
+        parts = [_parts(w) for w in new]
+        stems = [x for x in dict.fromkeys(x for p in parts for x in p) if x not in self.stems]
+        for x, e in zip(stems, self.tokenizer.encode_batch_fast(stems, add_special_tokens=False)):
+            self.stems[x] = np.array(e.ids, "<u4").tobytes()
+        self.update(zip(new, (b"".join(map(self.stems.__getitem__, p)) for p in parts)))
         return [np.frombuffer(b"".join(map(self.__getitem__, words)), "<u4") for words in spaced]
 
 
+def _parts(word: str) -> tuple[str, ...]:
+    """What is encoded for a run: a mark behind a letter is a token of its own, and ASCII letters are put in lower case anyway."""
+    tail = word[-1:] if len(word) > 1 and word[-1] in ".,;:!?" and word[-2].isalpha() else ""
+    stem = word[:-1] if tail else word
+    if stem.isascii() and "<" not in stem:
+        stem = stem.lower()
+    return (stem, tail) if tail else (stem,)
+
+
 _SPACES = str.maketrans("\t\n\r", "   ")
 
 
