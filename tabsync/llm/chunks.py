@@ -23,7 +23,7 @@ from tabsync.llm.common import slices
 from tabsync.llm.hyperminhash import mix
 from tabsync.storage import materialise
 
-LONG_LINE, DIVISOR = 50, 4
+LONG_LINE, DIVISOR = 25, 3
 
 
 def bounds(lines: list[str], long_line: int = LONG_LINE) -> list[int]:
