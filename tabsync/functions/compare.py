@@ -63,5 +63,9 @@ def fingerprint_label(df: DataFrame, cols: Sequence[str]) -> Column:
             value = F.to_json(value, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
                                       "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                                       "ignoreNullFields": "false"})
+        if isinstance(kind, T.TimestampType):
+            value = F.unix_micros(value)  # text without its zone would make two instants one when clocks change
+        if isinstance(kind, T.BinaryType):
+            value = F.hex(value)
         parts.append(value.cast("string").alias(c))
     return F.sha2(F.to_json(F.struct(*parts)), 256)

@@ -73,9 +73,10 @@ def display_name(candidates: Sequence[Column | str]) -> Column:
 
 
 def backfill_key(key: Column | str, id_col: Column | str, prefix: str) -> Column:
-    """``prefix-<first 15 characters of the id>`` where the key is null."""
+    """``prefix-<id>`` where the key is null; an id of the 15 or 18 character shape counts by its first 15."""
+    text = _col(id_col).cast("string")
     return F.coalesce(_col(key).cast("string"),
-                      F.concat(F.lit(prefix + "-"), F.substring(_col(id_col).cast("string"), 1, 15)))
+                      F.concat(F.lit(prefix + "-"), F.when(looks_like_id(text), F.substring(text, 1, 15)).otherwise(text)))
 
 
 def csv_boolean(c: Column | str) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabsync.functions import has_key, is_blank, looks_like_id
@@ -18,17 +18,28 @@ XWALK_SCHEMA = "table string, source_id string, target_id string"
 KEY_XWALK_SCHEMA = "table string, key_field string, source_key string, target_key string"
 
 
-def _pairs(xwalk: DataFrame, ref: Ref, kind: str) -> DataFrame:
-    return xwalk.where(F.col("table").isin(*ref.to)).select(f"source_{kind}", f"target_{kind}")
+def _lookups(refs: Mapping[str, Ref], values: Mapping[str, Column], xwalk: DataFrame, kind: str) -> tuple[list[Lookup], dict[str, Column]]:
+    """One lookup per column and parent table, and the first hit of each column in the order of its parents.
+
+    Tables number their rows alone, so an id may mean a row of each parent; a row never meets more than one pair.
+    """
+    lookups, hits = [], {}
+    for c, r in refs.items():
+        for j, parent in enumerate(r.to):
+            pairs = (xwalk.where(F.col("table") == parent).groupBy(f"source_{kind}").agg(F.max(f"target_{kind}").alias(f"target_{kind}")))
+            lookups.append(Lookup(values[c], pairs, f"_new_{c}_{j}"))
+        hits[c] = F.coalesce(*[F.col(f"_new_{c}_{j}") for j in range(len(r.to))])
+    return lookups, hits
 
 
-def rewrite_keys(df: DataFrame, spec: TableSpec, key_xwalk: DataFrame, row_id: str | None = "_source_id") -> DataFrame:
+def rewrite_keys(df: DataFrame, spec: TableSpec, key_xwalk: DataFrame) -> DataFrame:
     """Translate relationship keys; a key that was not renumbered stays as it is."""
     refs = {r.key_col: r for r in spec.refs if r.key_col in df.columns}
     if not refs:
         return df
-    found = look_up(df, [Lookup(F.col(c), _pairs(key_xwalk, r, "key"), f"_new_{c}") for c, r in refs.items()], row_id)
-    return found.select(*[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in refs else F.col(c) for c in df.columns])
+    lookups, hits = _lookups(refs, {c: F.col(c) for c in refs}, key_xwalk, "key")
+    found = look_up(df, lookups)
+    return found.select(*[F.coalesce(hits[c], F.col(c)).alias(c) if c in refs else F.col(c) for c in df.columns])
 
 
 def _raw_refs(df: DataFrame, spec: TableSpec) -> list[Ref]:
@@ -42,7 +53,7 @@ def _pending(df: DataFrame, ref: Ref, pattern: str | None):
 
 
 def resolve_raw_refs(df: DataFrame, spec: TableSpec, xwalk: DataFrame,
-                     pattern: str | None = ID_PATTERN, row_id: str | None = "_source_id") -> DataFrame:
+                     pattern: str | None = ID_PATTERN) -> DataFrame:
     """Replace source ids by target ids; an id-shaped value without a hit becomes null.
 
     ``pattern=None`` takes every value for an id, which suits numeric ids.
@@ -50,10 +61,11 @@ def resolve_raw_refs(df: DataFrame, spec: TableSpec, xwalk: DataFrame,
     pending = {r.col: _pending(df, r, pattern) for r in _raw_refs(df, spec)}
     if not pending:
         return df
-    found = look_up(df, [Lookup(F.when(pending[r.col], F.col(r.col)), _pairs(xwalk, r, "id"), f"_new_{r.col}")
-                         for r in _raw_refs(df, spec)], row_id)
+    refs = {r.col: r for r in _raw_refs(df, spec)}
+    lookups, hits = _lookups(refs, {c: F.when(pending[c], F.col(c)) for c in refs}, xwalk, "id")
+    found = look_up(df, lookups)
     return found.select(*[
-        F.when(pending[c], F.col(f"_new_{c}").cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+        F.when(pending[c], hits[c].cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
         if c in pending else F.col(c) for c in df.columns])
 
 

@@ -33,7 +33,7 @@ def fk_edges(fields: DataFrame, scope: Sequence[str] | None = None,
     return others, own
 
 
-def dependency_tiers(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100_000) -> DataFrame:
+def dependency_tiers(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, tier, in_cycle, below_cycle) by peeling parents that wait for nothing.
 
     Each round releases the edges of such parents; a node's tier is one more than the last round
@@ -54,10 +54,8 @@ def dependency_tiers(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100_0
     inner = edges.join(parents, is_parent, "left_semi").join(parents, F.col("parent") == F.col("node"), "left_semi")
     outer = edges.join(parents, is_parent, "left_anti")
     live, seen = materialise_counted(inner.distinct(), "edges")
-    left, released, stuck = seen["rows"], [], None
-    for level in range(max_rounds):
-        if left == 0:
-            break
+    left, released, stuck, level = seen["rows"], [], None, 0
+    while left:  # each round releases an edge or ends
         ends = live.select(F.col("parent").alias("node"), F.lit(False).alias("waits")).union(
             live.select("child", F.lit(True)))
         free = (ends.groupBy("node").agg(F.max("waits").alias("waits")).where(~F.col("waits"))
@@ -70,9 +68,7 @@ def dependency_tiers(edges: DataFrame, nodes: DataFrame, max_rounds: int = 100_0
             break
         released.append(split.where("free").select(F.col("child").alias("node"), F.lit(level + 1).alias("tier")))
         live = split.where(~F.col("free")).select("child", "parent")
-        left = seen["rows"] - seen["freed"]
-    else:
-        raise RuntimeError(f"no end after {max_rounds} tiers")
+        left, level = seen["rows"] - seen["freed"], level + 1
 
     placed = reduce(DataFrame.union, [parents.withColumn("tier", F.lit(0)), *released]).groupBy("node").agg(
         F.max("tier").alias("tier"))

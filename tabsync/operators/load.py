@@ -180,7 +180,7 @@ def bind_parents(df: DataFrame, spec: TableSpec, target: Env, specs: Mapping[str
                 F.col(parent.key).cast("string").alias("_k"), F.col(parent.id_col).alias("_p"))
             hits[ref.col].append(f"_p{len(lookups)}")
             lookups.append(Lookup(F.col(ref.key_col), last_per_key(held, "_k", ("_p",)), f"_p{len(lookups)}"))
-    found = look_up(df, lookups, "_source_id")
+    found = look_up(df, lookups)
     columns, misses = {}, []
     for ref in refs:
         parent_id = F.coalesce(*hits[ref.col]) if hits[ref.col] else F.lit(None).cast("string")

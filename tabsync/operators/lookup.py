@@ -1,20 +1,13 @@
-"""Looking up several columns of wide rows without moving the rows once per column."""
+"""Looking up columns in tables of pairs."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabsync.storage import broadcast_limit, plan_size
-
-#: More tables than this that must be shuffled make one joint lookup cheaper than a chain of joins.
-MAX_WIDE_SHUFFLES = 2
-
-
 @dataclass(frozen=True, eq=False)
 class Lookup:
     """Find ``value`` among the first column of ``pairs`` and add the second one as ``name``.
@@ -27,35 +20,13 @@ class Lookup:
     name: str
 
 
-def look_up(df: DataFrame, lookups: Sequence[Lookup], row_id: str | None) -> DataFrame:
-    """Add the result of each lookup as a column.
+def look_up(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+    """Add the result of each lookup as a column, by one left join each: the same answer whatever the sizes.
 
-    Pairs small enough for Spark to broadcast move no row of ``df``. One or two larger ones are
-    joined in turn. More than that are searched together on a narrow (row, slot, value) frame, and
-    the wide rows move once, to meet their results; this needs ``row_id``, a unique column.
-    All joins keep every row of ``df``, and Spark may split a frequent value over tasks.
+    Spark broadcasts pairs that are small enough and may split a frequent value over tasks.
     """
-    limit = broadcast_limit(df.sparkSession)
-    large = [x for x in lookups if plan_size(x.pairs) > limit]
-    joint = large if len(large) > MAX_WIDE_SHUFFLES and row_id in df.columns else []
-    if joint:
-        df = _together(df, joint, row_id)
-    for i, x in enumerate(x for x in lookups if x not in joint):
+    for x in lookups:
         key, result = x.pairs.columns[:2]
         pairs = x.pairs.select(F.col(key).cast("string").alias("_lk"), F.col(result).cast("string").alias(x.name))
         df = df.join(pairs, x.value.cast("string") == F.col("_lk"), "left").drop("_lk")
     return df
-
-
-def _together(df: DataFrame, lookups: Sequence[Lookup], row_id: str) -> DataFrame:
-    wanted = F.array(*[F.struct(F.lit(i).alias("slot"), x.value.cast("string").alias("value"))
-                       for i, x in enumerate(lookups)])
-    narrow = (df.select(F.col(row_id).alias("_row"), F.explode(wanted).alias("_w"))
-              .select("_row", F.col("_w.slot").alias("_slot"), F.col("_w.value").alias("_lk"))
-              .where(F.col("_lk").isNotNull()))
-    pairs = reduce(DataFrame.union, [
-        x.pairs.select(F.lit(i).alias("_slot"), F.col(x.pairs.columns[0]).cast("string").alias("_lk"),
-                       F.col(x.pairs.columns[1]).cast("string").alias("_found")) for i, x in enumerate(lookups)])
-    found = (narrow.join(pairs, ["_slot", "_lk"]).groupBy("_row")
-             .agg(*[F.max(F.when(F.col("_slot") == i, F.col("_found"))).alias(x.name) for i, x in enumerate(lookups)]))
-    return df.join(found, F.col(row_id) == F.col("_row"), "left").drop("_row")

@@ -41,7 +41,7 @@ def resolve_references(df: DataFrame, spec: TableSpec, maps: Mapping[str, DataFr
     refs = [r for r in spec.parent_refs if r.col in df.columns]
     columns = df.columns
     hits = {(i, parent): f"_k{i}_{j}" for i, r in enumerate(refs) for j, parent in enumerate(r.to) if parent in maps}
-    df = look_up(df, [Lookup(F.col(refs[i].col), maps[parent], name) for (i, parent), name in hits.items()], spec.id_col)
+    df = look_up(df, [Lookup(F.col(refs[i].col), maps[parent], name) for (i, parent), name in hits.items()])
     found = {}
     for i, r in enumerate(refs):
         names = [name for (k, _), name in hits.items() if k == i]

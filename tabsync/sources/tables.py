@@ -17,7 +17,8 @@ AUDIT_COLUMNS = frozenset({"IsDeleted", "SystemModstamp", "CreatedDate", "Create
 COMPOUND_TYPES = frozenset({"formula", "address"})
 TRANSPORT_COLUMNS = frozenset({"attributes"})
 
-#: Longest list of literal values that stays an IN predicate, which Parquet can skip row groups by.
+#: Longest list of literal values that stays an IN predicate, which Parquet can skip row groups by; longer ones
+#: become a semi join with the same answer, as values take the type of the column first.
 MAX_LITERALS = 10_000
 
 
@@ -85,10 +86,12 @@ def assign_batches(df: DataFrame, order_cols: Sequence[str], size: int) -> DataF
 def in_list(df: DataFrame, col: str, values: Sequence | DataFrame) -> DataFrame:
     """Rows whose ``col`` is among ``values`` (a short list, or the first column of a frame)."""
     if not isinstance(values, DataFrame):
-        if len(values) <= MAX_LITERALS:
-            return df.where(F.col(col).isin(list(values)))
         kind = df.schema[col].dataType.simpleString()
-        values = small_frame(df.sparkSession, [(v,) for v in values], f"v {kind}")
+        texts = [v if v is None or isinstance(v, (str, bytes)) else str(v) for v in values]
+        if len(texts) <= MAX_LITERALS:
+            return df.where(F.col(col).isin([F.lit(v).try_cast(kind) for v in texts]))
+        given = "binary" if any(isinstance(v, bytes) for v in texts) else "string"
+        values = small_frame(df.sparkSession, [(v,) for v in texts], f"v {given}").select(F.col("v").try_cast(kind).alias("v"))
     wanted = values.select(F.col(values.columns[0]).alias("_wanted"))
     return df.join(wanted, F.col(col) == F.col("_wanted"), "left_semi")
 

@@ -78,18 +78,6 @@ def side_by_side(spark: SparkSession, work: Iterable[Callable[[], object]], thre
     return [f.result() for f in futures]
 
 
-def plan_size(df: DataFrame) -> int:
-    """The optimizer's size estimate in bytes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 when broadcasting is off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().rstrip("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
-
-
 def number_rows(df: DataFrame, order_cols: Sequence[str], name: str = "row_no") -> DataFrame:
     """Add a gapless number from 0 in the order of ``order_cols``, which should be a total order.
 

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracles import compare, connect
+from oracles import ORACLE_SQL
+from queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,10 +16,10 @@ def con():
 
 
 def test_each_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     ok, note = compare(spark, con, name, FOLDER)
     assert ok, note

@@ -49,15 +49,15 @@ def test_joint_lookup_gives_what_the_chain_gives(spark, frame, rows):
     env = {n: frame("id int, k string", *[(i, f"{n}{i}") for i in range(5)]) for n in names}
     specs = [PARENT.with_(name=n) for n in names]
     spec = TableSpec("c", "id", refs=tuple(Ref(f"f{n}", (n,), n) for n in names))
-    child = frame("id int, fp int, fq int, fr int, fs int", *[(i, i % 5, i % 7, None, i) for i in range(20)])
+    # Repeated and null row ids are rows like all others.
+    child = frame("id int, fp int, fq int, fr int, fs int", *[(None if i < 2 else i // 2, i % 5, i % 7, None, i) for i in range(20)])
     maps = resolve.id_maps(env, specs)
     chain = rows(resolve.resolve_references(child, spec, maps))
+    assert len(chain) == 20
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        joint = resolve.resolve_references(child, spec, maps)
-        assert rows(joint.select(*resolve.resolve_references(child, spec, maps).columns)) == chain
-        assert "Generate explode" in joint._jdf.queryExecution().executedPlan().toString()
+        assert rows(resolve.resolve_references(child, spec, maps)) == chain
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
