@@ -76,20 +76,26 @@ def remove_repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         (i, th, no, xxhash.xxh3_128_digest(c.encode())) for no, c in chunks(t)]), "chunks")
     place = F.struct("id", "th", "no")
     firsts = materialise(found.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").drop("last"), "firsts")
-    hits = materialise(found.join(firsts, "h").select("id", "th", "no", "h", (place == F.col("first")).alias("is_first")), "hits")
-    wanted = materialise(hits.groupBy("id", "th").agg(F.collect_set(F.struct("no", "h", "is_first")).alias("hits")), "wanted")  # a row per document
-    joined = texts.join(wanted, ["id", "th"]).select("id", "th", "hits", "text")
+    hits = found.join(firsts, "h").select("id", "th", "no", "h", (place == F.col("first")).alias("is_first"))
+    wanted = materialise(hits.groupBy("id", "th").agg(F.collect_set(F.struct("no", "h", "is_first")).alias("__hits")), "wanted")  # a row per document
+    keyed = df.drop(removed).withColumns({"__id": doc[0], "__th": doc[1]})
+    # Whole rows move once, to their hits; they are written, as they are read for the comparison and for the removal.
+    marked = materialise(keyed.join(wanted.withColumnsRenamed({"id": "__id", "th": "__th"}), ["__id", "__th"], "left"), "marked")
 
     def of_doc(i, th, own, text):
         by_no = dict(chunks(text))
         return [(i, th, x["no"], x["h"], x["is_first"], by_no[x["no"]].encode()) for x in own]
-    content = materialise(_exploded(joined, "id bigint, th bigint, no int, h binary, is_first boolean, content binary", of_doc), "content")
-    kept = materialise(content.where("is_first").select("h", F.col("content").alias("first_content")).dropDuplicates(["h"]), "kept")
-    same = content.where("NOT is_first").join(kept, "h").where(F.col("content") == F.col("first_content"))
-    gone = materialise(same.groupBy("id", "th").agg(F.collect_set("no").alias("__gone")), "gone")
-    keyed = df.drop(removed).withColumns({"__id": doc[0], "__th": doc[1]})
-    marked = keyed.join(gone.withColumnsRenamed({"id": "__id", "th": "__th"}), ["__id", "__th"], "left").drop("__id", "__th")
-    marked = marked.withColumn(removed, F.coalesce(F.size("__gone"), F.lit(0)))
+    content = materialise(_exploded(marked.where("__hits IS NOT NULL").select("__id", "__th", "__hits", F.col(text_col)),
+                                    "id bigint, th bigint, no int, h binary, is_first boolean, content binary", of_doc), "content")
+    kept = content.where("is_first").select("h", F.col("content").alias("first_content")).dropDuplicates(["h"])
+    # What is told from its first by its bytes alone stays: only equal hashes of different chunks come back from here.
+    other = content.where("NOT is_first").join(kept, "h").where(F.col("content") != F.col("first_content"))
+    stay = materialise(other.groupBy(F.col("id").alias("__id"), F.col("th").alias("__th")).agg(F.collect_set("no").alias("__stay")), "stay")
+    repeated = F.transform(F.filter("__hits", lambda x: ~x["is_first"]), lambda x: x["no"])
+    marked = marked.join(stay, ["__id", "__th"], "left")
+    marked = marked.withColumn("__gone", F.array_except(F.coalesce(repeated, F.array().cast("array<int>")),
+                                                        F.coalesce("__stay", F.array().cast("array<int>"))))
+    marked = marked.withColumn(removed, F.size("__gone")).drop("__id", "__th", "__hits", "__stay")
 
     fields = [f for f in marked.schema.fields if f.name != "__gone"]
     where = [f.name for f in fields].index(text_col)
