@@ -103,15 +103,28 @@ def map_to_target_ids(df: DataFrame, target: DataFrame, key: str, id_col: str,
     out = out.join(held, F.col("_own") == F.col("_key"), "left").drop("_key")
     found = F.col("_direct")
     if key_xwalk is not None:
+        # Repeated source keys have several target rows; one of them is taken, so that no row is doubled.
         moved = (key_xwalk.select("source_key", "target_key")
                  .join(held, F.col("target_key") == F.col("_key"))
-                 .select(F.col("source_key").alias("_from"), F.col("_direct").alias("_moved")))
+                 .groupBy(F.col("source_key").alias("_from")).agg(F.max("_direct").alias("_moved")))
         out = out.join(moved, F.col("_own") == F.col("_from"), "left")
         found = F.coalesce(found, F.col("_moved"))
     return out.select(found.alias(id_col), *rest,
                       F.when(found.isNull(), "insert").otherwise("update").alias("op"))
 
 
+def mark_repeated(df: DataFrame, id_col: str, order_cols: Sequence[str], key: str) -> DataFrame:
+    """Add ``_repeated``: the error of rows that share a target id with a later row, else an empty list.
+
+    ``order_cols`` tell the rows apart. Rows without a target id are new and repeat nothing.
+    """
+    place = F.struct(*[F.col(c) for c in order_cols])
+    last = (df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_on")).agg(F.max(place).alias("_last")))
+    late = F.col("_last").isNotNull() & (place != F.col("_last"))
+    error = F.when(late, F.array(F.lit(f"DUPLICATE_VALUE:{key}"))).otherwise(F.array().cast("array<string>"))
+    return df.join(last, F.col(id_col) == F.col("_on"), "left").select(*[F.col(c) for c in df.columns], error.alias("_repeated"))
+
+
 def match_by_name(src: DataFrame, tgt: DataFrame, name_col: str, src_id: str, tgt_id: str,
                   order_cols: Sequence[str] = ()) -> DataFrame:
     """(source_id, name, target_id): exact name match, target id null where there is none."""

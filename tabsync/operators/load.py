@@ -20,11 +20,17 @@ from tabsync.storage import materialise_counted, number_rows
 TRACE = ("_op", "_source_id", "_source_key", "_prior")
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Give columns the target's types, as text files need; unreadable values become null."""
+def conform(df: DataFrame, schema: T.StructType, invalid: str = "_invalid") -> DataFrame:
+    """Give columns the target's types, as text files need.
+
+    Unreadable values become null and are named in ``invalid``, so that the row can be refused; blank text is no value.
+    """
     kinds = {f.name: f.dataType for f in schema.fields}
-    return df.select(*[F.col(c).try_cast(kinds[c]).alias(c) if c in kinds and kinds[c] != df.schema[c].dataType
-                       else F.col(c) for c in df.columns])
+    cast = {c: F.col(c).try_cast(kinds[c]) for c in df.columns if c in kinds and kinds[c] != df.schema[c].dataType}
+    given = lambda c: not_blank(c) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c).isNotNull()
+    lost = [F.when(given(c) & v.isNull(), F.lit(f"INVALID_VALUE:{c}")) for c, v in cast.items()]
+    errors = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+    return df.select(*[cast[c].alias(c) if c in cast else F.col(c) for c in df.columns if c != invalid], errors.alias(invalid))
 
 
 def _trace(df: DataFrame, name: str):
@@ -45,10 +51,11 @@ def untouched(target: DataFrame) -> DataFrame:
 def update(target: DataFrame, batch: DataFrame, on: str) -> DataFrame:
     """Target rows with the batch's values where ``on`` matches, plus the trace columns.
 
-    Columns that the batch lacks keep their value. A left join from the target: a small batch is
-    broadcast by Spark and the target does not move; otherwise skewed parts of the target can be
-    split.
+    Columns that the batch lacks keep their value. Of batch rows that share a value of ``on`` the one of
+    largest source id counts, so the target never gains rows. A left join from the target: a small batch is
+    broadcast by Spark and the target does not move; otherwise the reduction and the join share a shuffle.
     """
+    batch = last_per_key(batch.where(F.col(on).isNotNull()), on, ("_source_id",) if "_source_id" in batch.columns else (on,))
     given = [c for c in batch.columns if c in target.columns and c != on]
     incoming = batch.select(F.col(on).alias("_on"), F.lit(True).alias("_hit"),
                             *[F.col(c).alias(f"_b_{c}") for c in given],
@@ -143,24 +150,37 @@ def delete_ids(target: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFram
 
 
 def deactivate(target: DataFrame, flag: str, id_col: str) -> tuple[DataFrame, DataFrame | None]:
-    """(target with nothing active, ids that were active); a target without the flag is left alone."""
+    """(target with nothing active, ``id, value`` of what was active); a target without the flag is left alone."""
     if flag not in target.columns:
         return target, None
     active = F.coalesce(F.col(flag).cast("boolean"), F.lit(False))
     kind = target.schema[flag].dataType
     return (target.withColumn(flag, F.when(active, F.lit(False).cast(kind)).otherwise(F.col(flag))),
-            target.where(active).select(F.col(id_col).alias("id")))
+            target.where(active).select(F.col(id_col).alias("id"), F.col(flag).alias("value")))
 
 
 def reactivate(target: DataFrame, ids: DataFrame | None, flag: str, id_col: str) -> DataFrame:
     """Switch the remembered rows on again, and no others."""
     if ids is None:
         return target
-    marks = ids.select(F.col("id").alias("_was")).distinct()
-    kind = target.schema[flag].dataType
+    marks = ids.groupBy(F.col("id").alias("_was")).agg(F.max("value").alias("_value"))
     return (target.join(marks, F.col(id_col) == F.col("_was"), "left")
-            .withColumn(flag, F.when(F.col("_was").isNotNull(), F.lit(True).cast(kind)).otherwise(F.col(flag)))
-            .drop("_was"))
+            .withColumn(flag, F.when(F.col("_was").isNotNull(), F.col("_value")).otherwise(F.col(flag)))
+            .drop("_was", "_value"))
+
+
+def without_given(ids: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Remembered rows that a load did not give a flag of its own; ``loaded`` is what it wrote."""
+    own = loaded.where(F.col("op") == "update").select(F.col("target_id").alias("_set"))
+    return ids.join(own, F.col("id").cast("string") == F.col("_set"), "left_anti")
+
+
+def flag_before(loaded: DataFrame, ids: DataFrame, flag: str) -> DataFrame:
+    """Log rows whose prior images show the flag as it was before :func:`deactivate`."""
+    marks = ids.groupBy(F.col("id").cast("string").alias("_was")).agg(F.max("value").alias("_value"))
+    prior = F.when(F.col("_was").isNotNull() & F.col("prior").isNotNull(), F.col("prior").withField(flag, F.col("_value")))
+    return (loaded.join(marks, F.col("target_id") == F.col("_was"), "left")
+            .withColumn("prior", F.coalesce(prior, F.col("prior"))).drop("_was", "_value"))
 
 
 def bind_parents(df: DataFrame, spec: TableSpec, target: Env, specs: Mapping[str, TableSpec]) -> DataFrame:

@@ -19,6 +19,7 @@ from tabsync.storage import materialise, materialise_counted, side_by_side, smal
 
 #: Adds an ``errors`` array to the rows of a table that the target would refuse.
 Checker = Callable[[DataFrame, TableSpec, int], DataFrame]
+SAVED = ("log", "xwalk", "key_xwalk")
 
 
 @dataclass
@@ -39,6 +40,26 @@ class LoadResult:
     def summary(self) -> DataFrame:
         return load_summary(self.log)
 
+    def save(self, path: str) -> str:
+        """Write everything that a rollback, or a look at what was refused, needs; not the target's tables."""
+        spark = self.log.sparkSession
+        parts = [("loaded", t, df) for t, df in self.loaded.items()] + [("rejected", t, df) for t, df in self.rejected.items()]
+        for i, (_, _, df) in enumerate(parts):
+            df.write.parquet(f"{path}/part-{i}")
+        for name in SAVED:
+            if (df := getattr(self, name)) is not None:
+                df.write.parquet(f"{path}/{name}")
+        small_frame(spark, [(i, kind, t) for i, (kind, t, _) in enumerate(parts)], "part int, kind string, table string").write.parquet(f"{path}/index")
+        return path
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, env: Env | None = None) -> LoadResult:
+        """A saved load, also in a later session; ``env`` is the target as it stands now."""
+        out = cls(dict(env or {}), **{name: spark.read.parquet(f"{path}/{name}") for name in SAVED})
+        for r in spark.read.parquet(f"{path}/index").orderBy("part").collect():  # one line per table
+            getattr(out, r["kind"])[r["table"]] = spark.read.parquet(f"{path}/part-{r['part']}")
+        return out
+
 
 def load_preview(spark: SparkSession, bundle: Bundle) -> DataFrame:
     """The dry run: what would be loaded, in order."""
@@ -71,6 +92,11 @@ class _Outcome:
     stripped: Sequence[str] = ()
     first_pass: bool = True
     matched: DataFrame | None = None
+    flagged: bool = False  # the rows brought their own active flag
+
+
+#: Errors found while rows were prepared; they stay with a row through all retries.
+JUDGED = ("_invalid", "_repeated")
 
 
 class _Run:
@@ -85,6 +111,7 @@ class _Run:
         self.rejected: dict[str, list[DataFrame]] = {}
         self.stripped: dict[str, list[str]] = {}
         self.deferred: dict[str, DataFrame] = {}
+        self.flagged: dict[str, list[DataFrame]] = {}
         self.lines: list[tuple] = []
 
     def all(self, on_error: str) -> LoadResult:
@@ -108,10 +135,19 @@ class _Run:
             spec = self.specs[name]
             cols = [c for c in spec.deferred if c and c in self.env[name].columns]
             moved = self.key_xwalk.where(F.col("table") == name)
+            # Rows that the target refused leave nothing behind.
+            taken = clean.union_results(self.loaded[name]).select(F.coalesce("source_key", "target_key").alias("_taken"))
+            held = held.join(taken, F.col("key") == F.col("_taken"), "left_semi")
             self.env[name] = clean.restore_deferred(self.env[name], held, spec.key, cols, moved)
         for name, ids in active.items():
+            if ids is None:
+                continue
             spec = self.specs[name]
-            self.env[name] = write.reactivate(self.env[name], ids, spec.active_col, spec.id_col)
+            own = self.flagged.get(name)  # a flag that came with the rows counts
+            left = write.without_given(ids, clean.union_results(own)) if own else ids
+            self.env[name] = write.reactivate(self.env[name], left, spec.active_col, spec.id_col)
+            self.loaded[name] = [write.flag_before(f, ids, spec.active_col) for f in self.loaded.get(name, [])]
+        self.loaded = {t: fs for t, fs in self.loaded.items() if fs}
         return LoadResult(
             self.env, small_frame(self.spark, self.lines, LOG_SCHEMA),
             {t: clean.union_results(fs) for t, fs in self.loaded.items()},
@@ -152,6 +188,8 @@ class _Run:
             self.env[name] = o.env
             self.loaded.setdefault(name, []).append(o.done)
             self.stripped.setdefault(name, []).extend(o.stripped)
+            if o.flagged:
+                self.flagged.setdefault(name, []).append(o.done)
             if o.held is not None:
                 self.deferred[name] = o.held
             if o.first_pass:
@@ -167,11 +205,12 @@ class _Run:
         target = self.env[spec.name]
         if spec.match_on_name:
             return _Outcome(spec, matched=self.match(rows, spec))
+        rows, stripped = self.prepare(rows, spec, target, pass2)
         held = None
-        if spec.deferred and not pass2:
-            rows, held = clean.defer_values(rows, spec.name, spec.key, spec.deferred[0], spec.deferred[1])
+        if spec.deferred and not pass2 and spec.deferred[0] in rows.columns:  # repeated keys are gone by now
+            key = "_source_key" if spec.auto_number_key else spec.key
+            rows, held = clean.defer_values(rows, spec.name, key, spec.deferred[0], spec.deferred[1])
             held = materialise(held, f"deferred-{spec.name}")
-        rows, stripped = self.prepare(rows, spec, target, pass2)
         judged, seen = materialise_counted(self.judge(rows, spec, 0), f"judged-{spec.name}",
                                            refused=F.count_if(F.size("errors") > 0))
         submitted, refused, rejected = seen["rows"], seen["refused"], None
@@ -182,12 +221,12 @@ class _Run:
             if again is not None:
                 ok = clean.union_results([ok, again])
             refused = tally["failed"]
-            rejected = bad.withColumn("table", F.lit(spec.name))
+            rejected = bad.drop(*JUDGED).withColumn("table", F.lit(spec.name))
         written = materialise(self.apply(target, ok, spec, pass2), f"table-{spec.name}")
         line = (order, spec.name, spec.key, submitted, submitted - refused, refused, "partial" if refused else "success")
         return _Outcome(spec, line, write.current(written),
                         write.loaded_rows(written, order, spec.name, spec.id_col, spec.key),
-                        rejected, held, stripped, not pass2)
+                        rejected, held, stripped, not pass2, flagged=spec.active_col in ok.columns)
 
     def match(self, rows: DataFrame, spec: TableSpec) -> DataFrame:
         found = crosswalk.match_by_name(rows, self.env[spec.name], spec.name_col, "_source_id", spec.id_col)
@@ -212,6 +251,9 @@ class _Run:
             moved = self.key_xwalk.where(F.col("table") == spec.name)
             kept = rows.withColumn("_source_key", F.col(spec.key).cast("string"))
             rows = crosswalk.map_to_target_ids(kept, target, spec.key, spec.id_col, moved).drop("op")
+            order = [c for c in order if c in rows.columns and c != spec.id_col]
+            order += [c for c in ("_source_id",) if c in rows.columns and c not in order]
+            rows = crosswalk.mark_repeated(rows, spec.id_col, order or ["_source_key"], spec.key)
         elif spec.key:
             rows = clean.dedupe_keep_last(rows, spec.key, order, spec.id_col)
         if self.mask and not pass2:
@@ -223,7 +265,8 @@ class _Run:
         bound = write.bind_parents(rows, spec, self.env, self.specs)
         metas = [f for f in self.fields.get(spec.name, ()) if f.name in rows.columns]
         judged = clean.check_rows(bound, metas, spec.with_(refs=()))
-        judged = judged.withColumn("errors", F.concat("errors", "_unbound")).drop("_unbound")
+        found = [c for c in JUDGED if c in judged.columns]
+        judged = judged.withColumn("errors", F.concat("errors", "_unbound", *found)).drop("_unbound")
         return self.checker(judged, spec, attempt) if self.checker else judged
 
     def split(self, judged: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:

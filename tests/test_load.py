@@ -236,6 +236,58 @@ def test_subset_export_and_delta(spark, source, empty, rows):
     assert {e[4]: (e[0], n) for e, n in delta.entries} == {"account": ("delta", 1)}
 
 
+def test_rollback_of_a_saved_load_brings_flags_back(spark, frame, rows):
+    spec = TableSpec("rule", "id", "k", active_col="on")
+    source = {"rule": frame("id int, k string, on boolean, v string", (1, "a", True, "new"), (2, "b", False, "new"), (3, "c", False, "new"))}
+    target = {"rule": frame("id int, k string, on boolean, v string", (10, "a", True, "old"), (11, "b", True, "old"), (12, "z", True, "old"), (13, "y", None, "old"))}
+    result = plans.load(target, plans.export(source, [spec], new_path(spark, "test")), [spec])
+    # The flag that comes with a row counts; rows that the load does not touch are switched on again.
+    assert rows(result.env["rule"], "k", "on", "v") == [("a", True, "new"), ("b", False, "new"), ("c", False, "new"), ("y", None, "old"), ("z", True, "old")]
+    again = plans.LoadResult.open(spark, result.save(new_path(spark, "load")))
+    back, report = plans.rollback(result.env, again, [spec])
+    assert rows(back["rule"]) == rows(target["rule"]) and report.first()["status"] == "OK"
+
+
+def test_repeated_numbered_keys_are_refused(spark, frame, rows):
+    spec = TableSpec("rule", "id", "num", auto_number_key=True)
+    source = {"rule": frame("id int, num string, n string", (1, "a", "one"), (2, "a", "two"), (3, "b", "new"))}
+    target = {"rule": frame("id int, num string, n string", (10, "a", "zero"))}
+    result = plans.load(target, plans.export(source, [spec], new_path(spark, "test")), [spec], on_error="continue")
+    assert rows(result.env["rule"]) == [(10, "a", "two"), (11, "A-11", "new")]
+    assert rows(result.rejected["rule"], "n", "error") == [("one", "DUPLICATE_VALUE:num")]
+    line = result.log.first()
+    assert (line["submitted"], line["succeeded"], line["failed"]) == (3, 2, 1)
+
+
+def test_an_update_never_adds_rows(frame, rows, target):
+    batch = frame("_source_id string, k string, a string", ("s1", "x", "one"), ("s2", "x", "two"), ("s3", None, "none"))
+    assert rows(load.current(load.update(target, batch, "k")), "id", "a") == [(1, "two"), (2, "old"), (3, "old")]
+
+
+def test_refused_rows_leave_no_deferred_values(spark, frame, rows):
+    spec = TableSpec("rule", "id", "k", deferred=("cond", "adv"))
+    source = {"rule": frame("id int, k string, cond string, adv string", (1, "r1", "Custom", "p"), (2, "r2", "Custom", "q"))}
+    target = {"rule": frame("id int, k string, cond string, adv string", (5, "r1", "Any", "kept"), (6, "r2", "Any", "kept"))}
+
+    def refuse(df, spec, attempt):
+        return df.withColumn("errors", F.when(F.col("k") == "r1", F.array(F.lit("NO"))).otherwise(F.col("errors")))
+    result = plans.load(target, plans.export(source, [spec], new_path(spark, "test")), [spec], on_error="continue", checker=refuse)
+    assert rows(result.env["rule"]) == [(5, "r1", "Any", "kept"), (6, "r2", "Custom", "q")]
+
+
+def test_unreadable_values_are_refused_not_nulled(spark, frame, rows):
+    spec = TableSpec("c", "id", "k")
+    source = {"c": frame("id int, k string, n string", (1, "a", "12x"), (2, "b", "7"), (3, "c", " "))}
+    target = {"c": frame("id int, k string, n int", (1, "a", 5), (2, "b", 6))}
+    late = lambda df, spec, attempt: df.withColumn("errors", F.concat("errors", F.when(
+        F.lit(attempt == 0), F.array(F.lit("UNABLE_TO_LOCK_ROW"))).otherwise(F.array().cast("array<string>"))))
+    for checker in (None, late):  # also when the row comes again
+        bundle = plans.export(source, [spec], new_path(spark, "test"), fmt="csv")
+        result = plans.load(target, bundle, [spec], on_error="continue", checker=checker)
+        assert rows(result.env["c"]) == [(1, "a", 5), (2, "b", 7), (3, "c", None)]
+        assert "INVALID_VALUE:n" in result.rejected["c"].first()["error"] and result.log.first()["failed"] == 1
+
+
 class Session:
     """As much of a session as the choice of the shared folder looks at."""
 
