@@ -373,6 +373,8 @@ ORACLES = {
         UNION ALL SELECT 'orders', count(*), count(*) + count(*) FILTER (o_orderkey % 13 = 0), 0, 0, count(*) FILTER (o_orderkey % 13 = 0), count(*) FROM {orders}""",
     "bundle_csv": """SELECT CAST(o_orderkey AS STRING) AS o_orderkey, c_name AS customer_name, o_orderpriority FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
     "load_rollback": """SELECT o_orderkey, 'O-' || CAST(o_orderkey AS STRING) AS o_key, o_custkey, o_orderstatus, o_totalprice FROM {orders_tgt}""",
+    "load_rollback_flags": "SELECT * FROM {sales}",
+    "load_unreadable": "SELECT okey, 'INVALID_VALUE:price' AS error FROM {sales_batch} WHERE CAST(_source_id AS BIGINT) % 10 = 0",
 }
 
 ORACLE_SQL = {name: sql(text) for name, text in ORACLES.items()}

@@ -754,3 +754,22 @@ def load_rollback(spark, d):
     result = plans.load(target, bundle, specs)
     back, _ = plans.rollback(result.env, result, specs)
     return back["orders"].select("o_orderkey", "o_key", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@query
+def load_rollback_flags(spark, d):
+    """A load over rows with an active flag, saved, opened again and taken back: rows, values and flags are those from before."""
+    spec = SALES.with_(active_col="active")
+    env = {"sales": table(spark, d, "sales_batch").select(F.col("_source_id").cast("bigint").alias("id"), "okey", "status", "price")}
+    result = plans.load({"sales": table(spark, d, "sales")}, plans.export(env, [spec], new_path(spark, "bundle")), [spec])
+    again = plans.LoadResult.open(spark, result.save(new_path(spark, "load")))
+    return plans.rollback(result.env, again, [spec])[0]["sales"]
+
+
+@query
+def load_unreadable(spark, d):
+    """Rows whose text is no number are refused; they are not written with a null."""
+    price = F.when(F.col("_source_id").cast("bigint") % 10 == 0, "n/a").otherwise(F.col("price").cast("string"))
+    env = {"sales": table(spark, d, "sales_batch").select(F.col("_source_id").cast("bigint").alias("id"), "okey", "status", price.alias("price"))}
+    result = plans.load({"sales": table(spark, d, "sales")}, plans.export(env, [SALES], new_path(spark, "bundle")), [SALES], on_error="continue")
+    return result.rejected["sales"].select("okey", "error")
