@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -81,45 +82,60 @@ def read_record(path: str, number: int) -> tuple[int | None, np.ndarray]:
         return unpack(unframe(f.read(HEAD_SIZE), f.read))
 
 
-class WordEncoder(dict):
+class WordEncoder:
     """Ids of text by a tokenizer that drops white space; each run between ASCII white space is encoded once.
 
-    Such runs never influence each other in a tokenizer whose pre-tokenizer drops white space. The cache is emptied when full.
+    Such runs never influence each other in a tokenizer whose pre-tokenizer drops white space. A mark behind a letter is a token of
+    its own there, and ASCII letters are put in lower case anyway, so that runs share their stems. The cache of stems is emptied when full.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         self.stems: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        spaced = [t.translate(_SPACES).split(" ") for t in texts]
-        unique = dict.fromkeys(w for words in spaced for w in words)
-        new = [w for w in unique if w not in self]
-        if len(self) + len(new) > CACHED:
-            self.clear()
-            self.stems.clear()
-            new = list(unique)
-        parts = [_parts(w) for w in new]
-        stems = [x for x in dict.fromkeys(x for p in parts for x in p) if x not in self.stems]
-        for x, e in zip(stems, self.tokenizer.encode_batch_fast(stems, add_special_tokens=False)):
-            self.stems[x] = np.array(e.ids, "<u4").tobytes()
-        self.update(zip(new, (b"".join(map(self.stems.__getitem__, p)) for p in parts)))
-        return [np.frombuffer(b"".join(map(self.__getitem__, words)), "<u4") for words in spaced]
-
-
-def _parts(word: str) -> tuple[str, ...]:
-    """What is encoded for a run: a mark behind a letter is a token of its own, and ASCII letters are put in lower case anyway."""
-    tail = word[-1:] if len(word) > 1 and word[-1] in ".,;:!?" and word[-2].isalpha() else ""
-    stem = word[:-1] if tail else word
-    if stem.isascii() and "<" not in stem:
-        stem = stem.lower()
-    return (stem, tail) if tail else (stem,)
-
-
-_SPACES = str.maketrans("\t\n\r", "   ")
+        column = pa.array(texts, pa.string())
+        for space in "\t\n\r":
+            column = pc.replace_substring(column, space, " ")
+        runs = pc.split_pattern(column, " ")
+        coded = runs.flatten().dictionary_encode()
+        stem, tail = _parts(coded.dictionary)
+        stem, tail = stem.dictionary_encode(), tail.dictionary_encode()
+        cells = self._ids_of(stem.dictionary.to_pylist()) + self._ids_of(tail.dictionary.to_pylist())
+        # Ids of the distinct parts behind one another; a text's ids are gathered from there, stem and tail of each run.
+        flat = np.frombuffer(b"".join(cells), "<u4")
+        sizes = np.fromiter(map(len, cells), np.int64, len(cells)) // 4
+        starts = np.cumsum(sizes) - sizes
+        parts = np.stack((stem.indices.to_numpy(), tail.indices.to_numpy() + len(stem.dictionary)), axis=1)
+        which = parts[coded.indices.to_numpy()].ravel()
+        long = sizes[which]
+        ends = np.cumsum(long)
+        ids = flat[np.repeat(starts[which] - ends + long, long) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.append(0, ends[1::2])[runs.offsets.to_numpy()]
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def _ids_of(self, stems: list[str]) -> list[bytes]:
+        """Ids (uint32, little endian) of distinct stems."""
+        known = self.stems
+        new = [x for x in stems if x not in known]
+        if len(known) + len(new) > CACHED:
+            known.clear()
+            new = stems
+        for x, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            ids = e.ids
+            known[x] = struct.pack(f"<{len(ids)}I", *ids)
+        return [known[x] for x in stems]
+
+
+def _parts(runs: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Stem and tail of each run: a mark that ends it behind a letter, else nothing. ASCII stems are in lower case, but for those that may be special tokens."""
+    marked = pc.match_substring_regex(runs, r"\p{L}[.,;:!?]$")
+    stem = pc.if_else(marked, pc.utf8_slice_codeunits(runs, 0, -1), runs)
+    tail = pc.if_else(marked, pc.utf8_slice_codeunits(runs, -1), "")
+    plain = pc.and_(pc.string_is_ascii(stem), pc.invert(pc.match_substring(stem, "<")))
+    return pc.if_else(plain, pc.ascii_lower(stem), stem), tail
 
 
 @lru_cache(2)
