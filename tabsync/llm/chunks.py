@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tabsync.llm.common import slices
+from tabsync.llm.common import slices, small_batches
 from tabsync.llm.hyperminhash import mix
 from tabsync.storage import materialise
 
@@ -69,6 +69,7 @@ def _exploded(df: DataFrame, schema: str, rows_of) -> DataFrame:
 
 def remove_repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed: str = "n_removed") -> DataFrame:
     """``df`` with repeated chunks taken out of the texts, and how many went."""
+    small_batches(df.sparkSession)
     last = (1 << 63) - 1
     doc = (F.coalesce(F.col(id_col).cast("bigint"), F.lit(last)).alias("id"), F.xxhash64(text_col).alias("th"))
     texts = df.where(F.length(text_col) > 0).select(*doc, F.col(text_col).alias("text"))

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 SLICE_BYTES = 2 << 20
+#: Bytes of rows that go to or come from Python at once. Such a batch is held by the JVM and by Python at the same time.
+BATCH_BYTES = 4 << 20
 #: Lower case of A-Z only; other bytes stay.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -22,6 +24,13 @@ def read(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFram
     return df.select(*columns) if columns else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows reach Python in batches of at most ``BATCH_BYTES`` in this session from now on; a setting of its own stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Rows of a batch in runs of about ``limit`` bytes of text; a longer text is a run of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
@@ -40,6 +49,7 @@ def append(df: DataFrame, text_col: str, schema: str, make: Callable[[], Callabl
     ``make`` is called once per task and gives a function from a list of texts to one list or array
     per new column. A column of ``df`` that has the name of a new one gives way to it.
     """
+    small_batches(df.sparkSession)
     added = T.StructType.fromDDL(schema)
     kept = [f for f in df.schema.fields if f.name == text_col or f.name not in added.names]
     out = T.StructType([f for f in kept if f.name not in added.names] + added.fields)

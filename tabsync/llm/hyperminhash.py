@@ -23,10 +23,10 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabsync.llm.common import append, slices, words_of
+from tabsync.llm.common import append, slices, small_batches, words_of
 from tabsync.storage import materialise
 
 REGISTERS, REGISTER_BITS, MANTISSA = 256, 8, 10
@@ -183,7 +183,7 @@ def _pairs_confirmed(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataF
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, 4, 16 << 20):
+            for batch in slices(whole, 4):
                 a, b = _sets(batch.column(4)), _sets(batch.column(5))
                 keep = _likely(_signatures(batch.column(2)), _signatures(batch.column(3)), np.array([len(x) for x in a]),
                                np.array([len(x) for x in b]), threshold / 100)
@@ -200,13 +200,14 @@ def _likely(sig_a, sig_b, n_a, n_b, threshold: float) -> np.ndarray:
     return (least >= threshold * np.maximum(n_a, n_b) - 1e-9) & (estimate(sig_a, sig_b, n_a, n_b) >= threshold - margin(least))
 
 
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 2048
+#: Members of a bucket that one task compares with as many others, and about the most bytes of sets that they have.
+BLOCK, BLOCK_BYTES = 2048, 8 << 20
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Rows of a bucket dealt into pairs of blocks of bounded size: any two members meet in one pair of blocks."""
-    sizes = materialise(members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
+def _blocks(members: DataFrame, payload: Column) -> DataFrame:
+    """Rows of a bucket dealt into pairs of blocks of bounded size: any two members meet in one pair of blocks. ``payload``: bytes of a row."""
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(payload) / BLOCK_BYTES)).cast("int").alias("blocks")
+    sizes = materialise(members.groupBy("key").agg(blocks), "blocks")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     return (members.join(sizes, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other", "blocks"))
@@ -221,8 +222,8 @@ def _cross(group, threshold: float):
         others = order[at:]
         a, b = np.nonzero((comp[rows][:, None] < comp[others][None, :])
                           & (np.minimum(n[rows][:, None], n[others][None, :]) >= threshold * np.maximum(n[rows][:, None], n[others][None, :]) - 1e-9))
-        for part in range(0, len(a), 1 << 15):
-            x, y = rows[a[part:part + (1 << 15)]], others[b[part:part + (1 << 15)]]
+        for part in range(0, len(a), 1 << 13):
+            x, y = rows[a[part:part + (1 << 13)]], others[b[part:part + (1 << 13)]]
             keep = _likely(sig[x], sig[y], n[x], n[y], threshold)
             yield x[keep], y[keep]
 
@@ -251,13 +252,15 @@ def _rest(mixed: DataFrame, reps: DataFrame, items: DataFrame, threshold: int) -
                         joined.add((comp[i], comp[j]))
                         links.append((ids[i], ids[j]))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-    near = materialise(_blocks(rows).groupBy("key", "low", "high").applyInPandas(flagged, "key bigint, id bigint").distinct(), "flagged")
+    near = materialise(_blocks(rows, F.length("sig")).groupBy("key", "low", "high").applyInPandas(flagged, "key bigint, id bigint").distinct(), "flagged")
     full = mixed.join(near, ["key", "id"], "left_semi").join(items, "id")
-    return materialise(_blocks(full).groupBy("key", "low", "high").applyInPandas(confirmed, "a bigint, b bigint").distinct(), "links")
+    return materialise(_blocks(full, F.length("items") + F.length("sig")).groupBy("key", "low", "high").applyInPandas(confirmed, "a bigint, b bigint").distinct(), "links")
 
 
 def near_duplicates(df: DataFrame, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of every row of ``df``; ``threshold`` in per cent of the union."""
+    small_batches(df.sparkSession)
+
     def make():
         def run(texts):
             found = shingles(texts, size)
