@@ -1,16 +1,20 @@
-"""Line dedup by content-defined chunks: repeated runs of lines go, but for their first occurrence.
+"""Line dedup by content: every repeated run of lines of ``LEAST`` words or more goes, but for its first occurrence.
 
-A rolling hash over the hashes of the last two lines decides whether a chunk ends behind a line, so
-boundaries depend on nearby lines alone and come again wherever a passage does, shifted or not. A line of ``LONG_LINE``
-words or more is a chunk by itself, so a passage that is one line is found like one of many.
+A chunk is a shortest run of whole lines that holds ``LEAST`` words: one from every line onward and one back from every line, each
+beginning and ending with a line that is not blank. Chunks overlap, so a passage that two texts share is covered by chunks inside it from its
+first line to its last, wherever it stands and however short its lines are, and what has fewer words than ``LEAST`` is in no chunk of its own.
+No boundary is left to chance. Two letters of a script that writes no spaces count as a word.
 
-A chunk counts if it has several lines or is such a line. Chunks of equal 128-bit hash are compared byte by byte with the first
-of them (smallest id, then text hash, then place) before they are removed; the first stays. Null texts stay null,
-empty ones empty; null ids come last. Rows of equal id and text are one occurrence and keep the same chunks.
+Chunks of equal 128-bit hash are compared byte by byte with the first of them (smallest id, then text hash, then place) before
+they are removed; the first stays, also where a later one of the same text overlaps it. Blank lines go if all that is next to them
+on both sides goes. Null texts stay null, empty ones empty; null ids come last. Rows of equal id and text are one occurrence and keep the
+same chunks. What is counted as removed are chunks, not lines.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -20,37 +24,52 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tabsync.llm.common import slices, small_batches
-from tabsync.llm.hyperminhash import mix
 from tabsync.storage import materialise
 
-LONG_LINE, DIVISOR = 25, 3
+LEAST = 25
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
 
+def words_in(line: str) -> int:
+    return len(line.split()) + (0 if line.isascii() else len(_UNSPACED.findall(line)) // 2)
 
-def bounds(lines: list[str], long_line: int = LONG_LINE) -> list[int]:
-    """First line of each chunk, and the number of lines."""
-    hashed = np.fromiter((xxhash.xxh3_64_intdigest(x.encode()) for x in lines), np.uint64, len(lines))
-    with np.errstate(over="ignore"):
-        rolled = mix(hashed * np.uint64(0x9E3779B97F4A7C15) + np.append(np.uint64(0), hashed[:-1]))
-    ends = rolled % np.uint64(DIVISOR) == 0
-    alone = np.fromiter((len(x) >= 2 * long_line - 1 and len(x.split()) >= long_line for x in lines), bool, len(lines))
-    ends |= alone
-    ends[:-1] |= alone[1:]
-    ends[-1] = True
-    return [0, *(np.flatnonzero(ends) + 1).tolist()]
+
+def runs(lines: list[str], least: int = LEAST) -> list[tuple[int, int]]:
+    """First line of each chunk and the line behind its last, in order."""
+    upto = np.append(0, np.cumsum(np.fromiter(map(words_in, lines), np.int64, len(lines))))
+    at = np.flatnonzero(np.diff(upto))
+    ends = np.searchsorted(upto, upto[at] + least)
+    starts = np.searchsorted(upto, upto[at + 1] - least, "right") - 1
+    onward = zip(at[ends < len(upto)].tolist(), ends[ends < len(upto)].tolist())
+    back = zip(starts[starts >= 0].tolist(), (at[starts >= 0] + 1).tolist())
+    return sorted({*onward, *back})
+
+
+def hashes(text: str) -> list[tuple[int, bytes]]:
+    """Number and hash of the chunks; each line is hashed once."""
+    lines = text.split("\n")
+    own = [xxhash.xxh3_128_digest(x.encode()) for x in lines]
+    return [(no, xxhash.xxh3_128_digest(b"".join(own[a:b]))) for no, (a, b) in enumerate(runs(lines))]
 
 
 def chunks(text: str) -> list[tuple[int, str]]:
-    """Number and text of the chunks that count."""
+    """Number and text of the chunks."""
     lines = text.split("\n")
-    at = bounds(lines)
-    return [(i, "\n".join(lines[a:b])) for i, (a, b) in enumerate(zip(at, at[1:]))
-            if b - a > 1 or len(lines[a].split()) >= LONG_LINE]
+    return [(no, "\n".join(lines[a:b])) for no, (a, b) in enumerate(runs(lines))]
 
 
 def without(text: str, gone: set[int]) -> str:
-    lines = text.split("\n")
-    at = bounds(lines)
-    return "\n".join(x for i, (a, b) in enumerate(zip(at, at[1:])) if i not in gone for x in lines[a:b])
+    lines, first, out = text.split("\n"), {}, set()
+    for no, (a, b) in enumerate(runs(lines)):
+        if no in gone:  # what a kept chunk of the same content holds as well stays
+            out.update(range(max(a, first.get("\n".join(lines[a:b]), 0)), b))
+        else:
+            first.setdefault("\n".join(lines[a:b]), b)
+    full = [i for i, x in enumerate(lines) if x and not x.isspace()]
+    for i, k in zip(full, full[1:]):
+        if i in out and k in out:
+            out.update(range(i + 1, k))
+    return "\n".join(x for i, x in enumerate(lines) if i not in out)
 
 
 def _exploded(df: DataFrame, schema: str, rows_of) -> DataFrame:
@@ -74,7 +93,7 @@ def remove_repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     doc = (F.coalesce(F.col(id_col).cast("bigint"), F.lit(last)).alias("id"), F.xxhash64(text_col).alias("th"))
     texts = df.where(F.length(text_col) > 0).select(*doc, F.col(text_col).alias("text"))
     found = materialise(_exploded(texts, "id bigint, th bigint, no int, h binary", lambda i, th, t: [
-        (i, th, no, xxhash.xxh3_128_digest(c.encode())) for no, c in chunks(t)]), "chunks")
+        (i, th, no, h) for no, h in hashes(t)]), "chunks")
     place = F.struct("id", "th", "no")
     firsts = materialise(found.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").drop("last"), "firsts")
     hits = found.join(firsts, "h").select("id", "th", "no", "h", (place == F.col("first")).alias("is_first"))

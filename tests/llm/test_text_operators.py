@@ -123,6 +123,46 @@ def test_chunks(spark, odd, none):
     assert chunks.remove_repeated(none).count() == 0
 
 
+@pytest.mark.parametrize("n, words", [(3, 18), (5, 12), (6, 10), (10, 10), (60, 1), (3, 24), (1, 50)])
+def test_chunks_whole_passage(spark, n, words):
+    """A passage of over 50 words goes whole, however its lines are cut and whatever stands around it; blank lines inside go with it."""
+    rows, passages = [], []
+    for k in range(12):
+        lines = [" ".join(f"p{k}.{i}.{j}" for j in range(words)) for i in range(n)]
+        passages.append(lines)
+        for d in range(2):
+            own = [f"own {k} {d} {i}" for i in range(k % 4 + d)]
+            rows.append((2 * k + d, "\n".join([*own, ("\n\n" if k % 2 else "\n").join(lines), f"end {k} {d}"])))
+    got = {r.doc_id: r for r in chunks.remove_repeated(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for k in range(12):
+        assert got[2 * k].text == rows[2 * k][1] and got[2 * k].n_removed == 0
+        assert got[2 * k + 1].text == "\n".join([*(f"own {k} 1 {i}" for i in range(k % 4 + 1)), f"end {k} 1"])
+
+
+def test_chunks_are_every_repeated_run():
+    """Lines that go are those of all runs of enough words that are also in a text before."""
+    rng = np.random.default_rng(5)
+    pool = [" ".join(f"w{i}.{j}" for j in range(rng.integers(0, 12))) for i in range(8)]
+    for _ in range(300):
+        one, two = ([pool[i] for i in rng.integers(0, 8, 12)] for _ in range(2))
+        two = [x if i % 5 else f"own {i}" for i, x in enumerate(two)]
+        seen = {c for _, c in chunks.chunks("\n".join(one))}
+        gone = {no for no, c in chunks.chunks("\n".join(two)) if c in seen}
+        want = set()
+        for a in range(12):
+            for b in range(a + 1, 13):
+                if two[a] and two[b - 1] and sum(len(x.split()) for x in two[a:b]) >= chunks.LEAST and any(one[i:i + b - a] == two[a:b] for i in range(12)):
+                    want.update(range(a, b))
+        got = {i for no, (a, b) in enumerate(chunks.runs(two)) if no in gone for i in range(a, b)}
+        assert got == want
+
+
+def test_chunks_keep_one_of_overlapping(spark):
+    text = "\n".join(["the same ten words in a line over and over"] * 9)
+    got = chunks.remove_repeated(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert got.text == "\n".join(text.split("\n")[:3])
+
+
 def test_chunks_query(result, docs):
     """Against a plain form: first places of chunks in the order of ids."""
     seen, want = set(), {}
