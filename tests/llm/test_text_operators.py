@@ -157,6 +157,17 @@ def test_chunks_are_every_repeated_run():
         assert got == want
 
 
+def test_chunks_leave_short_pairs(spark):
+    """Pairs of frequent short lines, blank ones among them, are not a passage; 24 words stay, 25 go, also without spaces between words."""
+    few, enough, unspaced = " ".join("abcdefghijkl"), " ".join("mnopqrstuvwxy"), "一二三四五六七八九十" * 3
+    shared = ["Un.\nAn ele.", "En lal eauoue.\nLes.", "\n\n", f"{few}\n{few}"]
+    rows = [(i, f"own {i}\n{x}\nend {i}") for i, x in enumerate(x for x in shared for _ in range(40))]
+    rows += [(1000 + i, f"own {i}\n{few}\n{enough}\nend {i}") for i in range(2)] + [(2000 + i, f"own {i}\n{unspaced}\n{unspaced[:20]}\nend {i}") for i in range(2)]
+    got = {r.doc_id: r for r in chunks.remove_repeated(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(got[i].text == text and got[i].n_removed == 0 for i, text in rows if i % 1000 == 0 or i < 1000)
+    assert got[1001].text == got[2001].text == "own 1\nend 1"
+
+
 def test_chunks_keep_one_of_overlapping(spark):
     text = "\n".join(["the same ten words in a line over and over"] * 9)
     got = chunks.remove_repeated(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
