@@ -4,10 +4,11 @@ Pages of a host are merged into one tree: an element is known by the tags and cl
 all pages of the host, an element's presentation importance is the entropy of its sequences of children, and its content
 importance falls with the share of pages on which the same text stands in it (an entropy too: text that is on all m pages
 has importance 0, text of one page 1). Both are weighed together, and branches of low importance are taken out of every
-page. An article (or main) element is kept whatever its texts repeat, and what is noise by its nature (scripts, forms, menus, and
-elements that call themselves adverts, notices, sidebars or comments) always goes.
+page. Where there is an article (or main) element, only what stands inside counts, and there elements go one by one by their own importance:
+the article itself stays, and so does all of it where nothing else would be left of it. What is noise by its nature (scripts, forms,
+menus, and elements that call themselves adverts, notices, sidebars or comments) always goes.
 
-Statistics are counted by element and text hash before anything meets by host; what goes back to the pages is one short list
+Exact copies of a page on a host count once. Statistics are counted by element and text hash before anything meets by host; what goes back to the pages is one short list
 of branches per host. Pages without host form no tree. A null page gives an empty text, and every row gives one row.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -43,8 +45,8 @@ HOLDS = frozenset("article main".split())
 
 
 def walk(html: str):
-    """Texts of a page in order: (path of its block, text, whether it is noise by nature, whether inside an article, block number), and elements with children."""
-    stack: list[list] = [["", "", False, False, []]]  # tag, path, noise, inside an article, children
+    """Texts of a page in order: (path of its block, text, whether it is noise by nature, path of the outermost article around it, block number), and elements with children."""
+    stack: list[list] = [["", "", False, "", []]]  # tag, path, noise, path of the outermost article, children
     texts, elements, at, block = [], [], 0, 0
 
     def shut(n: int) -> None:
@@ -89,7 +91,7 @@ def walk(html: str):
         if tag in VOID or m[3].rstrip().endswith("/") and tag not in BLOCKS:
             continue
         noise = up[2] or tag in NOISE or tag == "header" and not up[3] or bool(NOISY_NAMES & set(names)) and tag not in ("html", "body", "article", "main")
-        stack.append([tag, path, noise, up[3] or tag in HOLDS, []])
+        stack.append([tag, path, noise, up[3] or (path if tag in HOLDS else ""), []])
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = end.start() if end else len(html)
@@ -98,7 +100,7 @@ def walk(html: str):
     return texts, elements
 
 
-def blocks(texts) -> list[tuple[str, str, bool, bool]]:
+def blocks(texts) -> list[tuple[str, str, bool, str]]:
     """Whole blocks, white space turned into single spaces; empty ones dropped."""
     out: list[list] = []
     for path, text, noise, inside, number in texts:
@@ -112,9 +114,12 @@ def blocks(texts) -> list[tuple[str, str, bool, bool]]:
 def main_text(html: str, low: set[str]) -> str:
     """Text of a page without noise and without branches of low importance; where there is an article, only what stands inside."""
     found = [(p, t, i) for p, t, n, i in blocks(walk(html)[0]) if not n]
-    if any(i for _, _, i in found):
-        found = [x for x in found if x[2]]
-    return "\n\n".join(t for p, t, i in found if i or not any(p == b or p.startswith(b + ">") for b in low))
+    inside = [x for x in found if x[2]]
+    if inside:
+        found = [x for x in inside if x[0] == x[2] or x[0] not in low] or inside
+    else:
+        found = [x for x in found if not any(x[0] == b or x[0].startswith(b + ">") for b in low)]
+    return "\n\n".join(t for _, t, _ in found)
 
 
 def _features(html: str) -> list[tuple[str, str, int]]:
@@ -133,16 +138,20 @@ HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 def importance(pages: DataFrame) -> DataFrame:
     """``host, path, pages, importance`` of every element of the trees; ``pages``: host, html."""
-    out = T.StructType.fromDDL("host string, path string, kind string, h bigint")
+    out = T.StructType.fromDDL("host string, page bigint, found array<struct<path: string, kind: string, h: bigint>>")
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 1):
-                rows = [(host, *f) for host, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) for f in _features(html)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.string(), pa.string(), pa.string(), pa.int64()))],
-                                                 names=out.names)
-    counted = pages.where("host IS NOT NULL AND html IS NOT NULL").select("host", "html").mapInArrow(run, out).groupBy("host", "path", "kind", "h").agg(
-        F.count(F.lit(1)).cast("double").alias("n"))
+            for part in slices(batch, 2):
+                each = [_features(html) for html in part.column(2).to_pylist()]
+                flat = [f for fs in each for f in fs]
+                found = pa.StructArray.from_arrays([pa.array([f[i] for f in flat], k) for i, k in enumerate((pa.string(), pa.string(), pa.int64()))],
+                                                   names=["path", "kind", "h"])
+                ends = pa.array(list(accumulate(map(len, each), initial=0)), pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(ends, found)], names=out.names)
+    known = pages.where("host IS NOT NULL AND html IS NOT NULL").select("host", F.xxhash64("html").alias("page"), "html")
+    once = known.mapInArrow(run, out).groupBy("host", "page").agg(F.first("found").alias("found"))
+    counted = once.select("host", F.explode("found").alias("f")).groupBy("host", "f.path", "f.kind", "f.h").agg(F.count(F.lit(1)).cast("double").alias("n"))
     of = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value))
     n = F.col("n")
     sums = counted.groupBy("host", "path").agg(of("page", n).alias("pages"), *[f for k in ("style", "text") for f in (

@@ -40,6 +40,19 @@ def test_pages(spark):
     assert got == {**{i: f"own text & {i} more" for i in range(5)}, 6: "A\n\nb c\n\nthe same words on every page", 7: "no host", 8: "", 9: ""}
 
 
+def test_pages_tree_inside_articles(spark):
+    """What a host repeats inside its articles under a name of no list goes; own text, whole articles and copied pages stay."""
+    strip, tail = "<div class='zz-strip'><p>Join our club today</p></div>", "<p class='qq'>The same last words</p>"
+    rows = [(i, f"http://a.example/{i}", f"<div>menu</div><article><h1>Title {i}</h1>{strip}<p>own text {i}<p>more {i}</p>{tail}</article>") for i in range(6)]
+    rows += [(10 + i, f"http://m.example/{i}", f"<main><div><p>own text {i}</p></div>{strip}</main>") for i in range(3)]
+    rows += [(20 + i, f"http://f.example/{i}", f"<p>{i}</p><article><p>the same article</p></article>") for i in range(4)]
+    rows += [(30 + i, f"http://c.example/{i}", "<article><h1>A</h1><p>one page many times</p></article>") for i in range(9)]
+    rows += [(39, "http://c.example/9", "<article><h1>B</h1><p>another page</p><ul><li>x</ul></article>")]
+    got = {r.page_id: r.text for r in style_tree.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {**{i: f"Title {i}\n\nown text {i}\n\nmore {i}" for i in range(6)}, **{10 + i: f"own text {i}" for i in range(3)},
+                   **{20 + i: "the same article" for i in range(4)}, **{30 + i: "A\n\none page many times" for i in range(9)}, 39: "B\n\nanother page\n\nx"}
+
+
 def test_neighbours(spark, result):
     rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").toPandas()
     x, ids = np.stack(rows.embedding).astype(float), rows.vec_id.to_numpy()
