@@ -6,7 +6,9 @@ importance falls with the share of pages on which the same text stands in it (an
 has importance 0, text of one page 1). Both are weighed together, and branches of low importance are taken out of every
 page. Where there is an article (or main) element, only what stands inside counts, and there elements go one by one by their own importance:
 the article itself stays, and so does all of it where nothing else would be left of it. What is noise by its nature (scripts, forms,
-menus, and elements that call themselves adverts, notices, sidebars or comments) always goes.
+menus, and elements that call themselves adverts, notices, sidebars or comments) goes. A name says so if it is made of such words and words
+of place or shape only (``cookie-bar``, not ``has-sidebar`` or ``social-policy``), and it does not speak against the text: where no
+text of an article is left, or no text at all, the wrapper around most of it is none.
 
 Exact copies of a page on a host count once. Statistics are counted by element and text hash before anything meets by host; what goes back to the pages is one short list
 of branches per host. Pages without host form no tree. A null page gives an empty text, and every row gives one row.
@@ -41,13 +43,26 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 NOISY_NAMES = frozenset("""ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr
 masthead menu modal nav navbar navigation newsletter notice notices popup promo related respond share sharing sidebar social sponsor sponsored subscribe
 widget widgets""".split())
+#: Words that may stand beside them in a name.
+BESIDE = frozenset("""area areas bar bars block blocks body bottom box boxes btn btns button buttons col column container desktop entry footer form group header
+holder icon icons inner item items left link links list lists message mobile module outer overlay panel post posts primary right row secondary section
+sections site slot slots strip thread top unit wrap wrapper""".split())
 HOLDS = frozenset("article main".split())
 
 
+def _parts(name: str) -> list[str]:
+    return [w for w in re.split(r"[^a-z0-9]+", name.lower()) if w and not w.isdigit()]
+
+
+def noisy(names: list[str]) -> bool:
+    """Whether one of the names (class, id or role, each whole) says that an element is noise."""
+    return any(NOISY_NAMES & set(own) and set(own) <= NOISY_NAMES | BESIDE for own in map(_parts, names))
+
+
 def walk(html: str):
     """Texts of a page in order: (path of its block, text, whether it is noise by nature, path of the outermost article around it, block number), and elements with children."""
-    stack: list[list] = [["", "", False, "", []]]  # tag, path, noise, path of the outermost article, children
-    texts, elements, at, block = [], [], 0, 0
+    stack: list[list] = [["", "", False, "", [], ()]]  # tag, path, noise, path of the outermost article, children, elements around that are noise by name
+    texts, elements, at, block, marked = [], [], 0, 0, []
 
     def shut(n: int) -> None:
         while len(stack) > n:
@@ -57,7 +72,7 @@ def walk(html: str):
     def say(text: str) -> None:
         if text:
             own = next((x for x in reversed(stack) if x[0] in BLOCKS), stack[-1])
-            texts.append((own[1], unescape(text), stack[-1][2], stack[-1][3], block))
+            texts.append((own[1], unescape(text), stack[-1][2], stack[-1][3], block, stack[-1][5]))
     for m in _TOKEN.finditer(html):
         if m.start() < at:
             continue
@@ -84,20 +99,43 @@ def walk(html: str):
             inner = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in CLOSES[tag] | {"ul", "ol", "dl", "table"}), 0)
             if inner and stack[inner][0] in CLOSES[tag]:
                 shut(inner)
-        names = sorted({w for v in _NAMED.findall(m[3]) for w in re.split(r"[^a-z0-9]+", v.lower()) if w and not w.isdigit()})
+        given = [x for v in _NAMED.findall(m[3]) for x in v.strip("\"'").split()]
+        names = sorted({w for v in given for w in _parts(v)})
         up = stack[-1]
         path = f"{up[1]}>{'.'.join([tag, *names])}"
         up[4].append(tag)
         if tag in VOID or m[3].rstrip().endswith("/") and tag not in BLOCKS:
             continue
-        noise = up[2] or tag in NOISE or tag == "header" and not up[3] or bool(NOISY_NAMES & set(names)) and tag not in ("html", "body", "article", "main")
-        stack.append([tag, path, noise, up[3] or (path if tag in HOLDS else ""), []])
+        noise = up[2] or tag in NOISE or tag == "header" and not up[3]
+        around = up[5]
+        if NOISY_NAMES.intersection(names) and tag not in ("html", "body", "article", "main") and noisy(given):
+            around = (*around, len(marked))
+            marked.append(path)
+        stack.append([tag, path, noise, up[3] or (path if tag in HOLDS else ""), [], around])
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = end.start() if end else len(html)
     say(html[at:])
     shut(1)
-    return texts, elements
+    return _by_name(texts, marked), elements
+
+
+def _by_name(texts, marked: list[str]):
+    """Texts inside elements that are noise by name become noise, but for wrappers around all that matters: the largest of these are cleared."""
+    cleared: set[str] = set()
+    left = lambda x: [marked[n] for n in x[5] if marked[n] not in cleared]
+    own = [x for x in texts if not x[2] and not x[1].isspace()]
+    own = [x for x in own if x[3]] or own
+    while own and all(map(left, own)):
+        held: dict[str, int] = {}
+        for x in own:
+            outer = left(x)[0]
+            if x[3].startswith(outer + ">") or x[0] != outer:  # an element with nothing but its own words wraps nothing
+                held[outer] = held.get(outer, 0) + len(x[1])
+        if not held:
+            break
+        cleared.add(max(held, key=held.get))
+    return [(p, t, n or bool(left(x)), i, k) for x in texts for p, t, n, i, k, _ in [x]]
 
 
 def blocks(texts) -> list[tuple[str, str, bool, str]]:

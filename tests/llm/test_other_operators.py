@@ -53,6 +53,20 @@ def test_pages_tree_inside_articles(spark):
                    **{20 + i: "the same article" for i in range(4)}, **{30 + i: "A\n\none page many times" for i in range(9)}, 39: "B\n\nanother page\n\nx"}
 
 
+def test_pages_names_around_articles():
+    """A name alone takes neither an article nor a part of it that is only similar in name; what names itself noise still goes."""
+    article = "<article><h1>Title</h1><p>own text</p><section class='social-policy'><p>on social policy</p></section><div class='share-buttons'>share</div></article>"
+    want = "Title\n\nown text\n\non social policy"
+    for wrapper in ("class='content has-sidebar'", "class='no-sidebar'", "id='page' class='site with-nav'", "class='layout-notice'", "class='widget'", "id=social"):
+        page = f"<body><div class='cookie-bar'>cookies</div><div {wrapper}><div class='ad'>buy</div>{article}<section id='comments'><article><p>a comment</p></article></section></div></body>"
+        assert style_tree.main_text(page, set()) == want, wrapper
+    beside = "<div id='comments'><article><p>" + "a long comment " * 9 + "</p></article></div>"
+    assert style_tree.main_text(f"<div class='content'>{article}</div>{beside}", set()) == want
+    assert style_tree.main_text(f"<article><p>short</p><div class='comments'><p>{'long ' * 99}</p></div></article>", set()) == "short"
+    assert style_tree.main_text("<div class='social'><p>one</p><p>two</p></div><div class='ad'>buy</div>", set()) == "one\n\ntwo"
+    assert style_tree.main_text("<div class='ad'>buy</div>", set()) == ""
+
+
 def test_neighbours(spark, result):
     rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").toPandas()
     x, ids = np.stack(rows.embedding).astype(float), rows.vec_id.to_numpy()
