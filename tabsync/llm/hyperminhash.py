@@ -13,7 +13,9 @@ not its square. A comparison first estimates the Jaccard similarity from the reg
 equal by chance, and only drops pairs MARGIN standard errors below the threshold; the rest is confirmed on the full sets.
 
 Null and empty texts have no set and no link; a text of fewer words than a shingle is one shingle. Rows
-without id are components of their own (null). Rows of equal id are one document for the components: what links one links all.
+without id are components of their own (null). Rows of equal id are one document for the components: what links one links all. Until
+links are closed, a representative is a node of its own: its id, or, for all but one of the sets of an id that represents several,
+a negative number drawn from id and content.
 """
 
 from __future__ import annotations
@@ -273,8 +275,18 @@ def near_duplicates(df: DataFrame, threshold: int = 80, id_col: str = "doc_id",
     # Copies: one representative for each set; an id that has several sets links their representatives.
     firsts = materialise(sets.groupBy("content").agg(F.min("id").alias("rep")), "firsts")
     member = materialise(sets.select("id", "content").distinct().join(firsts, "content").select("id", "rep"), "members")
-    first_rows = sets.join(firsts, (sets["content"] == firsts["content"]) & (sets["id"] == firsts["rep"]))
-    reps = materialise(first_rows.select("id", sets["content"], "n", "sig").dropDuplicates(["id", "content"]), "reps")
+    several_sets = materialise(firsts.groupBy("rep").agg(F.min("content").alias("least"), F.max("content").alias("last")).where("least < last").drop("last"), "several-sets")
+    node = F.when(F.col("content") > F.col("least"), F.lit(-(1 << 62)) - F.shiftrightunsigned(F.xxhash64("rep", "content"), 2)).otherwise(F.col("rep"))
+    nodes = firsts.join(several_sets, "rep", "left").select("rep", "content", node.alias("node"))
+    alias = materialise(nodes.where("node != rep").select("node", "rep"), "nodes")
+
+    def real(pairs: DataFrame, *columns: str) -> DataFrame:
+        """Ids in place of nodes."""
+        for c in columns:
+            pairs = pairs.join(alias.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("rep", c)).drop("rep")
+        return pairs
+    first_rows = sets.join(nodes, (sets["content"] == nodes["content"]) & (sets["id"] == nodes["rep"]))
+    reps = materialise(first_rows.select(F.col("node").alias("id"), "rep", sets["content"], "n", "sig").dropDuplicates(["rep", "content"]), "reps")
     rows = band_rows(threshold / 100)
 
     def bands(batches):
@@ -290,11 +302,13 @@ def near_duplicates(df: DataFrame, threshold: int = 80, id_col: str = "doc_id",
     wanted = materialise(met.select("id").distinct(), "wanted")
 
     def make_items():
-        return lambda texts: [[s.tobytes() for s in shingles(texts, size)]]
-    chosen = texts.join(wanted, "id", "left_semi")
-    with_items = append(chosen, "text", "items binary", make_items).select("id", "items")
-    items = materialise(with_items.dropDuplicates(["id", "items"]).join(reps.select("id", "sig", "n"), "id")
-                        .where(F.length("items") == F.col("n") * 8).dropDuplicates(["id"]), "items")
+        def run(texts):
+            found = [s.tobytes() for s in shingles(texts, size)]
+            return [[xxhash.xxh3_128_digest(s) for s in found], found]
+        return run
+    chosen = texts.join(real(wanted, "id"), "id", "left_semi")
+    with_items = append(chosen, "text", "content binary, items binary", make_items).select(F.col("id").alias("rep"), "content", "items")
+    items = materialise(with_items.dropDuplicates(["rep", "content"]).join(reps, ["rep", "content"]).select("id", "items", "sig", "n"), "items")
     copies = member.where("id != rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     links = materialise(_pairs_confirmed(star, items, threshold), "links")
     labels = components(links)
@@ -304,7 +318,7 @@ def near_duplicates(df: DataFrame, threshold: int = 80, id_col: str = "doc_id",
     several = with_comp.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
     mixed = materialise(with_comp.join(materialise(several, "several"), "key", "left_semi"), "mixed")
     more = _rest(mixed, reps, items.select("id", "n", "sig", "items"), threshold)
-    found = components(links.union(more).union(copies))
+    found = components(real(links.union(more), "a", "b").select("a", "b").union(copies))
     return (all_rows.join(found.withColumnRenamed("node", "id"), "id", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))

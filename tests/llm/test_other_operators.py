@@ -105,3 +105,17 @@ def test_near_copies(spark, odd, none):
     assert len(odd_rows) == odd.count() and all(r.component_id == r.doc_id for r in odd_rows)
     assert {r.doc_id: r.n_shingles for r in odd_rows if r.doc_id in (1, 2, 3, 4, 5)} == {1: 0, 2: 0, 3: 1, 4: 0, 5: 1}
     assert hyperminhash.near_duplicates(none, 85).count() == 0
+
+
+def test_near_copies_of_every_text_of_an_id(spark):
+    """An id with several texts of equal length is linked to the near copies of each of them."""
+    rng, rows, want = np.random.default_rng(2), [], {}
+    for i in range(0, 400, 40):
+        for k in range(4):
+            words = [f"w{i}.{k}.{j}" for j in rng.permutation(300)]
+            rows.append((i, " ".join(words)))
+            rows.append((i + 10 + k, " ".join([*words[:-1], f"new{k}"])))
+        want.update({i: i, **{i + 10 + k: i for k in range(4)}})
+    rows.append((399, "own words that nobody else has here"))
+    got = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 85).collect()
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {*want.items(), (399, 399)}
