@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsync.llm import bpe, brown, chunks, decontaminate, forest, hilbert, hyperminhash, records, style_tree, toxicity
+from tabsync.llm import (
+    bpe, brown, chunks, decontaminate, forest, hilbert, hyperminhash, quality, records, runs, style_tree, toxicity, whitening,
+)
 from tabsync.llm.common import crc_of_id, read
 from tabsync.storage import new_path
 
@@ -98,5 +100,34 @@ def op10_hyperminhash(spark, d):
     return hyperminhash.near_duplicates(read(spark, d, "documents", "doc_id", "text"), threshold=85)
 
 
+@query
+def op11_word_runs(spark, d):
+    """Runs of at least 6 words and 4 periods. One document in ten, by the crc32 of its id, is made periodic from a word on."""
+    h = crc_of_id("doc_id")
+    docs = read(spark, d, "documents", "doc_id", "text").withColumn("w", F.when(h % 10 == 0, runs.words_column(F.col("text"))))
+    g, n, w = F.floor(h / 10).cast("bigint"), F.size("w"), F.col("w")
+    docs = docs.withColumn("a", F.when(n > 0, (g % n).cast("int"))).withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    period = F.slice(w, F.col("a") + 1, F.col("p"))
+    longer = F.concat(F.slice(w, F.lit(1), F.col("a")), F.flatten(F.array_repeat(period, F.ceil((n - F.col("a")) / F.col("p")).cast("int"))))
+    text = F.coalesce(F.when(n > 0, F.array_join(F.slice(longer, F.lit(1), n), " ")), F.col("text"))
+    found = runs.find(docs.select("doc_id", text.alias("text"))).withColumn("best", runs.longest("runs"))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+                        runs.digest("runs").alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_quality_ngrams(spark, d):
+    docs = read(spark, d, "documents", "doc_id", "text")
+    model = quality.fit(docs, read(spark, d, "labels", "doc_id", "quality"))
+    return quality.rate(docs, model).select("doc_id", *quality.COUNTS, quality.base_failed().alias("base_failed"), quality.kept().alias("kept"), "probability")
+
+
+@query
+def op13_feast_whitening(spark, d):
+    """Whitened by the four largest components of the distinct vectors in steps of 1/256."""
+    return whitening.whiten(read(spark, d, "embeddings", "vec_id", "embedding"), 4, keep=("vec_id",))
+
+
 #: No operator of this folder has a result that SQL expresses; tests hold each query against a plain or exhaustive form.
 ORACLE_SQL: dict[str, str] = {}
