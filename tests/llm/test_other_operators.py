@@ -1,6 +1,8 @@
 """Shards, pages, neighbours and near copies against plain forms."""
 
+import time
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -31,6 +33,92 @@ def test_shards(result, docs, odd, none):
     assert sorted(placed.groupby("shard").size()) == [3, 3, 4] and hilbert.shard(none, dims, 3, ("doc_id",)).count() == 0
 
 
+class PlainArticle(HTMLParser):
+    """Blocks of a page's article, without elements that are noise by tag or by the one noisy class of the given pages."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.noise, self.out, self.stack = 0, 0, [[]], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in style_tree.VOID:
+            if tag == "br":
+                self.handle_data(" ")
+            return
+        noise = tag in style_tree.NOISE or dict(attrs).get("class") == "ad"
+        self.stack.append((tag, noise))
+        self.noise += noise
+        self.inside += tag == "article"
+        if tag in style_tree.BLOCKS:
+            self.out.append([])
+
+    def handle_endtag(self, tag):
+        if tag not in [t for t, _ in self.stack]:
+            return
+        while True:
+            top, noise = self.stack.pop()
+            self.noise -= noise
+            self.inside -= top == "article"
+            if top in style_tree.BLOCKS:
+                self.out.append([])
+            if top == tag:
+                return
+
+    def handle_data(self, data):
+        if self.inside and not self.noise:
+            self.out[-1].append(data)
+
+
+def test_pages_query(result, spark):
+    """The article of every page, by another parser; the tree finds nothing dull in these."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").toPandas().set_index("page_id")
+    got = result("op2_site_style_tree")
+    assert sorted(got.page_id) == sorted(pages.index)
+    for r in got.itertuples():
+        plain = PlainArticle()
+        plain.feed(pages.html[r.page_id] or "")
+        want = "\n\n".join(t for t in (" ".join("".join(b).split()) for b in plain.out) if t)
+        assert (r.text, r.n_chars, r.url) == (want, len(want), pages.url[r.page_id])
+
+
+def test_pages_lose_repeated_texts_only(spark):
+    """Headings stay, and so does what one page alone says in an element that elsewhere holds a notice."""
+    heads = ["Introduction", "Method", "Results", "References"]
+    rows, want = [], {}
+    for i in range(12):
+        own = "<blockquote>my own quotation</blockquote><h2>Own section 3</h2>" if i == 3 else ""
+        parts = "".join(f"<section><h2>{h}</h2><p>{h} of page {i}</p></section>" for h in heads)
+        rows.append((i, f"http://h.example/{i}", f"<article>{parts}{own}<blockquote>all readers note this</blockquote></article>"))
+        want[i] = [t for h in heads for t in (h, f"{h} of page {i}")] + (["my own quotation", "Own section 3"] if own else [])
+    got = {r.page_id: r.text for r in style_tree.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: "\n\n".join(t) for i, t in want.items()}
+
+
+def test_noise_inside_articles():
+    for noise in ("<header>x</header>", "<div class='ad-300x250'>x</div>", "<div id=user-comments>x</div>", "<p class='advert-inline'>x</p>"):
+        assert style_tree.main_text(f"<article><p>a</p>{noise}<p class='no-sidebar social-policy'>b</p></article>", set()) == "a\n\nb"
+
+
+def test_pages_bear_odd_rows(spark):
+    page = "<article><p>text"
+    rows = [(1, "http://h/1", page, "x", 1), (1, "http://h/1", page, "x", 1), (2, None, None, None, None), (3, "not a url", "", "", 0),
+            (4, "http://h/4", "<p>" + "long words " * 100_000, "y", 2), (5, "http://h/5", "a < b <!-- open", "z", 3), (6, "http://h/6", "<a href='x>y", "z", 3)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, host string, low int").withColumn("text", F.lit(5)).withColumn("row", F.lit(6))
+    got = style_tree.extract(df).collect()
+    texts = sorted((r.page_id, r.text) for r in got)
+    assert texts == [(1, "text"), (1, "text"), (2, ""), (3, ""), (4, ("long words " * 100_000).strip()), (5, "a < b"), (6, "<a href='x>y")] or texts[-1] == (6, "y")
+    assert {(r.host, r.low, r.row) for r in got if r.page_id == 1} == {("x", 1, 6)} and style_tree.extract(df.limit(0)).count() == 0
+
+
+def test_pages_take_time_in_proportion():
+    for html in ("<a " * 350_000, "<a \">" * 100_000, "<a ='" * 100_000, "<!" * 200_000, "<!-- " * 100_000):
+        start = time.time()
+        style_tree.main_text(html, set())
+        assert time.time() - start < 10
+    deep = "<div class=ad>" * 20_000 + "<p>x"
+    assert style_tree.main_text(deep, set()) == "x"
+
+
 def test_pages(spark):
     menu, note = "<div><ul><li>one of the links</ul></div>", "<div class='x'><p>the same words on every page</div>"
     rows = [(i, f"http://h.example/{i}", f"<body>{menu}<p>own text &amp; {i}<br>more{note}<nav>n</nav></body>") for i in range(5)]
