@@ -86,11 +86,12 @@ class WordEncoder:
     """Ids of text by a tokenizer that drops white space; each run between ASCII white space is encoded once.
 
     Such runs never influence each other in a tokenizer whose pre-tokenizer drops white space. A mark behind a letter is a token of
-    its own there, and ASCII letters are put in lower case anyway, so that runs share their stems. The cache of stems is emptied when full.
+    its own there (but for letters whose normal form ends in a sign), and ASCII letters are put in lower case anyway, so that runs share their stems. The cache of stems is emptied when full.
     """
 
     def __init__(self, path: str):
         self.stems: dict[str, bytes] = {}
+        self.letters: dict[str, bool] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -101,7 +102,7 @@ class WordEncoder:
             column = pc.replace_substring(column, space, " ")
         runs = pc.split_pattern(column, " ")
         coded = runs.flatten().dictionary_encode()
-        stem, tail = _parts(coded.dictionary)
+        stem, tail = self._parts(coded.dictionary)
         stem, tail = stem.dictionary_encode(), tail.dictionary_encode()
         cells = self._ids_of(stem.dictionary.to_pylist()) + self._ids_of(tail.dictionary.to_pylist())
         # Ids of the distinct parts behind one another; a text's ids are gathered from there, stem and tail of each run.
@@ -129,13 +130,26 @@ class WordEncoder:
         return [known[x] for x in stems]
 
 
-def _parts(runs: pa.Array) -> tuple[pa.Array, pa.Array]:
-    """Stem and tail of each run: a mark that ends it behind a letter, else nothing. ASCII stems are in lower case, but for those that may be special tokens."""
-    marked = pc.match_substring_regex(runs, r"\p{L}[.,;:!?]$")
-    stem = pc.if_else(marked, pc.utf8_slice_codeunits(runs, 0, -1), runs)
-    tail = pc.if_else(marked, pc.utf8_slice_codeunits(runs, -1), "")
-    plain = pc.and_(pc.string_is_ascii(stem), pc.invert(pc.match_substring(stem, "<")))
-    return pc.if_else(plain, pc.ascii_lower(stem), stem), tail
+    def _parts(self, runs: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Stem and tail of each run: a mark that ends it behind a letter that stays one, else nothing. ASCII stems are in lower case, but for those that may be special tokens.
+
+        A letter whose normal form ends in a sign (as the dot that lower case sets on some letters) shares the mark's piece, so it keeps the mark.
+        """
+        marked = pc.match_substring_regex(runs, r"\p{L}[.,;:!?]$")
+        before = pc.if_else(marked, pc.utf8_slice_codeunits(runs, -2, -1), "").dictionary_encode()
+        stays = pa.array([self._stays(c) for c in before.dictionary.to_pylist()], pa.bool_())
+        marked = pc.and_(marked, stays.take(before.indices))
+        stem = pc.if_else(marked, pc.utf8_slice_codeunits(runs, 0, -1), runs)
+        tail = pc.if_else(marked, pc.utf8_slice_codeunits(runs, -1), "")
+        plain = pc.and_(pc.string_is_ascii(stem), pc.invert(pc.match_substring(stem, "<")))
+        return pc.if_else(plain, pc.ascii_lower(stem), stem), tail
+
+    def _stays(self, letter: str) -> bool:
+        """Whether the normal form of a letter ends in a letter."""
+        if letter not in self.letters:
+            normal = self.tokenizer.normalizer.normalize_str(letter) if self.tokenizer.normalizer else letter
+            self.letters[letter] = normal[-1:].isalpha()
+        return self.letters[letter]
 
 
 @lru_cache(2)

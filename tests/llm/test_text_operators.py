@@ -1,7 +1,10 @@
 """Operators over texts against plain forms of the same."""
 
 import hashlib
+import random
 import re
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
@@ -264,3 +267,19 @@ def test_exchange_finds_classes():
     right[0, 0], left[0, 0] = 20, 20
     target, gain = brown.best_moves(right, left, np.zeros(1), np.array([2]), n)
     assert gain[0] >= 0 and target[0] in (0, 2)
+
+
+def test_records_encode_every_letter_before_marks_as_the_library_does():
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    letters = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] in "LM" and not 0x3400 < c < 0xD7A4 and not 0x17000 <= c]
+    rnd = random.Random(8)
+    texts = [f"{c}, a{c}. {c}b! {c.upper()}; {c}{c}?x" for c in letters]
+    texts += ["".join(rnd.choice(letters + list(" ,.;:!?ab\u0307\u0301") * 200) for _ in range(rnd.randint(0, 30))) for _ in range(20_000)]
+    encoder = records.encoder_of(public_tokenizers.path("word_bpe_49k.json"))
+    for at in range(0, len(texts), 4096):
+        part = texts[at:at + 4096]
+        want = library.encode_batch(part, add_special_tokens=False)
+        for text, mine, theirs in zip(part, encoder.encode(part), want, strict=True):
+            assert mine.tolist() == theirs.ids, text
+    assert encoder.encode(["\u0130,"])[0].tolist() == [328, 136, 229, 267]
