@@ -20,6 +20,7 @@ a negative number drawn from id and content.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -215,48 +216,96 @@ def _blocks(members: DataFrame, payload: Column) -> DataFrame:
             .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other", "blocks"))
 
 
-def _cross(group, threshold: float):
-    """Likely pairs of members of different components, as row numbers; each row of ``group`` is compared with 64 rows at a time."""
-    sig, n, comp = _signatures(pa.array(group["sig"])), group["n"].to_numpy(), group["comp"].to_numpy()
-    order = np.argsort(comp, kind="stable")
-    for at in range(0, len(order), 64):
-        rows = order[at:at + 64]
-        others = order[at:]
-        a, b = np.nonzero((comp[rows][:, None] < comp[others][None, :])
-                          & (np.minimum(n[rows][:, None], n[others][None, :]) >= threshold * np.maximum(n[rows][:, None], n[others][None, :]) - 1e-9))
-        for part in range(0, len(a), 1 << 13):
-            x, y = rows[a[part:part + (1 << 13)]], others[b[part:part + (1 << 13)]]
-            keep = _likely(sig[x], sig[y], n[x], n[y], threshold)
-            yield x[keep], y[keep]
+#: Pairs that are looked at together.
+PAIRS = 1 << 13
+
+
+def _pairs_of(groups: np.ndarray, own: np.ndarray, comp: np.ndarray, n: np.ndarray, threshold: float):
+    """Row numbers of pairs that may be linked, PAIRS at a time at most: rows that stand together with equal ``groups``, of different
+    components, of like size, and of the two blocks that meet there (of one block where it meets itself)."""
+    first = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
+    ends = np.repeat(np.append(first[1:], len(groups)), np.diff(np.append(first, len(groups))))
+    two = np.repeat(np.maximum.reduceat(own, first) != np.minimum.reduceat(own, first), np.diff(np.append(first, len(groups))))
+    partners = ends - np.arange(len(groups)) - 1
+    total = np.cumsum(partners)
+    at = 0
+    while at < len(groups):
+        before = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, before + PAIRS * 16, "right")))
+        x = np.repeat(np.arange(at, end), partners[at:end])
+        y = x + 1 + np.arange(len(x)) - np.repeat(total[at:end] - partners[at:end] - before, partners[at:end])
+        keep = (comp[x] != comp[y]) & ((own[x] != own[y]) | ~two[x]) & (np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]) - 1e-9)
+        x, y = x[keep], y[keep]
+        for part in range(0, len(x), PAIRS):
+            yield x[part:part + PAIRS], y[part:part + PAIRS]
+        at = end
+
+
+def _by_bucket(rows: DataFrame, work: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
+    """``work`` on whole groups (key, low, high), many of them at a time; a group is of bounded size, see :func:`_blocks`."""
+    keys = ("key", "low", "high")
+    many = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number of its own: small rows, much work
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+            groups = _group_numbers(table)
+            cut = int(np.searchsorted(groups, groups[-1]))  # the last group may go on in the next batch
+            if cut:
+                yield work(table.slice(0, cut).combine_chunks())
+            rest = table.slice(cut).combine_chunks()
+        if rest is not None:
+            yield work(rest)
+    return rows.repartition(many, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def _group_numbers(table: pa.Table) -> np.ndarray:
+    columns = [table.column(c).to_numpy() for c in ("key", "low", "high")]
+    change = np.zeros(max(0, table.num_rows - 1), bool)
+    for c in columns:
+        change |= c[1:] != c[:-1]
+    return np.concatenate([[0], np.cumsum(change)])
 
 
 def _rest(mixed: DataFrame, reps: DataFrame, items: DataFrame, threshold: int) -> DataFrame:
     """Confirmed links between members of a bucket that are of different components so far (key, id, comp)."""
-    import pandas as pd
     share = threshold / 100
     rows = mixed.join(reps.select("id", "n", "sig"), "id")
 
-    def flagged(group: pd.DataFrame) -> pd.DataFrame:
-        found = np.zeros(len(group), bool)
-        for x, y in _cross(group, share):
+    def likely(table: pa.Table):
+        n, comp, sig = table.column("n").to_numpy(), table.column("comp").to_numpy(), _signatures(table.column("sig"))
+        for x, y in _pairs_of(_group_numbers(table), table.column("own").to_numpy(), comp, n, share):
+            keep = _likely(sig[x], sig[y], n[x], n[y], share)
+            yield x[keep], y[keep]
+
+    def flagged(table: pa.Table) -> pa.RecordBatch:
+        found = np.zeros(table.num_rows, bool)
+        for x, y in likely(table):
             found[x] = found[y] = True
-        return group.loc[found, ["key", "id"]]
+        some = table.select(["key", "id"]).filter(pa.array(found))
+        return pa.RecordBatch.from_arrays([c.combine_chunks() for c in some.columns], names=["key", "id"])
 
-    def confirmed(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.reset_index(drop=True)
-        sets, ids, comp, links = [np.frombuffer(x, np.uint64) for x in group["items"]], group["id"].to_numpy(), group["comp"].to_numpy(), []
-        joined = set()  # components that are linked already need no second link
-        for x, y in _cross(group, share):
+    def confirmed(table: pa.Table) -> pa.RecordBatch:
+        sets, ids, comp = _sets(table.column("items")), table.column("id").to_numpy(), table.column("comp").to_numpy()
+        links, joined, seen = [], set(), set()  # components that are linked already need no second link
+        for x, y in likely(table):
             for i, j in zip(x.tolist(), y.tolist()):
-                if (comp[i], comp[j]) not in joined:
-                    shared, union = jaccard(sets[i], sets[j])
-                    if 100 * shared >= threshold * union:
-                        joined.add((comp[i], comp[j]))
-                        links.append((ids[i], ids[j]))
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-    near = materialise(_blocks(rows, F.length("sig")).groupBy("key", "low", "high").applyInPandas(flagged, "key bigint, id bigint").distinct(), "flagged")
+                between = (comp[i], comp[j]) if comp[i] < comp[j] else (comp[j], comp[i])
+                pair = (ids[i], ids[j]) if ids[i] < ids[j] else (ids[j], ids[i])
+                if between in joined or pair in seen:
+                    continue
+                seen.add(pair)
+                shared, union = jaccard(sets[i], sets[j])
+                if 100 * shared >= threshold * union:
+                    joined.add(between)
+                    links.append(pair)
+        return pa.RecordBatch.from_arrays([pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    near = materialise(_by_bucket(_blocks(rows, F.length("sig")), flagged, "key bigint, id bigint").distinct(), "flagged")
     full = mixed.join(near, ["key", "id"], "left_semi").join(items, "id")
-    return materialise(_blocks(full, F.length("items") + F.length("sig")).groupBy("key", "low", "high").applyInPandas(confirmed, "a bigint, b bigint").distinct(), "links")
+    return materialise(_by_bucket(_blocks(full, F.length("items") + F.length("sig")), confirmed, "a bigint, b bigint").distinct(), "links")
 
 
 def near_duplicates(df: DataFrame, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:

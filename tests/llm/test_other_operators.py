@@ -1,5 +1,8 @@
 """Shards, pages, neighbours and near copies against plain forms."""
 
+import random
+import re
+import string
 import time
 import zlib
 from html.parser import HTMLParser
@@ -207,3 +210,49 @@ def test_near_copies_of_every_text_of_an_id(spark):
     rows.append((399, "own words that nobody else has here"))
     got = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 85).collect()
     assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {*want.items(), (399, 399)}
+
+
+def plain_components(texts, threshold):
+    """(size of the shingle set, smallest id reachable) of every id, all pairs compared."""
+    sets = {}
+    for i, text in texts.items():
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(str.maketrans({c: c.lower() for c in string.ascii_uppercase}))) if w]
+        sets[i] = {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1:]:
+            if sets[a] and sets[b] and min(len(sets[a]), len(sets[b])) * 100 >= threshold * max(len(sets[a]), len(sets[b])):
+                if 100 * len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]):
+                    x, y = sorted((top(a), top(b)))
+                    root[y] = x
+    return {i: (len(sets[i]), top(i)) for i in ids}
+
+
+def test_near_duplicates_query_is_that_of_all_pairs(result, docs):
+    got = result("op10_hyperminhash")
+    want = plain_components(dict(zip(docs.doc_id, docs.text, strict=True)), 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.itertuples()} == want
+    assert (got.kept == (got.doc_id == got.component_id)).all()
+
+
+def test_crowded_buckets_lose_no_link(spark, monkeypatch):
+    """Members of a few crowded buckets, most pairs right below the threshold, dealt into many small blocks."""
+    monkeypatch.setattr(hyperminhash, "BLOCK", 8)
+    rnd, base = random.Random(3), [f"w{i}" for i in range(300)]
+    texts = {}
+    for i in range(90):
+        words = list(base)
+        for at in rnd.sample(range(300), rnd.choice([2, 4, 5, 6])):
+            words[at] = f"x{i}-{at}" if rnd.random() < 0.7 else f"y{at}"
+        texts[i] = " ".join(words)
+    got = hyperminhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), threshold=85).collect()
+    want = plain_components(texts, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert 1 < len({c for _, c in want.values()}) < 90
