@@ -48,24 +48,46 @@ def comparable(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     return [canonical(F.col(c), df.schema[c].dataType).alias(c) for c in cols]
 
 
-def fingerprint_label(df: DataFrame, cols: Sequence[str]) -> Column:
-    """Hash of the field names and canonical values, in name order.
-
-    JSON keeps field borders and nulls apart, which joined text would not.
+def _leaf(c: Column, kind: T.DataType) -> Column:
+    """Text or bytes of a single value, different for values that differ."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (c + F.lit(0.0).cast(kind)).cast("string")  # -0.0 and 0.0 are one value
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")  # text without its zone would make two instants one when clocks change
+    return c if isinstance(kind, T.BinaryType) else c.cast("string")
+
+
+def _nested(c: Column, kind: T.DataType) -> Column:
+    """Text of a value inside another one: nulls, lengths and borders of parts are kept, texts by their bytes."""
+    if isinstance(kind, T.StructType):
+        parts = [_nested(c.getField(f.name), f.dataType) for f in kind.fields]
+        text = F.concat(F.lit("("), *parts, F.lit(")"))
+    elif isinstance(kind, T.ArrayType):
+        text = F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: _nested(x, kind.elementType)), ""), F.lit("]"))
+    elif isinstance(kind, T.MapType):
+        entry = T.StructType().add("key", kind.keyType).add("value", kind.valueType)
+        text = F.concat(F.lit("{"), F.array_join(F.array_sort(F.transform(F.map_entries(c), lambda x: _nested(x, entry))), ""), F.lit("}"))
+    else:
+        text = F.concat(F.hex(_leaf(c, kind).cast("binary")), F.lit(","))
+    return F.coalesce(text, F.lit("-"))
+
+
+def exact_bytes(c: Column, kind: T.DataType) -> Column:
+    """Bytes of a value, led by their number; two values have the same bytes exactly when they count as unchanged.
+
+    Texts count by their bytes, valid or not; null is the empty text, and apart from every value of another type.
     """
-    parts = []
-    for c in sorted(cols):
-        kind = df.schema[c].dataType
-        value = canonical(F.col(c), kind)
-        if isinstance(kind, (T.FloatType, T.DoubleType)):
-            value = value + F.lit(0.0)  # -0.0 and 0.0 are one value
-        if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-            value = F.to_json(value, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-                                      "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-                                      "ignoreNullFields": "false"})
-        if isinstance(kind, T.TimestampType):
-            value = F.unix_micros(value)  # text without its zone would make two instants one when clocks change
-        if isinstance(kind, T.BinaryType):
-            value = F.hex(value)
-        parts.append(value.cast("string").alias(c))
-    return F.sha2(F.to_json(F.struct(*parts)), 256)
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
+        data = F.coalesce(c, F.lit("")).cast("binary")
+    elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        data = _nested(c, kind).cast("binary")
+    else:
+        data = _leaf(c, kind).cast("binary")
+    size = F.coalesce(F.octet_length(data).cast("string"), F.lit("-"))
+    return F.concat(F.concat(size, F.lit(":")).cast("binary"), F.coalesce(data, F.lit("").cast("binary")))
+
+
+def fingerprint_label(df: DataFrame, cols: Sequence[str]) -> Column:
+    """Hash of the field names and values, in name order; equal exactly where the values are, whatever their types."""
+    parts = [x for c in sorted(cols) for x in (exact_bytes(F.lit(c), T.StringType()), exact_bytes(F.col(c), df.schema[c].dataType))]
+    return F.sha2(F.concat(*parts) if parts else F.lit("").cast("binary"), 256)

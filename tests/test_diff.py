@@ -115,12 +115,13 @@ def test_digests_tell_the_same_as_values(frame, rows):
     assert [r["field"] for r in diff.changes_of(by_digest, src, tgt, SPEC).collect()] == ["v"]
 
 
-def test_wide_tables_are_compared_by_digest(frame):
+def test_digests_need_equal_types(frame):
     wide = frame("id int, k string", (1, "a")).selectExpr("id", "k", *[f"{i} AS c{i}" for i in range(10)])
-    out = diff.diff_by_key(wide, wide, TableSpec("t", "id", "k"))
+    assert "sha2" not in diff.diff_by_key(wide, wide, TableSpec("t", "id", "k"))._jdf.queryExecution().optimizedPlan().toString()
+    out = diff.diff_by_key(wide, wide, TableSpec("t", "id", "k"), digest=True)
     assert "sha2" in out._jdf.queryExecution().optimizedPlan().toString() and out.first()["status"] == "identical"
     other = wide.withColumn("c3", F.lit("3"))  # another type: back to values
-    assert "sha2" not in diff.diff_by_key(wide, other, TableSpec("t", "id", "k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" not in diff.diff_by_key(wide, other, TableSpec("t", "id", "k"), digest=True)._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_fields_policy_reaches_the_diff(frame):
