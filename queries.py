@@ -593,8 +593,8 @@ def two_batches(spark, d):
     batch = lines.withColumn("_source_id", F.col("l_orderkey").cast("string"))
     target = table(spark, d, "sales").select("id", F.col("id").alias("l_orderkey"), F.lit(0.0).alias("quantity")).where("false")
     urgent = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey")
-    put = lambda into, rows: load.untouched(into).unionByName(load.insert(into, rows, "id", ["l_orderkey"]))
-    out = load.in_two_batches(target, batch, "id", "l_orderkey", urgent, None, put)
+    put = lambda into, rows: load.insert(into, rows, "id", ["l_orderkey"])
+    out = load.traced(target, load.in_two_batches(target, batch, "id", "l_orderkey", urgent, None, put), "id")
     return out.select("id", "l_orderkey", "quantity", F.col("_source_id").alias("source_id"))
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from tabsync.functions import is_blank, is_email, mask_email, not_blank, trimmed
 from tabsync.functions.text import needs_mask
+from tabsync.operators.lookup import is_member
 from tabsync.spec import FieldMeta, TableSpec
-from tabsync.storage import small_frame
+from tabsync.storage import materialise, small_frame
 
 # Columns a load never writes, columns it always keeps, and the wording of
 # transient errors.
@@ -74,14 +75,17 @@ def union_results(frames: Iterable[DataFrame]) -> DataFrame:
 
 def route_by_membership(df: DataFrame, fk: str, ids: DataFrame,
                         xwalk: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows whose parent is in ``ids``, the rest); source ids that lead to a member count too."""
-    members = ids.select(F.col(ids.columns[0]).cast("string").alias("_member")).distinct()
+    """(rows whose parent is in ``ids``, the rest); source ids that lead to a member count too.
+
+    The marked rows are written once, as both parts are read.
+    """
+    members = ids.select(F.col(ids.columns[0]).cast("string").alias("_member"))
     if xwalk is not None:
-        sources = (xwalk.join(members, F.col("target_id") == F.col("_member"), "left_semi")
-                   .select(F.col("source_id").alias("_member")))
-        members = members.union(sources)
-    hit = F.col(fk).cast("string") == F.col("_member")
-    return df.join(members, hit, "left_semi"), df.join(members, hit, "left_anti")
+        pairs = xwalk.select(F.col("source_id").alias("_source"), "target_id")
+        members = members.unionByName(is_member(pairs, F.col("target_id"), members.distinct(), "_known").where("_known")
+                                      .select(F.col("_source").alias("_member")))
+    marked = materialise(is_member(df, F.col(fk), members.where(F.col("_member").isNotNull()).distinct(), "_in"), "routed")
+    return marked.where("_in").drop("_in"), marked.where("NOT _in").drop("_in")
 
 
 def email_columns(df: DataFrame, fields: Sequence[FieldMeta] = (), skip: Collection[str] = ()) -> DataFrame:
@@ -242,12 +246,12 @@ def check_rows(df: DataFrame, fields: Sequence[FieldMeta], spec: TableSpec,
         out = out.withColumn("_k", F.when(not_blank(spec.key), trimmed(spec.key)))
         repeated = (out.where(F.col("_k").isNotNull()).groupBy(F.col("_k").alias("_dup"))
                     .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_dup"))
-        out = out.join(repeated, F.col("_k") == F.col("_dup"), "left")
-        tests.append((F.col("_dup").isNotNull(), F.lit(f"DUPLICATE_VALUE:{spec.key}")))
+        out = is_member(out, F.col("_k"), repeated, "_twice")
+        tests.append((F.col("_twice"), F.lit(f"DUPLICATE_VALUE:{spec.key}")))
         if existing_keys is not None:
             taken = existing_keys.select(trimmed(existing_keys.columns[0]).alias("_taken")).distinct()
-            out = out.join(taken, F.col("_k") == F.col("_taken"), "left")
-            tests.append((F.col("_taken").isNotNull(), F.lit(f"KEY_EXISTS:{spec.key}")))
+            out = is_member(out, F.col("_k"), taken, "_exists")
+            tests.append((F.col("_exists"), F.lit(f"KEY_EXISTS:{spec.key}")))
     errors = F.array_compact(F.array(*[F.when(t, m) for t, m in tests])) if tests \
         else F.array().cast("array<string>")
     return out.select(*columns, errors.alias("errors"))

@@ -6,13 +6,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabsync.functions import has_key, is_blank, looks_like_id
+from tabsync.functions import exact_bytes, has_key, is_blank, looks_like_id
 from tabsync.functions.text import ID_PATTERN
 from tabsync.operators.clean import last_per_key
 from tabsync.operators.lookup import Lookup, look_up
 from tabsync.spec import Ref, TableSpec
-from tabsync.storage import null_safe_join, small_frame
+from tabsync.storage import small_frame
 
 XWALK_SCHEMA = "table string, source_id string, target_id string"
 KEY_XWALK_SCHEMA = "table string, key_field string, source_key string, target_key string"
@@ -96,33 +97,33 @@ def map_to_target_ids(df: DataFrame, target: DataFrame, key: str, id_col: str,
     The id comes first, the key column goes away and ``op`` says update or insert. ``key_xwalk``
     holds (source_key, target_key) of this table.
     """
+    kind = target.schema[id_col].dataType
     held = last_per_key(target.where(has_key(key, target)), key, order_cols or (id_col,)).select(
         F.col(key).cast("string").alias("_key"), F.col(id_col).alias("_direct"))
     rest = [c for c in df.columns if c not in (key, id_col)]
-    out = df.withColumn("_own", F.col(key).cast("string"))
-    out = out.join(held, F.col("_own") == F.col("_key"), "left").drop("_key")
-    found = F.col("_direct")
+    lookups = [Lookup(F.col("_own"), held, "_direct")]
     if key_xwalk is not None:
         # Repeated source keys have several target rows; one of them is taken, so that no row is doubled.
-        moved = (key_xwalk.select("source_key", "target_key")
-                 .join(held, F.col("target_key") == F.col("_key"))
+        moved = (key_xwalk.select("source_key", "target_key").join(held, F.col("target_key") == F.col("_key"))
                  .groupBy(F.col("source_key").alias("_from")).agg(F.max("_direct").alias("_moved")))
-        out = out.join(moved, F.col("_own") == F.col("_from"), "left")
-        found = F.coalesce(found, F.col("_moved"))
-    return out.select(found.alias(id_col), *rest,
-                      F.when(found.isNull(), "insert").otherwise("update").alias("op"))
+        lookups.append(Lookup(F.col("_own"), moved, "_moved"))
+    found = F.coalesce(*[F.col(x.name) for x in lookups]).cast(kind)
+    out = look_up(df.select(*rest, F.col(key).cast("string").alias("_own")), lookups)
+    return out.select(found.alias(id_col), *rest, F.when(found.isNull(), "insert").otherwise("update").alias("op"))
 
 
 def mark_repeated(df: DataFrame, id_col: str, order_cols: Sequence[str], key: str) -> DataFrame:
     """Add ``_repeated``: the error of rows that share a target id with a later row, else an empty list.
 
-    ``order_cols`` tell the rows apart. Rows without a target id are new and repeat nothing.
+    ``order_cols`` tell the rows apart; where they tie, a hash of the row does. Rows without a target id are new and repeat nothing.
     """
-    place = F.struct(*[F.col(c) for c in order_cols])
-    last = (df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_on")).agg(F.max(place).alias("_last")))
-    late = F.col("_last").isNotNull() & (place != F.col("_last"))
-    error = F.when(late, F.array(F.lit(f"DUPLICATE_VALUE:{key}"))).otherwise(F.array().cast("array<string>"))
-    return df.join(last, F.col(id_col) == F.col("_on"), "left").select(*[F.col(c) for c in df.columns], error.alias("_repeated"))
+    place = F.struct(*[F.col(c) for c in order_cols], F.xxhash64(*[F.col(c) for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)]).alias("_tie"))
+    marked = df.withColumn("_place", place)
+    label = lambda c: F.hex(exact_bytes(F.col(c), marked.schema["_place"].dataType))
+    last = marked.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_on")).agg(F.max("_place").alias("_place")).select("_on", label("_place").alias("_last"))
+    marked = look_up(marked.withColumn("_place", label("_place")), [Lookup(F.col(id_col), last, "_last")])
+    error = F.when(F.col("_place") != F.col("_last"), F.array(F.lit(f"DUPLICATE_VALUE:{key}"))).otherwise(F.array().cast("array<string>"))
+    return marked.select(*[F.col(c) for c in df.columns], error.alias("_repeated"))
 
 
 def match_by_name(src: DataFrame, tgt: DataFrame, name_col: str, src_id: str, tgt_id: str,
@@ -131,7 +132,7 @@ def match_by_name(src: DataFrame, tgt: DataFrame, name_col: str, src_id: str, tg
     names = last_per_key(tgt.where(F.col(name_col).isNotNull()), name_col, order_cols or (tgt_id,)).select(
         F.col(name_col).alias("_name"), F.col(tgt_id).cast("string").alias("target_id"))
     own = src.select(F.col(src_id).cast("string").alias("source_id"), F.col(name_col).alias("name"))
-    return own.join(names, F.col("name") == F.col("_name"), "left").drop("_name")
+    return look_up(own, [Lookup(F.col("name"), names, "target_id")])
 
 
 def match_by_composite(src: DataFrame, tgt: DataFrame, cols: Sequence[str], src_id: str, tgt_id: str,
@@ -140,10 +141,13 @@ def match_by_composite(src: DataFrame, tgt: DataFrame, cols: Sequence[str], src_
 
     The columns may be parents' natural keys, brought in by resolving references on both sides.
     """
-    held = last_per_key(tgt, cols, order_cols or (tgt_id,)).select(
-        *cols, F.col(tgt_id).cast("string").alias("target_id"))
-    own = src.select(F.col(src_id).cast("string").alias("source_id"), *cols)
-    return null_safe_join(own, held, cols, "left")
+    kinds = src.select(*cols).union(tgt.select(*cols)).schema  # what values of either side compare as
+    # Nulls are told from empty texts, then the values by their bytes.
+    label = F.hex(F.concat(*[x for f in kinds.fields for x in (F.col(f.name).isNull().cast("string").cast("binary"),
+                                                              exact_bytes(F.col(f.name).cast(f.dataType), f.dataType))]))
+    held = last_per_key(tgt, cols, order_cols or (tgt_id,)).select(label.alias("_label"), F.col(tgt_id).cast("string").alias("_target"))
+    own = src.select(F.col(src_id).cast("string").alias("source_id"), *cols, label.alias("_label"))
+    return look_up(own, [Lookup(F.col("_label"), held, "target_id")]).drop("_label")
 
 
 def id_xwalk(loaded: DataFrame, table: str) -> DataFrame:

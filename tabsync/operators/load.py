@@ -1,8 +1,15 @@
-"""Writing to a target: every step yields a new version of a table, never an overwrite."""
+"""Writing to a target: every step yields a new version of a table, never an overwrite.
+
+A version is the table before and a change set: the rows that the step wrote, whole, with the trace of what happened to them. Only
+change sets are written, so a step costs as many bytes as its batch; :class:`Version` reads a table as its base
+without the rows that were written since, and those in their last form. ``compact`` writes such a table whole on request.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +20,7 @@ from tabsync.operators.clean import (RETRYABLE_PATTERNS, classify_rejects, last_
                                      route_by_membership, split_by_key, union_results)
 from tabsync.operators.lookup import Lookup, look_up
 from tabsync.spec import Env, TableSpec
-from tabsync.storage import materialise_counted, number_rows
+from tabsync.storage import materialise, materialise_counted, number_rows
 
 #: Columns that a write adds to the target's own: what happened to a row, where it came from, and
 #: how it looked before.
@@ -48,12 +55,68 @@ def untouched(target: DataFrame) -> DataFrame:
                          F.lit(None).cast(kind).alias("_prior"))
 
 
+def updated_rows(target: DataFrame, batch: DataFrame, on: str) -> DataFrame:
+    """Target rows whose ``on`` matches, with the batch's values and the trace columns: the change set of an update.
+
+    Columns that the batch lacks keep their value. Of batch rows that share a value of ``on`` the one of
+    largest source id counts, so the target never gains rows. A small batch is broadcast by Spark and the target does not move;
+    otherwise the reduction and the join share a shuffle.
+    """
+    batch = last_per_key(batch.where(F.col(on).isNotNull()), on, ("_source_id",) if "_source_id" in batch.columns else (on,))
+    given = [c for c in batch.columns if c in target.columns and c != on]
+    incoming = batch.select(F.col(on).alias("_on"), *[F.col(c).alias(f"_b_{c}") for c in given],
+                            _trace(batch, "_source_id").cast("string").alias("_source_id"),
+                            _trace(batch, "_source_key").cast("string").alias("_source_key"))
+    joined = target.join(incoming, F.col(on) == F.col("_on"))
+    return joined.select(
+        *[F.col(f"_b_{c}").cast(target.schema[c].dataType).alias(c) if c in given else F.col(c) for c in target.columns],
+        F.lit("update").alias("_op"), "_source_id", "_source_key", _prior(target).alias("_prior"))
+
+
+def traced(target: DataFrame, changes: DataFrame, id_col: str) -> DataFrame:
+    """The target after a change set, with the trace columns: null for rows that the set does not have."""
+    return untouched(_others(target, changes, id_col)).unionByName(changes)
+
+
+def _others(target: DataFrame, changes: DataFrame, id_col: str) -> DataFrame:
+    """Rows of the target that a change set leaves as they are."""
+    written = changes.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_written"))
+    return target.join(written, F.col(id_col) == F.col("_written"), "left_anti")
+
+
+@dataclass(frozen=True)
+class Version:
+    """A table as a base and the change sets written since, oldest first. ``id_col`` tells rows apart; rows without an id are only ever added."""
+
+    base: DataFrame
+    id_col: str
+    sets: tuple[DataFrame, ...] = ()
+
+    def add(self, changes: DataFrame) -> Version:
+        """After one more change set, which should be a written frame."""
+        return replace(self, sets=(*self.sets, changes))
+
+    def read(self) -> DataFrame:
+        """The table as it stands: one anti join however many sets there are. Rows whose last change is a deletion are gone."""
+        if not self.sets:
+            return self.base
+        columns = self.base.columns
+        changed = reduce(DataFrame.unionByName, [s.select(*columns, "_op", F.lit(i).alias("_set")) for i, s in enumerate(self.sets)])
+        last = changed
+        if len(self.sets) > 1:
+            named, unnamed = changed.where(F.col(self.id_col).isNotNull()), changed.where(F.col(self.id_col).isNull())
+            last = last_per_key(named, self.id_col, ("_set",)).unionByName(unnamed)
+        return _others(self.base, changed, self.id_col).unionByName(last.where("_op != 'delete'").select(*columns))
+
+    def compact(self, label: str = "table") -> Version:
+        """The same table, written whole."""
+        return replace(self, base=materialise(self.read(), label), sets=())
+
+
 def update(target: DataFrame, batch: DataFrame, on: str) -> DataFrame:
     """Target rows with the batch's values where ``on`` matches, plus the trace columns.
 
-    Columns that the batch lacks keep their value. Of batch rows that share a value of ``on`` the one of
-    largest source id counts, so the target never gains rows. A left join from the target: a small batch is
-    broadcast by Spark and the target does not move; otherwise the reduction and the join share a shuffle.
+    Like :func:`updated_rows`, with the other rows; a left join from the target, which may have rows without an id.
     """
     batch = last_per_key(batch.where(F.col(on).isNotNull()), on, ("_source_id",) if "_source_id" in batch.columns else (on,))
     given = [c for c in batch.columns if c in target.columns and c != on]
@@ -102,9 +165,9 @@ def insert(target: DataFrame, batch: DataFrame, id_col: str, order_cols: Sequenc
         _trace(added, "_source_key").cast("string").alias("_source_key"), F.lit(None).cast(kind).alias("_prior"))
 
 
-def upsert(target: DataFrame, batch: DataFrame, key: str, id_col: str,
-           order_cols: Sequence[str] | None = None) -> DataFrame:
-    """Update by key, insert the rest; the target's columns plus the trace columns.
+def upserted_rows(target: DataFrame, batch: DataFrame, key: str, id_col: str,
+                  order_cols: Sequence[str] | None = None) -> DataFrame:
+    """Change set of an update by key and an insert of the rest, with the trace columns.
 
     The batch has at most one row per key; rows with a blank key are all inserted. Which rows are
     new is found from the key columns alone.
@@ -115,16 +178,29 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, id_col: str,
     hits = known.join(named.select(F.col(key).alias("_k")), F.col("_known") == F.col("_k"), "left_semi").distinct()
     new = named.join(hits, F.col(key) == F.col("_known"), "left_anti")
     added = new.unionByName(unnamed, allowMissingColumns=True)
-    updated = update(target, named.drop(id_col), key)
-    return updated.unionByName(insert(target, added, id_col, order_cols or (key,)))
+    return updated_rows(target, named.drop(id_col), key).unionByName(insert(target, added, id_col, order_cols or (key,)))
+
+
+def upsert(target: DataFrame, batch: DataFrame, key: str, id_col: str,
+           order_cols: Sequence[str] | None = None) -> DataFrame:
+    """Update by key, insert the rest; the target's columns plus the trace columns.
+
+    Only the rows that the batch touches are written; the others are read from the target.
+    """
+    return traced(target, materialise(upserted_rows(target, batch, key, id_col, order_cols), "changes"), id_col)
+
+
+def upserted_rows_by_id(target: DataFrame, batch: DataFrame, id_col: str, order_cols: Sequence[str],
+                        auto_key: str | None = None) -> DataFrame:
+    """Change set: rows that carry a target id are updated, those without inserted."""
+    known, new = batch.where(F.col(id_col).isNotNull()), batch.where(F.col(id_col).isNull())
+    return updated_rows(target, known, id_col).unionByName(insert(target, new, id_col, order_cols, auto_key))
 
 
 def upsert_by_id(target: DataFrame, batch: DataFrame, id_col: str, order_cols: Sequence[str],
                  auto_key: str | None = None) -> DataFrame:
     """Update the rows that carry a target id, insert those without."""
-    known = batch.where(F.col(id_col).isNotNull())
-    new = batch.where(F.col(id_col).isNull())
-    return update(target, known, id_col).unionByName(insert(target, new, id_col, order_cols, auto_key))
+    return traced(target, materialise(upserted_rows_by_id(target, batch, id_col, order_cols, auto_key), "changes"), id_col)
 
 
 def current(written: DataFrame) -> DataFrame:
@@ -142,11 +218,18 @@ def loaded_rows(written: DataFrame, order: int, table: str, id_col: str, key: st
         F.col("_prior").alias("prior"))
 
 
-def delete_ids(target: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
-    """(kept rows, deleted rows)."""
+def deleted_rows(target: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Change set of a deletion: the rows that go, with their prior image."""
     gone = ids.select(F.col(ids.columns[0]).alias("_gone"))
-    hit = F.col(id_col) == F.col("_gone")
-    return target.join(gone, hit, "left_anti"), target.join(gone, hit, "left_semi")
+    null = F.lit(None).cast("string")
+    return target.join(gone, F.col(id_col) == F.col("_gone"), "left_semi").select(
+        "*", F.lit("delete").alias("_op"), null.alias("_source_id"), null.alias("_source_key"), _prior(target).alias("_prior"))
+
+
+def delete_ids(target: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(kept rows, deleted rows); the deleted rows are written, the kept ones read from the target."""
+    gone = materialise(deleted_rows(target, ids, id_col), "deleted")
+    return Version(target, id_col).add(gone).read(), current(gone)
 
 
 def deactivate(target: DataFrame, flag: str, id_col: str) -> tuple[DataFrame, DataFrame | None]:
@@ -246,16 +329,15 @@ def retry_rejects(rejects: DataFrame, apply_fn: Callable[[DataFrame, int], tuple
 
 
 def in_two_batches(target: DataFrame, batch: DataFrame, id_col: str, fk: str, first_parents: DataFrame,
-                   xwalk: DataFrame | None, apply_fn: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """Load the rows of certain parents before the others; ``apply_fn(target, rows)`` is the write.
+                   xwalk: DataFrame | None, changes_of: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Load the rows of certain parents before the others; ``changes_of(target, rows)`` gives the change set of a write.
 
-    Returns the target after both writes; the trace columns tell what either one did.
+    Returns the change set of both writes; a row that both wrote keeps the trace of the first.
     """
     first, rest = route_by_membership(batch, fk, first_parents, xwalk)
-    once = apply_fn(target, first)
-    touched = once.where(F.col("_op").isNotNull())
-    twice = apply_fn(current(once), rest)
-    # Rows of the first write come out of the second unmarked: give them their trace back.
-    marks = touched.select(F.col(id_col).alias("_id"), *[F.col(c).alias("_1" + c) for c in TRACE])
+    once = materialise(changes_of(target, first), "half")
+    twice = materialise(changes_of(Version(target, id_col).add(once).read(), rest), "half")
+    marks = once.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), *[F.col(c).alias("_1" + c) for c in TRACE])
     joined = twice.join(marks, F.col(id_col) == F.col("_id"), "left")
-    return joined.select(*target.columns, *[F.coalesce(F.col("_1" + c), F.col(c)).alias(c) for c in TRACE])
+    again = joined.select(*target.columns, *[F.when(F.col("_id").isNull(), F.col(c)).otherwise(F.col("_1" + c)).alias(c) for c in TRACE])
+    return _others(once, twice, id_col).unionByName(again)

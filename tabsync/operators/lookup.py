@@ -1,4 +1,10 @@
-"""Looking up columns in tables of pairs."""
+"""Looking values up in pairs of key and result, for any size of either side and any frequency of a value.
+
+A lookup whose pairs Spark can broadcast is a plain left join. Beyond that both sides move by the key, so a value that fills much of
+the table would be one task. Such values are found by a sketch of the column (frequent items, one pass over the values of all
+lookups); their pairs, at most ``HOT`` of them, are broadcast. Rows with such a value, and rows without one, take part in the big join
+under keys of their own that find nothing and are dealt out by a hash of the row.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +13,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tabsync.storage import materialise
+
+#: Most values of a lookup that are treated apart, and the counters that the sketch keeps to find them. A value that has
+#: more than about 1.5 / COUNTERS of all rows is always found.
+HOT, COUNTERS = 64, 1024
+#: Names of columns that a lookup adds for its own use.
+_KEY, _OWN = "__lookup_key", "__lookup_own"
+
 
 @dataclass(frozen=True, eq=False)
 class Lookup:
@@ -20,13 +36,53 @@ class Lookup:
     name: str
 
 
-def look_up(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Add the result of each lookup as a column, by one left join each: the same answer whatever the sizes.
+def broadcastable(df: DataFrame) -> bool:
+    """Whether Spark's own estimate of the frame lies below its broadcast threshold."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
-    Spark broadcasts pairs that are small enough and may split a frequent value over tasks.
-    """
-    for x in lookups:
-        key, result = x.pairs.columns[:2]
-        pairs = x.pairs.select(F.col(key).cast("string").alias("_lk"), F.col(result).cast("string").alias(x.name))
-        df = df.join(pairs, x.value.cast("string") == F.col("_lk"), "left").drop("_lk")
+
+def hot_values(df: DataFrame, values: Sequence[Column]) -> list[list[str]]:
+    """For each column of text, the values that would fill a task of a join by it; one pass over all columns."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = df.select(*[v.cast("string").alias(f"v{i}") for i, v in enumerate(values)])
+    seen = named.agg(F.count(F.lit(1)).alias("n"), *[
+        F.expr(f"approx_top_k(v{i}, {HOT}, {COUNTERS})").alias(f"t{i}") for i in range(len(values))]).first()
+    least = max(2, seen["n"] / (4 * max(parts, 8)))
+    return [[r["item"] for r in seen[f"t{i}"] or () if r["item"] is not None and r["count"] >= least] for i in range(len(values))]
+
+
+def look_up(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+    """Add the result of each lookup as a column; no row is lost or doubled, the answer is the same whatever the sizes."""
+    lookups = [Lookup(x.value.cast("string"), x.pairs.select(F.col(x.pairs.columns[0]).cast("string").alias(_KEY),
+                                                            F.col(x.pairs.columns[1]).cast("string").alias(x.name)), x.name) for x in lookups]
+    # Pairs that look large are written: then their size is known, and their side of a join is read as it is, so that it can be split.
+    lookups = [x if broadcastable(x.pairs) else Lookup(x.value, materialise(x.pairs.where(F.col(_KEY).isNotNull()), "pairs"), x.name)
+               for x in lookups]
+    large = [i for i, x in enumerate(lookups) if not broadcastable(x.pairs)]
+    hot = dict(zip(large, hot_values(df, [lookups[i].value for i in large]), strict=True)) if large else {}
+    for i, x in enumerate(lookups):
+        df = _spread(df, x, hot[i]) if i in hot else df.join(x.pairs, x.value == F.col(_KEY), "left").drop(_KEY)
     return df
+
+
+def _spread(df: DataFrame, x: Lookup, hot: Sequence[str]) -> DataFrame:
+    """A join on a large side in which no value fills a task."""
+    columns = df.columns
+    frequent = x.value.isin(*hot) if hot else F.lit(False)
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)] or [F.lit(0)]
+    apart = F.concat(F.lit("-"), F.xxhash64(*hashed).cast("string"))
+    own = F.when(x.value.isNull() | frequent, apart).otherwise(F.concat(F.lit("="), x.value))
+    rest = x.pairs.select(F.concat(F.lit("="), _KEY).alias(_KEY), F.col(x.name))
+    out = df.withColumn(_OWN, F.coalesce(own, F.lit("-"))).join(rest, F.col(_OWN) == F.col(_KEY), "left").drop(_KEY, _OWN)
+    if not hot:
+        return out
+    few = F.broadcast(x.pairs.where(F.col(_KEY).isin(*hot)).select(_KEY, F.col(x.name).alias(_OWN)))  # at most HOT rows
+    both = out.join(few, x.value == F.col(_KEY), "left")
+    return both.select(*[F.col(f"`{c}`") for c in columns], F.coalesce(F.col(x.name), F.col(_OWN)).alias(x.name))
+
+
+def is_member(df: DataFrame, value: Column, members: DataFrame, name: str) -> DataFrame:
+    """``df`` with whether a value is in the first column of ``members`` (each once)."""
+    pairs = members.select(F.col(members.columns[0]).alias("_m"), F.lit("y").alias("_y"))
+    return look_up(df, [Lookup(value, pairs, name)]).withColumn(name, F.col(name).isNotNull())

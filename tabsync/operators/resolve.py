@@ -71,9 +71,9 @@ def self_ref_pass2(df: DataFrame, spec: TableSpec, own_map: DataFrame) -> dict[s
 
 
 def _parent_keys(df: DataFrame, spec: TableSpec, ref: Ref, own_map: DataFrame) -> DataFrame:
-    pairs = own_map.select(F.col("id").alias("_id"), F.col("key").alias(ref.key_col))
-    return (df.where(has_key(spec.key, df)).select(spec.key, ref.col)
-            .join(pairs, F.col(ref.col) == F.col("_id")).select(spec.key, ref.key_col))
+    rows = df.where(has_key(spec.key, df) & F.col(ref.col).isNotNull()).select(spec.key, ref.col)
+    found = look_up(rows, [Lookup(F.col(ref.col), own_map.select("id", "key"), ref.key_col)])
+    return found.where(F.col(ref.key_col).isNotNull()).select(spec.key, ref.key_col)
 
 
 def order_columns(df: DataFrame, key: str | None) -> DataFrame:

@@ -99,13 +99,3 @@ def number_rows(df: DataFrame, order_cols: Sequence[str], name: str = "row_no")
     return (placed.join(F.broadcast(offsets), "_part")
             .select(*columns, (F.col("_place") + F.col("_before")).cast("bigint").alias(name)))
 
-
-def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
-    """Equi join on equally named columns in which null matches null."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in cols else F.col(c)
-                             for c in right.columns])
-    condition = None
-    for c in cols:
-        test = left[c].eqNullSafe(renamed[f"_r_{c}"])
-        condition = test if condition is None else condition & test
-    return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in cols])
