@@ -224,6 +224,10 @@ ORACLES = {
         UNION ALL SELECT 'nation', CAST(id AS STRING) FROM n UNION ALL SELECT 'customer', CAST(id AS STRING) FROM c
         UNION ALL SELECT 'supplier', CAST(id AS STRING) FROM s UNION ALL SELECT 'orders', CAST(id AS STRING) FROM o
         UNION ALL SELECT 'lineitem', id FROM l""",
+    "subset_cycle": """WITH RECURSIVE e AS (SELECT DISTINCT child, parent FROM {turn_edges_cycle}),
+        down(id) AS (SELECT id FROM {turns} WHERE turn = 1 AND conv_id % 5 = 0 UNION SELECT child FROM e JOIN down ON parent = id),
+        up(id) AS (SELECT id FROM down UNION SELECT parent FROM e JOIN up ON child = id)
+        SELECT 'turns' AS "table", CAST(id AS STRING) AS id FROM up""",
     "subset_full": f"""WITH {_DOWN}, lr AS (SELECT * FROM {{lineitem_ids}} WHERE l_id IN (SELECT id FROM l)),
         o2 AS (SELECT id FROM o UNION SELECT l_orderkey FROM lr), s2 AS (SELECT id FROM s UNION SELECT l_suppkey FROM lr),
         p2 AS (SELECT DISTINCT l_partkey AS id FROM lr),

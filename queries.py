@@ -352,6 +352,15 @@ def subset_up_from_orders(spark, d):
         F.lit(s.name).alias("table"), "rows") for s in specs if s.name in cut])
 
 
+@query
+def subset_cycle(spark, d):
+    """Everything related to the second turns of some conversations, along references of turns to turns that may run in circles."""
+    turns = table(spark, d, "turns").join(table(spark, d, "turn_edges_cycle"), F.col("id") == F.col("child"), "left").select(
+        "id", "parent", F.when((F.col("turn") == 1) & (F.col("conv_id") % 5 == 0), "root").alias("mark"))
+    specs = [TableSpec("turns", "id", name_col="mark", refs=(Ref("parent", ("turns",), "reply"),))]
+    return _ids(subset.select_related({"turns": turns}, specs, "turns", ["root"]))
+
+
 @query
 def subset_portable(spark, d):
     names = ("region", "nation", "customer", "supplier")

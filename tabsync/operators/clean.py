@@ -88,14 +88,10 @@ def route_by_membership(df: DataFrame, fk: str, ids: DataFrame,
     return marked.where("_in").drop("_in"), marked.where("NOT _in").drop("_in")
 
 
-def email_columns(df: DataFrame, fields: Sequence[FieldMeta] = (), skip: Collection[str] = ()) -> DataFrame:
-    """(column, reason, non_blank, emails, selected) for each text column, in one pass.
-
-    A column is selected by its type, by a name that contains "email", or when more than half of
-    its non-blank values are addresses.
-    """
+def email_candidates(df: DataFrame, fields: Sequence[FieldMeta] = (), skip: Collection[str] = ()) -> list[tuple[str, str, Column, Column]]:
+    """(column, reason, non-blank values, addresses) for each text column that may hold addresses; the last two are aggregates."""
     types = {f.name: f.type for f in fields}
-    entries, aggs = [], []
+    out = []
     for field in df.schema.fields:
         c = field.name
         if "." in c or c in ("Id", "_source_id") or c in skip or not isinstance(field.dataType, T.StringType):
@@ -103,28 +99,39 @@ def email_columns(df: DataFrame, fields: Sequence[FieldMeta] = (), skip: Collect
         declared = types.get(c, "string" if not fields else None)
         reason = "type" if declared == "email" else "name" if "email" in c.lower() else \
             "pattern" if declared in TEXT_TYPES else None
-        if reason is None:
-            continue
-        i = len(entries)
-        aggs += [F.count_if(not_blank(f"`{c}`")).alias(f"n{i}"), F.count_if(is_email(f"`{c}`")).alias(f"e{i}")]
-        entries.append((c, reason, F.col(f"n{i}"), F.col(f"e{i}")))
-    if not entries:
+        if reason is not None:
+            out.append((c, reason, F.count_if(not_blank(f"`{c}`")), F.count_if(is_email(f"`{c}`"))))
+    return out
+
+
+def email_columns(df: DataFrame, fields: Sequence[FieldMeta] = (), skip: Collection[str] = ()) -> DataFrame:
+    """(column, reason, non_blank, emails, selected) for each text column, in one pass.
+
+    A column is selected by its type, by a name that contains "email", or when more than half of
+    its non-blank values are addresses.
+    """
+    found = email_candidates(df, fields, skip)
+    if not found:
         return small_frame(df.sparkSession, [], "column string, reason string, non_blank bigint, "
                                                    "emails bigint, selected boolean")
-    lines = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("reason"), n.alias("non_blank"),
-                               e.alias("emails"), (F.lit(r != "pattern") | (e * 2 > n)).alias("selected"))
-                      for c, r, n, e in entries])
+    aggs = [a.alias(f"{k}{i}") for i, (_, _, n, e) in enumerate(found) for k, a in (("n", n), ("e", e))]
+    lines = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(r).alias("reason"), F.col(f"n{i}").alias("non_blank"),
+                               F.col(f"e{i}").alias("emails"), (F.lit(r != "pattern") | (F.col(f"e{i}") * 2 > F.col(f"n{i}"))).alias("selected"))
+                      for i, (c, r, _, _) in enumerate(found)])
     return df.agg(*aggs).select(F.inline(lines))
 
 
+def masked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.withColumns({c: mask_email(c) for c in columns}) if columns else df
+
+
 def mask_emails(df: DataFrame, fields: Sequence[FieldMeta] = (), skip: Collection[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(rows with addresses masked, (column, masked) counts).
 
     The profile runs now and brings one line per text column to the driver; everything else is lazy.
     """
     chosen = [r["column"] for r in email_columns(df, fields, skip).where("selected").collect()]
-    masked = df.withColumns({c: mask_email(c) for c in chosen}) if chosen else df
-    return masked, count_masked(df, chosen)
+    return masked(df, chosen), count_masked(df, chosen)
 
 
 def count_masked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -171,18 +178,17 @@ def restore_deferred(target: DataFrame, deferred: DataFrame, key: str, cols: Seq
         if c in at else F.col(c) for c in target.columns])
 
 
-def strip_columns(df: DataFrame, fields: Sequence[FieldMeta], spec: TableSpec,
-                  resolved: Collection[str] = ()) -> tuple[DataFrame, list[str]]:
-    """Drop what the target would not accept; returns the dropped names too.
+def columns_to_strip(columns: Sequence[str], fields: Sequence[FieldMeta], spec: TableSpec, resolved: Collection[str],
+                     used: Collection[str]) -> list[str]:
+    """What the target would not accept.
 
-    Goes: ownership columns, columns the target lacks or does not let anyone write, references
-    whose raw ids were not ``resolved``, and the relationship key of such a reference when no row
-    has one. The last rule needs one aggregate over all candidates, which runs now.
+    Ownership columns, columns the target lacks or does not let anyone write, references
+    whose raw ids were not ``resolved``, and the relationship key of such a reference when no row has one (it is not ``used``).
     """
     known = {f.name: f for f in fields}
     key_cols = {r.key_col: r for r in spec.refs}
     strip = []
-    for c in df.columns:
+    for c in columns:
         if c in key_cols or c in (spec.key, spec.id_col, "_source_id") or c in ALWAYS_LOADED:
             continue
         f = known.get(c)
@@ -194,10 +200,18 @@ def strip_columns(df: DataFrame, fields: Sequence[FieldMeta], spec: TableSpec,
         elif not f.createable and not f.updateable:
             strip.append(c)
     raw = set(strip)
-    candidates = [c for c, r in key_cols.items() if c in df.columns and r.col in raw]
-    if candidates:
-        used = df.agg(*[F.coalesce(F.max(not_blank(c)), F.lit(False)).alias(c) for c in candidates]).first()
-        strip += [c for c in candidates if not used[c]]
+    return strip + [c for c, r in key_cols.items() if c in columns and r.col in raw and c not in used]
+
+
+def strip_columns(df: DataFrame, fields: Sequence[FieldMeta], spec: TableSpec,
+                  resolved: Collection[str] = ()) -> tuple[DataFrame, list[str]]:
+    """Drop what the target would not accept (see :func:`columns_to_strip`); returns the dropped names too.
+
+    Whether relationship keys are used needs one aggregate over all of them, which runs now.
+    """
+    keys = [r.key_col for r in spec.refs if r.key_col in df.columns]
+    used = df.agg(*[F.coalesce(F.max(not_blank(c)), F.lit(False)).alias(c) for c in keys]).first() if keys else {}
+    strip = columns_to_strip(df.columns, fields, spec, resolved, [c for c in keys if used[c]])
     return df.drop(*strip), strip
 
 

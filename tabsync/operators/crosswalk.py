@@ -53,21 +53,32 @@ def _pending(df: DataFrame, ref: Ref, pattern: str | None):
     return shaped & is_blank(ref.key_col) if ref.key_col in df.columns else shaped
 
 
-def resolve_raw_refs(df: DataFrame, spec: TableSpec, xwalk: DataFrame,
-                     pattern: str | None = ID_PATTERN) -> DataFrame:
+def mark_raw_refs(df: DataFrame, spec: TableSpec, xwalk: DataFrame,
+                  pattern: str | None = ID_PATTERN) -> tuple[DataFrame, dict[str, tuple[str, str]]]:
     """Replace source ids by target ids; an id-shaped value without a hit becomes null.
 
+    The second result names, for each reference column, the added columns that tell which rows had a hit and which a miss.
     ``pattern=None`` takes every value for an id, which suits numeric ids.
     """
     pending = {r.col: _pending(df, r, pattern) for r in _raw_refs(df, spec)}
     if not pending:
-        return df
+        return df, {}
     refs = {r.col: r for r in _raw_refs(df, spec)}
     lookups, hits = _lookups(refs, {c: F.when(pending[c], F.col(c)) for c in refs}, xwalk, "id")
     found = look_up(df, lookups)
-    return found.select(*[
-        F.when(pending[c], hits[c].cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-        if c in pending else F.col(c) for c in df.columns])
+    marks = {c: (f"__hit{i}", f"__miss{i}") for i, c in enumerate(refs)}
+    return found.select(
+        *[F.when(pending[c], hits[c].cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+          if c in pending else F.col(c) for c in df.columns],
+        *[m.alias(n) for c, names in marks.items() for n, m in zip(names, (
+            F.coalesce(pending[c], F.lit(False)) & hits[c].isNotNull(), F.coalesce(pending[c], F.lit(False)) & hits[c].isNull()), strict=True)]), marks
+
+
+def resolve_raw_refs(df: DataFrame, spec: TableSpec, xwalk: DataFrame,
+                     pattern: str | None = ID_PATTERN) -> DataFrame:
+    """The rows of :func:`mark_raw_refs` alone."""
+    out, marks = mark_raw_refs(df, spec, xwalk, pattern)
+    return out.drop(*[n for names in marks.values() for n in names])
 
 
 def resolved_columns(before: DataFrame, spec: TableSpec, xwalk: DataFrame,

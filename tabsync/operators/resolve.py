@@ -30,25 +30,36 @@ def id_maps(env: Env, specs: Sequence[TableSpec], filtered: bool = True) -> dict
     return {s.name: id_map(env, s, filtered) for s in specs if s.key and s.name in env}
 
 
+def _hits(refs: Sequence[Ref], maps: Mapping[str, DataFrame]) -> tuple[list[Lookup], dict[str, list[tuple[str, str]]]]:
+    """Lookups of each reference in the maps of its targets, and per column (target, name of the result) in the order of the targets."""
+    names = {r.col: [(t, f"_k{i}_{j}") for j, t in enumerate(r.to) if t in maps] for i, r in enumerate(refs)}
+    return [Lookup(F.col(c), maps[t], name) for c, found in names.items() for t, name in found], names
+
+
 def resolve_references(df: DataFrame, spec: TableSpec, maps: Mapping[str, DataFrame],
                        keep_source_id: bool = True) -> DataFrame:
     """Add ``<relationship>__key`` for each reference and blank the ids that were resolved.
 
     A value without a hit stays in its own column. References to the table itself are dropped
-    here and come back in :func:`self_ref_pass2`.
+    here and come back in :func:`self_ref_pass2`; so are values of a reference with several targets whose first hit is in the table itself.
     """
-    df = df.drop(*[r.col for r in spec.self_references])
+    df = df.drop(*[r.col for r in spec.refs if spec.is_self(r)])
     refs = [r for r in spec.parent_refs if r.col in df.columns]
+    own_rows = spec.key and spec.self_refs != "skip"
     columns = df.columns
-    hits = {(i, parent): f"_k{i}_{j}" for i, r in enumerate(refs) for j, parent in enumerate(r.to) if parent in maps}
-    df = look_up(df, [Lookup(F.col(refs[i].col), maps[parent], name) for (i, parent), name in hits.items()])
-    found = {}
-    for i, r in enumerate(refs):
-        names = [name for (k, _), name in hits.items() if k == i]
-        found[r.col] = F.coalesce(*names) if names else F.lit(None).cast("string")
+    lookups, names = _hits(refs, maps if own_rows else {t: m for t, m in maps.items() if t != spec.name})
+    df = look_up(df, lookups)
+    none = F.lit(None).cast("string")
+    found, keys = {}, {}
+    for r in refs:
+        found[r.col] = F.coalesce(*[name for _, name in names[r.col]]) if names[r.col] else none
+        key = none  # from the last target to the first: the first hit counts
+        for target, name in reversed(names[r.col]):
+            key = F.when(F.col(name).isNotNull(), none if target == spec.name else F.col(name)).otherwise(key)
+        keys[r.col] = key
     plain = [F.when(found[c].isNull(), F.col(c)).alias(c) if c in found else F.col(c) for c in columns]
     source = [F.col(spec.id_col).alias("_source_id")] if keep_source_id and spec.id_col in columns else []
-    return df.select(*plain, *[found[r.col].alias(r.key_col) for r in refs], *source)
+    return df.select(*plain, *[keys[r.col].alias(r.key_col) for r in refs], *source)
 
 
 def unresolved_references(resolved: DataFrame, spec: TableSpec) -> DataFrame:
@@ -62,18 +73,26 @@ def unresolved_references(resolved: DataFrame, spec: TableSpec) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def self_ref_pass2(df: DataFrame, spec: TableSpec, own_map: DataFrame) -> dict[str, DataFrame]:
-    """Per self reference: (key, parent key) of the rows in which both are known."""
+def self_ref_pass2(df: DataFrame, spec: TableSpec, own_map: DataFrame, maps: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Per reference to the table itself: (key, parent key) of the rows in which both are known.
+
+    Where a reference has several targets, values that an earlier target of ``maps`` knows are not among them.
+    """
     if not spec.key or spec.self_refs == "skip":
         return {}
-    return {ref.col: _parent_keys(df, spec, ref, own_map) for ref in spec.self_references
+    return {ref.col: _parent_keys(df, spec, ref, {**(maps or {}), spec.name: own_map}) for ref in spec.self_references
             if ref.col in df.columns}
 
 
-def _parent_keys(df: DataFrame, spec: TableSpec, ref: Ref, own_map: DataFrame) -> DataFrame:
+def _parent_keys(df: DataFrame, spec: TableSpec, ref: Ref, maps: Mapping[str, DataFrame]) -> DataFrame:
     rows = df.where(has_key(spec.key, df) & F.col(ref.col).isNotNull()).select(spec.key, ref.col)
-    found = look_up(rows, [Lookup(F.col(ref.col), own_map.select("id", "key"), ref.key_col)])
-    return found.where(F.col(ref.key_col).isNotNull()).select(spec.key, ref.key_col)
+    first = Ref(ref.col, ref.to[:ref.to.index(spec.name) + 1], ref.rel)
+    lookups, names = _hits([first], maps)
+    *earlier, (_, own) = names[ref.col]
+    own_only = F.col(own).isNotNull()
+    for _, name in earlier:
+        own_only = own_only & F.col(name).isNull()
+    return look_up(rows, lookups).where(own_only).select(spec.key, F.col(own).alias(ref.key_col))
 
 
 def order_columns(df: DataFrame, key: str | None) -> DataFrame:

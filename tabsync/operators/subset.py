@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabsync.functions import has_key
 from tabsync.sources.tables import in_list
 from tabsync.spec import Env, TableSpec, by_name, table_tiers
-from tabsync.storage import materialise_counted
+from tabsync.storage import materialise, materialise_counted
 
 #: Selected ids per table; each frame has the single column ``id`` and is written.
 Selection = dict[str, DataFrame]
@@ -30,8 +30,9 @@ def root_ids(env: Env, spec: TableSpec, values: Sequence | DataFrame, match_by:
 
 
 def _edges(specs: Sequence[TableSpec]) -> list[tuple[str, str, str]]:
+    """(child, column, parent) of every reference in scope, those of a table to itself included."""
     scope = {s.name for s in specs}
-    return [(s.name, r.col, p) for s in specs for r in s.parent_refs for p in r.to if p in scope]
+    return [(s.name, r.col, p) for s in specs for r in s.refs if r.col not in s.exclude for p in r.to if p in scope]
 
 
 def _among(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
@@ -39,76 +40,109 @@ def _among(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
     return df.join(ids.select(F.col("id").alias("_selected")), F.col(col) == F.col("_selected"), "left_semi")
 
 
-def _children(env: Env, spec: TableSpec, links: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Ids of the rows that refer to a selected parent through any of ``links``."""
-    df = env[spec.name]
-    if spec.filter:
-        df = df.where(spec.filter)
-    found = [_among(df, fk, ids).select(F.col(spec.id_col).alias("id")) for fk, ids in links]
-    return reduce(DataFrame.union, found).distinct()
+#: Pieces of a table's selection that are written together once there are so many.
+PIECES = 16
 
 
-def _parents(env: Env, specs: Mapping[str, TableSpec], links: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
-    """Distinct values of the given foreign keys in the selected rows of the referring tables."""
-    found = [_among(env[child].where(F.col(fk).isNotNull()), specs[child].id_col, ids).select(F.col(fk).alias("id"))
-             for child, fk, ids in links]
-    return reduce(DataFrame.union, found).distinct()
+class _Closure:
+    """A selection that grows: per table the ids found so far, in the pieces in which they were found.
+
+    Every edge remembers how many pieces of its source it has looked at, so each id is followed once along each edge, however
+    often tables refer to each other or to themselves.
+    """
+
+    def __init__(self, env: Env, specs: Sequence[TableSpec], selected: Selection):
+        self.env, self.specs = env, by_name(specs)
+        self.pieces: dict[str, list[DataFrame]] = {t: [ids] for t, ids in selected.items()}
+        self.seen: dict[tuple, int] = {}
+        self.joined: dict[str, tuple[int, DataFrame]] = {}
+
+    def fresh(self, edge: tuple, source: str) -> DataFrame | None:
+        """Ids of ``source`` that the edge has not looked at; they count as looked at from now on."""
+        at, pieces = self.seen.get(edge, 0), self.pieces.get(source, [])
+        self.seen[edge] = len(pieces)
+        return reduce(DataFrame.union, pieces[at:]) if pieces[at:] else None
+
+    def ids(self, table: str) -> DataFrame:
+        """All ids of a table; many pieces are written as one."""
+        pieces = self.pieces[table]
+        done, joined = self.joined.get(table, (0, None))
+        if len(pieces) - done >= PIECES:
+            joined = materialise(reduce(DataFrame.union, ([joined] if done else []) + pieces[done:]), f"selected-{table}")
+            done = len(pieces)
+            self.joined[table] = done, joined
+        return reduce(DataFrame.union, ([joined] if done else []) + pieces[done:])
+
+    def add(self, table: str, found: DataFrame, label: str) -> bool:
+        """Take in the ids that are new (written and counted); whether there are any."""
+        found = found.select(F.col("id").cast(self.env[table].schema[self.specs[table].id_col].dataType).alias("id")).where("id IS NOT NULL")
+        if table in self.pieces:
+            known = self.ids(table).select(F.col("id").alias("_known"))
+            found = found.join(known, F.col("id") == F.col("_known"), "left_anti")
+        ids, seen = materialise_counted(found.distinct(), f"{label}-{table}")
+        if seen["rows"]:
+            self.pieces.setdefault(table, []).append(ids)
+        return bool(seen["rows"])
+
+    def selection(self) -> Selection:
+        return {t: self.ids(t) for t in self.pieces}
+
+
+def _targets(refs: Sequence[tuple[str, str]]) -> Column:
+    """(parent, value) for every reference of a row that has a value."""
+    return F.explode(F.array_compact(F.array(*[
+        F.when(F.col(col).isNotNull(), F.struct(F.lit(parent).alias("parent"), F.col(col).cast("string").alias("value"))) for col, parent in refs])))
 
 
 def walk_down(env: Env, specs: Sequence[TableSpec], selected: Selection) -> Selection:
-    """Add the rows below the selected ones, through every reference to a selected table.
+    """Add the rows below the selected ones, through every reference, to a fixpoint.
 
-    Parents are finished before their children, and each table is entered once. Within a cycle of
-    tables the walk repeats until no further table is entered.
+    Parents come before their children, so without cycles one sweep finds all; references of a table to itself and cycles of tables are followed until
+    a sweep finds nothing. A sweep reads a table once, whatever its references, and only for parents found since it was read last.
     """
-    tiers, edges, out = table_tiers(specs), _edges(specs), dict(selected)
-    waiting = sorted((s for s in specs if s.name not in selected), key=lambda s: tiers[s.name][0])
-    entered = True
-    while entered and waiting:
-        entered = False
-        for spec in list(waiting):
-            links = [(fk, out[p]) for child, fk, p in edges if child == spec.name and p in out]
-            if not links:
+    tiers, edges, walk = table_tiers(specs), _edges(specs), _Closure(env, specs, selected)
+    grew = True
+    while grew:
+        grew = False
+        for spec in sorted(specs, key=lambda s: tiers[s.name][0]):
+            if spec.name not in env:
                 continue
-            ids, seen = materialise_counted(_children(env, spec, links), f"down-{spec.name}")
-            if seen["rows"]:
-                out[spec.name] = ids
-                entered = True
-            if seen["rows"] or not tiers[spec.name][1]:
-                waiting.remove(spec)
-    return out
+            fresh = [((col, parent), walk.fresh((spec.name, col, parent), parent)) for child, col, parent in edges if child == spec.name]
+            fresh = [(ref, ids) for ref, ids in fresh if ids is not None]
+            if not fresh:
+                continue
+            rows = env[spec.name].where(spec.filter) if spec.filter else env[spec.name]
+            refs = rows.select(F.col(spec.id_col).alias("id"), _targets([ref for ref, _ in fresh]).alias("r")).select("id", "r.parent", "r.value")
+            # References to one parent share its ids as long as they have looked at the same pieces, which all of a sweep have.
+            wanted = {parent: ids.select(F.lit(parent).alias("_parent"), F.col("id").cast("string").alias("_value")) for (_, parent), ids in fresh}
+            wanted = reduce(DataFrame.union, wanted.values())
+            found = refs.join(wanted, (F.col("parent") == F.col("_parent")) & (F.col("value") == F.col("_value")), "left_semi")
+            grew = walk.add(spec.name, found.select("id"), "down") or grew
+    return walk.selection()
 
 
 def walk_up(env: Env, specs: Sequence[TableSpec], selected: Selection, grow: bool = True) -> Selection:
-    """Add the rows that the selected ones refer to.
+    """Add the rows that the selected ones refer to, to a fixpoint.
 
-    Children are finished before their parents, so one pass closes the selection; tables on a
-    reference cycle are passed again until nothing is added. ``grow=False`` leaves tables alone
-    that already have selected rows, as the way down found them.
+    Children come before their parents, so without cycles one sweep closes the selection. A sweep reads a table once, and of it only the
+    rows selected since it was read last. ``grow=False`` leaves tables alone that already have selected rows, as the way down found them.
     """
-    named, tiers = by_name(specs), table_tiers(specs)
-    out, rows, fixed = dict(selected), {}, set(selected) if not grow else set()
-    edges = _edges(specs)
-    again = True
-    while again:
-        again = False
+    tiers, edges, walk = table_tiers(specs), _edges(specs), _Closure(env, specs, selected)
+    fixed = set(selected) if not grow else set()
+    grew = True
+    while grew:
+        grew = False
         for spec in sorted(specs, key=lambda s: -tiers[s.name][0]):
-            cyclic = tiers[spec.name][1]
-            if spec.name in fixed or spec.name in rows and not cyclic:
-                continue
-            links = [(child, fk, out[child]) for child, fk, p in edges if p == spec.name and child in out]
-            if not links:
+            refs = [(col, parent) for child, col, parent in edges if child == spec.name and parent not in fixed and parent in env]
+            fresh = walk.fresh((spec.name,), spec.name) if refs and spec.name in env else None
+            if fresh is None:
                 continue
-            ids = _parents(env, named, links)
-            if spec.name in out:
-                ids = ids.union(out[spec.name]).distinct()
-            ids, seen = materialise_counted(ids, f"up-{spec.name}")
-            grew = seen["rows"] > rows.get(spec.name, 0)
-            rows[spec.name] = seen["rows"]
-            if seen["rows"]:
-                out[spec.name] = ids
-            again = again or (grew and cyclic)
-    return out
+            rows = _among(env[spec.name], spec.id_col, fresh)
+            found = materialise(rows.select(_targets(refs).alias("r")).select("r.parent", "r.value").distinct(), f"refers-{spec.name}")
+            for parent in dict.fromkeys(p for _, p in refs):
+                ids = found.where(F.col("parent") == parent).select(F.col("value").alias("id"))
+                grew = walk.add(parent, ids, "up") or grew
+    return walk.selection()
 
 
 def select_related(env: Env, specs: Sequence[TableSpec], root: str, values: Sequence | DataFrame,

@@ -83,7 +83,7 @@ def resolved_parts(rows: DataFrame, spec: TableSpec, tier: int, maps: Mapping[st
                    notes: str | None = None) -> list[Part]:
     """A table with references as business keys, and its self references as parts of their own."""
     main = order_columns(resolve_references(rows, spec, maps), spec.key)
-    own = self_ref_pass2(rows, spec, maps[spec.name]) if spec.key else {}
+    own = self_ref_pass2(rows, spec, maps[spec.name], maps) if spec.key else {}
     return [Part(spec, tier, main, suffix, False, notes),
             *[Part(spec, tier, pairs, f"{suffix}_pass2_{col}", True, "load after the table itself")
               for col, pairs in own.items()]]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
@@ -10,23 +11,31 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabsync.functions import not_blank
+from tabsync.functions.text import needs_mask
 from tabsync.operators import clean, crosswalk
 from tabsync.operators import load as write
 from tabsync.operators.log import LOG_SCHEMA, load_summary
 from tabsync.plans.export import Bundle, read_bundle_table
+from tabsync.sinks.bundle import write_results
 from tabsync.spec import Env, FieldMeta, TableSpec, by_name
-from tabsync.storage import materialise, materialise_counted, side_by_side, small_frame
+from tabsync.storage import materialise, materialise_counted, new_path, side_by_side, small_frame
 
 #: Adds an ``errors`` array to the rows of a table that the target would refuse.
 Checker = Callable[[DataFrame, TableSpec, int], DataFrame]
-SAVED = ("log", "xwalk", "key_xwalk")
+SAVED = ("log", "xwalk", "key_xwalk", "counters")
+COUNTER_SCHEMA = "order int, table string, counter string, n bigint"
+#: What the journal holds of an accepted step; paths are null where there is nothing.
+STEP_SCHEMA = (f"seq int, kind string, {LOG_SCHEMA}, first_pass boolean, flagged boolean, changes string, rejected string, "
+               "held string, matched string, stripped array<string>, counters map<string, bigint>")
 
 
 @dataclass
 class LoadResult:
     """State of the target after a load, and everything needed to undo it.
 
-    ``loaded`` has one frame per table, because prior images have the table's columns.
+    ``loaded`` has one frame per table, because prior images have the table's columns. ``counters`` has what every step counted
+    while it wrote: rows read, repeated keys left out, masked values, references found and not found, rows inserted and updated.
     """
 
     env: dict[str, DataFrame]
@@ -36,10 +45,16 @@ class LoadResult:
     xwalk: DataFrame | None = None
     key_xwalk: DataFrame | None = None
     stripped: dict[str, list[str]] = field(default_factory=dict)
+    counters: DataFrame | None = None
+    journal: str | None = None
 
     def summary(self) -> DataFrame:
         return load_summary(self.log)
 
+    def compact(self, *tables: str) -> dict[str, DataFrame]:
+        """The target with the named tables (default: all loaded ones) written whole, instead of read from change sets."""
+        return {t: materialise(df, f"table-{t}") if t in (tables or self.loaded) else df for t, df in self.env.items()}
+
     def save(self, path: str) -> str:
         """Write everything that a rollback, or a look at what was refused, needs; not the target's tables."""
         spark = self.log.sparkSession
@@ -60,6 +75,22 @@ class LoadResult:
             getattr(out, r["kind"])[r["table"]] = spark.read.parquet(f"{path}/part-{r['part']}")
         return out
 
+    @classmethod
+    def recover(cls, target: Env, journal: str, specs: Sequence[TableSpec]) -> LoadResult:
+        """A load that stopped, from its journal, also in a later session; ``target`` is the environment as it was before the load.
+
+        What had been accepted by then counts, as if the load had been told to stop there; a rollback undoes it.
+        """
+        return _Run(target, None, by_name(specs), False, {}, None, 0, None, journal).replay()
+
+
+class LoadStopped(RuntimeError):
+    """A step failed in stop mode. ``result`` is the load up to there, ``result.journal`` where it can be recovered from."""
+
+    def __init__(self, message: str, result: LoadResult):
+        super().__init__(message)
+        self.result = result
+
 
 def load_preview(spark: SparkSession, bundle: Bundle) -> DataFrame:
     """The dry run: what would be loaded, in order."""
@@ -68,31 +99,36 @@ def load_preview(spark: SparkSession, bundle: Bundle) -> DataFrame:
 
 def load(target: Env, bundle: Bundle, specs: Sequence[TableSpec], on_error: str = "stop", mask: bool = False,
          fields: Mapping[str, Sequence[FieldMeta]] | None = None, checker: Checker | None = None,
-         retries: int = 2, id_pattern: str | None = None) -> LoadResult:
+         retries: int = 2, id_pattern: str | None = None, journal: str | None = None, results: str | None = None) -> LoadResult:
     """Load a bundle tier by tier.
 
     Tiers come one after the other, because later ones join the crosswalks that earlier ones
-    produced; the tables of a tier are loaded side by side, each into a new version. With
-    ``on_error="stop"`` nothing after a table with rejected rows takes effect, ``"continue"`` goes on.
+    produced; the tables of a tier are loaded side by side, each as a change set of its table. With
+    ``on_error="stop"`` nothing after a table with rejected rows takes effect, and a step that breaks raises :class:`LoadStopped`;
+    ``"continue"`` goes on. Every accepted step is noted in the folder ``journal`` (default: a new one below the shared folder),
+    from which :meth:`LoadResult.recover` opens a load that stopped, for whatever reason. With ``results``, accepted and
+    refused rows of every step are written below that folder.
     """
-    run = _Run(target, bundle, by_name(specs), mask, fields or {}, checker, retries, id_pattern)
+    run = _Run(target, bundle, by_name(specs), mask, fields or {}, checker, retries, id_pattern,
+               journal or new_path(next(iter(target.values())).sparkSession, "journal"), results)
     return run.all(on_error)
 
 
 @dataclass
 class _Outcome:
-    """What loading one folder came to, before it is made current."""
+    """What loading one folder came to, before it is made current. Frames are written, and known by their paths."""
 
     spec: TableSpec
     line: tuple | None = None
-    env: DataFrame | None = None
-    done: DataFrame | None = None
-    rejected: DataFrame | None = None
-    held: DataFrame | None = None
+    changes: str | None = None
+    rejected: str | None = None
+    held: str | None = None
+    matched: str | None = None
     stripped: Sequence[str] = ()
     first_pass: bool = True
-    matched: DataFrame | None = None
     flagged: bool = False  # the rows brought their own active flag
+    counters: Mapping[str, int] = field(default_factory=dict)
+    error: Exception | None = None
 
 
 #: Errors found while rows were prepared; they stay with a row through all retries.
@@ -100,10 +136,12 @@ JUDGED = ("_invalid", "_repeated")
 
 
 class _Run:
-    def __init__(self, target, bundle, specs, mask, fields, checker, retries, id_pattern):
+    def __init__(self, target, bundle, specs, mask, fields, checker, retries, id_pattern, journal, results=None):
         self.spark = next(iter(target.values())).sparkSession
         self.bundle, self.specs, self.mask, self.fields = bundle, specs, mask, fields
         self.checker, self.retries, self.id_pattern = checker, retries, id_pattern
+        self.journal, self.results, self.seq = journal, results, 0
+        self.versions = {t: write.Version(df, specs[t].id_col) if t in specs else None for t, df in target.items()}
         self.env = dict(target)
         self.xwalk = crosswalk.empty_xwalk(self.spark)
         self.key_xwalk = crosswalk.empty_key_xwalk(self.spark)
@@ -112,25 +150,70 @@ class _Run:
         self.stripped: dict[str, list[str]] = {}
         self.deferred: dict[str, DataFrame] = {}
         self.flagged: dict[str, list[DataFrame]] = {}
+        self.active: dict[str, DataFrame] = {}
         self.lines: list[tuple] = []
+        self.counters: list[tuple] = []
 
     def all(self, on_error: str) -> LoadResult:
-        active = {}
-        present = list(dict.fromkeys(e[4] for e, _ in self.bundle.entries))
-        for name in present:
+        for name in dict.fromkeys(e[4] for e, _ in self.bundle.entries):
             spec = self.specs[name]
             if spec.active_col and name in self.env:
-                self.env[name], ids = write.deactivate(self.env[name], spec.active_col, spec.id_col)
-                active[name] = materialise(ids, f"active-{name}") if ids is not None else None
+                off, ids = write.deactivate(self.env[name], spec.active_col, spec.id_col)
+                path = self.place(f"active-{name}") if ids is not None else None
+                if path:
+                    materialise(ids, path=path)
+                    self.switch_off(spec, off, path)
+        self.note("start", None, None)
+        broken = None
         for step in self.steps():
             done = side_by_side(self.spark, [partial(self.attempt, entry, rows, on_error) for entry, rows in step])
             failed = False
             for outcome in done:
+                broken = outcome.error
                 failed = self.accept(outcome)
-                if failed and on_error == "stop":
+                if (failed and on_error == "stop") or broken:
                     break
-            if failed and on_error == "stop":
+            if (failed and on_error == "stop") or broken:
                 break
+        result = self.finish()
+        if broken:
+            raise LoadStopped(f"{self.lines[-1][1]}: {broken}", result) from broken
+        return result
+
+    def place(self, label: str) -> str:
+        return f"{self.journal}/data/{label}-{uuid.uuid4().hex}"
+
+    def note(self, kind: str, line: tuple | None, o: _Outcome | None, path: str | None = None) -> None:
+        """Add a line to the journal: one small file, written when everything that it names is."""
+        row = (self.seq, kind, *(line or (None,) * 7),
+               *((o.first_pass, o.flagged, o.changes, o.rejected, o.held, o.matched, list(o.stripped), list(dict(o.counters).items()))
+                 if o else (None, None, path, None, None, None, [], [])))
+        small_frame(self.spark, [row], STEP_SCHEMA).write.parquet(f"{self.journal}/steps/{self.seq:06d}")
+        self.seq += 1
+
+    def replay(self) -> LoadResult:
+        """Take every step of the journal as accepted."""
+        steps = self.spark.read.schema(STEP_SCHEMA).parquet(f"{self.journal}/steps/*").orderBy("seq").collect()  # one line per step
+        self.seq = len(steps)
+        for r in steps:
+            if r["kind"] == "active":
+                spec = self.specs[r["table"]]
+                self.switch_off(spec, write.deactivate(self.env[spec.name], spec.active_col, spec.id_col)[0], r["changes"], again=True)
+            elif r["kind"] == "step":
+                line = tuple(r[c] for c in ("order", "table", "key_field", "submitted", "succeeded", "failed", "status"))
+                self.apply_step(_Outcome(self.specs[r["table"]], line, r["changes"], r["rejected"], r["held"], r["matched"], r["stripped"],
+                                         r["first_pass"], r["flagged"], dict(r["counters"])))
+        return self.finish()
+
+    def switch_off(self, spec: TableSpec, off: DataFrame, path: str, again: bool = False) -> None:
+        self.env[spec.name] = off
+        self.versions[spec.name] = write.Version(off, spec.id_col)
+        self.active[spec.name] = self.spark.read.parquet(path)
+        if not again:
+            self.note("active", (None, spec.name, *(None,) * 5), None, path)
+
+    def finish(self) -> LoadResult:
+        """Held back values and flags come back, and the parts become a result."""
         for name, held in self.deferred.items():
             spec = self.specs[name]
             cols = [c for c in spec.deferred if c and c in self.env[name].columns]
@@ -139,9 +222,7 @@ class _Run:
             taken = clean.union_results(self.loaded[name]).select(F.coalesce("source_key", "target_key").alias("_taken"))
             held = held.join(taken, F.col("key") == F.col("_taken"), "left_semi")
             self.env[name] = clean.restore_deferred(self.env[name], held, spec.key, cols, moved)
-        for name, ids in active.items():
-            if ids is None:
-                continue
+        for name, ids in self.active.items():
             spec = self.specs[name]
             own = self.flagged.get(name)  # a flag that came with the rows counts
             left = write.without_given(ids, clean.union_results(own)) if own else ids
@@ -152,7 +233,7 @@ class _Run:
             self.env, small_frame(self.spark, self.lines, LOG_SCHEMA),
             {t: clean.union_results(fs) for t, fs in self.loaded.items()},
             {t: clean.union_results(fs) for t, fs in self.rejected.items()},
-            self.xwalk, self.key_xwalk, self.stripped)
+            self.xwalk, self.key_xwalk, self.stripped, small_frame(self.spark, self.counters, COUNTER_SCHEMA), self.journal)
 
     def steps(self) -> list[list[tuple[tuple, int]]]:
         """Entries that may be loaded at the same time: the tables of a tier, then its second passes."""
@@ -167,84 +248,118 @@ class _Run:
         spec = self.specs[name]
         try:
             return self.table(spec, order, path, pass2)
-        except PySparkException:
-            if on_error == "stop":
-                raise
-            return _Outcome(spec, (order, name, spec.key, rows, 0, rows, "failed"))
+        except Exception as e:  # noqa: BLE001 - the tables beside it may have been loaded, and are noted before it is raised
+            going_on = on_error != "stop" and isinstance(e, PySparkException)
+            return _Outcome(spec, (order, name, spec.key, rows, 0, rows, "failed"), first_pass=not pass2, error=None if going_on else e)
 
     def accept(self, o: _Outcome) -> bool:
-        """Make the result of one table current; True when rows were rejected.
+        """Note a step and make its result current; True when rows were rejected.
 
         A table after a failed one is never accepted in stop mode, even if it was written.
         """
-        name = o.spec.name
+        self.note("step", o.line, o)
+        self.apply_step(o)
+        if self.results and o.changes:
+            done = self.spark.read.parquet(o.changes).select(F.col(o.spec.id_col).cast("string").alias("target_id"), "_source_id", "_op")
+            bad = self.spark.read.parquet(o.rejected) if o.rejected else done.where("false").withColumn("error", F.lit(None).cast("string"))
+            shown = [c for c in ("_source_id", "error") if c in bad.columns]
+            write_results(done, bad.select(*[F.col(c).cast("string").alias(c) for c in shown]), o.spec.name, self.results)
+        return o.line[5] > 0 or o.line[6] == "failed"
+
+    def apply_step(self, o: _Outcome) -> None:
+        name, order = o.spec.name, o.line[0]
+        self.counters += [(order, name, c, n) for c, n in o.counters.items()]
         if o.matched is not None:
-            self.xwalk = self.xwalk.unionByName(o.matched)
-            return False
+            self.xwalk = self.xwalk.unionByName(self.spark.read.parquet(o.matched))
+            return
         self.lines.append(o.line)
         if o.rejected is not None:
-            self.rejected.setdefault(name, []).append(o.rejected)
-        if o.env is not None:
-            self.env[name] = o.env
-            self.loaded.setdefault(name, []).append(o.done)
+            self.rejected.setdefault(name, []).append(self.spark.read.parquet(o.rejected))
+        if o.changes is not None:
+            changes = self.spark.read.parquet(o.changes)
+            done = write.loaded_rows(changes, order, name, o.spec.id_col, o.spec.key)
+            self.versions[name] = self.versions[name].add(changes)
+            self.env[name] = self.versions[name].read()
+            self.loaded.setdefault(name, []).append(done)
             self.stripped.setdefault(name, []).extend(o.stripped)
             if o.flagged:
-                self.flagged.setdefault(name, []).append(o.done)
+                self.flagged.setdefault(name, []).append(done)
             if o.held is not None:
-                self.deferred[name] = o.held
+                self.deferred[name] = self.spark.read.parquet(o.held)
             if o.first_pass:
                 self.xwalk = self.xwalk.unionByName(
-                    crosswalk.id_xwalk(o.done.where(F.col("source_id").isNotNull()), name))
+                    crosswalk.id_xwalk(done.where(F.col("source_id").isNotNull()), name))
                 if o.spec.auto_number_key:
-                    self.key_xwalk = self.key_xwalk.unionByName(crosswalk.key_xwalk(o.done, name, o.spec.key))
-        return o.line[5] > 0 or o.line[6] == "failed"
+                    self.key_xwalk = self.key_xwalk.unionByName(crosswalk.key_xwalk(done, name, o.spec.key))
 
     def table(self, spec: TableSpec, order: int, path: str, pass2: bool) -> _Outcome:
-        """Load one folder of the bundle into a new version of its table."""
+        """Load one folder of the bundle: its change set, and what was refused.
+
+        The folder is read once, into resolved rows, and the write counts all that the steps behind it decide by.
+        """
         rows = read_bundle_table(self.spark, self.bundle, path, spec, self.specs)
         target = self.env[spec.name]
         if spec.match_on_name:
-            return _Outcome(spec, matched=self.match(rows, spec))
-        rows, stripped = self.prepare(rows, spec, target, pass2)
+            return self.match(rows, spec, order)
+        bound = spec.in_pass(pass2)
+        rows, stripped, counts = self.prepare(rows, bound, target, pass2)
         held = None
         if spec.deferred and not pass2 and spec.deferred[0] in rows.columns:  # repeated keys are gone by now
             key = "_source_key" if spec.auto_number_key else spec.key
-            rows, held = clean.defer_values(rows, spec.name, key, spec.deferred[0], spec.deferred[1])
-            held = materialise(held, f"deferred-{spec.name}")
-        judged, seen = materialise_counted(self.judge(rows, spec, 0), f"judged-{spec.name}",
+            rows, kept = clean.defer_values(rows, spec.name, key, spec.deferred[0], spec.deferred[1])
+            held = self.place(f"deferred-{spec.name}")
+            materialise(kept, path=held)
+        judged, seen = materialise_counted(self.judge(rows, bound, 0), f"judged-{spec.name}",
                                            refused=F.count_if(F.size("errors") > 0))
         submitted, refused, rejected = seen["rows"], seen["refused"], None
+        counts |= {"repeated_keys": counts["read"] - submitted}
         ok, bad = self.split(judged, spec)
         if refused:
-            again, bad, tally = write.retry_rejects(bad, lambda df, n: self.split(self.judge(df, spec, n), spec),
+            again, bad, tally = write.retry_rejects(bad, lambda df, n: self.split(self.judge(df, bound, n), spec),
                                                     attempts=self.retries, bookkeeping=("error", "retryable"))
             if again is not None:
                 ok = clean.union_results([ok, again])
             refused = tally["failed"]
-            rejected = bad.drop(*JUDGED).withColumn("table", F.lit(spec.name))
-        written = materialise(self.apply(target, ok, spec, pass2), f"table-{spec.name}")
+            counts |= {"retried": tally["retried"], "recovered": tally["recovered"]}
+            rejected = self.place(f"rejected-{spec.name}")
+            materialise(bad.drop(*JUDGED).withColumn("table", F.lit(spec.name)), path=rejected)
+        changes = self.place(f"changes-{spec.name}")
+        _, wrote = materialise_counted(self.changes(target, ok, spec, pass2), path=changes, inserted=F.count_if(F.col("_op") == "insert"),
+                                       updated=F.count_if(F.col("_op") == "update"))
+        counts |= {"inserted": wrote["inserted"], "updated": wrote["updated"]}
         line = (order, spec.name, spec.key, submitted, submitted - refused, refused, "partial" if refused else "success")
-        return _Outcome(spec, line, write.current(written),
-                        write.loaded_rows(written, order, spec.name, spec.id_col, spec.key),
-                        rejected, held, stripped, not pass2, flagged=spec.active_col in ok.columns)
+        return _Outcome(spec, line, changes, rejected, held, None, stripped, not pass2, spec.active_col in ok.columns, counts)
 
-    def match(self, rows: DataFrame, spec: TableSpec) -> DataFrame:
+    def match(self, rows: DataFrame, spec: TableSpec, order: int) -> _Outcome:
         found = crosswalk.match_by_name(rows, self.env[spec.name], spec.name_col, "_source_id", spec.id_col)
-        pairs = found.where(F.col("target_id").isNotNull()).select(
-            F.lit(spec.name).alias("table"), "source_id", "target_id")
-        return materialise(pairs, f"matched-{spec.name}")
-
-    def prepare(self, rows: DataFrame, spec: TableSpec, target: DataFrame, pass2: bool) -> tuple[DataFrame, list[str]]:
-        """Source rows in the shape the target takes; the order of the steps matters."""
+        path = self.place(f"matched-{spec.name}")
+        found, seen = materialise_counted(found, path=path, matched=F.count_if(F.col("target_id").isNotNull()))
+        pairs = self.place(f"pairs-{spec.name}")
+        materialise(found.where(F.col("target_id").isNotNull()).select(F.lit(spec.name).alias("table"), "source_id", "target_id"), path=pairs)
+        counts = {"read": seen["rows"], "matched": seen["matched"], "unmatched": seen["rows"] - seen["matched"]}
+        return _Outcome(spec, (order, spec.name, spec.key, 0, 0, 0, "matched"), matched=pairs, counters=counts)
+
+    def prepare(self, rows: DataFrame, spec: TableSpec, target: DataFrame, pass2: bool) -> tuple[DataFrame, list[str], dict[str, int]]:
+        """Source rows in the shape the target takes, the columns left out, and counters; the order of the steps matters."""
         if spec.id_col != spec.key:
             rows = rows.drop(spec.id_col)
-        rows = crosswalk.rewrite_keys(rows, spec, self.key_xwalk)
-        resolved = crosswalk.resolved_columns(rows, spec, self.xwalk, self.id_pattern)
-        rows = crosswalk.resolve_raw_refs(rows, spec, self.xwalk, self.id_pattern)
+        rows, marks = crosswalk.mark_raw_refs(crosswalk.rewrite_keys(rows, spec, self.key_xwalk), spec, self.xwalk, self.id_pattern)
         metas = self.fields.get(spec.name) or [
             FieldMeta(spec.name, f.name, "reference" if f.name in {r.col for r in spec.refs} else f.dataType.simpleString(),
                       nullable=True) for f in target.schema.fields]
-        rows, gone = clean.strip_columns(rows, metas, spec, resolved)
+        keys = [r.key_col for r in spec.refs if r.key_col in rows.columns]
+        emails = clean.email_candidates(rows, metas) if self.mask and not pass2 else []
+        rows, seen = materialise_counted(
+            rows, f"resolved-{spec.name}", drop=[n for names in marks.values() for n in names],
+            **{f"{kind}{i}": F.count_if(name) for i, names in enumerate(marks.values()) for kind, name in zip(("hit", "miss"), names)},
+            **{f"key{i}": F.count_if(not_blank(c)) for i, c in enumerate(keys)},
+            **{f"{kind}{i}": a for i, (_, _, n, e) in enumerate(emails) for kind, a in (("text", n), ("email", e))},
+            **{f"mask{i}": F.count_if(needs_mask(c)) for i, (c, *_) in enumerate(emails)})
+        resolved = [c for i, c in enumerate(marks) if seen[f"hit{i}"]]
+        counts = {"read": seen["rows"], "references_found": sum(seen[f"hit{i}"] for i in range(len(marks))),
+                  "references_missed": sum(seen[f"miss{i}"] for i in range(len(marks)))}
+        gone = clean.columns_to_strip(rows.columns, metas, spec, resolved, [c for i, c in enumerate(keys) if seen[f"key{i}"]])
+        rows = rows.drop(*gone)
         order = [c for c in spec.order_cols if c in rows.columns] or \
             ["_source_id" if "_source_id" in rows.columns else spec.key]
         if spec.auto_number_key:
@@ -256,9 +371,9 @@ class _Run:
             rows = crosswalk.mark_repeated(rows, spec.id_col, order or ["_source_key"], spec.key)
         elif spec.key:
             rows = clean.dedupe_keep_last(rows, spec.key, order, spec.id_col)
-        if self.mask and not pass2:
-            rows, _ = clean.mask_emails(rows, metas)
-        return write.conform(rows, target.schema), gone
+        chosen = [(i, c) for i, (c, reason, _, _) in enumerate(emails) if c in rows.columns and (reason != "pattern" or seen[f"email{i}"] * 2 > seen[f"text{i}"])]
+        counts["masked"] = sum(seen[f"mask{i}"] for i, _ in chosen)
+        return write.conform(clean.masked(rows, [c for _, c in chosen]), target.schema), gone, counts
 
     def judge(self, rows: DataFrame, spec: TableSpec, attempt: int) -> DataFrame:
         """Rows with foreign keys filled in and ``errors`` for what the target would refuse."""
@@ -273,29 +388,29 @@ class _Run:
         good, bad = clean.split_checked(judged)
         return good, bad.withColumn("error", F.array_join("errors", "; ")).drop("errors")
 
-    def apply(self, target: DataFrame, rows: DataFrame, spec: TableSpec, pass2: bool) -> DataFrame:
+    def changes(self, target: DataFrame, rows: DataFrame, spec: TableSpec, pass2: bool) -> DataFrame:
+        """Change set of a table's rows."""
         rows = rows.drop(*[r.key_col for r in spec.refs])
 
         def put(into: DataFrame, part: DataFrame) -> DataFrame:
             if spec.auto_number_key:
                 if pass2:  # never adds rows
-                    return write.update(into, part.where(F.col(spec.id_col).isNotNull()), spec.id_col)
-                return write.upsert_by_id(into, part, spec.id_col, ["_source_id"], spec.key)
+                    return write.updated_rows(into, part.where(F.col(spec.id_col).isNotNull()), spec.id_col)
+                return write.upserted_rows_by_id(into, part, spec.id_col, ["_source_id"], spec.key)
             if not spec.key:
-                return write.untouched(into).unionByName(write.insert(into, part, spec.id_col, ["_source_id"]))
+                return write.insert(into, part, spec.id_col, ["_source_id"])
             if pass2:
-                return write.update(into, part, spec.key)
+                return write.updated_rows(into, part, spec.key)
             if spec.key == spec.id_col:
-                return write.update(into, part, spec.key).unionByName(_new_rows(into, part, spec.key))
+                return write.updated_rows(into, part, spec.key).unionByName(_new_rows(into, part, spec.key))
             order = ["_source_id"] if "_source_id" in part.columns else [spec.key]
-            return write.upsert(into, part, spec.key, spec.id_col, order)
+            return write.upserted_rows(into, part, spec.key, spec.id_col, order)
 
         if spec.load_first and not pass2:
             fk, flag = spec.load_first
             parent = next(self.specs[t] for r in spec.refs if r.col == fk for t in r.to)
             first = self.env[parent.name].where(F.col(flag)).select(parent.id_col)
-            return write.in_two_batches(target, rows, spec.id_col, fk, first, None,
-                                        lambda t, part: materialise(put(t, part), f"half-{spec.name}"))
+            return write.in_two_batches(target, rows, spec.id_col, fk, first, None, put)
         return put(target, rows)
 
 

@@ -98,15 +98,22 @@ class TableSpec:
 
     @property
     def parent_refs(self) -> tuple[Ref, ...]:
-        """References to other tables; excluded columns make no reference."""
+        """References that may lead to another table; excluded columns make no reference."""
         return tuple(r for r in self.refs if not self.is_self(r) and r.col not in self.exclude)
 
     @property
     def self_references(self) -> tuple[Ref, ...]:
-        return tuple(r for r in self.refs if self.is_self(r) and r.col not in self.exclude)
+        """References that may lead to the table itself, beside others or alone."""
+        return tuple(r for r in self.refs if self.name in r.to and r.col not in self.exclude)
 
     def is_self(self, ref: Ref) -> bool:
-        return ref.to[0] == self.name
+        """Whether a reference leads nowhere but to the table itself."""
+        return set(ref.to) == {self.name}
+
+    def in_pass(self, second: bool) -> TableSpec:
+        """References as they are bound in one of the passes of a load: to other tables first, to the table itself in the second."""
+        refs = [replace(r, to=tuple(t for t in r.to if (t == self.name) == second)) for r in self.refs if not second or self.name in r.to]
+        return replace(self, refs=tuple(r for r in refs if r.to))
 
     def ordering(self) -> tuple[str, ...]:
         return self.order_cols or (self.id_col,)

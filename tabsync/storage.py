@@ -40,20 +40,20 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tabsync/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str = "frame", partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` once and return a frame over the written copy."""
+def materialise(df: DataFrame, label: str = "frame", partition_by: Sequence[str] = (), path: str | None = None) -> DataFrame:
+    """Write ``df`` once, at ``path`` or a new place of the shared folder, and return a frame over the written copy."""
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = path or new_path(spark, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialise_counted(df: DataFrame, label: str = "frame",
+def materialise_counted(df: DataFrame, label: str = "frame", drop: Sequence[str] = (), path: str | None = None,
                         **counters: Column) -> tuple[DataFrame, dict[str, int]]:
-    """Like :func:`materialise`, with counters taken while the rows pass by."""
+    """Like :func:`materialise`, with counters taken while the rows pass by; columns of ``drop`` serve the counters only."""
     seen = Observation(f"{label}-{uuid.uuid4().hex}")
     metrics = {"rows": F.count(F.lit(1)), **counters}
-    out = materialise(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), label)
+    out = materialise(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]).drop(*drop), label, path=path)
     return out, {n: int(v or 0) for n, v in seen.get.items()}
 
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tabsync.operators import subset
@@ -71,3 +73,60 @@ def test_portable_keys_choose_the_best_column(env, frame):
     assert {t: c for t, (c, _) in keys.items()} == {"root": "n", "child": "k", "leaf": "k", "lookup": "id", "grand": "k"}
     tgt = {"root": frame("id int, n string", (70, "one"), (71, "two")), "child": frame("id int, k string", (5, "c1"), (6, "zz"))}
     assert ids(subset.restrict(tgt, specs, keys)) == {"root": [70], "child": [5]}
+
+
+def plain_closure(env, specs, selected):
+    """Down, then up, row by row."""
+    rows = {t: [r.asDict() for r in df.collect()] for t, df in env.items()}
+    down = {t: set(ids) for t, ids in selected.items()}
+
+    def links(spec):
+        return [(r.col, p) for r in spec.refs for p in r.to]
+    grew = True
+    while grew:
+        grew = False
+        for spec in specs:
+            for row in rows[spec.name]:
+                if row["id"] not in down.get(spec.name, ()) and any(row[c] is not None and row[c] in down.get(p, ()) for c, p in links(spec)):
+                    down.setdefault(spec.name, set()).add(row["id"])
+                    grew = True
+    up, grew = {t: set(ids) for t, ids in down.items()}, True
+    while grew:
+        grew = False
+        for spec in specs:
+            for row in rows[spec.name]:
+                for c, p in links(spec) if row["id"] in up.get(spec.name, ()) else ():
+                    if row[c] is not None and row[c] not in up.get(p, ()):
+                        up.setdefault(p, set()).add(row[c])
+                        grew = True
+    return ({t: sorted(v) for t, v in down.items()}, {t: sorted(v) for t, v in up.items()})
+
+
+def test_a_table_on_a_cycle_is_entered_again(frame):
+    """Row 2 of a refers to row 1 of b, which is selected only behind row 1 of a."""
+    specs = [TableSpec("root", "id"), TableSpec("a", "id", refs=(Ref("r", ("root",)), Ref("b", ("b",)))), TableSpec("b", "id", refs=(Ref("a", ("a",)),))]
+    env = {"root": frame("id int", (1,)), "a": frame("id int, r int, b int", (1, 1, None), (2, None, 1), (3, None, 2)),
+           "b": frame("id int, a int", (1, 1), (2, 2), (9, 8))}
+    roots = {"root": frame("id int", (1,))}
+    assert ids(subset.walk_down(env, specs, roots)) == {"root": [1], "a": [1, 2, 3], "b": [1, 2]}
+
+
+def test_references_of_a_table_to_itself_are_followed(frame, monkeypatch):
+    monkeypatch.setattr(subset, "PIECES", 3)
+    specs = [TableSpec("t", "id", refs=(Ref("up", ("t",)),))]
+    env = {"t": frame("id int, up int", *[(i, i - 1 if i else None) for i in range(8)], (20, 21), (21, 20))}
+    assert ids(subset.walk_down(env, specs, {"t": frame("id int", (3,))})) == {"t": [3, 4, 5, 6, 7]}
+    assert ids(subset.walk_up(env, specs, {"t": frame("id int", (3,))})) == {"t": [0, 1, 2, 3]}
+    assert ids(subset.walk_down(env, specs, {"t": frame("id int", (20,))})) == {"t": [20, 21]}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_closure_of_random_tables(frame, seed):
+    rnd = random.Random(seed)
+    names = ["a", "b", "c"]
+    specs = [TableSpec(t, "id", refs=tuple(Ref(f"f{i}", tuple(rnd.sample(names, rnd.choice([1, 1, 2])))) for i in range(2))) for t in names]
+    some = lambda: rnd.choice([None, None, *range(8)])
+    env = {t: frame("id int, f0 int, f1 int", *[(i, some(), some()) for i in range(8)]) for t in names}
+    down = subset.walk_down(env, specs, {"a": frame("id int", (0,), (1,))})
+    want = plain_closure(env, specs, {"a": {0, 1}})
+    assert ids(down) == want[0] and ids(subset.walk_up(env, specs, down)) == want[1]
