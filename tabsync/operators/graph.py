@@ -34,16 +34,14 @@ def fk_edges(fields: DataFrame, scope: Sequence[str] | None = None,
 
 
 def dependency_tiers(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, tier, in_cycle, below_cycle) by peeling parents that wait for nothing.
+    """(node, tier, in_cycle, below_cycle): a node's tier is one more than the largest of its parents, 0 without parents.
 
-    Each round releases the edges of such parents; a node's tier is one more than the last round
-    that released one of its edges. What never gets free shares one final tier: ``in_cycle`` marks
-    it and ``below_cycle`` tells the nodes that only depend on a cycle from those on one. Nodes
+    Nodes on a cycle and behind one share one final tier: ``in_cycle`` marks
+    it and ``below_cycle`` tells the nodes that only depend on a cycle from those on one or between two. Nodes
     are the first column of ``nodes``; edges to other nodes, repeated edges and loops are ignored.
 
-    Only nodes that are parents themselves take part in the rounds. The others, usually the bulk,
-    get their tier from their parents in one join at the end. A round writes the remaining edges
-    once, and there are as many rounds as tiers of parents.
+    Only nodes that are parents themselves take part in the rounds of :func:`_levels`. The others, usually the bulk,
+    get their tier from their parents in one join at the end.
     """
     nodes = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct()
     edges = edges.select("child", "parent").where(F.col("child") != F.col("parent"))
@@ -51,46 +49,31 @@ def dependency_tiers(edges: DataFrame, nodes: DataFrame) -> DataFrame:
                           .join(nodes, "node", "left_semi"), "parents")
     # Small beside the edges in most graphs; then Spark broadcasts it and the edges stay where they are.
     is_parent = F.col("child") == F.col("node")
-    inner = edges.join(parents, is_parent, "left_semi").join(parents, F.col("parent") == F.col("node"), "left_semi")
+    inner = materialise(edges.join(parents, is_parent, "left_semi").join(parents, F.col("parent") == F.col("node"), "left_semi").distinct(), "edges")
     outer = edges.join(parents, is_parent, "left_anti")
-    live, seen = materialise_counted(inner.distinct(), "edges")
-    left, released, stuck, level = seen["rows"], [], None, 0
-    while left:  # each round releases an edge or ends
-        ends = live.select(F.col("parent").alias("node"), F.lit(False).alias("waits")).union(
-            live.select("child", F.lit(True)))
-        free = (ends.groupBy("node").agg(F.max("waits").alias("waits")).where(~F.col("waits"))
-                .select(F.col("node").alias("parent"), F.lit(True).alias("free")))
-        split, seen = materialise_counted(
-            live.join(free, "parent", "left").select("child", "parent", F.col("free").isNotNull().alias("free")),
-            f"peel{level}", freed=F.count_if("free"))
-        if seen["freed"] == 0:
-            stuck = live
-            break
-        released.append(split.where("free").select(F.col("child").alias("node"), F.lit(level + 1).alias("tier")))
-        live = split.where(~F.col("free")).select("child", "parent")
-        left, level = seen["rows"] - seen["freed"], level + 1
-
-    placed = reduce(DataFrame.union, [parents.withColumn("tier", F.lit(0)), *released]).groupBy("node").agg(
-        F.max("tier").alias("tier"))
-    flags = None
-    if stuck is not None:
-        flags = _on_cycle(stuck)
-        placed = placed.join(flags, "node", "left").select(
-            "node", F.when(F.col("below_cycle").isNull(), F.col("tier")).alias("tier"), "below_cycle")
-    else:
-        placed = placed.withColumn("below_cycle", F.lit(None).cast("boolean"))
+    placed, seen = materialise_counted(
+        parents.join(_levels(inner), "node", "left").select("node", F.when(F.coalesce("stuck", F.lit(False)), F.lit(None).cast("int"))
+                                                            .otherwise(F.coalesce("tier", F.lit(0))).alias("tier")),
+        "tiers", stuck=F.count_if(F.col("tier").isNull()), last=F.max("tier"))
+    placed = placed.withColumn("below_cycle", F.lit(None).cast("boolean"))
+    if seen["stuck"]:
+        # What is stuck from below as well is on a cycle or between two.
+        held = placed.where("tier IS NULL").select("node")
+        among = inner.join(held, is_parent, "left_semi").join(held, F.col("parent") == F.col("node"), "left_semi")
+        back = _levels(materialise(among.select(F.col("parent").alias("child"), F.col("child").alias("parent")), "edges-back"))
+        on = back.where("stuck").select("node", F.lit(True).alias("_on"))
+        flags = held.join(on, "node", "left").select("node", F.col("_on").isNull().alias("_below"))
+        placed = materialise(placed.join(flags, "node", "left").select("node", "tier", F.col("_below").alias("below_cycle")), "tiers")
     # A node without children is stuck when one of its parents is.
     leaves = (outer.join(placed.withColumnRenamed("node", "parent"), "parent").groupBy(F.col("child").alias("node"))
               .agg((F.max("tier") + 1).alias("tier"), F.max(F.col("below_cycle").isNotNull()).alias("stuck"))
               .select("node", F.when(~F.col("stuck"), F.col("tier")).alias("tier"),
                       F.when(F.col("stuck"), F.lit(True)).alias("below_cycle")))
-    known = placed.unionByName(leaves)
-    last = 0
-    if flags is not None:
+    known, last = placed.unionByName(leaves), 0
+    if seen["stuck"]:
         known = materialise(known, "tiers")
-        last = (known.agg(F.max("tier")).first()[0] or 0) + 1
-        free_nodes = known.where(F.col("tier").isNotNull()).limit(1)
-        last = last if not free_nodes.isEmpty() else last - 1
+        top = known.agg(F.max("tier")).first()[0]
+        last = 0 if top is None else top + 1
     stuck_node = F.col("below_cycle").isNotNull()
     tier = F.when(stuck_node, F.lit(last)).otherwise(F.coalesce(F.col("tier"), F.lit(0)))
     return nodes.join(known, "node", "left").select(
@@ -98,25 +81,61 @@ def dependency_tiers(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         F.coalesce("below_cycle", F.lit(False)).alias("below_cycle"))
 
 
-def _on_cycle(live: DataFrame) -> DataFrame:
-    """(node, below_cycle) of the children of edges that never got free.
+def _levels(edges: DataFrame) -> DataFrame:
+    """(node, tier, stuck) of all nodes with a parent: the longest way up to a node without parents; ``stuck`` on a cycle and behind one.
 
-    Nodes without children are taken away until none is left to take; what stays is on a cycle or
-    between two.
+    ``edges`` are distinct and written. A node with a single parent lies right behind it, so chains of such nodes are passed by jumps of doubling
+    length, in rounds that grow with the logarithm of their length; so trees of any depth and shape are done then. What is left are the
+    nodes with several parents, joined by edges as long as the chains between them: these are peeled, a round for each level of them.
     """
-    children = live.select(F.col("child").alias("node")).distinct()
-    core = live
-    while True:
-        kept, seen = materialise_counted(
-            core.join(core.select(F.col("parent").alias("p")).distinct(), F.col("child") == F.col("p"), "left")
-            .select("child", "parent", F.col("p").isNotNull().alias("inner")),
-            "cycle", inner=F.count_if("inner"))
-        core = kept.where("inner").select("child", "parent")
-        if seen["inner"] == seen["rows"]:
+    degree = materialise(edges.groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("up")), "degrees")
+    chains, seen = materialise_counted(degree.where("n = 1").select("node", "up", F.lit(1).alias("dist"), F.lit(True).alias("open")), "chains")
+    rounds, single = 0, seen["rows"]
+    moving = single
+    while moving and 1 << rounds <= 2 * single:  # a chain has at most so many nodes; who still moves then runs in a circle
+        ahead = chains.select(F.col("node").alias("_at"), F.col("up").alias("_up"), F.col("dist").alias("_dist"))
+        hit = F.col("_at").isNotNull()
+        chains, seen = materialise_counted(
+            chains.join(ahead, F.col("up") == F.col("_at"), "left").select(
+                "node", F.when(hit, F.col("_up")).otherwise(F.col("up")).alias("up"),
+                F.when(hit, F.least(F.col("dist") + F.col("_dist"), F.lit(1 << 30))).otherwise(F.col("dist")).cast("int").alias("dist"), hit.alias("open")),
+            "chains", moving=F.count_if("open"))
+        moving, rounds = seen["moving"], rounds + 1
+    # Edges between nodes that are no links of chains, each as long as the chain that it passes; ``open`` ones come out of a circle.
+    ends = chains.select(F.col("node").alias("_at"), F.col("up").alias("_up"), "dist", "open")
+    joints = edges.join(degree.where("n > 1").select("node"), F.col("child") == F.col("node"), "left_semi")
+    live, seen = materialise_counted(
+        joints.join(ends, F.col("parent") == F.col("_at"), "left")
+        .groupBy("child", F.coalesce("_up", "parent").alias("parent"))
+        .agg(F.max(F.coalesce("dist", F.lit(0)) + 1).alias("length"), F.max(F.coalesce("open", F.lit(False))).alias("open")), "joints")
+    left, tiers = seen["rows"], []
+    waits = live.select(F.col("child").alias("node")).distinct()
+    known = live.where("NOT open").select(F.col("parent").alias("node")).distinct().join(waits, "node", "left_anti").withColumn("tier", F.lit(0))
+    best = None
+    while left:
+        free = known.withColumnRenamed("node", "_free")
+        split, seen = materialise_counted(
+            live.join(free, (F.col("parent") == F.col("_free")) & ~F.col("open"), "left")
+            .select("child", "parent", "length", "open", (F.col("tier") + F.col("length")).alias("tier")),
+            "peel", freed=F.count_if(F.col("tier").isNotNull()))
+        if not seen["freed"]:
             break
-    on = core.select(F.col("child").alias("node")).distinct().withColumn("_on", F.lit(True))
-    return materialise(children.join(on, "node", "left").select("node", F.col("_on").isNull().alias("below_cycle")),
-                       "cycle-nodes")
+        live = split.where("tier IS NULL").select("child", "parent", "length", "open")
+        reached = split.where("tier IS NOT NULL").select(F.col("child").alias("node"), "tier")
+        best = (reached if best is None else best.unionByName(reached)).groupBy("node").agg(F.max("tier").alias("tier"))
+        waiting = live.select(F.col("child").alias("node"), F.lit(True).alias("waits")).distinct()
+        best = materialise(best.join(waiting, "node", "left"), "reached")
+        known = best.where("waits IS NULL").select("node", "tier")
+        tiers.append(known)
+        best, left = best.where("waits").select("node", "tier"), left - seen["freed"]
+    none = F.lit(None).cast("int")
+    held = live.select(F.col("child").alias("node")).distinct().select("node", none.alias("tier"), F.lit(True).alias("stuck"))
+    joined = reduce(DataFrame.unionByName, [t.select("node", "tier", F.lit(False).alias("stuck")) for t in tiers], held if left else held.where("false"))
+    joined = materialise(joined, "joined")
+    at_joint = chains.join(joined.select(F.col("node").alias("up"), F.col("tier").alias("_tier"), "stuck"), "up", "left")
+    stuck = F.col("open") if moving else F.lit(False)
+    stuck = stuck | F.coalesce("stuck", F.lit(False))
+    return joined.unionByName(at_joint.select("node", F.when(~stuck, F.coalesce("_tier", F.lit(0)) + F.col("dist")).cast("int").alias("tier"), stuck.alias("stuck")))
 
 
 def key_gaps(edges: DataFrame, nodes: DataFrame, self_edges: DataFrame | None = None) -> DataFrame:
