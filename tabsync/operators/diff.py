@@ -14,7 +14,7 @@ from tabsync.functions import change_list, comparable, differs, display_name, fi
 from tabsync.operators.clean import last_per_key
 from tabsync.sources.tables import scan
 from tabsync.spec import Env, FieldMeta, TableSpec
-from tabsync.storage import materialise, side_by_side, small_frame
+from tabsync.storage import materialise_counted, side_by_side, small_frame
 
 # Columns that never take part in a comparison, and the usual name columns.
 SYSTEM_COLUMNS = frozenset({"Id", "IsDeleted", "CreatedDate", "CreatedById", "LastModifiedDate",
@@ -155,6 +155,83 @@ def diff_summary(rows: DataFrame, src: DataFrame, tgt: DataFrame, spec: TableSpe
                        duplicates.alias("duplicate_keys"), "blank_keys")
 
 
+STATUSES = ("new", "modified", "deleted", "identical")
+
+
+def counted_snapshots(src: DataFrame, tgt: DataFrame, spec: TableSpec, cols: Sequence[str] | None = None) -> DataFrame:
+    """Like :func:`join_snapshots`, with the number of rows that each side has under a key (``n_s``, ``n_t``).
+
+    Rows without a usable key are one more row for each side, with a null key. A side is read once and reduced by an
+    aggregate before it moves, so that nothing has to be counted in a scan of its own.
+    """
+    cols = compare_columns(src, tgt, spec) if cols is None else list(cols)
+    as_text = src.schema[spec.key].dataType != tgt.schema[spec.key].dataType
+
+    def side(df: DataFrame, label: str) -> DataFrame:
+        key = F.col(spec.key).cast("string") if as_text else F.col(spec.key)
+        row = F.struct(F.col(spec.id_col).cast("string").alias("id"), display_name(_names(df, spec)).alias("name"), _contents(df, cols).alias("v"))
+        keyed = df.select(F.when(has_key(spec.key, df), key).alias("key"), row.alias("r"), F.struct(*[F.col(c) for c in spec.ordering()]).alias("o"))
+        return keyed.groupBy("key").agg(F.max_by("r", "o").alias(label), F.count(F.lit(1)).alias(f"n_{label}"))
+
+    changed = F.lit(False)
+    for c in cols:
+        changed = changed | differs(F.col(f"s.v.{c}"), F.col(f"t.v.{c}"), src.schema[c].dataType, tgt.schema[c].dataType)
+    status = (F.when(F.col("n_t").isNull(), "new").when(F.col("n_s").isNull(), "deleted").when(changed, "modified").otherwise("identical"))
+    joined = side(src, "s").join(side(tgt, "t"), "key", "full")
+    return joined.select(F.col("key").cast("string").alias("key"), "s", "t", status.alias("status"), "n_s", "n_t")
+
+
+def _key_counters() -> dict[str, Column]:
+    """What :func:`diff_summary` counts, as aggregates over :func:`counted_snapshots`."""
+    usable = F.col("key").isNotNull()
+    rows = F.coalesce("n_s", F.lit(0)) + F.coalesce("n_t", F.lit(0))
+    sides = F.when(F.col("n_s").isNotNull(), 1).otherwise(0) + F.when(F.col("n_t").isNotNull(), 1).otherwise(0)
+    return {**{s: F.count_if(usable & (F.col("status") == s)) for s in STATUSES},
+            "duplicate_keys": F.coalesce(F.sum(F.when(usable, rows - sides)), F.lit(0)).cast("bigint"),
+            "blank_keys": F.coalesce(F.sum(F.when(~usable, rows)), F.lit(0)).cast("bigint")}
+
+
+def _line(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The line of a summary from its counters; source and target count distinct usable keys, or all rows without a key."""
+    source = F.col("new") + F.col("modified") + F.col("identical")
+    target = F.col("deleted") + F.col("modified") + F.col("identical")
+    return df.select(F.lit(spec.name).alias("table"), F.lit("fingerprint" if spec.auto_number_key else "key").alias("strategy"),
+                     source.alias("source"), target.alias("target"), *STATUSES, "duplicate_keys", "blank_keys")
+
+
+def diff_counts(src: DataFrame, tgt: DataFrame, spec: TableSpec, cols: Sequence[str] | None = None) -> DataFrame:
+    """The line of :func:`diff_summary` without the rows: each side is read once, and no row is ranked to be counted."""
+    if not spec.auto_number_key:
+        return _line(counted_snapshots(src, tgt, spec, cols).agg(*[c.alias(n) for n, c in _key_counters().items()]), spec)
+    cols = sorted(compare_columns(src, tgt, spec) if cols is None else cols)
+    sides = [df.select(fingerprint_label(df, cols).alias("label"), F.lit(s).alias("s"), F.lit(t).alias("t")) for df, s, t in ((src, 1, 0), (tgt, 0, 1))]
+    groups = sides[0].union(sides[1]).groupBy("label").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
+    zero = F.lit(0).cast("bigint")
+    total = lambda c: F.coalesce(F.sum(c), zero).cast("bigint")
+    return _line(groups.agg(total(F.greatest(F.col("s") - F.col("t"), zero)).alias("new"), zero.alias("modified"),
+                            total(F.greatest(F.col("t") - F.col("s"), zero)).alias("deleted"), total(F.least("s", "t")).alias("identical"),
+                            zero.alias("duplicate_keys"), zero.alias("blank_keys")), spec)
+
+
+def counted_diff(src: DataFrame, tgt: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(diff rows, written; the line of the summary), which is counted while the rows are written."""
+    spark = src.sparkSession
+    if spec.auto_number_key:
+        found, seen = materialise_counted(diff_by_fingerprint(src, tgt, spec), f"diff-{spec.name}",
+                                          **{s: F.count_if(F.col("status") == s) for s in STATUSES})
+        counts = [seen[s] for s in STATUSES] + [0, 0]
+    else:
+        joined = counted_snapshots(src, tgt, spec)
+        named = diff_rows(joined, spec.name).columns
+        rows = joined.select(F.lit(spec.name).alias("table"), "status", F.lit("key").alias("strategy"), "key", F.col("s.id").alias("source_id"),
+                             F.col("t.id").alias("target_id"), F.coalesce("s.name", "t.name").alias("name"), "n_s", "n_t")
+        found, seen = materialise_counted(rows, f"diff-{spec.name}", drop=("n_s", "n_t"), **_key_counters())
+        found = found.where(F.col("key").isNotNull()).select(*named)  # at most one line a side has none
+        counts = [seen[c] for c in (*STATUSES, "duplicate_keys", "blank_keys")]
+    kinds = ", ".join(f"{c} bigint" for c in (*STATUSES, "duplicate_keys", "blank_keys"))
+    return found, _line(small_frame(spark, [tuple(counts)], kinds), spec)
+
+
 def with_total(summary: DataFrame) -> DataFrame:
     """Add the TOTAL line; with ``rollup`` both levels come out of one pass."""
     out = summary.rollup("table").agg(F.max("strategy").alias("strategy"), F.grouping("table").alias("_total"),
@@ -250,27 +327,23 @@ def diff_all(src_env: Env, tgt_env: Env, specs: Sequence[TableSpec],
     """Compare each table that has a key and exists on both sides.
 
     Tables with an automatically numbered key are compared by content. With ``keep`` the diff rows
-    of a table are written once, so that summary and delta do not repeat the join.
+    of a table are written once and the summary is counted in passing; without, the summary reads each side once and ranks nothing.
     """
-    rows, names, sides = [], [], []
+    names, sides = [], []
     for spec in specs:
         if not spec.key or spec.resolve_only or spec.name not in src_env or spec.name not in tgt_env:
             continue
         metas = (fields or {}).get(spec.name, ())
-        src, tgt = scan(src_env, spec, metas), scan(tgt_env, spec, metas)
-        if spec.auto_number_key:
-            found = diff_by_fingerprint(src, tgt, spec)
-        else:
-            found = diff_by_key(src, tgt, spec)
-        rows.append(found)
-        sides.append((src, tgt, spec))
+        sides.append((scan(src_env, spec, metas), scan(tgt_env, spec, metas), spec))
         names.append(spec.name)
-    if not rows:
+    if not sides:
         raise ValueError("no table can be compared: each lacks a key or is missing on one side")
-    spark = rows[0].sparkSession
+    spark = sides[0][0].sparkSession
     if keep:
-        rows = side_by_side(spark, [partial(materialise, r, f"diff-{n}") for r, n in zip(rows, names)])
-    lines = [diff_summary(r, *side) for r, side in zip(rows, sides)]
+        rows, lines = zip(*side_by_side(spark, [partial(counted_diff, *side) for side in sides]))
+    else:
+        rows = [(diff_by_fingerprint if spec.auto_number_key else diff_by_key)(src, tgt, spec) for src, tgt, spec in sides]
+        lines = [diff_counts(*side) for side in sides]
     changes = [changes_of(r, src, tgt, spec) for r, (src, tgt, spec) in zip(rows, sides)
                if not spec.auto_number_key and compare_columns(src, tgt, spec)]
     if not changes:

@@ -131,3 +131,31 @@ def test_fields_policy_reaches_the_diff(frame):
     metas = {"t": [FieldMeta("t", c, calculated=c == "calc") for c in src.columns]}
     assert diff.diff_all({"t": src}, {"t": tgt}, [spec], metas).summary.first()["identical"] == 1
     assert diff.diff_all({"t": src}, {"t": tgt}, [spec]).summary.first()["modified"] == 1
+
+
+def test_counts_without_rows_tell_the_same(frame, rows):
+    src = frame(SCHEMA, ("1", "a", "A", None), ("2", "b", "B", "x"), ("3", "b", "B", "z"), ("4", "", "C", "y"), ("5", None, "D", "y"), ("6", "n", "E", "y"))
+    tgt = frame(SCHEMA, ("9", "a", "A", ""), ("8", "b", "B", "y"), ("7", "c", "C", "y"), ("6", "c", "Z", "x"), ("5", None, "D", "y"))
+    old = diff.diff_summary(diff.diff_by_key(src, tgt, SPEC), src, tgt, SPEC)
+    found, line = diff.counted_diff(src, tgt, SPEC)
+    for new in (diff.diff_counts(src, tgt, SPEC), line):
+        assert rows(new, *old.columns) == rows(old)
+    assert rows(found) == rows(diff.diff_by_key(src, tgt, SPEC))
+    assert line.first()["duplicate_keys"] == 2 and line.first()["blank_keys"] == 3
+    numbered = SPEC.with_(auto_number_key=True)
+    found = diff.diff_by_fingerprint(src, tgt, numbered)
+    for new in (diff.diff_counts(src, tgt, numbered), diff.counted_diff(src, tgt, numbered)[1]):
+        assert rows(new, *old.columns) == rows(diff.diff_summary(found, src, tgt, numbered), *old.columns)
+    empty = src.where("false")
+    assert rows(diff.diff_counts(empty, empty, SPEC), "new", "identical", "duplicate_keys", "blank_keys") == [(0, 0, 0, 0)]
+
+
+def test_a_summary_reads_each_side_once(frame, tmp_path):
+    paths = []
+    for name in ("s", "t"):
+        frame(SCHEMA, ("1", "a", "A", name)).write.parquet(f"{tmp_path}/{name}")
+        paths.append(f"{tmp_path}/{name}")
+    src, tgt = (frame("a int").sparkSession.read.parquet(p) for p in paths)
+    for spec in (SPEC, SPEC.with_(auto_number_key=True)):
+        plan = diff.diff_counts(src, tgt, spec)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 2 and "Window" not in plan
