@@ -245,11 +245,12 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     return Model(words, of, transitions, room, int(tokens), int(types)), rare
 
 
+RESULT = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 PARTIAL = "n_tokens bigint, known bigint, base double, model double, hs array<bigint>, ks array<bigint>"
 
 
 def score(df: DataFrame, training: Column, text_col: str = "text") -> DataFrame:
-    """``df`` without its text, with n_tokens, n_known, train_tokens, base_score and score (log10 probabilities)."""
+    """``df`` without its text, with the columns of ``RESULT`` (the last two log10 probabilities); columns of the caller so named give way."""
     model, rare = fit(df.where(training).select(text_col))
     shared = df.sparkSession.sparkContext.broadcast(model)  # at most 1 / DIRECT words
     base_room = np.log10(model.tokens + model.types + 1)
@@ -278,12 +279,13 @@ def score(df: DataFrame, training: Column, text_col: str = "text") -> DataFrame:
                 ks.append(k[rest])
             return [*out, hs, ks]
         return run
-    row = df.drop("__row", *[c.split()[0] for c in PARTIAL.split(", ")]).withColumn("__row", F.monotonically_increasing_id())
-    partial = materialise(append(row, text_col, PARTIAL, make).drop(text_col), "partial")
-    each = partial.select("__row", F.explode(F.arrays_zip("hs", "ks")).alias("x")).select("__row", F.col("x.hs").alias("h"), F.col("x.ks").alias("k"))
+    # The caller's columns travel as one, so that no name of theirs meets one of these.
+    kept = [f"`{c}`" for c in df.columns if c != text_col and c not in RESULT]
+    packed = df.select(F.struct(*kept, F.lit(0).alias("_")).alias("row"), F.col(f"`{text_col}`").alias("text"), F.monotonically_increasing_id().alias("no"))
+    partial = materialise(append(packed, "text", PARTIAL, make).drop("text"), "partial")
+    each = partial.select("no", F.explode(F.arrays_zip("hs", "ks")).alias("x")).select("no", F.col("x.hs").alias("h"), F.col("x.ks").alias("k"))
     joined = each.join(materialise(rare, "rare"), "h")  # words that are not there are unknown: log10(0 + 1) = 0
-    added = joined.groupBy("__row").agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("n") + F.lit(1.0))).alias("log_n"))
+    added = joined.groupBy("no").agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("n") + F.lit(1.0))).alias("log_n"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return partial.join(added, "__row", "left").withColumns({
-        "n_known": F.col("known") + zero("more"), "train_tokens": F.lit(model.tokens).cast("bigint"),
-        "base_score": F.col("base") + zero("log_n"), "score": F.col("model") + zero("log_n")}).drop("__row", "known", "base", "model", "hs", "ks", "more", "log_n")
+    result = (F.col("n_tokens"), F.col("known") + zero("more"), F.lit(model.tokens).cast("bigint"), F.col("base") + zero("log_n"), F.col("model") + zero("log_n"))
+    return partial.join(added, "no", "left").select(*[F.col(f"row.{c}") for c in kept], *[v.alias(n) for n, v in zip(RESULT, result, strict=True)])

@@ -257,6 +257,10 @@ def test_brown_is_a_distribution(spark, odd, none):
     assert ((mass + unknown) < 1 + 1e-9).all() and np.allclose((mass + unknown)[mass > 0], 1)
     got = brown.score(odd, F.col("doc_id").isNotNull())
     assert got.count() == odd.count() and brown.score(none, F.lit(True)).count() == 0
+    clash = odd.withColumns({c: F.lit(c) for c in ("more", "log_n", "base", "known", "model", "hs", "ks", "no", "row", "score")})
+    rows = brown.score(clash, F.lit(True)).collect()
+    assert len(rows) == odd.count() and all((r.more, r.base, r.known, r.hs, r.no, r.row) == ("more", "base", "known", "hs", "no", "row") for r in rows)
+    assert all(r.score < 0 for r in rows)
 
 
 def test_exchange_finds_classes():
