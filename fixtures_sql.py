@@ -160,6 +160,9 @@ FIXTURES = {
         FROM {supplier} WHERE s_suppkey % 5 <> 0""",
     "nation_tgt": "SELECT n_nationkey * 10 + 3 AS n_nationkey, n_name FROM {nation}",
     # A target table with its own ids, and a batch for it.
+    # Customers that refer to a supplier, to another customer, or to nobody; ids of both tables overlap, the first target counts.
+    "customer_mixed": """
+        SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 50 WHEN c_custkey % 3 = 1 THEN c_custkey + 1 END AS ref FROM {customer}""",
     "sales": """
         SELECT o_orderkey * 10 + 3 AS id, 'O-' || CAST(o_orderkey AS STRING) AS okey, o_orderstatus AS status,
                o_totalprice AS price, o_orderpriority AS priority, o_orderkey % 3 = 0 AS active

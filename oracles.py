@@ -117,7 +117,17 @@ ORACLES = {
         FROM s FULL JOIN t ON s.user_id = t.user_id AND s.event_type = t.event_type AND s.rn = t.rn""",
     "surplus": f"""SELECT user_id, event_type, CASE WHEN source > target THEN 'new' ELSE 'deleted' END AS status,
         abs(source - target) AS copies FROM ({_event_counts()}) WHERE source <> target""",
-    "extract_delta": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM {{orders}}
+    "diff_report_summary": f"""SELECT * FROM ({_summary('orders', 'key', _orders_diff())}) UNION ALL SELECT * FROM ({_summary('customer', 'key', _customer_diff())})""",
+    "diff_names": """SELECT CAST(coalesce(s.c_custkey, t.c_custkey) AS STRING) AS key, coalesce(s.c_name, t.c_name) AS name,
+            CASE WHEN t.c_custkey IS NULL THEN 'new' WHEN s.c_custkey IS NULL THEN 'deleted'
+                 WHEN s.c_acctbal IS DISTINCT FROM t.c_acctbal OR s.c_name <> t.c_name THEN 'modified' ELSE 'identical' END AS status
+        FROM {customer} s FULL JOIN {customer_tgt} t ON s.c_custkey = t.c_custkey""",
+    "order_columns": """SELECT o_orderkey, 0 AS place, 'o_orderkey=' || CAST(o_orderkey AS STRING) AS cell FROM {orders_money}
+        UNION ALL SELECT o_orderkey, 1, 'o_custkey=' || CAST(o_custkey AS STRING) FROM {orders_money}
+        UNION ALL SELECT o_orderkey, 2, 'o_orderpriority=' || o_orderpriority FROM {orders_money}
+        UNION ALL SELECT o_orderkey, 3, 'o_orderstatus=' || o_orderstatus FROM {orders_money}
+        UNION ALL SELECT o_orderkey, 4, 'o_totalprice=' || CAST(o_totalprice AS STRING) FROM {orders_money}""",
+    "extract_delta": f"""SELECT * FROM {{orders}}
         WHERE o_orderkey IN (SELECT sk FROM ({_orders_diff()}) WHERE status IN ('new', 'modified'))""",
     "diff_report_files": f"""SELECT 'orders' AS "table", status, 'key' AS strategy, CAST(k AS STRING) AS key,
         CAST(sk AS STRING) AS source_id, CAST(tk AS STRING) AS target_id FROM ({_orders_diff()}) WHERE status <> 'identical'""",
@@ -378,7 +388,20 @@ ORACLES = {
     "bundle_csv": """SELECT CAST(o_orderkey AS STRING) AS o_orderkey, c_name AS customer_name, o_orderpriority FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
     "load_rollback": """SELECT o_orderkey, 'O-' || CAST(o_orderkey AS STRING) AS o_key, o_custkey, o_orderstatus, o_totalprice FROM {orders_tgt}""",
     "load_rollback_flags": "SELECT * FROM {sales}",
-    "load_unreadable": "SELECT okey, 'INVALID_VALUE:price' AS error FROM {sales_batch} WHERE CAST(_source_id AS BIGINT) % 10 = 0",
+    "load_unreadable": """WITH b AS (SELECT *, CAST(_source_id AS BIGINT) % 10 = 0 AS bad FROM {sales_batch})
+        SELECT okey, CAST(NULL AS STRING) AS status, CAST(NULL AS DOUBLE) AS price, 'INVALID_VALUE:price' AS error FROM b WHERE bad
+        UNION ALL SELECT s.okey, coalesce(b.status, s.status), coalesce(b.price, s.price), NULL FROM {sales} s LEFT JOIN b ON s.okey = b.okey AND NOT bad
+        UNION ALL SELECT okey, status, price, NULL FROM b WHERE NOT bad AND okey NOT IN (SELECT okey FROM {sales})""",
+    "load_stopped": f"""SELECT 'undone' AS state, id, okey, status, price, active FROM {{sales}}
+        UNION ALL SELECT 'stopped', s.id, s.okey, coalesce(b.status, s.status), coalesce(b.price, s.price), s.active FROM {{sales}} s LEFT JOIN {{sales_batch}} b ON s.okey = b.okey
+        UNION ALL SELECT 'stopped', {_TOP} + row_number() OVER (ORDER BY CAST(_source_id AS BIGINT)), okey, status, price, NULL
+        FROM {{sales_batch}} WHERE okey NOT IN (SELECT okey FROM {{sales}})""",
+    "load_counters": """WITH b AS (SELECT b.*, s.okey IS NOT NULL AS known FROM {sales_batch} b LEFT JOIN {sales} s ON s.okey = b.okey)
+        SELECT 'sales' AS "table", counter, CAST(n AS BIGINT) AS n FROM (SELECT 'read' AS counter, count(*) AS n FROM b
+        UNION ALL SELECT 'inserted', count(*) FILTER (NOT known) FROM b UNION ALL SELECT 'updated', count(*) FILTER (known) FROM b
+        UNION ALL SELECT unnest(['references_found', 'references_missed', 'masked', 'repeated_keys']), 0)""",
+    "mixed_references": """SELECT c.c_name, CASE WHEN s.s_suppkey IS NOT NULL THEN s.s_name ELSE p.c_name END AS refers_to
+        FROM {customer_mixed} c LEFT JOIN {supplier} s ON c.ref = s.s_suppkey LEFT JOIN {customer_mixed} p ON c.ref = p.c_custkey""",
 }
 
 ORACLE_SQL = {name: sql(text) for name, text in ORACLES.items()}

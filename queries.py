@@ -12,7 +12,7 @@ from fixtures_sql import table
 from tabsync import plans
 from tabsync.functions import backfill_key as backfill
 from tabsync.operators import clean, crosswalk, diff, graph, load, log, resolve, subset
-from tabsync.sinks.bundle import (build_manifest, manifest_entry, read_table, write_csv, write_diff,
+from tabsync.sinks.bundle import (build_manifest, manifest_entry, read_table, write_csv, write_diff, write_report,
                                   write_results)
 from tabsync.sources import catalog, tables
 from tabsync.sources.csv import read_csv
@@ -116,7 +116,7 @@ def surplus(spark, d):
 def extract_delta(spark, d):
     src = table(spark, d, "orders")
     rows = diff.diff_by_key(src, table(spark, d, "orders_tgt"), ORDERS)
-    return diff.extract_delta(src, rows, "o_orderkey").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return diff.extract_delta(src, rows, "o_orderkey")
 
 
 @query
@@ -128,6 +128,33 @@ def diff_report_files(spark, d):
     return spark.read.schema(schema).json(path)
 
 
+@query
+def diff_report_summary(spark, d):
+    """The whole report on disk, its summary read back."""
+    specs = (ORDERS, CUSTOMER)
+    src = {"orders": table(spark, d, "orders"), "customer": table(spark, d, "customer")}
+    tgt = {"orders": table(spark, d, "orders_tgt"), "customer": table(spark, d, "customer_tgt")}
+    path = new_path(spark, "report")
+    write_report(diff.diff_all(src, tgt, specs), path)
+    return spark.read.schema("table string, strategy string, " + ", ".join(f"{c} bigint" for c in diff.COUNTERS)).json(f"{path}/summary")
+
+
+@query
+def diff_names(spark, d):
+    """Compared rows with the name shown for them, the source's where there is one."""
+    spec = CUSTOMER.with_(key="c_custkey", name_col=None)
+    sides = [table(spark, d, t).withColumnRenamed("c_name", "Name").drop("c_mktsegment") for t in ("customer", "customer_tgt")]
+    return diff.diff_by_key(*sides, spec).select("key", "status", "name")
+
+
+@query
+def order_columns(spark, d):
+    """Key first, the others by name; positions tell the order."""
+    out = resolve.order_columns(table(spark, d, "orders_money"), "o_orderkey")
+    return out.select(F.posexplode(F.array(*[F.concat_ws("=", F.lit(c), F.col(c).cast("string")) for c in out.columns])), "o_orderkey").select(
+        "o_orderkey", F.col("pos").alias("place"), F.col("col").alias("cell"))
+
+
 # Duplicates, splits, rejects
 
 _LINE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -777,8 +804,56 @@ def load_rollback_flags(spark, d):
 
 @query
 def load_unreadable(spark, d):
-    """Rows whose text is no number are refused; they are not written with a null."""
+    """Rows whose text is no number are refused; the table beside them shows that nothing of them was written."""
     price = F.when(F.col("_source_id").cast("bigint") % 10 == 0, "n/a").otherwise(F.col("price").cast("string"))
     env = {"sales": table(spark, d, "sales_batch").select(F.col("_source_id").cast("bigint").alias("id"), "okey", "status", price.alias("price"))}
     result = plans.load({"sales": table(spark, d, "sales")}, plans.export(env, [SALES], new_path(spark, "bundle")), [SALES], on_error="continue")
-    return result.rejected["sales"].select("okey", "error")
+    now = result.env["sales"].select("okey", "status", "price", F.lit(None).cast("string").alias("error"))
+    return now.unionByName(result.rejected["sales"].select("okey", "error"), allowMissingColumns=True)
+
+
+@query
+def load_stopped(spark, d):
+    """A load that breaks in its second table, opened from its journal and taken back: the first table as it was before, and as the load left it."""
+    lines = TableSpec("lines", "l_id", refs=(Ref("l_orderkey", ("sales",), "sale"),))
+    env = {"sales": table(spark, d, "sales_batch").select(F.col("_source_id").cast("bigint").alias("id"), "okey", "status", "price"),
+           "lines": table(spark, d, "lineitem_ids").select("l_id", "l_orderkey", "l_quantity")}
+    target = {"sales": table(spark, d, "sales"), "lines": env["lines"].where("false")}
+    specs, journal = [SALES.with_(active_col=None), lines], new_path(spark, "journal")
+
+    def breaks(df, spec, attempt):
+        return df.withColumn("errors", F.expr("no_such_column")) if spec.name == "lines" else df
+
+    try:
+        plans.load(target, plans.export(env, specs, new_path(spark, "bundle")), specs, checker=breaks, journal=journal)
+    except plans.LoadStopped:
+        pass
+    again = plans.LoadResult.recover(target, journal, specs)
+    back = plans.rollback(again.env, again, specs)[0]["sales"]
+    show = lambda df, when: df.select(F.lit(when).alias("state"), "id", "okey", "status", "price", "active")
+    return show(again.env["sales"], "stopped").unionByName(show(back, "undone"))
+
+
+@query
+def load_counters(spark, d):
+    """What the steps of a load counted while they wrote."""
+    env = {"sales": table(spark, d, "sales_batch").select(F.col("_source_id").cast("bigint").alias("id"), "okey", "status", "price")}
+    result = plans.load({"sales": table(spark, d, "sales")}, plans.export(env, [SALES], new_path(spark, "bundle")), [SALES])
+    return result.counters.select("table", "counter", "n")
+
+
+@query
+def mixed_references(spark, d):
+    """Customers that refer to suppliers or to other customers: in a new environment each still refers to the same row."""
+    spec = TableSpec("customer", "c_custkey", "c_name", refs=(Ref("ref", ("supplier", "customer"), "party"),))
+    specs = [TableSpec("supplier", "s_suppkey", "s_name"), spec]
+    source = {"supplier": table(spark, d, "supplier").select("s_suppkey", "s_name"), "customer": table(spark, d, "customer_mixed")}
+    empty = {t: df.where("false") for t, df in source.items()}
+    env = plans.load(empty, plans.export(source, specs, new_path(spark, "bundle")), specs).env
+    people = env["customer"].select(F.col("c_custkey").alias("ref"), F.col("c_name").alias("customer"))
+    suppliers = env["supplier"].select(F.col("s_suppkey").alias("ref"), F.col("s_name").alias("supplier"))
+    # Ids of the new environment may mean a row of either table; what a customer refers to is told by the source.
+    kind = source["customer"].select(F.col("c_name").alias("name"), F.col("ref").alias("old"))
+    known = kind.join(source["supplier"].select(F.col("s_suppkey").alias("old"), F.lit(True).alias("to_supplier")), "old", "left").drop("old")
+    found = env["customer"].join(people, "ref", "left").join(suppliers, "ref", "left").join(known, F.col("c_name") == F.col("name"))
+    return found.select("c_name", F.when(F.col("to_supplier"), F.col("supplier")).otherwise(F.col("customer")).alias("refers_to"))

@@ -85,6 +85,13 @@ def write_diff(rows: DataFrame, path: str, fmt: str = "json") -> None:
     rows.where(F.col("status") != "identical").write.partitionBy("table", "status").format(fmt).save(path)
 
 
+def write_report(found, path: str, fmt: str = "json") -> None:
+    """A whole comparison (:class:`tabsync.operators.diff.Diff`): the rows that differ by table and status, every changed field, and the summary."""
+    write_diff(found.rows, f"{path}/rows", fmt)
+    found.changes.write.partitionBy("table").format(fmt).save(f"{path}/changes")
+    found.summary.coalesce(1).write.format(fmt).save(f"{path}/summary")  # a line per table
+
+
 def write_results(ok: DataFrame, bad: DataFrame, table: str, path: str, fmt: str = "parquet") -> None:
     """Accepted and rejected rows of a table, in a folder per table and outcome."""
     both = ok.withColumn("outcome", F.lit("success")).unionByName(
