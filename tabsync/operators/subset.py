@@ -171,15 +171,23 @@ def subset(env: Env, specs: Sequence[TableSpec], root: str, values: Sequence | D
     return out
 
 
+class PortableKeys(dict):
+    """Per table (column, values) that pick its related rows; ``rest`` has the same for rows whose column is empty, further columns in turn."""
+
+    def __init__(self):
+        super().__init__()
+        self.rest: dict[str, list[tuple[str, DataFrame]]] = {}
+
+
 def portable_keys(env: Env, specs: Sequence[TableSpec], root: str, values: Sequence | DataFrame,
-                  match_by: str = "name", grow: bool = True) -> dict[str, tuple[str, DataFrame]]:
+                  match_by: str = "name", grow: bool = True) -> PortableKeys:
     """Per table the column, and its values, that pick the related rows in another environment.
 
     The root goes by name. Other tables go by key unless it is automatically numbered or empty
-    throughout, then by name, then by id.
+    throughout, then by name, then by id; single rows without a value there go by the next of these columns that they have.
     """
     chosen = select_related(env, specs, root, values, match_by, grow)
-    out = {}
+    out = PortableKeys()
     for spec in specs:
         if spec.resolve_only or spec.name not in chosen:
             continue
@@ -188,8 +196,14 @@ def portable_keys(env: Env, specs: Sequence[TableSpec], root: str, values: Seque
         rows, seen = materialise_counted(
             _among(env[spec.name].select(*columns), spec.id_col, chosen[spec.name]),
             f"portable-{spec.name}", **{f"n{i}": F.count_if(has_key(c)) for i, c in enumerate(columns)})
-        best = next(c for i, c in enumerate(columns) if seen[f"n{i}"] or c == spec.id_col)
-        out[spec.name] = (best, rows.select(best).where(has_key(best)).distinct())
+        best = next(i for i, c in enumerate(columns) if seen[f"n{i}"] or c == spec.id_col)
+        picks = lambda df, c: df.where(has_key(c)).select(c).distinct()
+        out[spec.name] = (columns[best], picks(rows, columns[best]))
+        left = rows if seen[f"n{best}"] < seen["rows"] else None
+        for i, c in enumerate(columns[best + 1:], best + 1):
+            if left is not None:
+                left = left.where(~has_key(columns[i - 1]))
+                out.rest.setdefault(spec.name, []).append((c, picks(left, c)))
     return out
 
 
@@ -203,7 +217,11 @@ def restrict(env: Env, specs: Sequence[TableSpec], keys: Mapping[str, tuple[str,
             out[spec.name] = env[spec.name]
         elif spec.name in keys:
             column, values = keys[spec.name]
-            out[spec.name] = in_list(env[spec.name], column, values)
+            found, left = in_list(env[spec.name], column, values), env[spec.name]
+            for further, more in getattr(keys, "rest", {}).get(spec.name, ()):
+                left = left.where(~has_key(column))
+                found, column = found.unionByName(in_list(left, further, more)), further
+            out[spec.name] = found
     return out
 
 

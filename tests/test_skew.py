@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabsync.operators import clean, diff
+from tabsync.operators import clean, crosswalk, diff, lookup
 from tabsync.spec import TableSpec
 from tabsync.storage import number_rows
 
@@ -71,3 +71,31 @@ def test_same_result_for_any_partitioning(spark):
             assert sorted(map(tuple, clean.dedupe_keep_last(shuffled, "k", ["id"]).collect())) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_lookups_deal_out_frequent_values_and_nulls(spark):
+    """Half of the rows under one key, a fifth without one: no task gets much more than its share, and no row is lost or doubled."""
+    key = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+    df = spark.range(20_000).select("id", key.alias("k"))
+    pairs = spark.range(20_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.col("id").alias("v")).union(
+        spark.createDataFrame([("hot", -1)], "k string, v bigint")).groupBy("k").agg(F.max("v").alias("v"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert lookup.hot_values(df, [F.col("k")]) == [["hot"]]
+        out = lookup.look_up(df, [lookup.Lookup(F.col("k"), pairs, "v")])
+        assert "BroadcastHashJoin" in plan(out) or "BroadcastExchange" in plan(out)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert len(sizes) == 16 and max(sizes) < 2 * 20_000 / 16
+        want = {r.id: -1 if r.id % 2 == 0 else None if r.id % 5 == 0 else r.id for r in df.collect()}
+        assert {r.id: r.v and int(r.v) for r in out.collect()} == {**want, 0: -1}
+        inside, outside = clean.route_by_membership(df.withColumnRenamed("k", "fk"), "fk", pairs.where("v % 3 = 0 OR v = -1").select("k"))
+        assert inside.where("fk = 'hot'").count() == 10_000 and inside.count() + outside.count() == 20_000
+        assert outside.where("fk IS NULL").count() == 2_000
+        found = crosswalk.match_by_name(df, pairs.select("k", F.col("v").alias("tid")), "k", "id", "tid")
+        assert found.count() == 20_000 and found.where("target_id = '-1'").count() == 10_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

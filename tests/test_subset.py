@@ -130,3 +130,12 @@ def test_closure_of_random_tables(frame, seed):
     down = subset.walk_down(env, specs, {"a": frame("id int", (0,), (1,))})
     want = plain_closure(env, specs, {"a": {0, 1}})
     assert ids(down) == want[0] and ids(subset.walk_up(env, specs, down)) == want[1]
+
+
+def test_rows_without_a_key_go_by_name_or_id(frame):
+    specs = [TableSpec("root", "id", "k", name_col="n"), TableSpec("t", "id", "k", name_col="n", refs=(Ref("r", ("root",)),))]
+    src = {"root": frame("id int, k string, n string", (1, "r", "one")),
+           "t": frame("id int, k string, n string, r int", (1, "k1", "a", 1), (2, None, "b", 1), (3, "", None, 1), (4, "k4", "b", None))}
+    tgt = {"root": src["root"], "t": frame("id int, k string, n string, r int", (11, "k1", "x", 1), (12, None, "b", 1), (3, None, "", 1), (13, "k9", "b", 1), (14, None, "z", 1))}
+    here, there = subset.subset_portable(src, tgt, specs, "root", ["one"])
+    assert ids(here)["t"] == [1, 2, 3] and ids(there)["t"] == [3, 11, 12]
