@@ -136,9 +136,13 @@ class WordEncoder:
         A letter whose normal form ends in a sign (as the dot that lower case sets on some letters) shares the mark's piece, so it keeps the mark.
         """
         marked = pc.match_substring_regex(runs, r"\p{L}[.,;:!?]$")
-        before = pc.if_else(marked, pc.utf8_slice_codeunits(runs, -2, -1), "").dictionary_encode()
-        stays = pa.array([self._stays(c) for c in before.dictionary.to_pylist()], pa.bool_())
-        marked = pc.and_(marked, stays.take(before.indices))
+        places = pc.indices_nonzero(marked)
+        before = pc.utf8_slice_codeunits(runs.take(places), -2, -1).dictionary_encode()
+        signs = np.array([not self._stays(c) for c in before.dictionary.to_pylist()], bool)
+        if signs.any():
+            keep = marked.to_numpy(zero_copy_only=False).copy()
+            keep[places.to_numpy()[signs[before.indices.to_numpy()]]] = False
+            marked = pa.array(keep)
         stem = pc.if_else(marked, pc.utf8_slice_codeunits(runs, 0, -1), runs)
         tail = pc.if_else(marked, pc.utf8_slice_codeunits(runs, -1), "")
         plain = pc.and_(pc.string_is_ascii(stem), pc.invert(pc.match_substring(stem, "<")))

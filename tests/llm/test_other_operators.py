@@ -212,11 +212,16 @@ def test_near_copies_of_every_text_of_an_id(spark):
     assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {*want.items(), (399, 399)}
 
 
+def lower_ascii(text):
+    """Lower case of A-Z only."""
+    return text.translate({ord(c): c.lower() for c in string.ascii_uppercase})
+
+
 def plain_components(texts, threshold):
     """(size of the shingle set, smallest id reachable) of every id, all pairs compared."""
     sets = {}
     for i, text in texts.items():
-        words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(str.maketrans({c: c.lower() for c in string.ascii_uppercase}))) if w]
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", lower_ascii(text or "")) if w]
         sets[i] = {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
     root = {i: i for i in sets}
 
