@@ -282,6 +282,10 @@ ORACLES = {
     "assign_batches": """SELECT o_orderkey, o_orderpriority,
         CAST((row_number() OVER (ORDER BY o_orderpriority, o_orderkey) - 1) // 1000 AS BIGINT) AS batch_no FROM {orders}""",
     "csv_roundtrip": """SELECT CAST(doc_id AS STRING) AS doc_id, text, lang, CASE WHEN n_chars > 500 THEN 'TRUE' ELSE 'FALSE' END AS long FROM {documents}""",
+    "csv_untidy": """SELECT CAST(doc_id AS STRING) AS doc_id,
+        NULLIF(CASE doc_id % 5 WHEN 1 THEN lang WHEN 3 THEN NULL ELSE text END, '') AS text,
+        NULLIF(CASE doc_id % 5 WHEN 0 THEN 'a 5" pipe' WHEN 1 THEN NULL WHEN 2 THEN lang WHEN 3 THEN 'b "" c' ELSE text END, '') AS last
+        FROM {documents} WHERE text IS NOT NULL""",
 
     "email_columns": f"""WITH v AS (SELECT 'c_name' AS "column", 'pattern' AS reason, c_name AS value FROM {{customer_mail}}
             UNION ALL SELECT 'contact_email', 'name', contact_email FROM {{customer_mail}}

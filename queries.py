@@ -455,6 +455,23 @@ def csv_roundtrip(spark, d):
     return read_csv(spark, path)
 
 
+@query
+def csv_untidy(spark, d):
+    """Texts in CSV files with quotes inside bare values, short and long rows, blank lines, CRLF beside LF, and values over lines."""
+    path = new_path(spark, "untidy")
+    docs = table(spark, d, "documents").where("text IS NOT NULL").withColumn("part", F.floor(F.col("doc_id") / 2000))
+    inner, k = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"')), F.pmod("doc_id", F.lit(5))
+    line = (F.when(k == 0, F.concat_ws(",", "doc_id", inner, F.lit('a 5" pipe')))
+            .when(k == 1, F.concat(F.lit("\n\r\n"), F.concat_ws(",", "doc_id", F.concat(F.lit('"'), "lang", F.lit('"'))), F.lit("\r")))
+            .when(k == 2, F.concat_ws(",", "doc_id", inner, "lang", F.lit('"too\r\nlong"')))
+            .when(k == 3, F.concat_ws(",", "doc_id", F.lit(""), F.lit('b "" c')))
+            .otherwise(F.concat_ws(",", "doc_id", inner, inner)))
+    headers = docs.select("part", F.lit(0).alias("no"), F.lit('"doc_id",text,"the ""last"""').alias("value")).distinct()
+    lines = headers.union(docs.select("part", F.lit(1), line))
+    lines.repartition("part").sortWithinPartitions("part", "no").select("part", "value").write.partitionBy("part").text(path)
+    return read_csv(spark, path).select("doc_id", "text", F.col('`the "last"`').alias("last"))
+
+
 # Cleaning
 
 @query

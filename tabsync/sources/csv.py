@@ -1,20 +1,124 @@
-"""Lenient CSV input."""
+"""Lenient CSV input; files with newlines inside of values are read by many tasks, too."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import io
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabsync.storage import materialise
+
+#: Line ends inside quotes stay as they are; with Spark's own choice CRLF would turn into LF there.
+_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "lineSep": "\r\n"}
+#: States at a quote: at the start of a record, in a bare value, inside quotes, behind a quote that ends or doubles.
+_START, _BARE, _INSIDE, _BEHIND = 0, 1, 2, 3
+
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             multi_line: bool = True) -> DataFrame:
-    """Header row, doubled quotes, quoted newlines, short and long rows; every value is text.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+    """Header row, byte order mark, doubled quotes, quoted newlines, quotes within bare values, short and long rows, LF or CRLF.
 
-    A file with quoted newlines cannot be split and is read by one task. ``multi_line=False``
-    lets Spark split files that are known to have none.
+    Every value is text; empty ones are null. A folder's first file names the columns, each file has a header. Rows come in no order.
+    The lines are written once to the shared folder, see :func:`csv_records`; ``multi_line=False`` is for files known to have no quoted
+    newlines, which Spark reads as they are.
     """
-    reader = (spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"')
-              .option("escape", '"').option("mode", "PERMISSIVE").option("encoding", "UTF-8"))
-    if multi_line:
-        reader = reader.option("lineSep", "\r\n")  # without it, CRLF inside quotes would turn into LF
-    return (reader.schema(schema) if schema is not None else reader).csv(path)
+    if not multi_line:
+        reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+        return (reader.schema(schema) if schema is not None else reader).csv(path)
+    records = csv_records(spark, path)
+    if schema is None:
+        first = records.where("is_header").orderBy("file").select("record").first()  # one row
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in _names(first["record"] if first else "")])
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if not schema.fields:
+        return spark.createDataFrame([], schema)
+    ddl = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    rows = records.where("NOT is_header").select(F.from_csv("record", F.lit(ddl), _OPTIONS).alias("r"))
+    return rows.select(*[F.col(f"r.{_quoted(n)}") for n in schema.names])
+
+
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def _names(header: str) -> list[str]:
+    """Column names of a header; nameless and repeated ones (in any case) get their place."""
+    found = next(csv.reader(io.StringIO(header, newline="")), [])
+    lower = [n.lower() for n in found]
+    return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(found)]
+
+
+def _ends_inside(line: Column, start: int) -> Column:
+    """Whether a line that begins in this state ends inside quotes.
+
+    A quote opens a value at its start only, else it is a character of a bare value. Inside, it ends the value unless another
+    follows; what comes between an ending quote and the next comma is bare.
+    """
+    def step(state: Column, before: Column) -> Column:
+        opens = before.endswith(",")
+        return (F.when(state == _INSIDE, _BEHIND)
+                .when(opens | ((before == "") & state.isin(_START, _BEHIND)), _INSIDE).otherwise(_BARE))
+    parts = F.split(line, '"')
+    return F.aggregate(F.slice(parts, 1, F.size(parts) - 1), F.lit(start), step) == _INSIDE
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """``file, record, is_header`` of CSV files, which any number of tasks read together; blank lines between records go.
+
+    Each line is a function of the state at its start (inside quotes or not) to the state at its end: it keeps it, turns it
+    round, or fixes it. As these compose, the state before a line is the last fixed one before it, turned as often as
+    lines turn it since then. That is worked out over the blocks of a file first (a row for each block). Blocks in which no
+    line opens a value that goes on, nearly all of most files, are not shuffled; of the others the lines are followed block by
+    block, and only lines that are no whole records are put together.
+
+    The lines are written once, so that all steps see the same blocks. A file that ends inside a quoted value ends with a
+    record that holds the rest. Line ends inside of values stay; CRLF or LF end a record.
+    """
+    quoted = F.col("value").contains('"')
+    lines = (spark.read.text(path, lineSep="\n")
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+             .select("*", F.monotonically_increasing_id().alias("at"))
+             # A byte order mark can only stand at the very start.
+             .withColumn("value", F.when(F.col("block") == 0, F.regexp_replace("value", "\\A\ufeff", "")).otherwise(F.col("value")))
+             .withColumn("opens", quoted & _ends_inside(F.col("value"), _START))
+             .withColumn("stays", ~quoted | _ends_inside(F.col("value"), _INSIDE)))
+    lines = materialise(lines, "lines")
+    fixes, turns = F.col("opens") == F.col("stays"), F.col("opens") & ~F.col("stays")
+    full = ~F.col("value").isin("", "\r")
+    key = ["file", "block"]
+
+    last = lines.groupBy(*key).agg(F.max(F.when(fixes, F.struct("at", F.col("opens").cast("int").alias("v")))).alias("last"), F.count_if("opens").alias("n_opens"),
+                                   F.min(F.when(full, F.col("at"))).alias("first"))
+    since = lines.join(last, key).groupBy(*key).agg(
+        F.any_value("last.v").alias("fixed"), F.any_value("n_opens").alias("n_opens"), F.any_value("first").alias("first"),
+        F.count_if(turns & (F.col("at") > F.coalesce(F.col("last.at"), F.lit(-1)))).alias("turned"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each block of a file
+    blocks = since.withColumn("before", F.coalesce(F.sum("turned").over(earlier), F.lit(0)))
+    # A block that fixes the state ends in ``fixed``, turned ``turned`` times; ``before`` of later blocks counts these turns, too.
+    blocks = blocks.select(*key, "n_opens", ((F.coalesce(F.last(F.col("fixed") + F.col("before"), True).over(earlier), F.lit(0)) + F.col("before")) % 2).alias("inside"),
+                           F.when(F.count("first").over(earlier) == 0, F.col("first")).alias("header_at"))
+    blocks = materialise(blocks, "blocks")
+
+    placed = lines.join(blocks, key).withColumn("is_header", F.coalesce(F.col("at") == F.col("header_at"), F.lit(False)))
+    calm = (F.col("n_opens") == 0) & (F.col("inside") == 0)
+    in_block = Window.partitionBy(*key).orderBy("at")
+    above = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    followed = placed.where(~calm).withColumn("turned", F.coalesce(F.count_if(turns).over(above), F.lit(0)))
+    fixed = F.last(F.when(fixes, F.col("opens").cast("int") + F.col("turned")), True).over(above)
+    followed = followed.withColumn("inside", (F.coalesce(fixed, F.col("inside")) + F.col("turned")) % 2 == 1)
+    followed = followed.withColumn("start", F.last(F.when(~F.col("inside") & F.col("opens"), F.struct("block", "at")), True).over(in_block))
+    single = ~F.col("inside") & ~F.col("opens")
+    record = lambda c: F.regexp_replace(c, "\r\\z", "").alias("record")
+    whole = [d.select("file", record("value"), "is_header") for d in (placed.where(calm & full), followed.where(single & full))]
+
+    # Lines before the first opening one of their block go on with the last record opened in an earlier block.
+    broken = materialise(followed.where(~single).select(*key, "at", "value", "is_header", "start"), "broken")
+    opened = broken.groupBy(*key).agg(F.max("start").alias("start"))
+    carried = opened.select(*key, F.last("start", True).over(earlier).alias("carried"))
+    parts = (broken.join(carried, key).groupBy("file", F.coalesce("start", "carried").alias("start"))
+             .agg(F.sort_array(F.collect_list(F.struct("block", "at", "value", "is_header"))).alias("lines")))
+    joined = parts.select("file", record(F.array_join("lines.value", "\n")), F.exists("lines.is_header", lambda x: x).alias("is_header"))
+    return whole[0].unionByName(whole[1]).unionByName(joined)

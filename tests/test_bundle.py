@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tabsync import plans
@@ -6,16 +8,55 @@ from tabsync.sinks.bundle import manifest_entry
 from tabsync.sources import (column_inventory, discover_tables, in_list, merge_column_groups, read_csv, row_counts,
                              scan, select_columns, usable_table_names)
 from tabsync.sources.catalog import catalog_env
+from tabsync.sources.csv import csv_records
 from tabsync.spec import FieldMeta, Ref, TableSpec
 
 
 def test_untidy_csv(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_bytes('﻿"Id","Rel__r.Key","T"\r\n"1","k","a ""quoted"", line\r\nbreak"\r\n\r\n"2",,\r\n"3"\r\n"4","k","x","too long"\r\n'.encode())
-    got = [tuple(r) for r in read_csv(spark, str(path)).collect()]
+    got = sorted(tuple(r) for r in read_csv(spark, str(path)).collect())
     assert got == [("1", "k", 'a "quoted", line\r\nbreak'), ("2", None, None), ("3", None, None), ("4", "k", "x")]
 
 
+def test_csv_over_lines(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_bytes(b'\n"a\nb",c,,C\n"x\n\n\ny",1\n,2 "" 3\r\n"open\n3,')
+    back = read_csv(spark, str(path))
+    assert back.columns == ["a\nb", "c1", "_c2", "C3"]
+    assert sorted(((r[0], r[1]) for r in back.collect()), key=str) == [("open\n3,", None), ("x\n\n\ny", "1"), (None, '2 "" 3')]
+    assert read_csv(spark, str(path), "n string, `k.v` string").where("n IS NULL").first()["k.v"] == '2 "" 3'
+
+
+@pytest.mark.parametrize("size", [1500, 1 << 20])
+def test_csv_blocks_inside_values(spark, tmp_path, size):
+    """Blocks begin anywhere: in the header, in quotes, in runs of doubled quotes, in blank lines of a value."""
+    rnd = random.Random(size)
+    bits = ['"', '""', "\n", "\r\n", ",", "a", "ü", " ", "x" * 40, "\n\n", "\r", '","', '"\n"']
+    rows = [(str(i), "".join(rnd.choices(bits, k=rnd.choice((0, 3, 40, 500)))), rnd.choice(("", "z", 'z"z', 'z""', "z\n"))) for i in range(100)]
+    bare = lambda v: '"' + v.replace('"', '""') + '"' if "\n" in v or not v else v
+    for name, end in (("a.csv", "\n"), ("b.csv", "\r\n")):
+        lines = [f'"{a}","{b.replace(chr(34), chr(34) * 2)}",{bare(c)}' for a, b, c in rows]
+        (tmp_path / name).write_bytes((end.join(['id,"v",w', *lines]) + end).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        records = csv_records(spark, str(tmp_path))
+        got = sorted((tuple(r) for r in read_csv(spark, str(tmp_path)).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert records.where("is_header").count() == 2
+    assert got == sorted(((a, b or None, c or None) for a, b, c in rows * 2), key=str)
+
+
+def test_csv_nothing(spark, tmp_path):
+    (tmp_path / "only.csv").write_bytes(b"a,b\n")
+    back = read_csv(spark, str(tmp_path / "only.csv"))
+    assert (back.columns, back.collect()) == (["a", "b"], [])
+    (tmp_path / "empty.csv").write_bytes(b"")
+    assert read_csv(spark, str(tmp_path / "empty.csv")).columns == []
+
+
 def test_csv_text_form(spark, frame, tmp_path):
     df = frame("k string, r__key string, b boolean, n double", ("x", "p", True, 1.5), (None, None, None, None))
     write_csv(df, str(tmp_path / "out"), {"r__key": "Rel.Key"})
