@@ -1,50 +1,49 @@
 """Brown class-based bigrams: exchange clustering of words, class transitions and word emissions, scores of whole texts.
 
-``P(word | before) = P(class | class before) * P(word | class)``. Counts of words cover all training texts and stay in Spark.
-What is clustered are units: a word with at least ``OWN_UNIT`` of all tokens is a unit of its own (so there are at most
-1 / OWN_UNIT), the others share ``ENDINGS`` units by the hash of their last bytes. So a word's class needs no look-up of
-rare words, and the number of units is bounded whatever the corpus. Exchange clustering runs over the bigram counts of units:
-in each round every unit of one half looks for the class that raises the likelihood most, on the executors.
+``P(word | before) = P(class | class before) * P(word | class)``. Every training word that occurs ``LEAST`` times or more has its own class.
+Words with at least ``OWN`` of all tokens (at most 1 / OWN of them) are exchanged: in each round every word of one half looks, on the
+executors, for the class that raises the likelihood of the bigrams most. A round that lowers it is taken back, and from then on half as many words
+move at once; it ends when no part of the words raises it by its share of ``FLAT`` any more, or parts get smaller than 1 / ``MOST_PARTS``.
+Each rarer word is then exchanged once, out of the class of the rest, by its counts to and from the classes of the words beside it; its class
+stands in a Spark table and is joined. What is not seen ``LEAST`` times, and words that never stand beside a clustered one or a
+text's end, share the class of the rest, which also holds the one place for unknown words: words seen once tell where new words come.
 
-Words with at least ``DIRECT`` of all tokens (at most 1 / DIRECT) are sent to the tasks with their counts; the counts of
-all rarer words are joined. Both shares are relative, so any corpus is treated alike.
+Texts are encoded once, as ranks of frequent words (with at least ``DIRECT`` of all tokens, at most 1 / DIRECT; sent to the tasks)
+and places in a list of the text's own rarer words; all later passes read these numbers. All shares are relative, so any corpus is treated alike.
 
 Smoothing: class transitions are mixed with the classes' shares as if ``PRIOR`` more tokens had been seen; in a class every known
-word counts one more, and one place is kept for unknown words. A text ends with an end token, which is also the context of
-the first word. Nulls and empty texts have the end token alone. Every row gives one row.
+word counts one more. A text ends with an end token, in a class of its own, which is also the context of the first word. Nulls and empty
+texts have the end token alone. Every row gives one row.
 """
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsync.llm.common import append, slices, words_of
-from tabsync.storage import materialise
+from tabsync.storage import materialise, small_frame
 
-OWN_UNIT, DIRECT, ENDINGS, CLASSES, ROUNDS, PRIOR = 1e-4, 2e-6, 512, 64, 10, 5.0
+OWN, DIRECT, LEAST, CLASSES, PRIOR, FLAT, MOST_PARTS = 2e-5, 2e-6, 2, 64, 5.0, 1e-4, 8
+REST, ENDS = CLASSES, CLASSES + 1  # classes that no word is exchanged into
+CONTEXTS = range(CLASSES + 2)
 END = 0  # hash of the end token
 #: Distinct words or pairs held by a task before it passes their counts on.
 HELD = 500_000
-_STRIP = b".,;:!?\"'()[]{}*$%&#|"
 
 
 def hash_of(word: bytes) -> int:
     return (xxhash.xxh3_64_intdigest(word) >> 1) + 1  # positive, never END
 
 
-def ending(word: bytes) -> int:
-    return zlib.crc32((word.strip(_STRIP) or word)[-3:]) % ENDINGS
-
-
 def numbered(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Numbers of the tokens of all texts, how many each text has, and the words; number 0 is the end of a text."""
     known: dict[bytes, int] = {}
@@ -58,17 +57,15 @@ def numbered(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """``h, ending, n`` of every token of the texts (one column), the end token included."""
-    out = T.StructType.fromDDL("h bigint, ending int, n bigint")
+    """``h, n`` of every token of the texts (one column), the end token included."""
+    out = T.StructType.fromDDL("h bigint, n bigint")
 
     def run(batches):
         held: dict[bytes, int] = {}
         ends = 0
 
         def passed():
-            words = list(held)
-            return pa.RecordBatch.from_arrays([pa.array([hash_of(w) for w in words], pa.int64()), pa.array([ending(w) for w in words], pa.int32()),
-                                               pa.array(list(held.values()), pa.int64())], names=out.names)
+            return pa.RecordBatch.from_arrays([pa.array([hash_of(w) for w in held], pa.int64()), pa.array(list(held.values()), pa.int64())], names=out.names)
         for batch in batches:
             for part in slices(batch, 0):
                 flat, counts, words = numbered([t or "" for t in part.column(0).to_pylist()])
@@ -80,64 +77,88 @@ def count_words(texts: DataFrame) -> DataFrame:
                     held.clear()
         yield passed()
         if ends:
-            yield pa.RecordBatch.from_arrays([pa.array([END]), pa.array([0], pa.int32()), pa.array([ends])], names=out.names)
-    return texts.mapInArrow(run, out).groupBy("h").agg(F.min("ending").alias("ending"), F.sum("n").alias("n"))
+            yield pa.RecordBatch.from_arrays([pa.array([END]), pa.array([ends])], names=out.names)
+    return texts.mapInArrow(run, out).groupBy("h").agg(F.sum("n").alias("n"))
 
 
 @dataclass
-class Words:
-    """What tasks need to know of words: the frequent ones with counts and units."""
-    hashes: np.ndarray  # sorted
-    counts: np.ndarray
-    units: np.ndarray  # -1: by ending
-    end_count: int
-
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the end token and these words: hash, unit, and count (-1 where it has to be joined)."""
-        h = np.array([END, *map(hash_of, words)], np.int64)
-        units = np.array([ENDINGS, *map(ending, words)], np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, h), max(0, len(self.hashes) - 1))
-        found = self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), bool)
-        counts = np.where(found, self.counts[at] if len(self.hashes) else 0, -1)
-        if len(self.hashes):
-            units = np.where(found & (self.units[at] >= 0), self.units[at], units)
-        counts[0], units[0] = self.end_count, ENDINGS
-        return h, units, counts
-
-
-def count_pairs(texts: DataFrame, words: Words, units: int) -> DataFrame:
-    """``a, b, n``: how often unit b follows unit a."""
-    out = T.StructType.fromDDL("a int, b int, n bigint")
-    shared = texts.sparkSession.sparkContext.broadcast(words)  # at most 1 / DIRECT words
+class Frequent:
+    """The words that tasks know: ranks from 1 by falling count; rank 0 is the end token."""
+    hashes: np.ndarray  # by rank, END first
+    counts: np.ndarray  # by rank
+    own: int  # so many are exchanged
+
+    def __post_init__(self):
+        self.order = np.argsort(self.hashes)
+
+    def ranks(self, hashes: np.ndarray) -> np.ndarray:
+        """Ranks of words, -1 for others."""
+        at = self.order[np.minimum(np.searchsorted(self.hashes, hashes, sorter=self.order), len(self.order) - 1)]
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def units(self, codes: np.ndarray) -> np.ndarray:
+        """Rank of each word that is exchanged, and one number more for all others."""
+        return np.where((codes >= 0) & (codes <= self.own), codes, self.own + 1)
+
+
+def encode(df: DataFrame, words: Frequent, text_col: str = "text") -> DataFrame:
+    """``df`` with ``codes`` (int32: ranks, or -1, -2, ... for the text's rarer words) and ``rare`` (hashes of these) for the text."""
+    shared = df.sparkSession.sparkContext.broadcast(words)  # at most 1 / DIRECT words
+
+    def make():
+        def run(texts):
+            flat, counts, found = numbered(texts)
+            hashes = np.array([END, *map(hash_of, found)], np.int64)
+            codes = shared.value.ranks(hashes)[flat]
+            ends, rare = np.cumsum(counts), np.flatnonzero(codes < 0)
+            text = np.searchsorted(ends, rare, "right")
+            own, at = np.unique(text * len(hashes) + flat[rare], return_inverse=True)
+            offsets = np.searchsorted(own, np.arange(len(texts) + 1) * len(hashes))
+            codes[rare] = offsets[text] - at - 1
+            codes = codes.astype(np.int32)
+            return [[codes[e - n:e].tobytes() for e, n in zip(ends.tolist(), counts.tolist())],
+                    pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(hashes[own % len(hashes)]))]
+        return run
+    return append(df, text_col, "codes binary, rare array<bigint>", make).drop(text_col)
+
+
+def _flat(column) -> np.ndarray:
+    """Codes of all texts of a batch one after the other; each ends with an end token, so what is before a text is one, too."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.int32).astype(np.int64)
+
+
+def count_pairs(codes: DataFrame, words: Frequent) -> DataFrame:
+    """``a, b, n``: how often unit b follows unit a, from codes (one column)."""
+    out, units = T.StructType.fromDDL("a int, b int, n bigint"), words.own + 2
+    shared = codes.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
-        known, codes, sums = shared.value, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        known, held, sums = shared.value, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def passed():
-            return pa.RecordBatch.from_arrays([pa.array((codes // units).astype(np.int32)), pa.array((codes % units).astype(np.int32)), pa.array(sums)],
+            return pa.RecordBatch.from_arrays([pa.array((held // units).astype(np.int32)), pa.array((held % units).astype(np.int32)), pa.array(sums)],
                                               names=out.names)
         for batch in batches:
-            for part in slices(batch, 0):
-                flat, _, found = numbered([t or "" for t in part.column(0).to_pylist()])
-                u = known.look_up(found)[1][flat]
-                new, n = np.unique(np.append(ENDINGS, u[:-1]) * units + u, return_counts=True)
-                codes, inverse = np.unique(np.concatenate((codes, new)), return_inverse=True)
-                sums = np.bincount(inverse, np.concatenate((sums, n)), len(codes)).astype(np.int64)
-                if len(codes) > 4 * HELD:
-                    yield passed()
-                    codes, sums = codes[:0], sums[:0]
+            u = known.units(_flat(batch.column(0)))
+            new, n = np.unique(np.append(0, u[:-1]) * units + u, return_counts=True)
+            held, inverse = np.unique(np.concatenate((held, new)), return_inverse=True)
+            sums = np.bincount(inverse, np.concatenate((sums, n)), len(held)).astype(np.int64)
+            if len(held) > 4 * HELD:
+                yield passed()
+                held, sums = held[:0], sums[:0]
         yield passed()
-    return texts.mapInArrow(run, out).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return codes.mapInArrow(run, out).groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def _f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def best_moves(right: np.ndarray, left: np.ndarray, self_n: np.ndarray, own: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def best_moves(right: np.ndarray, left: np.ndarray, self_n: np.ndarray, own: np.ndarray, n: np.ndarray,
+               into: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """For units with counts to (right) and from (left) every class, without the unit itself: best class and gain in likelihood.
 
-    ``n`` (class before, class) holds all pairs, ``own`` the units' classes.
+    ``n`` (class before, class) holds all pairs, ``own`` the units' classes; only the first ``into`` classes are looked at (None: all).
     """
     k = len(n)
     target, gain = own.copy(), np.zeros(len(own))
@@ -153,12 +174,12 @@ def best_moves(right: np.ndarray, left: np.ndarray, self_n: np.ndarray, own: np.
         d = m[diag, diag]
         change += _f(d + r + l + s) - _f(d) - (_f(d + r) - _f(d)) - (_f(d + l) - _f(d))
         change -= _f(rows + total_r) - _f(rows) + _f(cols + total_l) - _f(cols)
-        target[i] = int(np.argmax(change))
+        target[i] = int(np.argmax(change[:into]))
         gain[i] = change[target[i]] - change[a]
     return target, gain
 
 
-def _moves(of: np.ndarray, matrix: np.ndarray, turn: int):
+def _moves(of: np.ndarray, matrix: np.ndarray, parts: int, turn: int):
     """Function from the pairs of some units (unit, side, other, n) to the best moves of those whose turn it is."""
     def moves(frame: pd.DataFrame) -> pd.DataFrame:
         numbers, at = np.unique(frame["unit"].to_numpy(), return_inverse=True)
@@ -167,125 +188,212 @@ def _moves(of: np.ndarray, matrix: np.ndarray, turn: int):
         same = numbers[at] == other
         np.add.at(flat, (side[~same], at[~same], of[other[~same]]), n[~same])
         np.add.at(alone, at[same & (side == 0)], n[same & (side == 0)])
-        own = numbers // 64 % 2 == turn
-        target, gain = best_moves(flat[0][own], flat[1][own], alone[own], of[numbers[own]], matrix)
+        own = (numbers // 64 % parts == turn) & (of[numbers] < CLASSES)
+        target, gain = best_moves(flat[0][own], flat[1][own], alone[own], of[numbers[own]], matrix, CLASSES)
         return pd.DataFrame({"unit": numbers[own], "target": target, "gain": gain})
     return moves
 
 
-def cluster(pairs: DataFrame, units: int, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
-    """Class of each unit, by exchange. ``pairs``: a, b, n."""
-    sides = pairs.select(F.col("a").alias("unit"), F.lit(0).alias("side"), F.col("b").alias("other"), "n").union(
-        pairs.select(F.col("b").alias("unit"), F.lit(1).alias("side"), F.col("a").alias("other"), "n"))
-    sides = materialise(sides, "sides")
-    seen = sorted(((r["n"], r["unit"]) for r in sides.where("side = 1").groupBy("unit").agg(F.sum("n").alias("n")).collect()), reverse=True)
-    of = np.zeros(units, np.int64)
-    for rank, (_, unit) in enumerate(seen):  # at first by frequency
-        of[unit] = rank % classes
-    for step in range(rounds):
-        matrix = class_pairs(pairs, of, classes)
+def likelihood(matrix: np.ndarray) -> float:
+    """What classes add to the likelihood of bigrams."""
+    return float(_f(matrix).sum() - _f(matrix.sum(0)).sum() - _f(matrix.sum(1)).sum())
+
 
+def cluster(pairs: DataFrame, own: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each unit by exchange, and the pairs by class. ``pairs``: a, b, n of the end token, units 1 to ``own``, and the rest."""
+    of = np.concatenate(([ENDS], np.arange(own) % CLASSES, [REST]))  # at first by rank
+    sides = materialise(pairs.select(F.col("a").alias("unit"), F.lit(0).alias("side"), F.col("b").alias("other"), "n").union(
+        pairs.select(F.col("b").alias("unit"), F.lit(1).alias("side"), F.col("a").alias("other"), "n")).where(F.col("unit").between(1, own)), "sides")
+    matrix = class_pairs(pairs, of)
+    best, parts, turn, quiet = likelihood(matrix), 2, 0, 0
+    while own and quiet < parts <= MOST_PARTS:
         # All pairs of a unit have to be seen together; a unit has at most two rows per other unit.
-        got = sides.groupBy(F.pmod("unit", F.lit(64)).alias("part")).applyInPandas(
-            _moves(of, matrix, step % 2), "unit int, target bigint, gain double")
-        moved = got.where("gain > 1e-6").collect()
-        if not moved and step:
-            break
-        of = of.copy()
-        for r in moved:
-            of[r["unit"]] = r["target"]
-    return of
-
-
-def class_pairs(pairs: DataFrame, of: np.ndarray, classes: int) -> np.ndarray:
+        got = sides.groupBy(F.pmod("unit", F.lit(64)).alias("part")).applyInPandas(_moves(of, matrix, parts, turn), "unit int, target bigint, gain double")
+        tried = of.copy()
+        for r in got.where("gain > 1e-6").collect():
+            tried[r["unit"]] = r["target"]
+        pairs_now = class_pairs(pairs, tried)
+        now, turn = likelihood(pairs_now), (turn + 1) % parts
+        if now < best:  # too many at once, each by what the others were before
+            parts, turn, quiet = 2 * parts, 0, 0
+            continue
+        quiet = 0 if now - best > FLAT / parts * abs(best) else quiet + 1
+        best, of, matrix = now, tried, pairs_now
+    return of, matrix
+
+
+def class_pairs(pairs: DataFrame, of: np.ndarray) -> np.ndarray:
     """Pairs counted by class (class before, class)."""
-    table = pairs.sparkSession.createDataFrame(pd.DataFrame({"unit": np.arange(len(of), dtype=np.int32), "class": of.astype(np.int32)}))
+    table = small_frame(pairs.sparkSession, list(enumerate(of.tolist())), "unit int, class int")
     side = lambda u, c: F.broadcast(table.select(F.col("unit").alias(u), F.col("class").alias(c)))  # noqa: E731  a row for each unit
-    counted = pairs.join(side("a", "ca"), "a").join(side("b", "cb"), "b").groupBy("ca", "cb").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros((classes, classes))
-    for r in counted:
-        out[r["ca"], r["cb"]] = r["n"]
+    return _square(pairs.join(side("a", "ca"), "a").join(side("b", "cb"), "b").groupBy("ca", "cb").agg(F.sum("n").alias("n")))
+
+
+def _square(counted: DataFrame) -> np.ndarray:
+    out = np.zeros((CLASSES + 2, CLASSES + 2))
+    for a, b, n in counted.collect():  # a row for each pair of classes
+        out[a, b] = n
     return out
 
 
+def count_contexts(coded: DataFrame, words: Frequent, of: np.ndarray) -> DataFrame:
+    """``h, context, n`` of the words that are not exchanged: how often which class stands before (0 and up) and behind them
+    (``CLASSES + 2`` and up); neighbours of the rest tell nothing. From ``codes, rare``."""
+    out = T.StructType.fromDDL("h bigint, context int, n bigint")
+    shared = coded.sparkSession.sparkContext.broadcast((words, of))
+
+    def run(batches):
+        known, classes = shared.value
+        for batch in batches:
+            for part in slices(batch, 0):
+                lengths = np.array([len(c) // 4 for c in part.column(0).to_pylist()], np.int64)
+                codes, rare = _flat(part.column(0)), part.column(1)
+                cls = classes[known.units(codes)]
+                at = np.flatnonzero(cls == REST)
+                first = np.repeat(np.cumsum(pc.list_value_length(rare).to_numpy()) - pc.list_value_length(rare).to_numpy(), lengths)
+                own = np.append(rare.flatten().to_numpy(), END)
+                h = np.where(codes[at] < 0, own[np.where(codes[at] < 0, first[at] - codes[at] - 1, -1)], known.hashes[np.maximum(codes[at], 0)])
+                before, behind = np.append(ENDS, cls)[at], cls[at + 1]  # an end follows each word
+                distinct, no = np.unique(h, return_inverse=True)
+                pair = np.concatenate((no[before != REST] * 2 * len(CONTEXTS) + before[before != REST],
+                                       no[behind != REST] * 2 * len(CONTEXTS) + len(CONTEXTS) + behind[behind != REST]))
+                pair, n = np.unique(pair, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(distinct[pair // (2 * len(CONTEXTS))]), pa.array((pair % (2 * len(CONTEXTS))).astype(np.int32)),
+                                                  pa.array(n.astype(np.int64))], names=out.names)
+    return coded.mapInArrow(run, out).groupBy("h", "context").agg(F.sum("n").alias("n"))
+
+
+def placed(word: np.ndarray, context: np.ndarray, n: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """Class of each word (numbered from 0, rows in order of words) that raises the likelihood of ``matrix`` most when its pairs come in."""
+    size, behind = len(CONTEXTS), context >= len(CONTEXTS)
+    # Row c: pairs of class c before each class; row size + c: of class c behind each.
+    cells = np.concatenate((matrix[:, :CLASSES], matrix[:CLASSES].T))
+    starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+    gain = np.add.reduceat(_f(cells[context] + n[:, None]) - _f(cells)[context], starts)
+    for mask, total in ((behind, matrix.sum(1)[:CLASSES]), (~behind, matrix.sum(0)[:CLASSES])):
+        own = np.add.reduceat(np.where(mask, n, 0), starts)
+        gain -= _f(total + own[:, None]) - _f(total)
+    return np.argmax(gain, 1)
+
+
+def place(contexts: DataFrame, matrix: np.ndarray) -> DataFrame:
+    """``h, class`` of words from ``h, context, n``."""
+    of_word = contexts.groupBy("h").agg(F.collect_list(F.struct("context", "n")).alias("seen"))  # at most 2 * CLASSES + 3 each
+    out = T.StructType.fromDDL("h bigint, class int")
+
+    def run(batches):
+        for batch in batches:
+            for first in range(0, batch.num_rows, 1000):
+                part = batch.slice(first, 1000)
+                word = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column(1)).to_numpy())
+                seen = part.column(1).flatten()
+                cls = placed(word, seen.field(0).to_numpy(), seen.field(1).to_numpy(), matrix)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(cls.astype(np.int32))], names=out.names)
+    return of_word.mapInArrow(run, out)
+
+
 @dataclass
 class Model:
-    words: Words
-    classes: np.ndarray  # of each unit
+    words: Frequent
+    classes: np.ndarray  # of frequent words by rank
     transitions: np.ndarray  # log10 P(class | class before)
     room: np.ndarray  # log10 of what emissions of a class are divided by
     tokens: int
     types: int
 
 
-def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """Model of the texts (one column), and the counts ``h, n`` of all words that it does not hold itself."""
-    counts = materialise(count_words(texts), "words")
+def _known(batch, words: Frequent, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths of the texts of a batch (codes, n_rare, found), class and count of each token."""
+    lengths = np.array([len(c) // 4 for c in batch.column(0).to_pylist()], np.int64)
+    codes, n_rare, found = _flat(batch.column(0)), batch.column(1).to_numpy(), batch.column(2)
+    base = np.cumsum(n_rare) - n_rare
+    cls, n = np.full(int(n_rare.sum()) + 1, REST), np.zeros(int(n_rare.sum()) + 1, np.int64)
+    of = np.repeat(base, pc.fill_null(pc.list_value_length(found), 0).to_numpy())
+    seen = found.flatten()
+    at = of + seen.field(0).to_numpy()
+    n[at], cls[at] = seen.field(1).to_numpy(), seen.field(2).to_numpy()
+    place = np.where(codes < 0, np.repeat(base, lengths) - codes - 1, -1)
+    rank = np.maximum(codes, 0)
+    return lengths, np.where(codes < 0, cls[place], classes[rank]), np.where(codes < 0, n[place], words.counts[rank])
+
+
+def resolve(coded: DataFrame, rare: DataFrame) -> DataFrame:
+    """``coded`` (with ``no``) with ``n_rare`` and ``found``: place, count and class of those of its rarer words that are known."""
+    each = coded.where(F.size("rare") > 0).select("no", F.posexplode("rare").alias("k", "h"))
+    found = each.join(rare, "h").groupBy("no").agg(F.collect_list(F.struct("k", "n", "class")).alias("found"))
+    return coded.withColumn("n_rare", F.size("rare")).drop("rare").join(found, "no", "left")
+
+
+def fit(texts: DataFrame, training: str = "training") -> tuple[Model, DataFrame, DataFrame]:
+    """From ``no, text`` and whether to learn from it, and any other columns: the model, ``h, n, class`` of all words that it does not
+    hold itself, and the encoded texts with what is known of their words."""
+    counts = materialise(count_words(texts.where(training).select("text")), "words")
     tokens, types = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens = tokens or 0
-    frequent = sorted((r["h"], r["n"]) for r in counts.where((F.col("n") >= max(1.0, DIRECT * tokens)) & (F.col("h") != END)).collect())
+    direct = (F.col("n") >= max(1.0, DIRECT * tokens)) & (F.col("h") != END)
+    frequent = sorted(((r["n"], r["h"]) for r in counts.where(direct).collect()), reverse=True)
     end_count = next((r["n"] for r in counts.where(F.col("h") == END).collect()), 0)
-    hashes, n = np.array([h for h, _ in frequent], np.int64), np.array([c for _, c in frequent], np.int64)
-    own = n >= max(2.0, OWN_UNIT * tokens)
-    units = np.where(own, ENDINGS + np.cumsum(own), -1)
-    words, total = Words(hashes, n, units, end_count), ENDINGS + 1 + int(own.sum())
-    pairs = materialise(count_pairs(texts, words, total), "pairs")
-    of = cluster(pairs, total)
-    # Known words of each unit: one for a word that is a unit, all others by their ending.
-    known = np.zeros(total)
-    for r in counts.where((F.col("h") != END) & (F.col("n") < max(2.0, OWN_UNIT * tokens))).groupBy("ending").count().collect():
-        known[r["ending"]] = r["count"]
-    known[ENDINGS:] = 1
-    matrix = class_pairs(pairs, of, CLASSES)
+    n = np.array([end_count, *(c for c, _ in frequent)], np.int64)
+    words = Frequent(np.array([END, *(h for _, h in frequent)], np.int64), n, int((n[1:] >= max(float(LEAST), OWN * tokens)).sum()))
+
+    coded = materialise(encode(texts, words), "codes")
+    learned = coded.where(training)
+    pairs = materialise(count_pairs(learned.select("codes"), words), "pairs")
+    of, matrix = cluster(pairs, words.own)
+    contexts = count_contexts(learned.select("codes", "rare"), words, of)
+    exchanged = small_frame(texts.sparkSession, [(h, c) for h, c in zip(words.hashes[1:words.own + 1].tolist(), of[1:-1].tolist())], "h bigint, own int")
+    table = counts.where(F.col("h") != END).join(place(contexts, matrix), "h", "left").join(exchanged, "h", "left")
+    table = materialise(table.select("h", "n", F.coalesce("own", F.when(F.col("n") >= LEAST, F.col("class")), F.lit(REST)).alias("class")), "classes")
+
+    classes = np.full(len(n), ENDS)
+    got = {r["h"]: r["class"] for r in table.where(direct).collect()}  # at most 1 / DIRECT
+    classes[1:] = [got[h] for h in words.hashes[1:].tolist()]
+    rare = table.where(~direct)
+    resolved = materialise(resolve(coded, rare), "resolved")
+    shared = texts.sparkSession.sparkContext.broadcast((words, classes))
+
+    def by_class(batches):
+        size, sums = len(CONTEXTS), np.zeros(len(CONTEXTS) ** 2, np.int64)
+        for batch in batches:
+            for part in slices(batch, 0):
+                cls = _known(part, *shared.value)[1]
+                sums += np.bincount(np.append(ENDS, cls[:-1]) * size + cls, minlength=size ** 2)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array((at // size).astype(np.int32)), pa.array((at % size).astype(np.int32)), pa.array(sums[at])], names=["a", "b", "n"])
+    matrix = _square(resolved.where(training).select("codes", "n_rare", "found").mapInArrow(by_class, "a int, b int, n bigint")
+                     .groupBy("a", "b").agg(F.sum("n").alias("n")))
+    members = np.zeros(CLASSES + 2)
+    for cls, many in table.groupBy("class").count().collect():
+        members[cls] = many
+    members[[REST, ENDS]] += 1  # unknown words; the end token
     per_class = matrix.sum(0)
-    prior = (per_class + 1) / (per_class.sum() + CLASSES)
+    prior = (per_class + 1) / (per_class.sum() + len(CONTEXTS))
     transitions = np.log10((matrix + PRIOR * prior) / (matrix.sum(1, keepdims=True) + PRIOR))
-    room = np.log10(per_class + np.bincount(of, known, CLASSES) + 1)
-    rare = counts.where((F.col("n") < max(1.0, DIRECT * tokens)) & (F.col("h") != END)).select("h", "n")
-    return Model(words, of, transitions, room, int(tokens), int(types)), rare
+    return Model(words, classes, transitions, np.log10(np.maximum(per_class + members, 1)), int(tokens), int(types)), rare, resolved
 
 
 RESULT = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
-PARTIAL = "n_tokens bigint, known bigint, base double, model double, hs array<bigint>, ks array<bigint>"
 
 
 def score(df: DataFrame, training: Column, text_col: str = "text") -> DataFrame:
     """``df`` without its text, with the columns of ``RESULT`` (the last two log10 probabilities); columns of the caller so named give way."""
-    model, rare = fit(df.where(training).select(text_col))
+    # The caller's columns travel as one, so that no name of theirs meets one of these.
+    kept = [f"`{c}`" for c in df.columns if c != text_col and c not in RESULT]
+    packed = df.select(F.struct(*kept, F.lit(0).alias("_")).alias("row"), F.col(f"`{text_col}`").alias("text"),
+                       F.coalesce(training, F.lit(False)).alias("training"), F.monotonically_increasing_id().alias("no"))
+    model, _, resolved = fit(packed)
     shared = df.sparkSession.sparkContext.broadcast(model)  # at most 1 / DIRECT words
-    base_room = np.log10(model.tokens + model.types + 1)
+    out = T.StructType([resolved.schema["row"], *T.StructType.fromDDL("n_tokens bigint, n_known bigint, base_score double, score double").fields])
 
-    def make():
+    def run(batches):
         m = shared.value
-
-        def run(texts):
-            flat, counts, found = numbered(texts)
-            h, units, n = m.words.look_up(found)
-            cls = m.classes[units]
-            starts = np.cumsum(counts) - counts
-            before = np.append(0, flat[:-1])
-            before[starts] = 0
-            direct = n >= 0
-            seen = np.log10(np.maximum(n, 0) + 1.0)  # of others nothing yet: what is joined adds log10(n + 1)
-            c = cls[flat]
-            model_part = m.transitions[cls[before], c] + seen[flat] - m.room[c]
-            out = [counts, np.add.reduceat((n[flat] > 0).astype(np.int64), starts), np.add.reduceat(seen[flat], starts) - counts * base_room,
-                   np.add.reduceat(model_part, starts)]
-            hs, ks = [], []
-            for a, b in zip(starts.tolist(), (starts + counts).tolist()):
-                own, k = np.unique(flat[a:b], return_counts=True)
-                rest = ~direct[own]
-                hs.append(h[own[rest]])
-                ks.append(k[rest])
-            return [*out, hs, ks]
-        return run
-    # The caller's columns travel as one, so that no name of theirs meets one of these.
-    kept = [f"`{c}`" for c in df.columns if c != text_col and c not in RESULT]
-    packed = df.select(F.struct(*kept, F.lit(0).alias("_")).alias("row"), F.col(f"`{text_col}`").alias("text"), F.monotonically_increasing_id().alias("no"))
-    partial = materialise(append(packed, "text", PARTIAL, make).drop("text"), "partial")
-    each = partial.select("no", F.explode(F.arrays_zip("hs", "ks")).alias("x")).select("no", F.col("x.hs").alias("h"), F.col("x.ks").alias("k"))
-    joined = each.join(materialise(rare, "rare"), "h")  # words that are not there are unknown: log10(0 + 1) = 0
-    added = joined.groupBy("no").agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("n") + F.lit(1.0))).alias("log_n"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    result = (F.col("n_tokens"), F.col("known") + zero("more"), F.lit(model.tokens).cast("bigint"), F.col("base") + zero("log_n"), F.col("model") + zero("log_n"))
-    return partial.join(added, "no", "left").select(*[F.col(f"row.{c}") for c in kept], *[v.alias(n) for n, v in zip(RESULT, result, strict=True)])
+        base_room = np.log10(m.tokens + m.types + 1)
+        for batch in batches:
+            for part in slices(batch, 0):
+                lengths, cls, n = _known(part, m.words, m.classes)
+                starts, seen = np.cumsum(lengths) - lengths, np.log10(n + 1.0)
+                own = m.transitions[np.append(ENDS, cls[:-1]), cls] + seen - m.room[cls]
+                columns = (lengths, np.add.reduceat((n > 0).astype(np.int64), starts), np.add.reduceat(seen, starts) - lengths * base_room, np.add.reduceat(own, starts))
+                yield pa.RecordBatch.from_arrays([part.column(3), *map(pa.array, columns)], names=out.names)
+    scored = resolved.select("codes", "n_rare", "found", "row").mapInArrow(run, out)
+    return scored.select(*[F.col(f"row.{c}") for c in kept], *[(F.lit(model.tokens).cast("bigint") if c == "train_tokens" else F.col(c)).alias(c) for c in RESULT])

@@ -243,18 +243,71 @@ def test_brown(spark, result, docs):
     assert got[got.held_out].score.sum() > got[got.held_out].base_score.sum()
 
 
-def test_brown_is_a_distribution(spark, odd, none):
-    texts = spark.createDataFrame([("a b c d e f g a b",), ("a b a b",), (None,)], "text string")
-    model, rare = brown.fit(texts)
+def _brown_words(model, rare):
+    """Count and class of every training word by hash."""
+    known = {h: (n, c) for h, n, c in zip(model.words.hashes.tolist(), model.words.counts.tolist(), model.classes.tolist())}
+    return known | {r.h: (r.n, r["class"]) for r in rare.collect()}
+
+
+@pytest.mark.parametrize("direct, own", [(brown.DIRECT, brown.OWN), (0.06, 0.08), (1.0, 1.0)])
+def test_brown_scores_as_its_model_says(spark, monkeypatch, direct, own):
+    """Whatever words tasks know or join: emissions of a class and transitions sum to 1, and a score is the sum of their logarithms."""
+    monkeypatch.setattr(brown, "DIRECT", direct)
+    monkeypatch.setattr(brown, "OWN", own)
+    texts = ["a b c d e f g a b", "A b a b x y", None, "", "c d c d q a  b\tc", "new c a", "a b a b c d c d e e"]
+    df = spark.createDataFrame([(i, t, i not in (2, 5)) for i, t in enumerate(texts)], "no bigint, text string, training boolean")
+    model, rare, _ = brown.fit(df)
+    known = _brown_words(model, rare)
+    counts: dict = {}
+    for i, t in enumerate(texts):
+        for w in [*brown.words_of(t or ""), None] if i not in (2, 5) else []:
+            h = brown.END if w is None else brown.hash_of(w)
+            counts[h] = counts.get(h, 0) + 1
+    assert {h: n for h, (n, _) in known.items()} == counts
+    assert all(c == brown.REST for n, c in known.values() if n < brown.LEAST) and known[brown.END][1] == brown.ENDS
     assert np.allclose((10 ** model.transitions).sum(1), 1)
-    known = {w: n for w, n in zip(model.words.hashes.tolist(), model.words.counts.tolist())} | {r.h: r.n for r in rare.collect()}
-    _, units, _ = model.words.look_up([b"a", b"b", b"c", b"d", b"e", b"f", b"g"])
     mass = np.zeros(len(model.room))
-    for w, u in zip([None, b"a", b"b", b"c", b"d", b"e", b"f", b"g"], units):
-        n = model.words.end_count if w is None else known[brown.hash_of(w)]
-        mass[model.classes[u]] += (n + 1) / 10 ** model.room[model.classes[u]]
-    unknown = 1 / 10 ** model.room
-    assert ((mass + unknown) < 1 + 1e-9).all() and np.allclose((mass + unknown)[mass > 0], 1)
+    mass[brown.REST] = 1 / 10 ** model.room[brown.REST]  # the unknown
+    for n, c in known.values():
+        mass[c] += (n + 1) / 10 ** model.room[c]
+    assert np.allclose(mass[mass > 0], 1)
+    scored = {r.no: r for r in brown.score(df, F.col("training")).collect()}
+    for i, t in enumerate(texts):
+        want, before = 0.0, brown.ENDS
+        for w in [*brown.words_of(t or ""), None]:
+            n, c = known.get(brown.END if w is None else brown.hash_of(w), (0, brown.REST))
+            want += model.transitions[before, c] + np.log10(n + 1) - model.room[c]
+            before = c
+        assert scored[i].score == pytest.approx(want, rel=1e-9)
+
+
+def test_brown_places_words_where_the_likelihood_rises_most():
+    rng, size = np.random.default_rng(3), len(brown.CONTEXTS)
+    matrix = rng.integers(0, 50, (size, size)).astype(float)
+    rows = sorted((w, c, int(n)) for w in range(5) for c, n in zip(rng.choice(2 * size, 9, False).tolist(), rng.integers(1, 30, 9)))
+    got = brown.placed(*(np.array(x) for x in zip(*rows)), matrix)
+    for w in range(5):
+        tried = []
+        for k in range(brown.CLASSES):
+            m = matrix.copy()
+            for _, c, n in [r for r in rows if r[0] == w]:
+                m[(k, c - size) if c >= size else (c, k)] += n
+            # Sums over neighbours grow by the same whatever the class.
+            rise = lambda old, new: brown._f(new).sum() - brown._f(old).sum()
+            behind, before = (sum(n for x, c, n in rows if x == w and (c >= size) == side) for side in (True, False))
+            tried.append(rise(matrix, m) - rise(matrix[k].sum(), matrix[k].sum() + behind) - rise(matrix[:, k].sum(), matrix[:, k].sum() + before))
+        assert got[w] == int(np.argmax(tried))
+
+
+def test_brown_tells_languages_apart(spark):
+    rnd = random.Random(1)
+    texts = [" ".join(f"{'xy'[i % 2]}{min(int(rnd.expovariate(.02)), 400)}" for _ in range(300)) for i in range(60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    held = brown.score(df, F.col("doc_id") < 40).where("doc_id >= 40").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert (held[0] - held[1]) / held[2] > 0.15  # knowing the language is worth log10(2) at most
+
+
+def test_brown_odd(spark, odd, none):
     got = brown.score(odd, F.col("doc_id").isNotNull())
     assert got.count() == odd.count() and brown.score(none, F.lit(True)).count() == 0
     clash = odd.withColumns({c: F.lit(c) for c in ("more", "log_n", "base", "known", "model", "hs", "ks", "no", "row", "score")})
