@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from tabsync.llm.common import append, slices, words_of
 from tabsync.storage import materialise, small_frame
 
-OWN, DIRECT, LEAST, CLASSES, PRIOR, FLAT, MOST_PARTS = 2e-5, 2e-6, 2, 64, 5.0, 1e-4, 8
+OWN, DIRECT, LEAST, CLASSES, PRIOR, FLAT, MOST_PARTS = 2e-5, 1e-6, 2, 64, 5.0, 1e-4, 8
 REST, ENDS = CLASSES, CLASSES + 1  # classes that no word is exchanged into
 CONTEXTS = range(CLASSES + 2)
 END = 0  # hash of the end token
@@ -102,7 +102,7 @@ class Frequent:
 
 
 def encode(df: DataFrame, words: Frequent, text_col: str = "text") -> DataFrame:
-    """``df`` with ``codes`` (int32: ranks, or -1, -2, ... for the text's rarer words) and ``rare`` (hashes of these) for the text."""
+    """``df`` with ``codes`` (packed: ranks, or -1, -2, ... for the text's rarer words) and ``rare`` (hashes of these) for the text."""
     shared = df.sparkSession.sparkContext.broadcast(words)  # at most 1 / DIRECT words
 
     def make():
@@ -115,16 +115,22 @@ def encode(df: DataFrame, words: Frequent, text_col: str = "text") -> DataFrame:
             own, at = np.unique(text * len(hashes) + flat[rare], return_inverse=True)
             offsets = np.searchsorted(own, np.arange(len(texts) + 1) * len(hashes))
             codes[rare] = offsets[text] - at - 1
-            codes = codes.astype(np.int32)
-            return [[codes[e - n:e].tobytes() for e, n in zip(ends.tolist(), counts.tolist())],
+            return [[_packed(codes[e - n:e]) for e, n in zip(ends.tolist(), counts.tolist())],
                     pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(hashes[own % len(hashes)]))]
         return run
     return append(df, text_col, "codes binary, rare array<bigint>", make).drop(text_col)
 
 
+def _packed(codes: np.ndarray) -> bytes:
+    """Codes as four runs of bytes, first all lowest ones, signs in the lowest bit: most of the runs are zeros, which compress."""
+    return (codes << 1 ^ codes >> 63).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
 def _flat(column) -> np.ndarray:
     """Codes of all texts of a batch one after the other; each ends with an end token, so what is before a text is one, too."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.int32).astype(np.int64)
+    runs = [np.zeros((0, 4), np.uint8), *(np.frombuffer(c, np.uint8).reshape(4, -1).T for c in column.to_pylist())]
+    codes = np.ascontiguousarray(np.concatenate(runs)).view("<i4").ravel().astype(np.int64)
+    return codes >> 1 ^ -(codes & 1)
 
 
 def count_pairs(codes: DataFrame, words: Frequent) -> DataFrame:
@@ -320,8 +326,12 @@ def _known(batch, words: Frequent, classes: np.ndarray) -> tuple[np.ndarray, np.
 def resolve(coded: DataFrame, rare: DataFrame) -> DataFrame:
     """``coded`` (with ``no``) with ``n_rare`` and ``found``: place, count and class of those of its rarer words that are known."""
     each = coded.where(F.size("rare") > 0).select("no", F.posexplode("rare").alias("k", "h"))
-    found = each.join(rare, "h").groupBy("no").agg(F.collect_list(F.struct("k", "n", "class")).alias("found"))
-    return coded.withColumn("n_rare", F.size("rare")).drop("rare").join(found, "no", "left")
+    # One number on the way: 28 bits of a place (texts have under 2 GB), 28 of a count (below DIRECT of 10^14 tokens), 7 of a class.
+    one = F.shiftleft(F.col("k").cast("bigint"), 35) + F.shiftleft("n", 7) + F.col("class")
+    found = each.join(rare, "h").groupBy("no").agg(F.collect_list(one).alias("found"))
+    bits = lambda x, first, n: F.shiftright(x, first).bitwiseAND((1 << n) - 1)
+    parts = F.transform("found", lambda x: F.struct(bits(x, 35, 28).cast("int").alias("k"), bits(x, 7, 28).alias("n"), bits(x, 0, 7).cast("int").alias("class")))
+    return coded.withColumn("n_rare", F.size("rare")).drop("rare").join(found, "no", "left").withColumn("found", parts)
 
 
 def fit(texts: DataFrame, training: str = "training") -> tuple[Model, DataFrame, DataFrame]:
