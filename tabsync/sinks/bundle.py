@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tabsync.functions import csv_boolean
 from tabsync.sources.csv import read_csv
 from tabsync.spec import TableSpec
-from tabsync.storage import small_frame
+from tabsync.storage import COMPRESSION, small_frame
 
 MANIFEST_SCHEMA = ("mode string, tier int, order int, path string, table string, key_field string, "
                    "rows bigint, operation string, pass2 boolean, notes string")
@@ -45,7 +45,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     if fmt == "csv":
         write_csv(watched, path, headers)
     else:
-        watched.write.format(fmt).save(path)
+        (watched.write.option("compression", COMPRESSION) if fmt == "parquet" else watched.write).format(fmt).save(path)
     return seen.get["n"]
 
 

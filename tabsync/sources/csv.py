@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -90,8 +91,9 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     full = ~F.col("value").isin("", "\r")
     key = ["file", "block"]
 
-    last = lines.groupBy(*key).agg(F.max(F.when(fixes, F.struct("at", F.col("opens").cast("int").alias("v")))).alias("last"), F.count_if("opens").alias("n_opens"),
-                                   F.min(F.when(full, F.col("at"))).alias("first"))
+    # A row for each block, written so that Spark knows how few they are and leaves the lines where they are.
+    last = materialise(lines.groupBy(*key).agg(F.max(F.when(fixes, F.struct("at", F.col("opens").cast("int").alias("v")))).alias("last"), F.count_if("opens").alias("n_opens"),
+                                   F.min(F.when(full, F.col("at"))).alias("first")), "last")
     since = lines.join(last, key).groupBy(*key).agg(
         F.any_value("last.v").alias("fixed"), F.any_value("n_opens").alias("n_opens"), F.any_value("first").alias("first"),
         F.count_if(turns & (F.col("at") > F.coalesce(F.col("last.at"), F.lit(-1)))).alias("turned"))
@@ -112,13 +114,22 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     followed = followed.withColumn("start", F.last(F.when(~F.col("inside") & F.col("opens"), F.struct("block", "at")), True).over(in_block))
     single = ~F.col("inside") & ~F.col("opens")
     record = lambda c: F.regexp_replace(c, "\r\\z", "").alias("record")
-    whole = [d.select("file", record("value"), "is_header") for d in (placed.where(calm & full), followed.where(single & full))]
-
-    # Lines before the first opening one of their block go on with the last record opened in an earlier block.
-    broken = materialise(followed.where(~single).select(*key, "at", "value", "is_header", "start"), "broken")
-    opened = broken.groupBy(*key).agg(F.max("start").alias("start"))
-    carried = opened.select(*key, F.last("start", True).over(earlier).alias("carried"))
-    parts = (broken.join(carried, key).groupBy("file", F.coalesce("start", "carried").alias("start"))
-             .agg(F.sort_array(F.collect_list(F.struct("block", "at", "value", "is_header"))).alias("lines")))
-    joined = parts.select("file", record(F.array_join("lines.value", "\n")), F.exists("lines.is_header", lambda x: x).alias("is_header"))
-    return whole[0].unionByName(whole[1]).unionByName(joined)
+
+    # Lines of a block that belong together are put together where they are. Those before the first opening line of their block go on
+    # with the last record opened in an earlier block; so only the first and the last part of a block can have to move.
+    followed = followed.withColumn("single", single).withColumn("start", F.when(single, F.struct("block", "at")).otherwise(F.col("start")))
+    parts = (followed.where(~F.col("single") | full).groupBy(*key, "start")
+             .agg(F.sort_array(F.collect_list(F.struct("at", "value", "is_header"))).alias("lines"), F.any_value("single").alias("single")))
+    parts = materialise(parts.select(*key, "start", "single", F.array_join("lines.value", "\n").alias("value"),
+                                     F.exists("lines.is_header", lambda x: x).alias("is_header")), "parts")
+    ends = parts.where("NOT single").groupBy(*key).agg(F.max("start").alias("start"), F.count_if(F.col("start").isNull()).alias("goes_on"))
+    later = Window.partitionBy("file").orderBy("block").rowsBetween(1, 1)
+    ends = materialise(ends.select(*key, F.last("start", True).over(earlier).alias("carried"), F.col("start").alias("_last"),
+                                   (F.coalesce(F.max("goes_on").over(later), F.lit(0)) > 0).alias("next_goes_on")), "ends")
+    moves = F.col("start").isNull() | F.coalesce((F.col("start") == F.col("_last")) & F.col("next_goes_on"), F.lit(False))
+    parts = parts.join(ends, key, "left").withColumn("moves", moves)
+    whole = [d.select("file", record("value"), "is_header") for d in (placed.where(calm & full), parts.where("NOT moves"))]
+    apart = (parts.where("moves").groupBy("file", F.coalesce("start", "carried").alias("start"))
+             .agg(F.sort_array(F.collect_list(F.struct("block", "value", "is_header"))).alias("lines")))
+    joined = apart.select("file", record(F.array_join("lines.value", "\n")), F.exists("lines.is_header", lambda x: x).alias("is_header"))
+    return reduce(DataFrame.unionByName, [*whole, joined])

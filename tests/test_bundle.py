@@ -127,3 +127,11 @@ def test_preview_and_discovery(frame):
 def test_a_missing_table_is_an_error_of_the_run(frame):
     with pytest.raises(ValueError):
         plans.compare({}, {}, [TableSpec("a")], only="b")
+
+
+def test_csv_lines_move_once(spark, tmp_path):
+    """Lines of blocks with values over lines are followed and put together in one pass; the result reads what that wrote and moves a part of a block at most."""
+    (tmp_path / "in.csv").write_bytes(b'n,v\n' + b'1,"a\nb"\n2,c\n' * 50)
+    records = csv_records(spark, str(tmp_path / "in.csv"))
+    assert "Window" not in records._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["record"] for r in records.collect()) == ['1,"a\nb"'] * 50 + ["2,c"] * 50 + ["n,v"]
