@@ -33,7 +33,9 @@ CLASSES = 9
 # States: nothing open, after a joining space, in letters, numbers, others, white space, 1 or 2 letters of an ending to come.
 NONE, JOIN, IN_L, IN_N, IN_P, IN_W, END1, END2 = range(8)
 STATES = 8
-CACHED = 400_000
+CACHED = 100_000
+#: Bytes of text that are encoded at once; numbers of Python take many times the room of the text.
+ENCODED = 256 << 10
 SHIFT, NO_RANK = 22, 1 << 40
 #: Beyond this many bytes a piece is merged with a heap, whose cost is n log n.
 LONG = 64
@@ -298,13 +300,18 @@ def encode(df: DataFrame, ranks_path: str, text_col: str = "text", outputs=("ids
     def make():
         codec = codec_of(ranks_path)
         digest = lambda b: hashlib.sha256(b).hexdigest()
-        by_name = {"ids": lambda ids: ids, "ends": codec.ends, "n_tokens": len,
+        by_name = {"ids": lambda ids: np.array(ids, np.int32), "ends": codec.ends, "n_tokens": len,
                    "ids_sha256": lambda ids: digest(" ".join(map(str, ids)).encode()),
                    "decoded_sha256": lambda ids: digest(codec.decode(ids))}
 
         def run(texts):
-            encoded = codec.encode(texts)
-            return [[by_name[o](ids) for ids in encoded] for o in outputs]
+            found = []
+            sizes = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+            cuts = np.flatnonzero(np.diff(sizes // ENCODED, prepend=0)).tolist()  # a longer text is alone
+            for first, last in zip([0, *cuts], [*cuts, len(texts)]):
+                if first < last:
+                    found += [[by_name[o](ids) for o in outputs] for ids in codec.encode(texts[first:last])]
+            return list(zip(*found)) if found else [[] for _ in outputs]
         return run
     return append(df, text_col, ", ".join(f"{o} {OUTPUTS[o]}" for o in outputs), make)
 
