@@ -215,6 +215,18 @@ def test_toxicity(spark, odd, none):
     assert toxicity.score(odd, empty).where("score < 0.5").count() == odd.count()
 
 
+def test_toxicity_learns_from_all_rows(spark):
+    """A word that only toxic documents have counts wherever its documents stand; 3,000 rows of each class."""
+    order = spark.range(6000).where("id % 2 = 1").selectExpr("id").orderBy(F.desc(F.xxhash64("id"))).limit(40)
+    last = {r["id"] for r in order.collect()}
+    rows = [(i, f"a{i % 7} b{i % 11} " + ("late" if i in last else "vile" if i % 2 else "kind"), i % 2) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.fit(df.drop("toxic"), df.select("doc_id", "toxic"), F.lit(True))
+    assert toxicity.hashes(b"late")[0] in model.keys
+    scored = toxicity.score(spark.createDataFrame([("late",), ("kind",)], "text string"), model).toPandas()
+    assert scored.score[0] > 0.5 > scored.score[1]
+
+
 def test_toxicity_gradients():
     """Learning must lower the loss; with no epochs the model is the start."""
     docs, found = toxicity.numbered([f"good fine {'bad' if i % 2 else 'nice'} day w{i % 7}" for i in range(80)])
