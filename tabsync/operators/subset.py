@@ -40,6 +40,14 @@ def _among(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
     return df.join(ids.select(F.col("id").alias("_selected")), F.col(col) == F.col("_selected"), "left_semi")
 
 
+def _below(rows: DataFrame, id_col: str, col: str, ids: DataFrame) -> DataFrame:
+    """``id`` of the rows whose ``col`` is among ``ids``; values of one type are compared as they are, others as text."""
+    same = rows.schema[col].dataType == ids.schema["id"].dataType
+    plain = lambda c: F.col(c) if same else F.col(c).cast("string")
+    pairs = rows.where(F.col(f"`{col}`").isNotNull()).select(F.col(id_col).alias("id"), plain(f"`{col}`").alias("_value"))
+    return pairs.join(ids.select(plain("id").alias("_selected")), F.col("_value") == F.col("_selected"), "left_semi").select("id")
+
+
 #: Pieces of a table's selection that are written together once there are so many.
 PIECES = 16
 
@@ -98,7 +106,8 @@ def walk_down(env: Env, specs: Sequence[TableSpec], selected: Selection) -> Sele
     """Add the rows below the selected ones, through every reference, to a fixpoint.
 
     Parents come before their children, so without cycles one sweep finds all; references of a table to itself and cycles of tables are followed until
-    a sweep finds nothing. A sweep reads a table once, whatever its references, and only for parents found since it was read last.
+    a sweep finds nothing. A sweep reads two columns of a table for each reference, and only for parents found since it was read last:
+    ids move alone with the value in its own type, and not at all where Spark can broadcast the parents.
     """
     tiers, edges, walk = table_tiers(specs), _edges(specs), _Closure(env, specs, selected)
     grew = True
@@ -112,11 +121,7 @@ def walk_down(env: Env, specs: Sequence[TableSpec], selected: Selection) -> Sele
             if not fresh:
                 continue
             rows = env[spec.name].where(spec.filter) if spec.filter else env[spec.name]
-            refs = rows.select(F.col(spec.id_col).alias("id"), _targets([ref for ref, _ in fresh]).alias("r")).select("id", "r.parent", "r.value")
-            # References to one parent share its ids as long as they have looked at the same pieces, which all of a sweep have.
-            wanted = {parent: ids.select(F.lit(parent).alias("_parent"), F.col("id").cast("string").alias("_value")) for (_, parent), ids in fresh}
-            wanted = reduce(DataFrame.union, wanted.values())
-            found = refs.join(wanted, (F.col("parent") == F.col("_parent")) & (F.col("value") == F.col("_value")), "left_semi")
+            found = reduce(DataFrame.union, [_below(rows, spec.id_col, col, ids) for (col, _), ids in fresh])
             grew = walk.add(spec.name, found.select("id"), "down") or grew
     return walk.selection()
 

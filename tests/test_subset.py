@@ -139,3 +139,16 @@ def test_rows_without_a_key_go_by_name_or_id(frame):
     tgt = {"root": src["root"], "t": frame("id int, k string, n string, r int", (11, "k1", "x", 1), (12, None, "b", 1), (3, None, "", 1), (13, "k9", "b", 1), (14, None, "z", 1))}
     here, there = subset.subset_portable(src, tgt, specs, "root", ["one"])
     assert ids(here)["t"] == [1, 2, 3] and ids(there)["t"] == [3, 11, 12]
+
+
+def test_ids_move_alone_on_the_way_down(env, monkeypatch):
+    """A row goes to the parents of one reference as its id and that value, not once for each reference with the name of the parent and the value as text."""
+    plans, write = [], subset.materialise_counted
+
+    def seen(df, *args, **kw):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, *args, **kw)
+    monkeypatch.setattr(subset, "materialise_counted", seen)
+    roots = subset.root_ids(env, SPECS[2], ["one"])
+    assert ids(subset.walk_down(env, SPECS, {"root": roots})) == {"root": [1], "child": [1], "leaf": [1, 3, 4]}
+    assert not any("Generate explode" in p for p in plans)
