@@ -1,15 +1,17 @@
 import random
 
+import pyarrow.parquet as pq
 import pytest
 
 from tabsync import plans
 from tabsync.sinks import build_manifest, write_csv
-from tabsync.sinks.bundle import manifest_entry
+from tabsync.sinks.bundle import manifest_entry, write_table
 from tabsync.sources import (column_inventory, discover_tables, in_list, merge_column_groups, read_csv, row_counts,
                              scan, select_columns, usable_table_names)
 from tabsync.sources.catalog import catalog_env
 from tabsync.sources.csv import csv_records
 from tabsync.spec import FieldMeta, Ref, TableSpec
+from tabsync.storage import materialise
 
 
 def test_untidy_csv(spark, tmp_path):
@@ -135,3 +137,12 @@ def test_csv_lines_move_once(spark, tmp_path):
     records = csv_records(spark, str(tmp_path / "in.csv"))
     assert "Window" not in records._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(r["record"] for r in records.collect()) == ['1,"a\nb"'] * 50 + ["2,c"] * 50 + ["n,v"]
+
+
+def test_written_tables_are_small(spark, tmp_path):
+    """Tables written to be read again, and bundles, are zstd."""
+    materialise(spark.range(1000), path=str(tmp_path / "t"))
+    write_table(spark.range(1000).toDF("id"), str(tmp_path / "b"))
+    for name in ("t", "b"):
+        files = list((tmp_path / name).glob("*.parquet"))
+        assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_row_groups} == {"ZSTD"}
