@@ -9,7 +9,8 @@ Links found are closed to components. All copies of one set are one representati
 (equal band) every representative is compared with the smallest one; where that leaves several
 components in a bucket, the members outside the smallest one's component are compared with all
 members of other components, so no link that could change a component is lost, and a group of near copies costs its size,
-not its square. A comparison first estimates the Jaccard similarity from the registers, corrected for registers that are
+not its square. Two members that share several buckets are compared in the first of them only, so that a set moves for
+each bucket in which it has a pair of its own, not for all that it shares. A comparison first estimates the Jaccard similarity from the registers, corrected for registers that are
 equal by chance, and only drops pairs MARGIN standard errors below the threshold; the rest is confirmed on the full sets.
 
 Null and empty texts have no set and no link; a text of fewer words than a shingle is one shingle. Rows
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabsync.llm.common import append, slices, small_batches, words_of
-from tabsync.storage import materialise
+from tabsync.storage import materialise, materialise_counted
 
 REGISTERS, REGISTER_BITS, MANTISSA = 256, 8, 10
 MISSED, MARGIN = 1e-8, 4.5
@@ -270,14 +271,23 @@ def _group_numbers(table: pa.Table) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(change)])
 
 
+def _first_met(keys: np.ndarray, here: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether ``here`` is the first bucket that rows ``x`` and ``y`` share; ``keys``: those of all bands of a row, in order."""
+    first = (keys[x] == keys[y]).argmax(axis=1)
+    return keys[x, first] == here[x]
+
+
 def _rest(mixed: DataFrame, reps: DataFrame, items: DataFrame, threshold: int) -> DataFrame:
     """Confirmed links between members of a bucket that are of different components so far (key, id, comp)."""
-    share = threshold / 100
+    share, width = threshold / 100, band_rows(threshold / 100)
     rows = mixed.join(reps.select("id", "n", "sig"), "id")
 
     def likely(table: pa.Table):
         n, comp, sig = table.column("n").to_numpy(), table.column("comp").to_numpy(), _signatures(table.column("sig"))
+        here, keys = table.column("key").to_numpy(), band_keys(sig, width)[1].reshape(len(n), -1)  # members have shingles, so all bands
         for x, y in _pairs_of(_group_numbers(table), table.column("own").to_numpy(), comp, n, share):
+            once = _first_met(keys, here, x, y)
+            x, y = x[once], y[once]
             keep = _likely(sig[x], sig[y], n[x], n[y], share)
             yield x[keep], y[keep]
 
@@ -319,11 +329,13 @@ def near_duplicates(df: DataFrame, threshold: int = 80, id_col: str = "doc_id",
                     [registers(s).tobytes() for s in found]]
         return run
     texts = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    all_rows = materialise(append(texts, "text", "n bigint, content binary, sig binary", make).drop("text"), "signatures")
+    given = F.col("id").isNotNull() & F.col("content").isNotNull()
+    all_rows, seen = materialise_counted(append(texts, "text", "n bigint, content binary, sig binary", make).drop("text"), "signatures", given=F.count_if(given))
     sets = all_rows.where("id IS NOT NULL AND content IS NOT NULL")
     # Copies: one representative for each set; an id that has several sets links their representatives.
     firsts = materialise(sets.groupBy("content").agg(F.min("id").alias("rep")), "firsts")
-    member = materialise(sets.select("id", "content").distinct().join(firsts, "content").select("id", "rep"), "members")
+    member, told = materialise_counted(sets.select("id", "content").distinct().join(firsts, "content").select("id", "rep"), "members")
+    repeated = told["rows"] < seen["given"]  # an id has the same set twice
     several_sets = materialise(firsts.groupBy("rep").agg(F.min("content").alias("least"), F.max("content").alias("last")).where("least < last").drop("last"), "several-sets")
     node = F.when(F.col("content") > F.col("least"), F.lit(-(1 << 62)) - F.shiftrightunsigned(F.xxhash64("rep", "content"), 2)).otherwise(F.col("rep"))
     nodes = firsts.join(several_sets, "rep", "left").select("rep", "content", node.alias("node"))
@@ -348,16 +360,19 @@ def near_duplicates(df: DataFrame, threshold: int = 80, id_col: str = "doc_id",
     hubs = materialise(banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").drop("last"), "hubs")
     met = materialise(banded.join(hubs, "key"), "met")
     star = materialise(met.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "star")
-    wanted = materialise(met.select("id").distinct(), "wanted")
+    # Written, so that their sizes are known: texts stay where they are if the ids can be broadcast.
+    wanted = materialise(reps.select("id", "rep", "content").join(materialise(met.select("id").distinct(), "met-ids"), "id", "left_semi"), "wanted")
+    chosen_ids = materialise(wanted.select(F.col("rep").alias("id")).distinct(), "chosen")
 
     def make_items():
         def run(texts):
             found = [s.tobytes() for s in shingles(texts, size)]
-            return [[xxhash.xxh3_128_digest(s) for s in found], found]
+            return [[xxhash.xxh3_128_digest(s) for s in found], found, [registers(np.frombuffer(s, np.uint64)).tobytes() for s in found], [len(s) // 8 for s in found]]
         return run
-    chosen = texts.join(real(wanted, "id"), "id", "left_semi")
-    with_items = append(chosen, "text", "content binary, items binary", make_items).select(F.col("id").alias("rep"), "content", "items")
-    items = materialise(with_items.dropDuplicates(["rep", "content"]).join(reps, ["rep", "content"]).select("id", "items", "sig", "n"), "items")
+    chosen = texts.join(chosen_ids, "id", "left_semi")
+    with_items = append(chosen, "text", "content binary, items binary, sig binary, n bigint", make_items).withColumnRenamed("id", "rep")
+    found_items = with_items.join(wanted, ["rep", "content"]).select("id", "items", "sig", "n")
+    items = materialise(found_items.dropDuplicates(["id"]) if repeated else found_items, "items")
     copies = member.where("id != rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     links = materialise(_pairs_confirmed(star, items, threshold), "links")
     labels = components(links)

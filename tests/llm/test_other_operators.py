@@ -261,3 +261,16 @@ def test_crowded_buckets_lose_no_link(spark, monkeypatch):
     want = plain_components(texts, 85)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
     assert 1 < len({c for _, c in want.values()}) < 90
+
+
+def test_a_pair_is_confirmed_in_one_of_its_buckets(spark, monkeypatch):
+    """Texts that share many buckets, most pairs right below the threshold: a text moves for fewer of them than it shares."""
+    written, write = {}, hyperminhash.materialise
+    monkeypatch.setattr(hyperminhash, "materialise", lambda df, label="frame", **k: written.setdefault(label, write(df, label, **k)) if label in ("mixed", "flagged") else write(df, label, **k))
+    rnd, base = random.Random(5), [f"w{i}" for i in range(300)]
+    texts = {i: " ".join(f"x{i}-{k}" if k in places else w for k, w in enumerate(base)) for i in range(12) for places in [rnd.sample(range(300), 6)]}
+    rows = [*texts.items(), (3, texts[3]), (11, texts[11])]
+    got = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), threshold=85).collect()
+    want = plain_components(texts, 85)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((i, *want[i]) for i, _ in rows)
+    assert 0 < 2 * written["flagged"].count() < written["mixed"].count()
