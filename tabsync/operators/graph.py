@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsync.functions import has_key
+from tabsync.operators.lookup import broadcastable
 from tabsync.storage import materialise, materialise_counted
 
 # References that never count as dependencies.
@@ -41,16 +42,18 @@ def dependency_tiers(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     are the first column of ``nodes``; edges to other nodes, repeated edges and loops are ignored.
 
     Only nodes that are parents themselves take part in the rounds of :func:`_levels`. The others, usually the bulk,
-    get their tier from their parents in one join at the end.
+    get their tier from their parents in one join at the end. All edges move by child once, to be told apart and made distinct, and
+    those of the others once by parent; their tiers meet the nodes in one aggregate.
     """
-    nodes = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct()
+    nodes = nodes.select(F.col(nodes.columns[0]).alias("node"))
     edges = edges.select("child", "parent").where(F.col("child") != F.col("parent"))
     parents = materialise(edges.select(F.col("parent").alias("node")).distinct()
                           .join(nodes, "node", "left_semi"), "parents")
     # Small beside the edges in most graphs; then Spark broadcasts it and the edges stay where they are.
     is_parent = F.col("child") == F.col("node")
-    inner = materialise(edges.join(parents, is_parent, "left_semi").join(parents, F.col("parent") == F.col("node"), "left_semi").distinct(), "edges")
-    outer = edges.join(parents, is_parent, "left_anti")
+    told = _told_apart(edges, parents)
+    inner = materialise(told.where("inner").select("child", "parent").join(parents, F.col("parent") == F.col("node"), "left_semi").distinct(), "edges")
+    outer = told.where("NOT inner").select("child", "parent")
     placed, seen = materialise_counted(
         parents.join(_levels(inner), "node", "left").select("node", F.when(F.coalesce("stuck", F.lit(False)), F.lit(None).cast("int"))
                                                             .otherwise(F.coalesce("tier", F.lit(0))).alias("tier")),
@@ -65,22 +68,34 @@ def dependency_tiers(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         flags = held.join(on, "node", "left").select("node", F.col("_on").isNull().alias("_below"))
         placed = materialise(placed.join(flags, "node", "left").select("node", "tier", F.col("_below").alias("below_cycle")), "tiers")
     # A node without children is stuck when one of its parents is.
-    leaves = (outer.join(placed.withColumnRenamed("node", "parent"), "parent").groupBy(F.col("child").alias("node"))
-              .agg((F.max("tier") + 1).alias("tier"), F.max(F.col("below_cycle").isNotNull()).alias("stuck"))
-              .select("node", F.when(~F.col("stuck"), F.col("tier")).alias("tier"),
-                      F.when(F.col("stuck"), F.lit(True)).alias("below_cycle")))
-    known, last = placed.unionByName(leaves), 0
+    leaves = outer.join(placed.withColumnRenamed("node", "parent"), "parent").select(
+        F.col("child").alias("node"), (F.col("tier") + 1).alias("tier"), F.when(F.col("below_cycle").isNotNull(), F.lit(True)).alias("below_cycle"))
+    none = F.lit(None).cast("boolean")
+    rows = nodes.select("node", F.lit(None).cast("int").alias("tier"), none.alias("below_cycle"), F.lit(True).alias("given"))
+    known = rows.unionByName(placed.unionByName(leaves).withColumn("given", none))
+    known = (known.groupBy("node").agg(F.max("tier").alias("tier"), F.max("below_cycle").alias("below_cycle"), F.max("given").alias("given"))
+             .where("given IS NOT NULL").drop("given"))
+    last = 0
     if seen["stuck"]:
         known = materialise(known, "tiers")
-        top = known.agg(F.max("tier")).first()[0]
+        top = known.where("below_cycle IS NULL").agg(F.max("tier")).first()[0]
         last = 0 if top is None else top + 1
     stuck_node = F.col("below_cycle").isNotNull()
     tier = F.when(stuck_node, F.lit(last)).otherwise(F.coalesce(F.col("tier"), F.lit(0)))
-    return nodes.join(known, "node", "left").select(
+    return known.select(
         "node", tier.cast("int").alias("tier"), stuck_node.alias("in_cycle"),
         F.coalesce("below_cycle", F.lit(False)).alias("below_cycle"))
 
 
+def _told_apart(edges: DataFrame, parents: DataFrame) -> DataFrame:
+    """Edges with ``inner``: whether the child is among ``parents`` (each once). Where that moves them, they are made distinct and written."""
+    known = parents.select("node", F.lit(True).alias("inner"))
+    told = edges.join(known, F.col("child") == F.col("node"), "left").select("child", "parent", F.coalesce("inner", F.lit(False)).alias("inner"))
+    if broadcastable(parents):
+        return told
+    return materialise(told.groupBy("child", "parent").agg(F.max("inner").alias("inner")), "told-apart")  # in the tasks of the join
+
+
 def _levels(edges: DataFrame) -> DataFrame:
     """(node, tier, stuck) of all nodes with a parent: the longest way up to a node without parents; ``stuck`` on a cycle and behind one.
 

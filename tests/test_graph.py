@@ -123,3 +123,19 @@ def test_long_chains_take_rounds_by_the_logarithm(spark, monkeypatch):
     writes.clear()
     graph.dependency_tiers(chain, spark.range(5000)).collect()
     assert len(writes) < 30
+
+
+def test_edges_move_by_child_once(spark, frame, monkeypatch):
+    """Where nothing can be broadcast: right tiers, repeated nodes counted once, and edges told apart once, each written once."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        written, write = {}, storage.materialise
+        monkeypatch.setattr(graph, "materialise", lambda df, label="frame", **k: written.setdefault(label, write(df, label, **k)))
+        edges = [(1, 0), (2, 0), (3, 1), *[(c, c % 4) for c in range(4, 30)] * 2, (7, 1), (35, 1), (2, 36)]
+        nodes = list(range(30))
+        got = graph.dependency_tiers(frame("child int, parent int", *edges), frame("node int", *[(n,) for n in nodes + nodes[:9]])).collect()
+        assert len(got) == 30 and {r["node"]: r["tier"] for r in got} == plain_tiers(edges, nodes)
+        assert sorted((r["child"], r["parent"]) for r in written["told-apart"].collect()) == sorted(set(edges))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
