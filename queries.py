@@ -765,7 +765,7 @@ def export_load_roundtrip(spark, d):
             sides.append(resolved)
         cols = ["customer__key", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"] if spec.name == "orders" \
             else ["order__key", "supplier__key", "l_linenumber", "l_quantity"]
-        counts = diff.fingerprint_summary(diff.fingerprint_counts(sides[0], sides[1], cols))
+        counts = diff.fingerprint_totals(sides[0], sides[1], cols)
         out.append(counts.select(F.lit(spec.name).alias("table"), "source", "target", "new",
                                  F.lit(0).cast("bigint").alias("modified"), "deleted", "identical"))
     return reduce(DataFrame.union, out)

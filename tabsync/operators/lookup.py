@@ -2,12 +2,14 @@
 
 A lookup whose pairs Spark can broadcast is a plain left join. Beyond that both sides move by the key, so a value that fills much of
 the table would be one task. Such values are found by a sketch of the column (frequent items, one pass over the values of all
-lookups); their pairs, at most ``HOT`` of them, are broadcast. Rows with such a value, and rows without one, take part in the big join
-under keys of their own that find nothing and are dealt out by a hash of the row.
+lookups); their pairs, at most ``HOT`` of them, are broadcast. Rows with such a value, and rows without one, stay where they are while
+the others move by the value itself. Where reading the rows twice would repeat a shuffle (the second large lookup of a row, or rows
+that come from a join), they take part in the big join under keys of their own that find nothing and are dealt out by a hash of the row.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -54,6 +56,7 @@ def hot_values(df: DataFrame, values: Sequence[Column]) -> list[list[str]]:
 
 def look_up(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Add the result of each lookup as a column; no row is lost or doubled, the answer is the same whatever the sizes."""
+    columns = df.columns
     lookups = [Lookup(x.value.cast("string"), x.pairs.select(F.col(x.pairs.columns[0]).cast("string").alias(_KEY),
                                                             F.col(x.pairs.columns[1]).cast("string").alias(x.name)), x.name) for x in lookups]
     # Pairs that look large are written: then their size is known, and their side of a join is read as it is, so that it can be split.
@@ -61,9 +64,29 @@ def look_up(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
                for x in lookups]
     large = [i for i, x in enumerate(lookups) if not broadcastable(x.pairs)]
     hot = dict(zip(large, hot_values(df, [lookups[i].value for i in large]), strict=True)) if large else {}
-    for i, x in enumerate(lookups):
-        df = _spread(df, x, hot[i]) if i in hot else df.join(x.pairs, x.value == F.col(_KEY), "left").drop(_KEY)
-    return df
+    # Rows are read twice by the first large lookup alone, which comes before the joins of the others.
+    first = large[0] if large and only_read(df) else None
+    for i in sorted(range(len(lookups)), key=lambda i: i != first):
+        x = lookups[i]
+        df = _moved(df, x, hot[i]) if i == first else _spread(df, x, hot[i]) if i in hot else df.join(x.pairs, x.value == F.col(_KEY), "left").drop(_KEY)
+    return df.select(*[F.col(f"`{c}`") for c in columns], *[x.name for x in lookups])
+
+
+def only_read(df: DataFrame) -> bool:
+    """Whether the rows come straight from their files, so that reading them twice moves nothing twice."""
+    steps = df._jdf.queryExecution().optimizedPlan().toString().rstrip().split("\n")
+    return all(re.match(r"[\s:+-]*(Project|Filter|Relation|Union|LocalRelation)\b", s) for s in steps)
+
+
+def _moved(df: DataFrame, x: Lookup, hot: Sequence[str]) -> DataFrame:
+    """A join on a large side to which only rows with a value that is not frequent move, without further columns."""
+    apart = x.value.isNull() | x.value.isin(*hot) if hot else x.value.isNull()
+    joined = df.where(~apart).join(x.pairs, x.value == F.col(_KEY), "left").drop(_KEY)
+    stay = df.where(apart)
+    if not hot:
+        return joined.unionByName(stay.withColumn(x.name, F.lit(None).cast("string")))
+    few = F.broadcast(x.pairs.where(F.col(_KEY).isin(*hot)))  # at most HOT rows
+    return joined.unionByName(stay.join(few, x.value == F.col(_KEY), "left").drop(_KEY))
 
 
 def _spread(df: DataFrame, x: Lookup, hot: Sequence[str]) -> DataFrame:

@@ -159,3 +159,21 @@ def test_a_summary_reads_each_side_once(frame, tmp_path):
     for spec in (SPEC, SPEC.with_(auto_number_key=True)):
         plan = diff.diff_counts(src, tgt, spec)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet") == 2 and "Window" not in plan
+
+
+def test_totals_move_rows_only_where_sides_differ(frame, rows, monkeypatch):
+    src = frame("a string, n int, v double", *[(None if i % 7 == 0 else f"t{i % 90}", i % 40, float(i % 3)) for i in range(600)], ("", 0, 0.0), ("x", 1, float("nan")))
+    tgt = src.select(F.coalesce("a", F.lit("")).alias("a"), F.col("n").cast("bigint").alias("n"), F.when(F.col("v") == 0, F.lit(-0.0)).otherwise(F.col("v")).alias("v"))
+    moved = []
+    plain = diff.fingerprint_counts
+    monkeypatch.setattr(diff, "fingerprint_counts", lambda s, t, cols: moved.append(s.count()) or plain(s, t, cols))
+    same = diff.fingerprint_totals(src, tgt, ["a", "n", "v"])
+    assert rows(same) == [(602, 602, 602, 0, 0)] and same.dtypes == diff.fingerprint_summary(plain(src, tgt, ["a", "n", "v"])).dtypes and not moved
+    later = tgt.where("n <> 5").union(tgt.where("n = 6").limit(2)).union(frame("a string, n bigint, v double", ("x", 1, 5.0), ("x", 1, None)))
+    assert rows(diff.fingerprint_totals(src, later, ["a", "n", "v"])) == rows(diff.fingerprint_summary(plain(src, later, ["a", "n", "v"])))
+    assert 0 < moved[0] < 602
+    none = src.where("false")
+    assert rows(diff.fingerprint_totals(none, none, ["a"])) == [(0, 0, 0, 0, 0)] and rows(diff.fingerprint_totals(src, none, ["a"])) == [(602, 0, 0, 602, 0)]
+    swapped = src.select("n", F.when(F.col("n") == 1, "t2").when(F.col("n") == 2, "t1").otherwise("t0").alias("a"))
+    other = src.select("n", F.when(F.col("n") == 1, "t1").when(F.col("n") == 2, "t2").otherwise("t0").alias("a"))
+    assert rows(diff.fingerprint_totals(swapped, other, ["a", "n"])) == rows(diff.fingerprint_summary(plain(swapped, other, ["a", "n"])))

@@ -99,3 +99,27 @@ def test_lookups_deal_out_frequent_values_and_nulls(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_rows_that_cannot_find_anything_stay(spark, tmp_path):
+    """Of a large lookup over rows as read, only those with a value that is not frequent move; a second lookup does not repeat the first."""
+    key = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+    spark.range(2_000).select("id", key.alias("k"), (F.col("id") + 1).cast("string").alias("j")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    pairs = spark.range(1_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.col("id").cast("string").alias("v")).union(
+        spark.createDataFrame([("hot", "h")], "k string, v string"))
+    small = spark.range(500).select(F.col("id").cast("string").alias("j"), F.col("id").cast("string").alias("w"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        one = lookup.look_up(df, [lookup.Lookup(F.col("k"), pairs, "v")])
+        assert "__lookup_own" not in plan(one) and lookup.only_read(df) and not lookup.only_read(one)
+        moved = [m for m in plan(one).split("\n") if "Exchange hashpartitioning" in m]
+        assert len(moved) == 2 and "isnotnull" in plan(one) and "xxhash64" not in plan(one)
+        want = {i: "h" if i % 2 == 0 else None if i % 5 == 0 or i >= 1_000 else str(i) for i in range(2_000)}
+        assert {r.id: r.v for r in one.collect()} == want and one.count() == 2_000
+        two = lookup.look_up(df, [lookup.Lookup(F.col("k"), pairs, "v"), lookup.Lookup(F.col("j"), small, "w")])
+        assert two.columns == ["id", "k", "j", "v", "w"]
+        assert {r.id: (r.v, r.w) for r in two.collect()} == {i: (v, str(i + 1) if i < 499 else None) for i, v in want.items()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
