@@ -16,6 +16,7 @@ from tabsync.functions.text import needs_mask
 from tabsync.operators import clean, crosswalk
 from tabsync.operators import load as write
 from tabsync.operators.log import LOG_SCHEMA, load_summary
+from tabsync.operators.lookup import only_read
 from tabsync.plans.export import Bundle, read_bundle_table
 from tabsync.sinks.bundle import write_results
 from tabsync.spec import Env, FieldMeta, TableSpec, by_name
@@ -302,20 +303,24 @@ class _Run:
         if spec.match_on_name:
             return self.match(rows, spec, order)
         bound = spec.in_pass(pass2)
-        rows, stripped, counts = self.prepare(rows, bound, target, pass2)
+        rows, stripped, counts, once = self.prepare(rows, bound, target, pass2)
         held = None
         if spec.deferred and not pass2 and spec.deferred[0] in rows.columns:  # repeated keys are gone by now
             key = "_source_key" if spec.auto_number_key else spec.key
             rows, kept = clean.defer_values(rows, spec.name, key, spec.deferred[0], spec.deferred[1])
             held = self.place(f"deferred-{spec.name}")
             materialise(kept, path=held)
-        judged, seen = materialise_counted(self.judge(rows, bound, 0), f"judged-{spec.name}",
-                                           refused=F.count_if(F.size("errors") > 0))
+        judged = self.judge(rows, bound, 0, once)
+        refused = F.count_if(F.size("errors") > 0)
+        # Rows that are judged where they lie are only written when some are refused.
+        seen = judged.agg(F.count(F.lit(1)).alias("rows"), refused.alias("refused")).first().asDict() if self.in_place(rows, judged) else None
+        if not seen or seen["refused"]:
+            judged, seen = materialise_counted(judged, f"judged-{spec.name}", refused=refused)
         submitted, refused, rejected = seen["rows"], seen["refused"], None
         counts |= {"repeated_keys": counts["read"] - submitted}
         ok, bad = self.split(judged, spec)
         if refused:
-            again, bad, tally = write.retry_rejects(bad, lambda df, n: self.split(self.judge(df, bound, n), spec),
+            again, bad, tally = write.retry_rejects(bad, lambda df, n: self.split(self.judge(df, bound, n, once), spec),
                                                     attempts=self.retries, bookkeeping=("error", "retryable"))
             if again is not None:
                 ok = clean.union_results([ok, again])
@@ -339,8 +344,8 @@ class _Run:
         counts = {"read": seen["rows"], "matched": seen["matched"], "unmatched": seen["rows"] - seen["matched"]}
         return _Outcome(spec, (order, spec.name, spec.key, 0, 0, 0, "matched"), matched=pairs, counters=counts)
 
-    def prepare(self, rows: DataFrame, spec: TableSpec, target: DataFrame, pass2: bool) -> tuple[DataFrame, list[str], dict[str, int]]:
-        """Source rows in the shape the target takes, the columns left out, and counters; the order of the steps matters."""
+    def prepare(self, rows: DataFrame, spec: TableSpec, target: DataFrame, pass2: bool) -> tuple[DataFrame, list[str], dict[str, int], bool]:
+        """Source rows in the shape the target takes, the columns left out, counters, and whether no key is left twice; the order of the steps matters."""
         if spec.id_col != spec.key:
             rows = rows.drop(spec.id_col)
         rows, marks = crosswalk.mark_raw_refs(crosswalk.rewrite_keys(rows, spec, self.key_xwalk), spec, self.xwalk, self.id_pattern)
@@ -373,24 +378,34 @@ class _Run:
             rows = clean.dedupe_keep_last(rows, spec.key, order, spec.id_col)
         chosen = [(i, c) for i, (c, reason, _, _) in enumerate(emails) if c in rows.columns and (reason != "pattern" or seen[f"email{i}"] * 2 > seen[f"text{i}"])]
         counts["masked"] = sum(seen[f"mask{i}"] for i, _ in chosen)
-        return write.conform(clean.masked(rows, [c for _, c in chosen]), target.schema), gone, counts
+        # A repeated key was dropped, unless masking or another type makes two keys one.
+        once = bool(spec.key) and spec.key != spec.id_col and not spec.auto_number_key and spec.key in target.columns \
+            and rows.schema[spec.key].dataType == target.schema[spec.key].dataType and spec.key not in [c for _, c in chosen]
+        return write.conform(clean.masked(rows, [c for _, c in chosen]), target.schema), gone, counts, once
 
-    def judge(self, rows: DataFrame, spec: TableSpec, attempt: int) -> DataFrame:
-        """Rows with foreign keys filled in and ``errors`` for what the target would refuse."""
+    def judge(self, rows: DataFrame, spec: TableSpec, attempt: int, once: bool = False) -> DataFrame:
+        """Rows with foreign keys filled in and ``errors`` for what the target would refuse; with ``once`` no key is looked for twice."""
         bound = write.bind_parents(rows, spec, self.env, self.specs)
         metas = [f for f in self.fields.get(spec.name, ()) if f.name in rows.columns]
-        judged = clean.check_rows(bound, metas, spec.with_(refs=()))
+        judged = clean.check_rows(bound, metas, spec.with_(refs=(), key=None if once else spec.key))
         found = [c for c in JUDGED if c in judged.columns]
         judged = judged.withColumn("errors", F.concat("errors", "_unbound", *found)).drop("_unbound")
         return self.checker(judged, spec, attempt) if self.checker else judged
 
+    def in_place(self, rows: DataFrame, judged: DataFrame) -> bool:
+        """Whether the rows come straight from the resolved ones and meet their parents without moving; a checker may cost anything."""
+        if self.checker or not only_read(rows):
+            return False
+        steps = judged._jdf.queryExecution().executedPlan().toString()
+        return "SortMergeJoin" not in steps and "ShuffledHashJoin" not in steps
+
     def split(self, judged: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
         good, bad = clean.split_checked(judged)
         return good, bad.withColumn("error", F.array_join("errors", "; ")).drop("errors")
 
     def changes(self, target: DataFrame, rows: DataFrame, spec: TableSpec, pass2: bool) -> DataFrame:
         """Change set of a table's rows."""
-        rows = rows.drop(*[r.key_col for r in spec.refs])
+        rows = rows.drop(*[r.key_col for r in spec.refs], *JUDGED)
 
         def put(into: DataFrame, part: DataFrame) -> DataFrame:
             if spec.auto_number_key:

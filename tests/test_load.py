@@ -1,8 +1,10 @@
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
 from tabsync import plans
-from tabsync.operators import crosswalk, load, log
+from tabsync.operators import clean, crosswalk, load, log
 from tabsync.spec import FieldMeta, Ref, TableSpec
 from tabsync.storage import new_path, shared_dir
 
@@ -305,3 +307,32 @@ def test_shared_folder_comes_from_the_session(spark):
     with pytest.raises(ValueError):
         shared_dir(Session(None, "spark://host:7077"))
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_rows_are_judged_where_they_lie(spark, source, empty, rows, monkeypatch):
+    """Tables without a key, whose parents are small, are written as judged only when a row is refused."""
+    plan = sys.modules["tabsync.plans.load"]
+    written, plain = [], plan.materialise_counted
+    monkeypatch.setattr(plan, "materialise_counted", lambda df, label="frame", **kw: written.append(label) or plain(df, label, **kw))
+    env = plans.load(empty, export(spark, source), SPECS).env
+    assert not {"judged-quote", "judged-line"} & set(written) and "judged-contact" in written
+    assert rows(env["quote"], "v") == [("bad",), ("x",), ("z",)] and env["line"].count() == 3
+    texts = {**source, "line": source["line"].withColumn("n", F.when(F.col("n") == 2, "two").otherwise(F.col("n").cast("string")))}
+    result = plans.load(empty, export(spark, texts), SPECS, on_error="continue")
+    assert written.count("judged-line") == 1 and rows(result.env["line"], "n") == [(1,), (3,)]
+    assert rows(result.rejected["line"], "error") == [("INVALID_VALUE:n",)]
+
+
+def test_keys_are_looked_for_twice_only_where_they_can_repeat(spark, frame, rows, monkeypatch):
+    spec, asked, plain = TableSpec("c", "id", "k"), [], clean.check_rows
+    monkeypatch.setattr(clean, "check_rows", lambda df, fields, spec, *a: asked.append(spec.key) or plain(df, fields, spec, *a))
+    source = {"c": frame("id int, k string", (1, "1"), (2, "01"), (3, "1"))}
+    for kind, keys in (("string", [None]), ("int", ["k"])):
+        asked.clear()
+        target = {"c": frame(f"id int, k {kind}").where("false")}
+        result = plans.load(target, plans.export(source, [spec], new_path(spark, "test")), [spec], on_error="continue")
+        assert asked == keys
+        if kind == "string":
+            assert rows(result.env["c"], "k") == [("01",), ("1",)]
+        else:  # two texts become one number
+            assert result.env["c"].count() == 0 and {r["error"] for r in result.rejected["c"].collect()} == {"DUPLICATE_VALUE:k"}
