@@ -123,3 +123,29 @@ def test_rows_that_cannot_find_anything_stay(spark, tmp_path):
         assert {r.id: (r.v, r.w) for r in two.collect()} == {i: (v, str(i + 1) if i < 499 else None) for i, v in want.items()}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def under_threshold(spark, threshold, run):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        return run()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_pairs_small_in_files_alone_are_not_broadcast(spark, tmp_path):
+    """Ids in order are packed: their files lie below the threshold, in memory they take ten times as much."""
+    df = spark.range(30_000).select("id", F.concat(F.lit("k"), F.col("id") + 10_000).alias("k"))
+    spark.range(20_000).select(F.concat(F.lit("k"), F.col("id") + 10_000).alias("k"), (F.col("id") + 10_000).cast("string").alias("v")).coalesce(1).write.parquet(
+        str(tmp_path / "pairs"), compression="zstd")
+    pairs = spark.read.parquet(str(tmp_path / "pairs"))
+
+    def run():
+        assert lookup.broadcastable(pairs)
+        out = lookup.look_up(df, [lookup.Lookup(F.col("k"), pairs, "v")])
+        assert "Broadcast" not in plan(out) and "SortMergeJoin" in plan(out)
+        assert {r.id: r.v for r in out.collect()} == {i: str(i + 10_000) if i < 20_000 else None for i in range(30_000)} and out.count() == 30_000
+        few = lookup.look_up(df, [lookup.Lookup(F.col("k"), pairs.where("v < '10010'"), "v")])
+        assert "BroadcastHashJoin" in plan(few) and few.where("v IS NOT NULL").count() == 10
+    under_threshold(spark, "200k", run)
