@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabsync.operators import clean, crosswalk, diff, lookup
-from tabsync.spec import TableSpec
+from tabsync.spec import Ref, TableSpec
 from tabsync.storage import number_rows
 
 
@@ -149,3 +149,16 @@ def test_pairs_small_in_files_alone_are_not_broadcast(spark, tmp_path):
         few = lookup.look_up(df, [lookup.Lookup(F.col("k"), pairs.where("v < '10010'"), "v")])
         assert "BroadcastHashJoin" in plan(few) and few.where("v IS NOT NULL").count() == 10
     under_threshold(spark, "200k", run)
+
+
+def test_keys_are_rewritten_without_a_broadcast_of_many(spark, tmp_path):
+    spec = TableSpec("t", "id", refs=(Ref("p", ("parent",), "parent"),))
+    df = spark.range(30_000).select("id", F.concat(F.lit("k"), F.col("id") + 10_000).alias("parent__key"))
+    spark.range(20_000).select(F.lit("parent").alias("table"), F.lit("key").alias("key_field"), F.concat(F.lit("k"), F.col("id") + 10_000).alias("source_key"), F.concat(
+        F.lit("n"), F.col("id") + 10_000).alias("target_key")).coalesce(1).write.parquet(str(tmp_path / "xwalk"), compression="zstd")
+
+    def run():
+        out = crosswalk.rewrite_keys(df, spec, spark.read.parquet(str(tmp_path / "xwalk")))
+        assert "Broadcast" not in plan(out)
+        assert {r.id: r.parent__key for r in out.collect()} == {i: f"{'n' if i < 20_000 else 'k'}{i + 10_000}" for i in range(30_000)}
+    under_threshold(spark, "200k", run)
