@@ -227,6 +227,32 @@ def test_toxicity_learns_from_all_rows(spark):
     assert scored.score[0] > 0.5 > scored.score[1]
 
 
+def counted_rounds(monkeypatch):
+    """Rows that each round of training is given from now on; nothing is learned."""
+    calls = []
+    monkeypatch.setattr(toxicity, "learn_round", lambda coded, keys, params, weights: calls.append(coded.count()) or params)
+    return calls
+
+
+def test_toxicity_takes_all_rounds_over_many_rows(spark, monkeypatch):
+    calls = counted_rounds(monkeypatch)
+    df = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "bad day").otherwise("good day").alias("text"), (1 - F.col("id") % 2).cast("int").alias("toxic"))
+    toxicity.fit(df.drop("toxic"), df.select("doc_id", "toxic"), F.lit(True))
+    assert len(calls) == 8 and len(set(calls)) == 1 and calls[0] > 23_000
+
+
+def test_toxicity_hashes_of_many_words():
+    rng = np.random.default_rng(5)
+    words = [bytes(rng.choice(list(b"ab.,*#xyz\xc3\xa9'("), n)) for n in (*range(1, 36), 100, 1000) for _ in range(40)]
+    assert toxicity.hashes_of(words).tolist() == [list(toxicity.hashes(w)) for w in words] and toxicity.hashes_of([]).shape == (0, toxicity.PARTS)
+    texts = ["one two one (three) two", "", "two four"]
+    docs, found = toxicity.numbered(texts)
+    assert [d.tolist() for d in docs] == [[0, 1, 0, 2, 1], [], [1, 3]] and found.tolist() == [list(toxicity.hashes(w)) for w in (b"one", b"two", b"(three)", b"four")]
+    for text, (own, hashed) in zip(texts, toxicity.by_text(docs, found), strict=True):
+        plain, alone = toxicity.numbered([text])
+        assert own.tolist() == plain[0].tolist() and hashed.tolist() == alone.tolist()
+
+
 def test_toxicity_gradients():
     """Learning must lower the loss; with no epochs the model is the start."""
     docs, found = toxicity.numbered([f"good fine {'bad' if i % 2 else 'nice'} day w{i % 7}" for i in range(80)])
