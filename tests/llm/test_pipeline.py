@@ -5,6 +5,7 @@ import re
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from test_other_operators import lower_ascii, plain_components
 
 import corpus_pipeline
@@ -38,6 +39,19 @@ def test_toxic_documents_go(spark, steps):
     assert sorted(after.index) == sorted(scored.index[~scored.gone]) and (after.text == before.text[after.index]).all()
 
 
+def test_toxicity_takes_all_rounds_over_many_rows(spark, tmp_path, monkeypatch):
+    """Each of 8 rounds is given all rows that are learned from, also beyond 20,000 of them."""
+    calls = []
+    monkeypatch.setattr(toxicity, "learn_round", lambda coded, keys, params, weights: calls.append(coded.count()) or params)
+    bad = F.col("doc_id") % 2 == 0
+    docs = spark.range(40_000).withColumnRenamed("id", "doc_id").select("doc_id", F.when(bad, "bad day").otherwise("good day").alias("text"), F.lit("en").alias("lang"),
+                                                                        F.lit("s").alias("source"), F.lit(8).cast("bigint").alias("n_chars"))
+    docs.select("doc_id", F.lit(1).alias("quality"), bad.cast("int").alias("toxic")).write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).columns == list(corpus_pipeline.COLUMNS)
+    learned = docs.where((crc_of_id("doc_id") % 5 != 0) & (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) != 0)).count()
+    assert calls == [learned] * 8 and learned > 20_000
+
+
 def windows(text):
     """Shortest runs of whole lines from every line on that hold 25 words."""
     lines = text.split("\n")
