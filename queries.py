@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fixtures_sql import table
 from tabsync import plans
 from tabsync.functions import backfill_key as backfill
-from tabsync.operators import clean, crosswalk, diff, graph, load, log, resolve, subset
+from tabsync.operators import clean, crosswalk, diff, graph, load, log, lookup, resolve, subset
 from tabsync.sinks.bundle import (build_manifest, manifest_entry, read_table, write_csv, write_diff, write_report,
                                   write_results)
 from tabsync.sources import catalog, tables
@@ -757,9 +757,11 @@ def export_load_roundtrip(spark, d):
             names = resolve.id_maps(named, STAR)
             if spec.name == "lineitem":
                 orders = side["orders"].select(F.col("o_orderkey").alias("id"), F.concat_ws("|", "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("key"))
-                customers = side["customer"].select(F.col("c_custkey").alias("_c"), "c_name")
-                orders = side["orders"].join(customers, F.col("o_custkey") == F.col("_c")).select(
-                    F.col("o_orderkey").alias("id"), F.concat_ws("|", "c_name", F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("key"))
+                # Orders of known customers; a customer without a name is marked.
+                customers = side["customer"].select("c_custkey", F.coalesce(F.concat(F.lit("="), "c_name"), F.lit("-")).alias("name"))
+                known = lookup.look_up(side["orders"], [lookup.Lookup(F.col("o_custkey"), customers, "_name")]).where("_name IS NOT NULL")
+                orders = known.select(F.col("o_orderkey").alias("id"), F.concat_ws("|", F.expr("IF(_name LIKE '=%', substring(_name, 2), NULL)"),
+                                                                                   F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("key"))
                 names = {**names, "orders": orders}
             resolved = resolve.resolve_references(side[spec.name], spec, names)
             sides.append(resolved)

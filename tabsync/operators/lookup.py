@@ -119,7 +119,8 @@ def _spread(df: DataFrame, x: Lookup, hot: Sequence[str]) -> DataFrame:
     apart = F.concat(F.lit("-"), F.xxhash64(*hashed).cast("string"))
     own = F.when(x.value.isNull() | frequent, apart).otherwise(F.concat(F.lit("="), x.value))
     rest = x.pairs.select(F.concat(F.lit("="), _KEY).alias(_KEY), F.col(x.name))
-    out = df.withColumn(_OWN, F.coalesce(own, F.lit("-"))).join(rest.hint("merge"), F.col(_OWN) == F.col(_KEY), "left").drop(_KEY, _OWN)
+    # Worked out where rows are dealt out and where they meet, so that it does not move with them.
+    out = df.join(rest.hint("merge"), F.coalesce(own, F.lit("-")) == F.col(_KEY), "left").drop(_KEY)
     if not hot:
         return out
     few = F.broadcast(x.pairs.where(F.col(_KEY).isin(*hot)).select(_KEY, F.col(x.name).alias(_OWN)))  # at most HOT rows

@@ -2,8 +2,11 @@ import random
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
+import queries
 from tabsync import plans
+from tabsync.operators import lookup
 from tabsync.sinks import build_manifest, write_csv
 from tabsync.sinks.bundle import manifest_entry, write_table
 from tabsync.sources import (column_inventory, discover_tables, in_list, merge_column_groups, read_csv, row_counts,
@@ -146,3 +149,31 @@ def test_written_tables_are_small(spark, tmp_path):
     for name in ("t", "b"):
         files = list((tmp_path / name).glob("*.parquet"))
         assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_row_groups} == {"ZSTD"}
+
+
+def test_roundtrip_broadcasts_no_many_customers(spark, tmp_path, monkeypatch):
+    """20,000 customers are small in files alone; neither the load nor the comparison broadcasts them."""
+    n = F.col("id")
+    made = {"region": spark.range(1).select(n.cast("int").alias("r_regionkey"), F.lit("R").alias("r_name")),
+            "nation": spark.range(2).select(n.cast("int").alias("n_nationkey"), F.concat(F.lit("N"), n).alias("n_name"), F.lit(0).alias("n_regionkey")),
+            "customer": spark.range(20_000).select((n + 10_000).alias("c_custkey"), F.when(n == 5, F.lit(None)).otherwise(F.concat(F.lit("C"), n + 10_000)).alias("c_name"), (n % 2).cast("int").alias(
+                "c_nationkey"), F.lit(1.0).alias("c_acctbal"), F.lit("M").alias("c_mktsegment")),
+            "supplier": spark.range(3).select(n.alias("s_suppkey"), F.concat(F.lit("S"), n).alias("s_name"), F.lit(0).alias("s_nationkey"), F.lit(1.0).alias("s_acctbal")),
+            "part": spark.range(4).select(n.alias("p_partkey"), F.lit("p").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), F.lit(1).alias("p_size"), F.lit(1.0).alias("p_retailprice")),
+            "orders": spark.range(50).select(n.alias("o_orderkey"), (n + 10_010).alias("o_custkey"), F.lit("O").alias("o_orderstatus"), n.cast("double").alias("o_totalprice"),
+                                             F.lit("2024-01-01").cast("timestamp").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority")),
+            "lineitem": spark.range(100).select((n % 50).alias("l_orderkey"), (n % 4).alias("l_partkey"), (n % 3).alias("l_suppkey"), (n % 7).cast("int").alias("l_linenumber"), n.cast("double").alias("l_quantity"))}
+    for name, df in made.items():
+        df.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"), compression="zstd")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200k")
+        seen, write = [], lookup.materialise_counted
+        monkeypatch.setattr(lookup, "materialise_counted", lambda df, *a, **kw: seen.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, *a, **kw))
+        out = queries.export_load_roundtrip(spark, str(tmp_path))
+        joins = [s for text in seen for s in text.split("\n") if "Join" in s and "custkey" in s]
+        assert joins and not [s for s in joins if "Broadcast" in s]
+        rows = [r.asDict() for r in out.where("table IN ('orders', 'lineitem')").collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {(r["table"], r["source"], r["target"], r["identical"], r["new"], r["deleted"]) for r in rows} == {("orders", 50, 50, 50, 0, 0), ("lineitem", 100, 100, 100, 0, 0)}

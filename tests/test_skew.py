@@ -162,3 +162,26 @@ def test_keys_are_rewritten_without_a_broadcast_of_many(spark, tmp_path):
         assert "Broadcast" not in plan(out)
         assert {r.id: r.parent__key for r in out.collect()} == {i: f"{'n' if i < 20_000 else 'k'}{i + 10_000}" for i in range(30_000)}
     under_threshold(spark, "200k", run)
+
+
+def test_second_large_lookup_moves_no_key_of_its_own(spark, tmp_path):
+    """Keys by which rows are dealt out are worked out on the way; rows without a value and with a frequent one are still spread."""
+    spark.range(8_000).select("id", F.concat(F.lit("a"), "id").alias("a"), F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 5 == 0, F.lit(None)).otherwise(
+        F.concat(F.lit("b"), "id")).alias("b")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    pairs = lambda c: df.groupBy(F.col(c).alias("k")).agg(F.max("id").alias("v"))
+
+    def run():
+        out = lookup.look_up(df, [lookup.Lookup(F.col("a"), pairs("a"), "x"), lookup.Lookup(F.col("b"), pairs("b"), "y")])
+        assert "__lookup_own" not in "".join(s for s in plan(out).split("\n") if "Project" in s and "xxhash64" in s)
+        assert {r.id: (r.x, r.y) for r in out.collect()} == {i: (str(i), "7998" if i % 2 == 0 else None if i % 5 == 0 else str(i)) for i in range(8_000)}
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) < 2 * 8_000 / 16
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        under_threshold(spark, "-1", run)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
